@@ -319,3 +319,292 @@ def frame_stride(spark, sf_dir):
     """Every n-th frame per source (n = max(1, int(fps * interval)))."""
     return vo.stride_sample(_frames(spark, sf_dir), vo.stride_for(25, 0.1)).select(
         "frame_id", "source", "event_time", "position")
+
+
+# --------------------------------------------------------------------------
+# Uploaded files
+# --------------------------------------------------------------------------
+
+FILE_COLS = ["file_id", "filename", "file_type", "file_size", "file_hash",
+             "upload_timestamp", "event_time"]
+FILE_SQL_COLS = ", ".join(f'"{c}"' for c in FILE_COLS)
+META_COLS = ["mime_type", "fps", "frame_count", "duration", "width", "height",
+             "channels", "total_pixels"]
+
+
+def _file_msgs(spark, sf_dir):
+    return A.file_messages(spark, sf_dir)
+
+
+def _files(spark, sf_dir):
+    return accepted(parse_files(_file_msgs(spark, sf_dir)))
+
+
+def _proc_files(spark, sf_dir):
+    return jobs.processed_files(_file_msgs(spark, sf_dir))
+
+
+def _file_records(spark, sf_dir):
+    """All file records (no size filter), analysed."""
+    return fo.analyze(_files(spark, sf_dir))
+
+
+@query("file_union", O.with_(O.FILES) + "SELECT topic, file_id, file_type, file_size FROM files")
+def file_union(spark, sf_dir):
+    """The three upload topics as one stream, topic kept."""
+    parts = [accepted(parse_files(A.to_messages(df, t, "filename",
+                                                list(A.UPLOADED_FILE_FIELDS))))
+             for t, df in A.load_file_tables(spark, sf_dir).items()]
+    return fo.union_all(*parts).select("topic", "file_id", "file_type", "file_size")
+
+
+@query("file_parse", O.with_(O.FILES) + f"SELECT {FILE_SQL_COLS}, md5(file_content) AS content_md5, "
+       "md5(coalesce(text_content, '')) AS text_md5, " + ", ".join(META_COLS) + " FROM files")
+def file_parse(spark, sf_dir):
+    """File messages parsed, metadata members typed (X2 defaults)."""
+    return _files(spark, sf_dir).select(
+        *FILE_COLS, F.md5("file_content").alias("content_md5"),
+        F.md5(F.coalesce(F.col("metadata.text_content"), F.lit(""))).alias("text_md5"),
+        *[F.col(f"metadata.{c}").alias(c) for c in META_COLS])
+
+
+@query("file_large", O.with_(O.FILES) + f"SELECT {FILE_SQL_COLS} FROM files WHERE file_size > 1048576")
+def file_large(spark, sf_dir):
+    """files larger than 1 MiB."""
+    return fo.large_files(_files(spark, sf_dir)).select(*FILE_COLS)
+
+
+_COMMON = ["file_size_mb", "size_category", "content_hash"]
+
+
+@query("file_analysis", O.with_(O.FILES, O.PROC_FILES) +
+       "SELECT file_id, file_type, " + ", ".join(_COMMON) + " FROM proc_files")
+def file_analysis(spark, sf_dir):
+    """Size in MB, size tier and content hash of large files."""
+    return _proc_files(spark, sf_dir).select(
+        "file_id", "file_type", *[F.col(f"analysis.{c}").alias(c) for c in _COMMON])
+
+
+@query("file_doc_analysis", O.with_(O.FILES, O.PROC_FILES) +
+       "SELECT file_id, text_length, word_count, has_text FROM proc_files WHERE file_type = 'document'")
+def file_doc_analysis(spark, sf_dir):
+    """E5: text length, word count and blank test of documents."""
+    return _proc_files(spark, sf_dir).filter(F.col("file_type") == "document").select(
+        "file_id", *[F.col(f"analysis.{c}").alias(c) for c in ("text_length", "word_count", "has_text")])
+
+
+_VID = ["video_quality", "aspect_ratio", "total_frames", "bitrate_estimate"]
+
+
+@query("file_video_analysis", O.with_(O.FILES, O.PROC_FILES) +
+       "SELECT file_id, " + ", ".join(_VID) + " FROM proc_files WHERE file_type = 'video'")
+def file_video_analysis(spark, sf_dir):
+    """Quality, aspect ratio, frames and bitrate of videos."""
+    return _proc_files(spark, sf_dir).filter(F.col("file_type") == "video").select(
+        "file_id", *[F.col(f"analysis.{c}").alias(c) for c in _VID])
+
+
+@query("file_image_analysis", O.with_(O.FILES, O.PROC_FILES) +
+       "SELECT file_id, image_quality, aspect_ratio, a_total_pixels AS total_pixels, color_depth "
+       "FROM proc_files WHERE file_type = 'image'")
+def file_image_analysis(spark, sf_dir):
+    """Quality, aspect ratio, pixels and colour depth of images."""
+    return _proc_files(spark, sf_dir).filter(F.col("file_type") == "image").select(
+        "file_id", *[F.col(f"analysis.{c}").alias(c)
+                     for c in ("image_quality", "aspect_ratio", "total_pixels", "color_depth")])
+
+
+@query("file_type_enrich", O.with_(O.FILES, O.PROC_FILES) +
+       "SELECT file_id, file_type, processing_notes, processing_priority FROM proc_files")
+def file_type_enrich(spark, sf_dir):
+    """Processing notes and priority per file type."""
+    return _proc_files(spark, sf_dir).select("file_id", "file_type", "processing_notes",
+                                             "processing_priority")
+
+
+@query("file_type_totals", O.with_(O.FILES, O.PROC_FILES) + """
+SELECT file_type, count(*) AS total_files, sum(file_size) AS total_size_bytes,
+       avg(file_size) AS avg_size_bytes, max(file_size) AS largest_file_size,
+       min(file_size) AS smallest_file_size, max(event_time) AS last_updated
+FROM proc_files GROUP BY file_type""")
+def file_type_totals(spark, sf_dir):
+    """A3: per-type totals of large files."""
+    return agg.file_type_totals(_proc_files(spark, sf_dir))
+
+
+@query("file_type_running", O.with_(O.FILES, O.PROC_FILES) + """
+SELECT file_id, file_type, event_time, count(*) OVER w AS total_files,
+       sum(file_size) OVER w AS total_size_bytes,
+       sum(file_size) OVER w / count(*) OVER w AS avg_size_bytes,
+       max(file_size) OVER w AS largest_file_size, min(file_size) OVER w AS smallest_file_size,
+       max(event_time) OVER w AS last_updated
+FROM proc_files
+WINDOW w AS (PARTITION BY file_type ORDER BY event_time, file_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def file_type_running(spark, sf_dir):
+    """One row per file with the type's running stats."""
+    return run.running_file_type_stats(_proc_files(spark, sf_dir)).select(
+        "file_id", "file_type", "event_time", "total_files", "total_size_bytes",
+        "avg_size_bytes", "largest_file_size", "smallest_file_size", "last_updated")
+
+
+_SIZE_WIN_SQL = O.with_(O.FILES, O.PROC_FILES) + f"""
+SELECT {O.window_cols()}, size_category, count(*) AS total_files,
+       sum(file_size) AS total_size_bytes, avg(file_size) AS avg_size_bytes
+FROM proc_files GROUP BY ALL"""
+
+
+@query("file_size_window", _SIZE_WIN_SQL)
+def file_size_window(spark, sf_dir):
+    """Files per size tier in 30-second windows."""
+    return agg.size_window(_proc_files(spark, sf_dir))
+
+
+_FILE_PAIR_SQL = O.with_(O.FILES, O.PROC_FILES) + f""", ranked AS (
+  SELECT {O.window_cols()}, size_category, event_time, file_id, CAST(file_size AS DOUBLE) AS s,
+         row_number() OVER (PARTITION BY time_bucket(INTERVAL '30 seconds', event_time),
+                            size_category ORDER BY event_time DESC, file_id DESC) AS j
+  FROM proc_files)
+SELECT window_start, window_end, size_category,
+       sum(s * pow(2.0, -j)) + arg_min(s, (event_time, file_id)) * pow(2.0, -count(*)) AS pairwise_avg_size_bytes
+FROM ranked GROUP BY ALL"""
+
+
+@query("file_pairwise_avg_window", _FILE_PAIR_SQL)
+def file_pairwise_avg_window(spark, sf_dir):
+    """W4 for files: the (acc + x) / 2 fold of sizes per tier and window."""
+    return agg.pairwise_avg_window(
+        _proc_files(spark, sf_dir), F.coalesce(F.col("analysis.size_category"), F.lit("unknown")),
+        "size_category", {"pairwise_avg_size_bytes": "file_size"}, id_col="file_id")
+
+
+@query("size_tier", O.with_(O.FILES) + """
+SELECT file_id, file_size, CASE WHEN file_size < 1048576 THEN 'small'
+       WHEN file_size < 10485760 THEN 'medium' WHEN file_size < 104857600 THEN 'large'
+       ELSE 'very_large' END AS size_category FROM files""")
+def size_tier_q(spark, sf_dir):
+    """X13 on every file (the 1 MiB filter would hide 'small')."""
+    return _files(spark, sf_dir).select("file_id", "file_size",
+                                        X.size_tier("file_size").alias("size_category"))
+
+
+@query("video_duration", O.with_(O.FILES) +
+       "SELECT file_id, frame_count, fps, duration FROM files WHERE file_type = 'video'")
+def video_duration_q(spark, sf_dir):
+    """duration = frames / fps, 0 when fps is 0."""
+    return _files(spark, sf_dir).filter(F.col("file_type") == "video").select(
+        "file_id", F.col("metadata.frame_count").alias("frame_count"),
+        F.col("metadata.fps").alias("fps"),
+        X.video_duration("metadata.frame_count", "metadata.fps").alias("duration"))
+
+
+@query("file_md5", O.with_(O.FILES) + """
+SELECT file_id, file_hash, md5(from_base64(file_content)) = file_hash AS hash_ok FROM files""")
+def file_md5(spark, sf_dir):
+    """MD5 of the payload bytes equals the message hash."""
+    return _files(spark, sf_dir).select(
+        "file_id", "file_hash",
+        (F.md5(X.b64decode("file_content")) == F.col("file_hash")).alias("hash_ok"))
+
+
+@query("base64_roundtrip", """
+SELECT doc_id, CAST(length(to_base64(encode(text))) AS BIGINT) AS b64_length,
+       CAST(octet_length(encode(text)) AS BIGINT) AS byte_length, true AS roundtrip_ok
+FROM documents""")
+def base64_roundtrip(spark, sf_dir):
+    """base64 text without line breaks decodes back to the bytes."""
+    docs = A.table(spark, sf_dir, "documents")
+    enc = X.b64encode(F.encode("text", "UTF-8"))
+    return docs.select(
+        "doc_id", F.length(enc).cast("long").alias("b64_length"),
+        F.octet_length(X.b64decode(enc)).cast("long").alias("byte_length"),
+        (F.decode(X.b64decode(enc), "UTF-8") == F.col("text")).alias("roundtrip_ok"))
+
+
+_NAMES_SQL = O.with_(O.FILES) + """, names AS (
+  SELECT filename AS name FROM files UNION ALL SELECT url FROM pages)
+"""
+
+
+@query("file_type_of", _NAMES_SQL +
+       f"SELECT name, {O.file_type_sql('name')} AS detected_type FROM names")
+def file_type_of(spark, sf_dir):
+    """File type from the extension, over file names and page URLs."""
+    return _names(spark, sf_dir).select("name", X.file_type_of("name").alias("detected_type"))
+
+
+def _names(spark, sf_dir):
+    files = _files(spark, sf_dir).select(F.col("filename").alias("name"))
+    pages = A.table(spark, sf_dir, "pages").select(F.col("url").alias("name"))
+    return files.unionByName(pages)
+
+
+@query("file_allowed", _NAMES_SQL +
+       f"SELECT name, {O.allowed_sql('name', O.file_type_sql('name'))} AS allowed, "
+       f"{O.client_allowed_sql('name')} AS client_allowed FROM names")
+def file_allowed(spark, sf_dir):
+    """Server and upload-page extension checks."""
+    df = _names(spark, sf_dir)
+    return df.select("name", X.is_allowed("name", X.file_type_of("name")).alias("allowed"),
+                     X.is_client_allowed("name").alias("client_allowed"))
+
+
+@query("file_unknown_rejected", _NAMES_SQL +
+       f"SELECT name FROM names WHERE {O.file_type_sql('name')} <> 'unknown'")
+def file_unknown_rejected(spark, sf_dir):
+    """names of an unknown type are rejected."""
+    return fo.reject_unknown(_names(spark, sf_dir), "name")
+
+
+@query("file_mime", _NAMES_SQL.replace("UNION ALL SELECT url FROM pages", "") +
+       "SELECT name, " + O._map(O.ext_sql("name"), O.MIME_TYPES) + " AS mime_type FROM names")
+def file_mime(spark, sf_dir):
+    """MIME type from the file name."""
+    return _files(spark, sf_dir).select(F.col("filename").alias("name"),
+                                        X.mime_type("filename").alias("mime_type"))
+
+
+@query("human_size", O.with_(O.FILES) + f"""
+SELECT file_id, file_size AS bytes, {O.human_size_sql('file_size')} AS human_size FROM files
+UNION ALL
+SELECT 'raw_' || file_id, CAST(file_size / {A.FILE_SIZE_FACTOR} AS BIGINT),
+       {O.human_size_sql(f'CAST(file_size / {A.FILE_SIZE_FACTOR} AS BIGINT)')} FROM files""")
+def human_size_q(spark, sf_dir):
+    """Human-readable sizes (k = 1024, two decimals at most)."""
+    f = _files(spark, sf_dir)
+    raw = (F.col("file_size") / A.FILE_SIZE_FACTOR).cast("long")
+    return f.select(F.col("file_id"), F.col("file_size").alias("bytes"),
+                    X.human_size("file_size").alias("human_size")).unionByName(
+        f.select(F.concat(F.lit("raw_"), F.col("file_id")).alias("file_id"), raw.alias("bytes"),
+                 X.human_size(raw).alias("human_size")))
+
+
+@query("text_preview", """
+SELECT doc_id, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '...' ELSE text END AS preview
+FROM documents""")
+def text_preview(spark, sf_dir):
+    """First 200 characters plus '...' when longer."""
+    return A.table(spark, sf_dir, "documents").select(
+        "doc_id", X.text_preview("text").alias("preview"))
+
+
+@query("file_meta_preview", O.with_(O.FILES) + """
+SELECT file_id, k AS member, v AS value FROM (
+  SELECT file_id, unnest(['mime_type', 'fps', 'frame_count', 'duration', 'width', 'height',
+                          'channels', 'total_pixels']) AS k,
+         unnest([mime_type, CAST(fps AS VARCHAR), CAST(frame_count AS VARCHAR),
+                 CAST(duration AS VARCHAR), CAST(width AS VARCHAR), CAST(height AS VARCHAR),
+                 CAST(channels AS VARCHAR), CAST(total_pixels AS VARCHAR)]) AS v0
+  FROM files)
+CROSS JOIN LATERAL (SELECT CASE WHEN length(v0) > 100 THEN substr(v0, 1, 100) || '...' ELSE v0 END AS v)
+WHERE v IS NOT NULL""")
+def file_meta_preview(spark, sf_dir):
+    """Metadata members for display: text content skipped, long text cut."""
+    from streamlens.operators.topics import metadata_preview
+    return metadata_preview(_files(spark, sf_dir))
+
+
+@query("file_monitor", O.with_(O.FILES) + "SELECT file_id, filename, file_type, file_size FROM files")
+def file_monitor(spark, sf_dir):
+    """The upload stream view."""
+    return _files(spark, sf_dir).select("file_id", "filename", "file_type", "file_size")

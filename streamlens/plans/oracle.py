@@ -154,7 +154,7 @@ FILE_ANALYSIS_COLS = f"""round(CAST(file_size AS DOUBLE) / {_MIB}, 2) AS file_si
          substr(sha256(file_content), 1, 16) AS content_hash,
          CASE WHEN file_type = 'document' THEN CAST(coalesce(length(text_content), 0) AS BIGINT) END AS text_length,
          CASE WHEN file_type = 'document' THEN CAST(len(list_filter(
-              regexp_split_to_array(coalesce(text_content, ''), '{WS}+'), w -> length(w) > 0)) AS BIGINT) END AS word_count,
+              regexp_split_to_array(coalesce(text_content, ''), '{WS}+'), lambda w: length(w) > 0)) AS BIGINT) END AS word_count,
          CASE WHEN file_type = 'document' THEN coalesce(regexp_matches(text_content, '[^\\t\\n\\x0B\\f\\r \\x{{85}}\\p{{Z}}]'), false) END AS has_text,
          CASE WHEN file_type = 'video' THEN CASE WHEN {_W0} >= 1280 THEN 'HD' ELSE 'SD' END END AS video_quality,
          CASE WHEN file_type IN ('video', 'image') THEN {_AR} END AS aspect_ratio,

@@ -30,6 +30,8 @@ EPOCH = "2024-01-01 00:00:00"
 UPLOAD_STEP_SECONDS = 7
 PARTITIONS = 3
 # ---------------------------------------------------------------------------
+UPLOADED_FILE_FIELDS = ("file_id", "filename", "file_type", "file_size", "file_hash",
+                        "upload_timestamp", "file_content", "metadata")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
