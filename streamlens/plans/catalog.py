@@ -608,3 +608,209 @@ def file_meta_preview(spark, sf_dir):
 def file_monitor(spark, sf_dir):
     """The upload stream view."""
     return _files(spark, sf_dir).select("file_id", "filename", "file_type", "file_size")
+
+
+# --------------------------------------------------------------------------
+# Streams: the same rows as the batch twins, replayed through Structured
+# Streaming from file topics (several micro-batches, availableNow).
+# --------------------------------------------------------------------------
+
+from streamlens.plans import streams as S  # noqa: E402
+from streamlens.session import scratch_path  # noqa: E402
+from streamlens.sources import io  # noqa: E402
+from streamlens.streaming import runner as R  # noqa: E402
+from streamlens.streaming import stateful as ST  # noqa: E402
+
+_TOPIC = {"transactions": "transactions", "video_frames": "video_frames"}
+STREAM_FILES = 4
+
+
+def _land(spark, sf_dir, kind, files=STREAM_FILES):
+    """Land the kind's messages as a file topic; return (root, topics)."""
+    root = scratch_path(spark, f"topics-{kind}")
+    if kind == "transactions":
+        io.land_messages(A.transaction_messages(spark, sf_dir), root, "transactions", files)
+        return root, ["transactions"]
+    if kind == "video_frames":
+        io.land_messages(A.frame_messages(spark, sf_dir), root, "video_frames", files)
+        return root, ["video_frames"]
+    msgs = A.file_messages(spark, sf_dir)
+    topics = list(io.UPLOAD_TOPICS.values())
+    for t in topics:
+        io.land_messages(msgs.filter(F.col("topic") == t), root, t, files)
+    return root, topics
+
+
+def _stream(spark, sf_dir, kind, files=STREAM_FILES):
+    root, topics = _land(spark, sf_dir, kind, files)
+    return io.read_topic(spark, topics, root=root, max_per_trigger=1)
+
+
+@query("src_txn", ORACLE["txn_parse"])
+def src_txn(spark, sf_dir):
+    """Transactions read from the start of a topic as a stream."""
+    recs = accepted(parse_transactions(_stream(spark, sf_dir, "transactions")))
+    return R.run_to_end(spark, recs.select(*TXN_COLS), "src_txn")
+
+
+@query("src_frames", ORACLE["frame_parse"])
+def src_frames(spark, sf_dir):
+    """Frames read from the start of a topic as a stream."""
+    recs = accepted(parse_frames(_stream(spark, sf_dir, "video_frames")))
+    return R.run_to_end(spark, recs.select(*FRAME_COLS, F.md5("frame_data").alias("payload_md5")),
+                        "src_frames")
+
+
+@query("src_files", ORACLE["file_union"])
+def src_files(spark, sf_dir):
+    """The three upload topics subscribed as one stream."""
+    recs = accepted(parse_files(_stream(spark, sf_dir, "uploaded_files")))
+    return R.run_to_end(spark, recs.select("topic", "file_id", "file_type", "file_size"),
+                        "src_files")
+
+
+def _streams(spark, sf_dir, kind, files=STREAM_FILES):
+    """One stream per topic (each gets its own watermark)."""
+    root, topics = _land(spark, sf_dir, kind, files)
+    return [io.read_topic(spark, t, root=root, max_per_trigger=1) for t in topics]
+
+
+def _window_stream(kind, name):
+    def fn(spark, sf_dir):
+        out = S.windowed(_streams(spark, sf_dir, kind), kind)
+        res = R.run_to_end(spark, out, name, "update", S.window_keys(kind))
+        return S._ntz_windows(res)
+    return fn
+
+
+query("txn_category_window_stream", ORACLE["txn_category_window"])(
+    _window_stream("transactions", "txn_category_window_stream"))
+query("frame_resolution_window_stream", ORACLE["frame_resolution_window"])(
+    _window_stream("video_frames", "frame_resolution_window_stream"))
+query("file_size_window_stream", ORACLE["file_size_window"])(
+    _window_stream("uploaded_files", "file_size_window_stream"))
+
+
+def _totals_stream(kind, name):
+    def fn(spark, sf_dir):
+        out = S.totals(_stream(spark, sf_dir, kind), kind)
+        return R.run_to_end(spark, out, name, "update", [S.TOTALS[kind][2]])
+    return fn
+
+
+query("txn_user_totals_stream", ORACLE["txn_user_totals"])(
+    _totals_stream("transactions", "txn_user_totals_stream"))
+query("frame_source_totals_stream", ORACLE["frame_source_totals"])(
+    _totals_stream("video_frames", "frame_source_totals_stream"))
+query("file_type_totals_stream", ORACLE["file_type_totals"])(
+    _totals_stream("uploaded_files", "file_type_totals_stream"))
+
+
+_RUN_COLS = {
+    "transactions": ["transaction_id", "user_id", "event_time", "final_amount", "total_spent",
+                     "transaction_count", "last_updated"],
+    "video_frames": ["frame_id", "source", "event_time", "total_frames", "total_size_bytes",
+                     "avg_width", "avg_height", "last_updated"],
+    "uploaded_files": ["file_id", "file_type", "event_time", "total_files", "total_size_bytes",
+                       "avg_size_bytes", "largest_file_size", "smallest_file_size",
+                       "last_updated"],
+}
+
+
+def _running_stream(kind, name):
+    def fn(spark, sf_dir):
+        S.use_rocksdb(spark)
+        out = S.running(_stream(spark, sf_dir, kind), kind)
+        res = R.run_to_end(spark, out, name, "append")
+        return ST.finish(kind, res).select(*_RUN_COLS[kind])
+    return fn
+
+
+query("txn_user_running_stream", ORACLE["txn_user_running"])(
+    _running_stream("transactions", "txn_user_running_stream"))
+query("frame_source_running_stream", ORACLE["frame_source_running"])(
+    _running_stream("video_frames", "frame_source_running_stream"))
+query("file_type_running_stream", ORACLE["file_type_running"])(
+    _running_stream("uploaded_files", "file_type_running_stream"))
+
+
+@query("late_data", ORACLE["txn_category_window"])
+def late_data(spark, sf_dir):
+    """The first day's messages are sent again after the rest; the
+    watermark (1 hour) drops them.  The second run restarts from the first
+    run's checkpoint and sees only the late file."""
+    root = scratch_path(spark, "topics-late")
+    msgs = A.transaction_messages(spark, sf_dir)
+    io.land_messages(msgs, root, "transactions", files=1, sequential=False)
+    ckpt = scratch_path(spark, "late-ckpt")
+    out = scratch_path(spark, "late-out")
+
+    def once():
+        stream = io.read_topic(spark, "transactions", root=root)
+        agg_ = S.windowed(stream, "transactions", delay="1 hour")
+        q = R.start(agg_, "update", out=out, checkpoint=ckpt)
+        q.awaitTermination()
+        return agg_
+
+    once()
+    first_day = msgs.filter(F.col("timestamp") < F.expr(
+        "(SELECT min(timestamp) FROM VALUES (1) AS t(x))") if False else F.col("timestamp") <
+        F.lit(A.EPOCH).cast("timestamp") + F.expr("INTERVAL 1 DAY"))
+    io.land_messages(first_day.withColumn("offset", F.col("offset") + F.lit(1 << 40)),
+                     root, "transactions", files=1, sequential=False)
+    agg_ = once()
+    res = R.result(spark, agg_, "update", out, S.window_keys("transactions"))
+    return S._ntz_windows(res)
+
+
+@query("fanout", O.with_(O.TXN, O.PROC_TXN) + """
+SELECT 'processed_transactions' AS topic, user_id AS key, transaction_id FROM proc_txn
+UNION ALL
+SELECT 'high_value_transactions', user_id, transaction_id FROM proc_txn WHERE amount > 500.0""")
+def fanout(spark, sf_dir):
+    """One processed stream feeds two topics from each micro-batch."""
+    root = scratch_path(spark, "topics-fanout")
+    proc = jobs.processed_transactions(_stream(spark, sf_dir, "transactions"))
+    q = (proc.writeStream.foreachBatch(S.fanout_sink(root))
+         .option("checkpointLocation", scratch_path(spark, "fanout-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    back = io.read_topic(spark, ["processed_transactions", "high_value_transactions"],
+                         root=root, stream=False)
+    return back.select("topic", "key", F.get_json_object("value", "$.transaction_id")
+                       .alias("transaction_id"))
+
+
+@query("sink_roundtrip", O.with_(O.FRAMES, O.PROC_FRAMES) +
+       "SELECT frame_id, source, resolution_category, compression_ratio, expected_fps FROM proc_frames")
+def sink_roundtrip(spark, sf_dir):
+    """Processed frames written as JSON to a topic and read back."""
+    root = scratch_path(spark, "topics-processed")
+    proc = jobs.processed_frames(_stream(spark, sf_dir, "video_frames"))
+    cols = [c for c in jobs.PROCESSED_COLUMNS["video_frames"] if c != "enriched_at"]
+    q = S.json_topic_sink(to.to_json_value(proc, cols), root, "processed_video_frames",
+                          scratch_path(spark, "roundtrip-ckpt"))
+    q.awaitTermination()
+    back = io.read_topic(spark, "processed_video_frames", root=root, stream=False)
+    v = F.col("value")
+    return back.select(
+        F.get_json_object(v, "$.frame_id").alias("frame_id"),
+        F.get_json_object(v, "$.source").alias("source"),
+        F.get_json_object(v, "$.analysis.resolution_category").alias("resolution_category"),
+        F.get_json_object(v, "$.analysis.compression_ratio").cast("double").alias("compression_ratio"),
+        F.get_json_object(v, "$.expected_fps").cast("int").alias("expected_fps"))
+
+
+@query("sink_agg_latest", O.with_(O.TXN, O.PROC_TXN) + """
+SELECT user_id AS key, to_json({'user_id': user_id,
+  'total_spent': CAST(sum(CAST(final_amount AS DECIMAL(12,2))) AS DOUBLE),
+  'transaction_count': count(*),
+  'last_updated': strftime(max(event_time), '%Y-%m-%dT%H:%M:%S.%f')})::VARCHAR AS value
+FROM proc_txn GROUP BY user_id""")
+def sink_agg_latest(spark, sf_dir):
+    """User totals as keyed JSON in update mode; latest per key."""
+    tot = S.totals(_stream(spark, sf_dir, "transactions"), "transactions")
+    msgs = tot.select(F.col("user_id").alias("key"), F.to_json(F.struct(
+        "user_id", "total_spent", "transaction_count",
+        X.iso_text("last_updated").alias("last_updated"))).alias("value"))
+    return R.run_to_end(spark, msgs, "sink_agg_latest", "update", ["key"])

@@ -1,0 +1,133 @@
+"""Per-record running statistics on streams (R1-R3 stream form, T4).
+
+Each key keeps one state row (count, sums, min, max) in the state store; every
+input row produces one output row with the values up to and including it.
+Within a micro-batch the rows of a key are put in (time, id) order; across
+batches arrival order holds, as in a keyed stream processor.  The state store
+provider must be RocksDB (``streamlens.session.ROCKSDB_PROVIDER``); the runner
+sets it.  The rows of one key in one micro-batch are handled by one Python
+call, so the batch size (``max_per_trigger``) bounds the work per call.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import (StatefulProcessor,
+                                                      StatefulProcessorHandle)
+
+# Running aggregate spec: output name -> (kind, input column).  kind: count,
+# sum, min, max.  Sums of money use integer cents (exact).  Names have no
+# leading underscore: Arrow batches handed to Python rename such columns.
+SPECS = {
+    "transactions": {
+        "key": "user_id", "order": ["event_time", "transaction_id"],
+        "aggs": {"transaction_count": ("count", None), "cents": ("sum", "cents"),
+                 "last_updated": ("max", "event_time")},
+        "carry": ["transaction_id", "user_id", "event_time", "final_amount"],
+    },
+    "video_frames": {
+        "key": "source", "order": ["event_time", "frame_id"],
+        "aggs": {"total_frames": ("count", None), "total_size_bytes": ("sum", "frame_size_bytes"),
+                 "sum_width": ("sum", "frame_width"), "sum_height": ("sum", "frame_height"),
+                 "last_updated": ("max", "event_time")},
+        "carry": ["frame_id", "source", "event_time"],
+    },
+    "uploaded_files": {
+        "key": "file_type", "order": ["event_time", "file_id"],
+        "aggs": {"total_files": ("count", None), "total_size_bytes": ("sum", "file_size"),
+                 "largest_file_size": ("max", "file_size"),
+                 "smallest_file_size": ("min", "file_size"),
+                 "last_updated": ("max", "event_time")},
+        "carry": ["file_id", "file_type", "event_time"],
+    },
+}
+
+
+def _state_schema(spec: dict) -> T.StructType:
+    fields = []
+    for name, (kind, _) in spec["aggs"].items():
+        dt = T.TimestampNTZType() if name == "last_updated" else T.LongType()
+        fields.append(T.StructField(name, dt))
+    return T.StructType(fields)
+
+
+class RunningStats(StatefulProcessor):
+    """One state row per key; emits the running values for every input row."""
+
+    def __init__(self, kind: str):
+        self.kind = kind
+        self.spec = SPECS[kind]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("running", _state_schema(self.spec))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        pdf = pdf.sort_values(self.spec["order"], kind="stable").reset_index(drop=True)
+        prev = self.state.get() if self.state.exists() else None
+        out = pdf[self.spec["carry"]].copy()
+        last = {}
+        for i, (name, (kind, col)) in enumerate(self.spec["aggs"].items()):
+            p = None if prev is None else prev[i]
+            if kind == "count":
+                v = pd.Series(range(1, len(pdf) + 1), dtype="int64") + (p or 0)
+            elif kind == "sum":
+                v = pdf[col].astype("int64").cumsum() + (p or 0)
+            elif kind == "max":
+                v = pdf[col].cummax()
+                if p is not None:
+                    v = v.where(v >= p, p)
+            else:
+                v = pdf[col].cummin()
+                if p is not None:
+                    v = v.where(v <= p, p)
+            out[name] = v.values
+            last[name] = v.iloc[-1]
+        self.state.update(tuple(
+            (pd.Timestamp(last[n]).to_pydatetime() if n == "last_updated" else int(last[n]))
+            for n in self.spec["aggs"]))
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+def output_schema(kind: str, input_schema: T.StructType) -> T.StructType:
+    spec = SPECS[kind]
+    fields = [input_schema[c] for c in spec["carry"]]
+    for name in spec["aggs"]:
+        dt = T.TimestampNTZType() if name == "last_updated" else T.LongType()
+        fields.append(T.StructField(name, dt))
+    return T.StructType(fields)
+
+
+def running_stream(df: DataFrame, kind: str) -> DataFrame:
+    """Per-record running stats of a streaming (or static) frame."""
+    from pyspark.sql import functions as F
+    spec = SPECS[kind]
+    if kind == "transactions":
+        df = df.withColumn("cents", F.round(F.col("final_amount") * 100).cast("long"))
+    cols = list(dict.fromkeys(spec["carry"] + spec["order"] +
+                              [c for _, c in spec["aggs"].values() if c]))
+    narrow = df.select(*cols)
+    schema = output_schema(kind, narrow.schema)
+    out = narrow.groupBy(spec["key"]).transformWithStateInPandas(
+        statefulProcessor=RunningStats(kind), outputStructType=schema,
+        outputMode="Append", timeMode="None")
+    return out
+
+
+def finish(kind: str, df: DataFrame) -> DataFrame:
+    """Derived columns of the running output (totals in money, means)."""
+    from pyspark.sql import functions as F
+    if kind == "transactions":
+        return df.withColumn("total_spent", F.col("cents") / 100.0).drop("cents")
+    if kind == "video_frames":
+        return (df.withColumn("avg_width", F.col("sum_width") / F.col("total_frames"))
+                  .withColumn("avg_height", F.col("sum_height") / F.col("total_frames"))
+                  .drop("sum_width", "sum_height"))
+    return df.withColumn("avg_size_bytes", F.col("total_size_bytes") / F.col("total_files"))
