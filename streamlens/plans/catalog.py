@@ -814,3 +814,218 @@ def sink_agg_latest(spark, sf_dir):
         "user_id", "total_spent", "transaction_count",
         X.iso_text("last_updated").alias("last_updated"))).alias("value"))
     return R.run_to_end(spark, msgs, "sink_agg_latest", "update", ["key"])
+
+
+# --------------------------------------------------------------------------
+# Topic views
+# --------------------------------------------------------------------------
+
+from streamlens.operators import topics as tv  # noqa: E402
+
+
+def _all_messages(spark, sf_dir):
+    return (A.transaction_messages(spark, sf_dir)
+            .unionByName(A.frame_messages(spark, sf_dir))
+            .unionByName(A.file_messages(spark, sf_dir)))
+
+
+_ENVELOPE_SQL = O.with_(O.TXN, O.FRAMES, O.FILES) + """, msgs AS (
+  SELECT 'transactions' AS topic, user_id AS key, _id, event_time FROM txn
+  UNION ALL SELECT 'video_frames', NULL, _id, event_time FROM frames
+  UNION ALL SELECT topic, filename, _id, event_time FROM files),
+env AS (SELECT topic, key, CAST(_id % 3 AS INTEGER) AS "partition",
+               CAST(_id // 3 AS BIGINT) AS "offset", event_time AS "timestamp" FROM msgs)
+"""
+
+
+@query("topic_read", _ENVELOPE_SQL + """
+SELECT topic, "partition", "offset", key, "timestamp" FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY "partition", "offset") AS rn FROM env)
+WHERE rn <= 10""")
+def topic_read(spark, sf_dir):
+    """The first 10 messages of every topic with their envelope."""
+    first = tv.first_messages(_all_messages(spark, sf_dir), 10)
+    return first.select("topic", "partition", "offset", "key",
+                        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
+@query("topic_counts", _ENVELOPE_SQL + "SELECT topic, count(*) AS message_count FROM env GROUP BY topic")
+def topic_counts(spark, sf_dir):
+    """A4: messages per topic."""
+    return agg.topic_counts(_all_messages(spark, sf_dir))
+
+
+_MONITOR_SQL = O.with_(O.TXN, O.PROC_TXN) + """, lines AS (
+  SELECT 'transactions' AS topic, transaction_id, amount FROM txn
+  UNION ALL SELECT 'processed_transactions', transaction_id, amount FROM proc_txn
+  UNION ALL SELECT 'high_value_transactions', transaction_id, amount FROM proc_txn WHERE amount > 500.0
+  UNION ALL SELECT 'user_aggregations', 'N/A', 0.0 FROM proc_txn GROUP BY user_id)
+SELECT topic, transaction_id, amount, printf('%s: %s - $%.2f', topic, transaction_id, amount) AS line
+FROM lines"""
+
+
+@query("topic_monitor", _MONITOR_SQL)
+def topic_monitor(spark, sf_dir):
+    """One display line per message over four topics; the amount is
+    amount, else final_amount, else 0; the id defaults to N/A."""
+    from streamlens.operators.parse import ENVELOPE_RENAME  # noqa: F401
+    txn = _txn_msgs(spark, sf_dir)
+    proc = _proc_txn(spark, sf_dir)
+    cols = to.RECORD_COLS + ["original_amount", "discount_applied", "final_amount"]
+    processed = io.to_envelope(to.to_json_value(proc, cols, key="user_id"), "processed_transactions")
+    high = io.to_envelope(to.to_json_value(to.very_high_value(proc), cols, key="user_id"),
+                          "high_value_transactions")
+    totals = agg.user_totals(proc)
+    aggs = io.to_envelope(to.to_json_value(totals, ["user_id", "total_spent", "transaction_count"],
+                                           key="user_id"), "user_aggregations")
+    msgs = txn.unionByName(processed).unionByName(high).unionByName(aggs)
+    v = F.try_parse_json("value")
+    view = msgs.select("topic",
+                       F.try_variant_get(v, "$.transaction_id", "string").alias("transaction_id"),
+                       F.try_variant_get(v, "$.amount", "double").alias("amount"),
+                       F.try_variant_get(v, "$.final_amount", "double").alias("final_amount"))
+    return tv.monitor_lines(view)
+
+
+@query("topic_format", O.with_(O.TXN, O.PROC_TXN, O.FILES) + """
+SELECT transaction_id AS id,
+       printf('%s - $%.2f (was $%.2f)', transaction_id, final_amount, original_amount) AS line
+FROM proc_txn
+UNION ALL
+SELECT file_id, printf('%s: %s bytes, uploaded %s', filename, format('{:,}', file_size),
+       strftime(event_time, '%Y-%m-%d %H:%M:%S')) FROM files""")
+def topic_format(spark, sf_dir):
+    """Money with two decimals, sizes with thousands separators, times."""
+    proc = _proc_txn(spark, sf_dir).select(
+        F.col("transaction_id").alias("id"),
+        F.format_string("%s - $%.2f (was $%.2f)", "transaction_id", "final_amount",
+                        "original_amount").alias("line"))
+    files = _files(spark, sf_dir).select(
+        F.col("file_id").alias("id"),
+        F.format_string("%s: %s bytes, uploaded %s", F.col("filename"),
+                        F.format_number(F.col("file_size"), 0),
+                        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")).alias("line"))
+    return proc.unionByName(files)
+
+
+@query("file_route", _NAMES_SQL + f"""
+SELECT name, {O.file_type_sql('name')} AS detected_type,
+       CASE {O.file_type_sql('name')} WHEN 'document' THEN 'uploaded_documents'
+            WHEN 'video' THEN 'uploaded_videos' WHEN 'image' THEN 'uploaded_images'
+            ELSE 'uploaded_files' END AS topic FROM names""")
+def file_route(spark, sf_dir):
+    """The topic each upload goes to, by detected type."""
+    df = _names(spark, sf_dir).withColumn("detected_type", X.file_type_of("name"))
+    return df.withColumn("topic", io.upload_topic(F.col("detected_type")))
+
+
+@query("txn_category_proctime", O.with_(O.TXN, O.PROC_TXN) + """
+SELECT category, CAST(sum(CAST(final_amount AS DECIMAL(12,2))) AS DOUBLE) AS total_amount,
+       count(*) AS transaction_count FROM proc_txn GROUP BY category""")
+def txn_category_proctime(spark, sf_dir):
+    """30-second processing-time windows on a stream, summed over all
+    windows per category (window bounds depend on the clock; sums do not)."""
+    out = S.windowed(_stream(spark, sf_dir, "transactions"), "transactions", by_arrival=True)
+    res = R.run_to_end(spark, out, "txn_category_proctime", "update", S.window_keys("transactions"))
+    return res.groupBy("category").agg(
+        F.sum(X.money("total_amount")).cast("double").alias("total_amount"),
+        F.sum("transaction_count").alias("transaction_count"))
+
+
+# --------------------------------------------------------------------------
+# Media: payload files, binary ingest, images, text extraction
+# --------------------------------------------------------------------------
+
+from streamlens.sources import media as M  # noqa: E402
+
+_EXPORT_NAME_SQL = "strftime(event_time, '%Y%m%d_%H%M%S') || '_' || filename"
+
+
+def _export_files(spark, sf_dir, files=None):
+    root = scratch_path(spark, "payloads")
+    recs = files if files is not None else _files(spark, sf_dir)
+    written = M.export_payloads(recs, root, "file_id",
+                                M.export_name("event_time", "filename"), "file_content")
+    return root, written
+
+
+@query("export_payload", O.with_(O.FILES) +
+       f"SELECT file_id AS record_id, {_EXPORT_NAME_SQL} AS name, "
+       f"file_size // {A.FILE_SIZE_FACTOR} AS bytes_written FROM files")
+def export_payload(spark, sf_dir):
+    """Every upload's decoded payload written as its own file."""
+    _, written = _export_files(spark, sf_dir)
+    return written.select("record_id", F.element_at(F.split("path", "/"), -1).alias("name"),
+                          "bytes_written")
+
+
+@query("file_ingest", O.with_(O.FILES) + f"""
+SELECT {_EXPORT_NAME_SQL} AS filename, file_type, file_size // {A.FILE_SIZE_FACTOR} AS file_size,
+       file_hash, file_type || '_' || file_hash AS file_id, mime_type FROM files""")
+def file_ingest(spark, sf_dir):
+    """Files landed in a folder become upload messages (binaryFile)."""
+    root, written = _export_files(spark, sf_dir)
+    written.write.format("noop").mode("overwrite").save()
+    return M.ingest_files(spark, root).select("filename", "file_type", "file_size",
+                                              "file_hash", "file_id", "mime_type")
+
+
+def _frame_pngs(spark, sf_dir):
+    root = scratch_path(spark, "frames-png")
+    frames = _frames(spark, sf_dir)
+    written = M.export_payloads(frames, root, "frame_id",
+                                F.concat(F.col("frame_id"), F.lit(".png")),
+                                M.png_from_bytes(X.b64decode("frame_data")))
+    written.write.format("noop").mode("overwrite").save()
+    return M.read_images(spark, root)
+
+
+_PNG_H = f"greatest(1, CAST(ceil(CAST(octet_length(encode(text)) AS DOUBLE) / {M.PNG_WIDTH}) AS INTEGER))"
+
+
+@query("image_meta", f"""
+SELECT 'frame_' || doc_id || '.png' AS filename, {M.PNG_WIDTH} AS width, {_PNG_H} AS height,
+       1 AS channels, CAST({M.PNG_WIDTH} AS BIGINT) * {_PNG_H} AS total_pixels FROM documents""")
+def image_meta(spark, sf_dir):
+    """Width, height and channels of frame images decoded by the JVM
+    (frames rendered as grey PNGs of their payload bytes)."""
+    return M.image_metadata(_frame_pngs(spark, sf_dir))
+
+
+_BYTE_SUM = ("list_sum(list_transform(range(0, octet_length(encode(text))), "
+             "lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::INTEGER))")
+
+
+@query("image_brightness", f"""
+SELECT 'frame_' || doc_id || '.png' AS filename, {M.PNG_WIDTH} AS width, {_PNG_H} AS height,
+       CAST(coalesce({_BYTE_SUM}, 0) AS DOUBLE) / ({M.PNG_WIDTH} * {_PNG_H}) AS brightness
+FROM documents""")
+def image_brightness(spark, sf_dir):
+    """Mean grey level of every frame image."""
+    return M.brightness(_frame_pngs(spark, sf_dir))
+
+
+@query("image_brightness_summary", f"""
+SELECT count(*) AS total_frames, count(*) AS decoded_frames,
+       round(avg(CAST(coalesce({_BYTE_SUM}, 0) AS DOUBLE) / ({M.PNG_WIDTH} * {_PNG_H})), 9) AS avg_brightness,
+       count(DISTINCT {_PNG_H}) AS distinct_sizes FROM documents""")
+def image_brightness_summary(spark, sf_dir):
+    """A5: frames analysed and decoded, mean brightness, distinct sizes."""
+    s = M.brightness_summary(M.brightness(_frame_pngs(spark, sf_dir)))
+    return s.withColumn("avg_brightness", F.round("avg_brightness", 9))
+
+
+@query("text_extract", """
+SELECT 'doc_' || doc_id || '.txt' AS filename, md5(text) AS text_md5,
+       CAST(NULL AS VARCHAR) AS error FROM documents""")
+def text_extract(spark, sf_dir):
+    """Text of uploaded documents read back from their files."""
+    root = scratch_path(spark, "documents")
+    docs = _files(spark, sf_dir).filter(F.col("file_type") == "document")
+    M.export_payloads(docs, root, "file_id", "filename", "file_content") \
+        .write.format("noop").mode("overwrite").save()
+    raw = spark.read.format("binaryFile").load(root)
+    named = raw.withColumn("filename", F.element_at(F.split("path", "/"), -1))
+    out = M.extract_text(named)
+    return out.select("filename", F.md5(F.encode("text_content", "UTF-8")).alias("text_md5"),
+                      "error")
