@@ -27,7 +27,8 @@ def test_payload_not_shuffled(spark):
                  "frame_source_running", "file_type_running"]:
         p = plan(E.queries()[name](spark, SF_SMALL), "formatted")
         blocks = p.split("\n\n")
-        hashed = [b for b in blocks if "Exchange" in b.splitlines()[0] and "hashpartitioning" in b]
+        hashed = [b for b in blocks if b.strip() and "Exchange" in b.strip().splitlines()[0]
+                  and "hashpartitioning" in b]
         assert hashed, name
         for b in hashed:
             assert "frame_data" not in b and "file_content" not in b, name
