@@ -51,43 +51,60 @@ def running_stats(df: DataFrame, key: str | list[str], order: list[str],
     ``kind`` is ``sum``, ``count``, ``min`` or ``max``; values are over all
     rows of the same key up to and including the current row in ``order``
     (reversed when ``descending``).  ``chunk`` is a ``date_trunc`` unit.
+
+    Plan: one hash exchange of the rows on (key, chunk) feeds the in-chunk
+    window; the per-chunk totals come from a partial aggregation of the input
+    (a small exchange), are scanned per key, and are joined back on plain
+    equality of (key value, key-is-null, chunk), so the big side keeps its
+    partitioning and is shuffled once.
     """
     keys = [key] if isinstance(key, str) else list(key)
     specs = {n: (k, (F.col(c) if isinstance(c, str) else c)) for n, (k, c) in aggs.items()}
     chunk_col = F.coalesce(F.date_trunc(chunk, F.col(time_col)).cast("timestamp_ntz"),
                            F.lit(_FAR).cast("timestamp_ntz"))
+    # Null-safe keys as plain columns: value (NULL -> typed default) + null flag.
+    kcols = []
     d = df.withColumn(_CH, chunk_col)
+    for i, k in enumerate(keys):
+        dtype = df.schema[k].dataType.simpleString()
+        d = (d.withColumn(f"_kv{i}", F.coalesce(F.col(k), F.lit(_DEFAULTS.get(dtype, "")).cast(dtype)))
+              .withColumn(f"_kn{i}", F.col(k).isNull()))
+        kcols += [f"_kv{i}", f"_kn{i}"]
 
     def _o(c: str) -> Column:
         return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()
 
-    inner = (Window.partitionBy(*keys, _CH).orderBy(*[_o(c) for c in order])
+    inner = (Window.partitionBy(*kcols, _CH).orderBy(*[_o(c) for c in order])
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cur = d
     for n, (k, c) in specs.items():
         cur = cur.withColumn(f"_cur_{n}", _agg(k, c).over(inner))
 
-    totals = d.groupBy(*keys, _CH).agg(*[_agg(k, c).alias(f"_tot_{n}")
-                                         for n, (k, c) in specs.items()])
+    # Chunk totals straight from the input: a partial (map-side) aggregation,
+    # so this branch shuffles one row per key and chunk, not the rows.
+    totals = d.groupBy(*kcols, _CH).agg(*[_agg(k, c).alias(f"_tot_{n}")
+                                          for n, (k, c) in specs.items()])
     ch_order = F.col(_CH).desc() if descending else F.col(_CH).asc()
-    before = (Window.partitionBy(*keys).orderBy(ch_order)
+    before = (Window.partitionBy(*kcols).orderBy(ch_order)
               .rowsBetween(Window.unboundedPreceding, -1))
-    prev = totals.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
-                         F.col(_CH).alias("_pch"),
+    prev = totals.select(*kcols, _CH,
                          *[{"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[k](
                              F.col(f"_tot_{n}")).over(before).alias(f"_prev_{n}")
                            for n, (k, _) in specs.items()])
-    cond = [cur[k].eqNullSafe(prev[f"_k_{i}"]) for i, k in enumerate(keys)]
-    cond.append(cur[_CH] == prev["_pch"])
-    joined = cur.join(prev, cond, "left")
-    out = joined
+    out = cur.join(prev, kcols + [_CH], "left")
     for n, (k, _) in specs.items():
         out = out.withColumn(n, _combine(k, F.col(f"_prev_{n}"), F.col(f"_cur_{n}")))
-    drop = ([_CH, "_pch"] + [f"_k_{i}" for i in range(len(keys))]
-            + [f"_cur_{n}" for n in specs] + [f"_prev_{n}" for n in specs])
+    drop = ([_CH] + kcols + [f"_cur_{n}" for n in specs]
+            + [f"_prev_{n}" for n in specs])
     return out.drop(*drop)
 
 
+# Stand-ins for NULL keys (the separate null flag keeps them apart from real values).
+_DEFAULTS = {"string": "", "bigint": "0", "int": "0", "double": "0",
+             "timestamp_ntz": "1970-01-01 00:00:00", "timestamp": "1970-01-01 00:00:00",
+             "boolean": "false", "date": "1970-01-01"}
+
+
 def running_user_totals(enriched: DataFrame, chunk: str = "hour") -> DataFrame:
     """Per transaction, the user's running total and count so far."""
     from streamlens.functions.columns import money

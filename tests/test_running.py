@@ -70,3 +70,12 @@ def test_pairwise_equals_python_fold(spark, xs):
     for r in order[1:]:
         acc = (acc + r[3]) / 2
     assert abs(out - acc) <= 1e-9 * max(1.0, abs(acc))
+
+
+def test_null_and_empty_keys_stay_apart(spark):
+    rows = [(None, 1, "2024-01-01 00:00:01", 1), ("", 2, "2024-01-01 00:00:02", 10),
+            (None, 3, "2024-01-01 05:00:03", 100), ("", 4, "2024-01-01 07:00:04", 1000)]
+    out = running_stats(frame(spark, rows), "k", ["event_time", "id"],
+                        {"s": ("sum", "x")}, chunk="hour")
+    got = {r.id: r.s for r in out.collect()}
+    assert got == {1: 1, 2: 10, 3: 101, 4: 1010}
