@@ -1029,3 +1029,11 @@ def text_extract(spark, sf_dir):
     out = M.extract_text(named)
     return out.select("filename", F.md5(F.encode("text_content", "UTF-8")).alias("text_md5"),
                       "error")
+
+
+@query("frame_monitor", O.with_(O.FRAMES) +
+       "SELECT frame_id, source, frame_width, frame_height, frame_size_bytes FROM frames")
+def frame_monitor(spark, sf_dir):
+    """The frame stream view (id, source, size)."""
+    return _frames(spark, sf_dir).select("frame_id", "source", "frame_width", "frame_height",
+                                         "frame_size_bytes")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,15 +115,21 @@ def land_messages(messages: DataFrame, root: str, topic: str, files: int = 4,
         return path
     # Equal time ranges from the min / max time (one tiny aggregate), not a
     # global sort: slice = floor((t - lo) * files / (hi - lo + 1)).
-    t = F.unix_micros(F.col(order_col).cast("timestamp"))
-    lo, hi = env.agg(F.min(t), F.max(t)).first()
-    if lo is None:
-        return path
-    width = (hi - lo + 1) / files
-    sliced = env.withColumn("_slice", F.floor((t - F.lit(lo)) / F.lit(width)).cast("int"))
-    for i in range(files):
-        (sliced.filter(F.col("_slice") == i).drop("_slice")
-         .coalesce(1).write.mode("append").json(path))
+    # The input is kept (memory, spilling to disk) for the slice writes so it
+    # is computed once; a lost block is recomputed from lineage.
+    env = env.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        t = F.unix_micros(F.col(order_col).cast("timestamp"))
+        lo, hi = env.agg(F.min(t), F.max(t)).first()
+        if lo is None:
+            return path
+        width = (hi - lo + 1) / files
+        sliced = env.withColumn("_slice", F.floor((t - F.lit(lo)) / F.lit(width)).cast("int"))
+        for i in range(files):
+            (sliced.filter(F.col("_slice") == i).drop("_slice")
+             .coalesce(1).write.mode("append").json(path))
+    finally:
+        env.unpersist()
     return path
 
 
