@@ -1037,3 +1037,18 @@ def frame_monitor(spark, sf_dir):
     """The frame stream view (id, source, size)."""
     return _frames(spark, sf_dir).select("frame_id", "source", "frame_width", "frame_height",
                                          "frame_size_bytes")
+
+
+@query("file_ingest_stream", ORACLE["file_ingest"])
+def file_ingest_stream(spark, sf_dir):
+    """S10 as a stream: a landing folder watched with the binaryFile source,
+    a bounded number of files per micro-batch."""
+    root, written = _export_files(spark, sf_dir)
+    written.write.format("noop").mode("overwrite").save()
+    stream = (spark.readStream.format("binaryFile").option("maxFilesPerTrigger", 500)
+              .schema("path string, modificationTime timestamp, length long, content binary")
+              .load(root))
+    msgs = M.ingest_rows(stream)
+    out = R.run_to_end(spark, msgs.select("filename", "file_type", "file_size", "file_hash",
+                                          "file_id", "mime_type"), "file_ingest_stream")
+    return out

@@ -90,7 +90,12 @@ def ingest_files(spark: SparkSession, folder: str, pattern: str | None = None,
         r = r.option("pathGlobFilter", pattern)
     if stream:
         r = r.schema("path string, modificationTime timestamp, length long, content binary")
-    raw = r.load(folder)
+    return ingest_rows(r.load(folder))
+
+
+def ingest_rows(raw: DataFrame) -> DataFrame:
+    """``binaryFile`` rows (path, modificationTime, length, content) -> upload
+    messages; works on static and streaming frames."""
     filename = F.element_at(F.split(F.col("path"), "/"), -1)
     ftype = file_type_of(filename)
     digest = F.md5(F.col("content"))
