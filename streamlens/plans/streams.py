@@ -78,10 +78,11 @@ def totals(messages: DataFrame, kind: str) -> DataFrame:
     return totals_fn(process(messages))
 
 
-def running(messages: DataFrame, kind: str) -> DataFrame:
-    """R1-R3 on a stream: one output row per input record (state per key)."""
+def running(messages: DataFrame, kind: str, ttl_ms: int | None = None) -> DataFrame:
+    """R1-R3 on a stream: one output row per input record (state per key,
+    optionally evicted after ``ttl_ms`` idle)."""
     process = TOTALS[kind][0]
-    return stateful.running_stream(process(messages), kind)
+    return stateful.running_stream(process(messages), kind, ttl_ms)
 
 
 def use_rocksdb(spark: SparkSession) -> None:

@@ -30,9 +30,27 @@ def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
         raise
 
 
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def start(stream: DataFrame, mode: str = "append", *, out: str, checkpoint: str,
-          available_now: bool = True, processing_time: str | None = None):
-    """Start the sink of :mod:`runner` on ``stream`` and return the query."""
+          available_now: bool = True, processing_time: str | None = None,
+          no_data_batches: bool = True):
+    """Start the sink of :mod:`runner` on ``stream`` and return the query.
+
+    ``no_data_batches=False`` stops empty micro-batches for this query only
+    (the setting is read when a query starts): a processor in processing-time
+    mode (state TTL) would otherwise keep ``availableNow`` from finishing.
+    """
+    if not no_data_batches:
+        spark = stream.sparkSession
+        before = spark.conf.get(_NO_DATA, "true")
+        spark.conf.set(_NO_DATA, "false")
+        try:
+            return start(stream, mode, out=out, checkpoint=checkpoint,
+                         available_now=available_now, processing_time=processing_time)
+        finally:
+            spark.conf.set(_NO_DATA, before)
     w = stream.writeStream.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
@@ -58,11 +76,12 @@ def latest_per_key(log: DataFrame, keys: list[str]) -> DataFrame:
 
 def run_to_end(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append",
                keys: list[str] | None = None, checkpoint: str | None = None,
-               out: str | None = None, timeout_s: float | None = None) -> DataFrame:
+               out: str | None = None, timeout_s: float | None = None,
+               no_data_batches: bool = True) -> DataFrame:
     """Process everything available now, then return the static result."""
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
     out = out or scratch_path(spark, f"{name}-out")
-    q = start(stream, mode, out=out, checkpoint=checkpoint)
+    q = start(stream, mode, out=out, checkpoint=checkpoint, no_data_batches=no_data_batches)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()

@@ -58,12 +58,16 @@ def _state_schema(spec: dict) -> T.StructType:
 class RunningStats(StatefulProcessor):
     """One state row per key; emits the running values for every input row."""
 
-    def __init__(self, kind: str):
+    def __init__(self, kind: str, ttl_ms: int | None = None):
         self.kind = kind
         self.spec = SPECS[kind]
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("running", _state_schema(self.spec))
+        # With a TTL, a key idle for longer than ``ttl_ms`` of processing time
+        # is evicted (its running values then restart), bounding the state of
+        # ever-growing key sets such as users.
+        self.state = handle.getValueState("running", _state_schema(self.spec), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
@@ -105,8 +109,11 @@ def output_schema(kind: str, input_schema: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
-def running_stream(df: DataFrame, kind: str) -> DataFrame:
-    """Per-record running stats of a streaming (or static) frame."""
+def running_stream(df: DataFrame, kind: str, ttl_ms: int | None = None) -> DataFrame:
+    """Per-record running stats of a streaming (or static) frame.
+
+    ``ttl_ms`` evicts keys idle for that long (processing time); without it the
+    state keeps every key seen, as the keyed reference operator does."""
     from pyspark.sql import functions as F
     spec = SPECS[kind]
     if kind == "transactions":
@@ -116,8 +123,8 @@ def running_stream(df: DataFrame, kind: str) -> DataFrame:
     narrow = df.select(*cols)
     schema = output_schema(kind, narrow.schema)
     out = narrow.groupBy(spec["key"]).transformWithStateInPandas(
-        statefulProcessor=RunningStats(kind), outputStructType=schema,
-        outputMode="Append", timeMode="None")
+        statefulProcessor=RunningStats(kind, ttl_ms), outputStructType=schema,
+        outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
     return out
 
 

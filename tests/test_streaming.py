@@ -34,3 +34,16 @@ def test_late_rows_dropped_and_restart(spark):
     batch = agg.category_window(jobs.processed_transactions(_txn_rows(spark)))
     cols = ["window_start", "category", "total_amount", "transaction_count"]
     assert sorted(late.select(*cols).collect()) == sorted(batch.select(*cols).collect())
+
+
+def test_running_with_ttl_keeps_counts_within_a_run(spark):
+    S.use_rocksdb(spark)
+    msgs = _txn_rows(spark)
+    root = scratch_path(spark, "t-ttl")
+    io.land_messages(msgs, root, "transactions", files=2)
+    stream = io.read_topic(spark, "transactions", root=root, max_per_trigger=1)
+    out = R.run_to_end(spark, S.running(stream, "transactions", ttl_ms=3_600_000), "t-ttl",
+                       no_data_batches=False, timeout_s=240)
+    per_user = out.groupBy("user_id").agg(F.max("transaction_count").alias("m"),
+                                          F.count("*").alias("n"))
+    assert per_user.filter(F.col("m") != F.col("n")).count() == 0
