@@ -112,10 +112,79 @@ def fanout_sink(root: str, very_high: float = 500.0):
 
 def json_topic_sink(stream: DataFrame, root: str, topic: str, checkpoint: str):
     """A streaming ``key, value`` frame appended to a file topic."""
-    env = io.to_envelope(stream, topic)
-    return (env.writeStream.format("json").option("path", io.topic_path(root, topic))
-            .option("checkpointLocation", checkpoint).outputMode("append")
-            .trigger(availableNow=True).start())
+    return io.stream_to_topic(stream, topic, checkpoint=checkpoint, root=root,
+                              available_now=True)
+
+
+# Topic names of each job: source topics, processed records, running aggregations.
+JOB_TOPICS = {
+    "transactions": (["transactions"], "processed_transactions", "user_aggregations"),
+    "video_frames": (["video_frames"], "processed_video_frames", "video_source_aggregations"),
+    "uploaded_files": (list(io.UPLOAD_TOPICS.values()), "processed_files",
+                       "file_type_aggregations"),
+}
+_RUNNING_OUT = {
+    "transactions": ["transaction_id", "user_id", "total_spent", "transaction_count",
+                     "last_updated"],
+    "video_frames": ["frame_id", "source", "total_frames", "total_size_bytes", "avg_width",
+                     "avg_height", "last_updated"],
+    "uploaded_files": ["file_id", "file_type", "total_files", "total_size_bytes",
+                       "avg_size_bytes", "largest_file_size", "smallest_file_size",
+                       "last_updated"],
+}
+
+
+def start_job(spark: SparkSession, kind: str, *, checkpoint_root: str,
+              source: dict, sink: dict, window: str = "30 seconds", delay: str = "1 hour",
+              windows_out: str | None = None, available_now: bool = False,
+              processing_time: str | None = None, max_per_trigger: int | None = None,
+              ttl_ms: int | None = None) -> list:
+    """Start one of the three jobs as three streaming queries and return them.
+
+    * processed records -> ``processed_*`` topic (JSON value, keyed like the
+      source);
+    * one running-statistics row per record -> ``*_aggregations`` topic;
+    * tumbling-window summaries per class -> parquet at ``windows_out`` through
+      the update log (or the console when ``windows_out`` is None).
+
+    ``source`` / ``sink`` are keyword options of :func:`io.read_topic` /
+    :func:`io.stream_to_topic` (``fmt``, ``root``, ``bootstrap_servers``).
+    Each query has its own checkpoint below ``checkpoint_root``, so a restart
+    resumes from the committed offsets and state.
+    """
+    use_rocksdb(spark)
+    in_topics, processed_topic, agg_topic = JOB_TOPICS[kind]
+    key = {"transactions": "user_id", "uploaded_files": "filename"}.get(kind)
+    trig = {"available_now": available_now, "processing_time": processing_time}
+    streams = [io.read_topic(spark, t, max_per_trigger=max_per_trigger, **source)
+               for t in in_topics]
+    merged = streams[0]
+    for s_ in streams[1:]:
+        merged = merged.unionByName(s_)
+    process = TOTALS[kind][0]
+    processed = process(merged)
+    cols = [c for c in jobs.PROCESSED_COLUMNS[kind]]
+    queries = [io.stream_to_topic(to.to_json_value(processed, cols, key=key), processed_topic,
+                                  checkpoint=f"{checkpoint_root}/{kind}-processed", **sink,
+                                  **trig)]
+    run_rows = stateful.finish(kind, stateful.running_stream(processed, kind, ttl_ms))
+    queries.append(io.stream_to_topic(
+        to.to_json_value(run_rows, _RUNNING_OUT[kind], key=_RUNNING_OUT[kind][1]), agg_topic,
+        checkpoint=f"{checkpoint_root}/{kind}-running", **sink, **trig))
+    win = windowed(streams, kind, window, delay)
+    if windows_out is None:
+        w = (win.writeStream.format("console").outputMode("update")
+             .option("truncate", "false")
+             .option("checkpointLocation", f"{checkpoint_root}/{kind}-windows"))
+        if available_now:
+            w = w.trigger(availableNow=True)
+        queries.append(w.start())
+    else:
+        queries.append(runner.start(win, "update", out=windows_out,
+                                    checkpoint=f"{checkpoint_root}/{kind}-windows",
+                                    available_now=available_now,
+                                    processing_time=processing_time))
+    return queries
 
 
 def run(spark: SparkSession, stream: DataFrame, name: str, mode: str,

@@ -138,3 +138,28 @@ def upload_topic(file_type_col) -> "F.Column":
     for t, topic in reversed(list(UPLOAD_TOPICS.items())):
         out = F.when(file_type_col == t, F.lit(topic)).otherwise(out)
     return out
+
+
+def stream_to_topic(stream: DataFrame, topic: str, *, checkpoint: str, fmt: str = "json",
+                    root: str | None = None, bootstrap_servers: str | None = None,
+                    available_now: bool = False, processing_time: str | None = None,
+                    output_mode: str = "append", options: dict | None = None):
+    """Streaming sink of ``key, value`` rows to a topic.
+
+    Kafka gives at-least-once delivery; the file twin is exactly-once through
+    the file sink's commit log.  Returns the started query.
+    """
+    if fmt == "kafka":
+        w = (stream.select("key", "value").writeStream.format("kafka")
+             .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic))
+    else:
+        w = (to_envelope(stream, topic).writeStream.format(fmt)
+             .option("path", topic_path(root, topic)))
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    w = w.option("checkpointLocation", checkpoint).outputMode(output_mode)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()

@@ -47,3 +47,20 @@ def test_running_with_ttl_keeps_counts_within_a_run(spark):
     per_user = out.groupBy("user_id").agg(F.max("transaction_count").alias("m"),
                                           F.count("*").alias("n"))
     assert per_user.filter(F.col("m") != F.col("n")).count() == 0
+
+
+def test_start_job_runs_three_queries(spark):
+    root = scratch_path(spark, "t-job-topics")
+    io.land_messages(_txn_rows(spark), root, "transactions", files=2)
+    out_root = scratch_path(spark, "t-job-out")
+    qs = S.start_job(spark, "transactions", checkpoint_root=scratch_path(spark, "t-job-ckpt"),
+                     source={"root": root}, sink={"root": out_root},
+                     windows_out=scratch_path(spark, "t-job-win"), available_now=True,
+                     max_per_trigger=1)
+    for q in qs:
+        q.awaitTermination(300)
+    processed = io.read_topic(spark, "processed_transactions", root=out_root, stream=False)
+    running = io.read_topic(spark, "user_aggregations", root=out_root, stream=False)
+    from streamlens.plans import jobs
+    expected = jobs.processed_transactions(_txn_rows(spark)).count()
+    assert processed.count() == expected and running.count() == expected
