@@ -621,7 +621,6 @@ from streamlens.sources import io  # noqa: E402
 from streamlens.streaming import runner as R  # noqa: E402
 from streamlens.streaming import stateful as ST  # noqa: E402
 
-_TOPIC = {"transactions": "transactions", "video_frames": "video_frames"}
 STREAM_FILES = 4
 
 
@@ -753,9 +752,8 @@ def late_data(spark, sf_dir):
         return agg_
 
     once()
-    first_day = msgs.filter(F.col("timestamp") < F.expr(
-        "(SELECT min(timestamp) FROM VALUES (1) AS t(x))") if False else F.col("timestamp") <
-        F.lit(A.EPOCH).cast("timestamp") + F.expr("INTERVAL 1 DAY"))
+    first_day = msgs.filter(F.col("timestamp") <
+                            F.lit(A.EPOCH).cast("timestamp") + F.expr("INTERVAL 1 DAY"))
     io.land_messages(first_day.withColumn("offset", F.col("offset") + F.lit(1 << 40)),
                      root, "transactions", files=1, sequential=False)
     agg_ = once()
@@ -868,7 +866,6 @@ FROM lines"""
 def topic_monitor(spark, sf_dir):
     """One display line per message over four topics; the amount is
     amount, else final_amount, else 0; the id defaults to N/A."""
-    from streamlens.operators.parse import ENVELOPE_RENAME  # noqa: F401
     txn = _txn_msgs(spark, sf_dir)
     proc = _proc_txn(spark, sf_dir)
     cols = to.RECORD_COLS + ["original_amount", "discount_applied", "final_amount"]

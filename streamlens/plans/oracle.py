@@ -49,7 +49,6 @@ TXN = f"""txn AS (
          CAST(ts AS TIMESTAMP) AS event_time
   FROM events)"""
 
-_MULT = _map("category", {k: v for k, v in DISCOUNTS.items()}, "1.00")
 _MULT = " ".join(
     ["CASE category"] + [f"WHEN {_q(k)} THEN CAST({v} AS DECIMAL(3,2))" for k, v in DISCOUNTS.items()]
     + ["ELSE CAST(1.00 AS DECIMAL(3,2)) END"])

@@ -7,7 +7,7 @@ same operators as the batch path are used, plus a watermark on the event time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlens.operators import aggregates as agg
@@ -194,4 +194,4 @@ def run(spark: SparkSession, stream: DataFrame, name: str, mode: str,
 
 __all__ = ["with_event_time", "processing_time", "windowed", "totals", "running",
            "fanout_sink", "json_topic_sink", "run", "use_rocksdb", "window_keys",
-           "Column"]
+           "start_job"]
