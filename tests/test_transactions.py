@@ -40,3 +40,9 @@ def test_single_row_window(spark):
     assert len(out) == 1
     assert out[0]["transaction_count"] == 1 and out[0]["total_amount"] == 135.0
     assert str(out[0]["window_start"]) == "2024-01-01 00:00:00"
+
+
+def test_very_high_split(spark):
+    df = txns(spark, [("a", "u", "books", 500.0, None), ("b", "u", "books", 500.01, None),
+                      ("c", "u", "books", 1999.99, None)])
+    assert sorted(r["transaction_id"] for r in to.very_high_value(df).collect()) == ["b", "c"]
