@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import decontamination, packing, sharding
+from streamlens.llm import decontamination, packing, sharding, simhash
 from streamlens.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,12 @@ def packed(docs: DataFrame) -> DataFrame:
         "ids_crc32", F.crc32("token_ids"))
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents", "doc_id", "text")).select(
