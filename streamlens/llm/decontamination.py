@@ -31,36 +31,12 @@ from pyspark.sql.types import StructType
 from streamlens.llm.common import without
 from streamlens.llm.fm_index import FMIndex
 from streamlens.llm.packing import expand
+from streamlens.llm.words import Words, byte_slices
 
 SHARD_BYTES = 16 << 20
 BLOCK_BYTES = 32 << 20
 _OUT = "n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
 
-_IS_WORD = np.array([48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 for c in range(256)])
-_FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if _IS_WORD[c] else 32 for c in range(256))
-
-
-class Words:
-    """The words of some texts: dictionary codes, counts per text, byte places."""
-
-    def __init__(self, texts: list[bytes]):
-        data = b" ".join([*texts, b""]).translate(_FOLD)
-        offsets = np.cumsum([0, *[len(t) + 1 for t in texts]])
-        raw = np.frombuffer(data, np.uint8)
-        inside = raw != 32
-        edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
-        begin, end = edge[::2], edge[1::2]
-        cut = np.searchsorted(begin, offsets)
-        self.n_words = np.diff(cut)
-        doc_start = np.repeat(offsets[:-1], self.n_words)
-        self.begin, self.end = begin - doc_start, end - doc_start
-        flat = pa.Array.from_buffers(
-            pa.large_binary(), len(begin),
-            [None, pa.py_buffer(np.concatenate([[0], np.cumsum(end - begin)])), pa.py_buffer(raw[inside].tobytes())])
-        coded = flat.dictionary_encode()
-        self.vocabulary = coded.dictionary
-        self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-
 
 def windows(items: list[tuple[str, bytes]], size: int) -> dict:
     """The distinct windows of a block of items and the items of each window."""
@@ -160,17 +136,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_
                         + StructType.fromDDL(_OUT).fields)
     out_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def shards(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(place)), 0).to_numpy(zero_copy_only=False))
-        cuts = np.flatnonzero(np.diff(size // shard_bytes)) + 1
-        for s, e in zip([0, *cuts], [*cuts, b.num_rows]):
-            yield b.slice(s, e - s)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            for b in shards(batch):
+            for b in byte_slices(batch, place, shard_bytes):
                 texts = [t or b"" for t in b.column(place).cast(pa.binary()).to_pylist()]
                 n_words, n_hit, items, spans = search_shard(texts, blocks)
                 cols = [b.column(i) for i in range(b.num_columns)]
