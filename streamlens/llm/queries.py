@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import decontamination, packing, sharding, simhash
+from streamlens.llm import decontamination, language, packing, quality, sharding, simhash
 from streamlens.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,13 @@ def packed(docs: DataFrame) -> DataFrame:
         "ids_crc32", F.crc32("token_ids"))
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), quality.rating())
+    return quality.score(docs, model, keep_text=False)
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).select(
@@ -41,6 +48,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = language.predict(docs, language.train(docs))
+    return found.select("doc_id", language.is_held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
