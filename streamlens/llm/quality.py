@@ -6,14 +6,17 @@ P(grade <= k) = sigmoid(theta_k - w.x).  A document gets its expected grade and
 the tail probability P(grade >= K-1) that selection uses.
 
 Features are presences, so a document's length does not scale them: every
-distinct word, and the document's style (share of immediate repetitions, of
-capital letters, of punctuation, of bars, and the number of words) as one
-hashed token per measure and level.  Weights are fitted on a bounded sample of
-labelled rows (``sample_rows``); every whole text is scored.
+distinct word, and the document's style (shares of immediate repetitions, of
+capital letters, of marks such as !#%, and of bars and brackets) as one hashed
+token for every level reached.  Weights are fitted on a bounded sample of
+labelled rows (``sample_rows``), for the features whose frequency in some grade
+departs from chance (``min_z``), so that the many neutral words of a long text
+do not add up.  Every whole text is scored.
 
 Edge cases: a NULL or empty text has style features only.  Labels with a NULL
 grade or id are ignored; of several labels of one id the lowest counts.  With
-nothing to learn from, every document gets the top grade and is kept.  Repeated
+nothing to learn from (no or only one grade), every document is kept, with p_top
+1 and expected grade NaN.  Repeated
 rows are scored each; an empty table gives an empty result.  Input columns
 named like an output column are replaced.
 """
@@ -36,10 +39,13 @@ from streamlens.llm.words import Words, byte_slices
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 20_000
 MIN_DOCS = 5
+MIN_Z = 8.0
 SLICE_BYTES = 8 << 20
 _OUT = "expected_grade double, p_top double, keep boolean"
 _LEVELS = np.array([0.002, 0.005, 0.01, 0.02, 0.035, 0.05, 0.075, 0.1, 0.15, 0.2, 0.3, 0.5, 0.75])
-_STYLE = ("repeat", "capital", "mark", "bar", "words")
+_STYLE = ("repeat", "capital", "mark", "bar")
+_MARK = np.array([chr(c) in "!?#$%&*+=@^_~`\\" for c in range(256)])
+_BAR = np.array([chr(c) in "|<>{}[]" for c in range(256)])
 
 
 def style(texts: list[bytes], words: Words) -> np.ndarray:
@@ -57,10 +63,8 @@ def style(texts: list[bytes], words: Words) -> np.ndarray:
         total = np.add.reduceat(flag, begin, dtype=np.int64) if n else np.zeros(0)
         return np.where([len(t) > 0 for t in texts], total, 0) / size
     capital = share((raw >= 65) & (raw <= 90))
-    mark = share((raw == 33) | (raw == 63) | (raw == 35) | (raw == 42))
-    bar = share((raw == 124) | (raw == 60) | (raw == 62) | (raw == 123))
-    levels = [np.searchsorted(_LEVELS, v) for v in (np.bincount(doc, same, n) / count, capital, mark, bar)]
-    return np.stack([*levels, np.log2(words.n_words + 1).astype(int)], 1)
+    shares = (np.bincount(doc, same, n) / count, capital, share(_MARK[raw]), share(_BAR[raw]))
+    return np.stack([np.searchsorted(_LEVELS, v) for v in shares], 1)
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -70,10 +74,11 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     code = np.fromiter((zlib.crc32(w) for w in words.vocabulary.to_pylist()), np.int64, len(words.vocabulary)) % BUCKETS
     doc = np.repeat(np.arange(n), words.n_words)
     levels = style(texts, words)
-    names = {(j, int(v)): zlib.crc32(f"\0{_STYLE[j]}:{v}".encode()) % BUCKETS
-             for j in range(len(_STYLE)) for v in np.unique(levels[:, j])}
-    extra = [np.array([names[j, int(v)] for v in levels[:, j]], np.int64) for j in range(len(_STYLE))]
-    key = np.unique(np.concatenate([doc * BUCKETS + code[words.codes], *[np.arange(n) * BUCKETS + e for e in extra]]))
+    keys = [doc * BUCKETS + code[words.codes]]
+    for j, name in enumerate(_STYLE):
+        for v in range(len(_LEVELS) + 1):
+            keys.append(np.flatnonzero(levels[:, j] >= v) * BUCKETS + zlib.crc32(f"\0{name}:{v}".encode()) % BUCKETS)
+    key = np.unique(np.concatenate(keys))
     return key % BUCKETS, np.searchsorted(key, np.arange(n + 1) * BUCKETS)
 
 
@@ -81,6 +86,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     weights: np.ndarray     # one per hash bucket, float32
     thresholds: np.ndarray  # increasing
+    grades: np.ndarray      # the grades in use, increasing
 
     def cumulative(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """P(grade <= k) per text and threshold."""
@@ -89,12 +95,27 @@ class Model:
         return 1 / (1 + np.exp(np.clip(score[:, None] - self.thresholds[None, :], -60, 60)))
 
 
-def fit(ids: np.ndarray, offsets: np.ndarray, grade: np.ndarray, epochs: int = 40, batch: int = 256,
-        rate: float = 0.02, decay: float = 1e-3, seed: int = 7) -> Model:
-    """Maximum likelihood by Adam; buckets seen in fewer than MIN_DOCS sampled
-    documents keep weight zero."""
-    k = int(grade.max())
-    used = np.bincount(ids, minlength=BUCKETS) >= MIN_DOCS
+def informative(ids: np.ndarray, offsets: np.ndarray, grade: np.ndarray, min_z: float) -> np.ndarray:
+    """Buckets seen in MIN_DOCS documents or more whose share of some grade's
+    features is ``min_z`` standard deviations or more from chance."""
+    size = np.diff(offsets)
+    per = np.repeat(grade, size)
+    total = np.bincount(ids, minlength=BUCKETS).astype(float)
+    keep = np.zeros(BUCKETS, bool)
+    for k in range(int(grade.max()) + 1):
+        p = size[grade == k].sum() / max(1, len(ids))
+        z = (np.bincount(ids[per == k], minlength=BUCKETS) - total * p) / np.sqrt(np.maximum(total * p * (1 - p), 1e-9))
+        keep |= np.abs(z) >= min_z
+    return keep & (total >= MIN_DOCS)
+
+
+def fit(ids: np.ndarray, offsets: np.ndarray, grade: np.ndarray, epochs: int = 150, batch: int = 256,
+        rate: float = 0.05, decay: float = 1e-2, min_z: float = MIN_Z, seed: int = 7) -> Model:
+    """Maximum likelihood by Adam; other than informative buckets have weight
+    zero.  At least two grades must be in use."""
+    grades, grade = np.unique(grade, return_inverse=True)
+    k = len(grades) - 1
+    used = informative(ids, offsets, grade, min_z)
     column = np.cumsum(used) - 1
     w = np.zeros(int(used.sum()))
     share = np.array([(grade <= j).mean() for j in range(k)])
@@ -139,14 +160,14 @@ def fit(ids: np.ndarray, offsets: np.ndarray, grade: np.ndarray, epochs: int = 4
                 params[j] -= lr * (m1[j] / (1 - 0.9 ** step)) / (np.sqrt(m2[j] / (1 - 0.999 ** step)) + 1e-8)
     weights = np.zeros(BUCKETS, np.float32)
     weights[used] = params[0]
-    return Model(weights, np.concatenate([params[1], params[1] + np.cumsum(np.exp(params[2]))]))
+    return Model(weights, np.concatenate([params[1], params[1] + np.cumsum(np.exp(params[2]))]), grades)
 
 
 def rating(quality: str = "quality", toxic: str = "toxic") -> Column:
-    """Grade of a label: 0 poor, 1 sound but toxic, 2 sound and clean."""
+    """Grade of a label: 0 toxic, 1 poor, 2 sound and clean."""
     q, t = F.col(quality), F.col(toxic)
     return F.when(q.isNotNull() & t.isNotNull(),
-                  F.when(q < 1, 0).when(t > 0, 1).otherwise(2)).cast("int")
+                  F.when(t > 0, 0).when(q < 1, 1).otherwise(2)).cast("int")
 
 
 def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -198,9 +219,9 @@ def score(docs: DataFrame, model: Model | None, least: float = 0.5, text_col: st
             for b in byte_slices(batch, place, SLICE_BYTES):
                 if m:
                     below = m.cumulative(*features([t or b"" for t in b.column(place).cast(pa.binary()).to_pylist()]))
-                    expected, top = (1 - below).sum(1), 1 - below[:, -1]
+                    expected, top = m.grades[0] + (1 - below) @ np.diff(m.grades), 1 - below[:, -1]
                 else:
-                    expected, top = np.zeros(b.num_rows), np.ones(b.num_rows)
+                    expected, top = np.full(b.num_rows, np.nan), np.ones(b.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(i) for i in kept] + [pa.array(expected), pa.array(top), pa.array(top >= least)],
                     names=[f.name for f in schema])
