@@ -17,11 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CHUNK = 20_000  # distinct words per tokenizer call: bounds its result objects
+_CHUNK = 20_000  # distinct units per tokenizer call: bounds its result objects
+_BLANKS = b" \t\n\x0b\x0c\r"
+_KIND = np.full(256, 4, np.uint8)  # 0 white space, 1 ASCII letter or digit, 2 punctuation, 4 any other
+_KIND[list(_BLANKS)] = 0
+_KIND[[c for c in range(128) if chr(c).isalnum()]] = 1
+_KIND[list(b".,;:!?")] = 2
 
 
 def _load(path: str):
@@ -49,27 +53,50 @@ def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def _units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The units that are tokenized alone, and how many each text has.
+
+    A unit ends at ASCII white space and where an ASCII letter or digit meets
+    one of .,;:!? - the pre-tokenizer cuts there too.  Case is folded at once
+    (the tokenizer folds it later), unless a special token's marker or a
+    combining accent is near, for which the order of the steps matters.
+    """
+    raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+    data = b" ".join([*raw, b""])
+    if b"<|" not in data and b"\xcc" not in data and b"\xcd" not in data:
+        data = data.lower()
+    offsets = np.cumsum([0, *[len(t) + 1 for t in raw]])
+    kind = _KIND[np.frombuffer(data, np.uint8)]
+    before = np.concatenate((kind[:1] * 0, kind[:-1]))
+    inside = kind != 0
+    begin = np.flatnonzero(inside & ((before == 0) | (before + kind == 3)))
+    cut = np.searchsorted(begin, offsets)
+    size = np.add.reduceat(inside, begin, dtype=np.int64) if len(begin) else begin
+    flat = pa.Array.from_buffers(
+        pa.large_utf8(), len(begin),
+        [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)])), pa.py_buffer(data.translate(None, _BLANKS))])
+    return flat, np.diff(cut)
+
+
 def encode_texts(tok, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, document offsets), each document closed by ``end_id``.
 
-    The tokenizer drops white space and its pre-tokenizer never joins across
-    it, so a text's ids are those of its blank-separated words in order.  Each
-    distinct word of the batch is tokenized once.
+    The tokenizer drops white space and never merges across its pre-tokens, so
+    a text's ids are those of its units in order.  Each distinct unit of the
+    batch is tokenized once.
     """
-    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    n_words = np.diff(split.offsets.to_numpy())
-    coded = split.flatten().dictionary_encode()
+    units, n_units = _units(texts)
+    coded = units.dictionary_encode()
     flat, off = word_ids(tok, coded.dictionary)
     code = coded.indices.to_numpy(zero_copy_only=False)
-    per_word = np.diff(off)[code]
-    word_doc = np.repeat(np.arange(len(texts)), n_words)
-    per_doc = np.bincount(word_doc, weights=per_word, minlength=len(texts)).astype(np.int64)
-    doc_off = np.concatenate([[0], np.cumsum(per_doc + 1)])
+    per_unit = np.diff(off)[code]
+    ends = np.concatenate([[0], np.cumsum(per_unit)])[np.cumsum(n_units)]
+    doc_off = np.concatenate([[0], ends + np.arange(1, len(texts) + 1)])
     ids = np.empty(doc_off[-1], np.uint32)
     is_end = np.zeros(len(ids), bool)
     is_end[doc_off[1:] - 1] = True
     ids[is_end] = end_id
-    ids[~is_end] = flat[expand(off[code], per_word)]
+    ids[~is_end] = flat[expand(off[code], per_unit)]
     return ids, doc_off
 
 

@@ -14,7 +14,8 @@ TOK = packing._load(PATH)
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text("aB'sÉ<|>́  \t1!", max_size=30)), max_size=6))
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text("aB'sÉ<|>\u0301  \t1!", max_size=30),
+                          st.text("aJT.,3'?ñ\u030c\u0308…\xa0 ", max_size=30)), max_size=6))
 def test_encoding_equals_the_tokenizer(texts):
     ids, off = packing.encode_texts(TOK, pa.array(texts, pa.string()), 1)
     for k, t in enumerate(texts):
