@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import decontamination, language, packing, quality, sharding, simhash
+from streamlens.llm import decontamination, language, packing, quality, sharding, simhash, url_filter, warc
 from streamlens.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc.write_packages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    found = warc.read_packages(spark, packages)
+    # a response is measured on the payload read back, a revisit has its headers only
+    return found.select(
+        F.col("page_id").cast("long"),
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha1("payload"), "payload_digest").alias("payload_digest"),
+        "record_type", F.col("refers_to").cast("long"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents", "doc_id", "text")).select(
@@ -74,3 +86,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    return url_filter.judge(url_filter.page_captures(pages), url_filter.page_entries(pages))
+
+
+ORACLE["op9_url_filter"] = url_filter.ORACLE
