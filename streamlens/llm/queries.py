@@ -11,10 +11,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import decontamination, language, packing, quality, sharding, simhash, url_filter, warc
+from streamlens.llm import decontamination, language, packing, pii, quality, sharding, simhash, url_filter, warc
 from streamlens.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+PII_KEY = "registered-query"  # callers of the operator pass their own secret
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -54,6 +55,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", F.col("refers_to").cast("long"))
 
 
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.replace_entities(docs, PII_KEY, count_col="n_entities")
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents", "doc_id", "text")).select(
