@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import decontamination, language, packing, pii, quality, sharding, simhash, url_filter, warc
+from streamlens.llm import decontamination, embedding_dedup, language, packing, pii, quality, sharding, simhash, url_filter, warc
 from streamlens.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -55,6 +55,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", F.col("refers_to").cast("long"))
 
 
+@query
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 @query
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
