@@ -39,7 +39,7 @@ from streamlens.llm.words import Words, byte_slices
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 20_000
 MIN_DOCS = 5
-MIN_Z = 8.0
+MIN_Z = 5.0
 SLICE_BYTES = 8 << 20
 _OUT = "expected_grade double, p_top double, keep boolean"
 _LEVELS = np.array([0.002, 0.005, 0.01, 0.02, 0.035, 0.05, 0.075, 0.1, 0.15, 0.2, 0.3, 0.5, 0.75])
