@@ -77,8 +77,9 @@ def case_map(col, mapping: dict, default=None) -> Column:
 
 
 def money(col) -> Column:
-    """Money as DECIMAL(12,2): exact sums and half-up rounding."""
-    return _c(col).cast("decimal(12,2)")
+    """Money as DECIMAL(18,2): exact sums and half-up rounding; NULL when it
+    does not fit (the parser quarantines such amounts)."""
+    return _c(col).try_cast("decimal(18,2)")
 
 
 def to_double(col) -> Column:
@@ -125,8 +126,7 @@ def text_length(text) -> Column:
 
 def word_count(text) -> Column:
     """Number of runs of non-whitespace characters (Unicode-aware)."""
-    t = F.coalesce(_c(text), F.lit(""))
-    return F.size(F.filter(F.split(t, r"(?U)\s+"), lambda w: F.length(w) > 0)).cast("long")
+    return F.regexp_count(F.coalesce(_c(text), F.lit("")), F.lit(r"(?U)\S+")).cast("long")
 
 
 def has_text(text) -> Column:

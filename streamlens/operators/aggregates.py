@@ -26,7 +26,7 @@ def source_totals(frames: DataFrame) -> DataFrame:
     """A2: frames, bytes and mean size per source."""
     return frames.groupBy("source").agg(
         F.count(F.lit(1)).alias("total_frames"),
-        F.sum(F.col("frame_size_bytes").cast("long")).alias("total_size_bytes"),
+        F.try_sum(F.col("frame_size_bytes").cast("long")).alias("total_size_bytes"),
         F.avg(F.col("frame_width").cast("long")).alias("avg_width"),
         F.avg(F.col("frame_height").cast("long")).alias("avg_height"),
         F.max("event_time").alias("last_updated"))
@@ -37,7 +37,7 @@ def file_type_totals(files: DataFrame) -> DataFrame:
     size = F.col("file_size").cast("long")
     return files.groupBy("file_type").agg(
         F.count(F.lit(1)).alias("total_files"),
-        F.sum(size).alias("total_size_bytes"),
+        F.try_sum(size).alias("total_size_bytes"),
         F.avg(size).alias("avg_size_bytes"),
         F.max(size).alias("largest_file_size"),
         F.min(size).alias("smallest_file_size"),
@@ -77,7 +77,7 @@ def resolution_window(frames: DataFrame, length: str = "30 seconds",
     key = F.coalesce(F.col("analysis.resolution_category"), F.lit("unknown"))
     return _windowed(frames, key, "resolution_category", length, time_col, [
         F.count(F.lit(1)).alias("total_frames"),
-        F.sum(F.col("frame_size_bytes").cast("long")).alias("total_size_bytes"),
+        F.try_sum(F.col("frame_size_bytes").cast("long")).alias("total_size_bytes"),
         F.avg(F.col("frame_width").cast("long")).alias("avg_width"),
         F.avg(F.col("frame_height").cast("long")).alias("avg_height")])
 
@@ -89,7 +89,7 @@ def size_window(files: DataFrame, length: str = "30 seconds",
     size = F.col("file_size").cast("long")
     return _windowed(files, key, "size_category", length, time_col, [
         F.count(F.lit(1)).alias("total_files"),
-        F.sum(size).alias("total_size_bytes"),
+        F.try_sum(size).alias("total_size_bytes"),
         F.avg(size).alias("avg_size_bytes")])
 
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from streamlens.functions.columns import (FILE_TYPE_FALLBACK, FILE_TYPE_PROFILES,
                                           MIB, aspect_ratio, bitrate_estimate,
                                           case_map, file_type_of, has_text,
-                                          image_quality, is_allowed,
-                                          is_client_allowed, sha256_prefix,
+                                          image_quality, sha256_prefix,
                                           size_mb, size_tier, text_length,
                                           video_quality, word_count)
 
@@ -48,7 +47,7 @@ def analyze(df: DataFrame, now: Column | None = None) -> DataFrame:
         F.when(is_vid, bitrate_estimate("file_size", F.col(f"{m}.duration"))).alias("bitrate_estimate"),
         F.when(is_img, image_quality(width)).alias("image_quality"),
         F.when(is_img, width.cast("long") * height.cast("long")).alias("total_pixels"),
-        F.when(is_img, F.coalesce(F.col(f"{m}.channels"), F.lit(0)) * 8).alias("color_depth"),
+        F.when(is_img, F.coalesce(F.col(f"{m}.channels"), F.lit(0)).cast("long") * 8).alias("color_depth"),
     )
     return df.withColumn("analysis", analysis)
 
@@ -61,17 +60,5 @@ def type_enrich(df: DataFrame, now: Column | None = None) -> DataFrame:
               .withColumn("enriched_at", now if now is not None else F.current_timestamp()))
 
 
-def size_key(df: DataFrame) -> Column:
-    return F.coalesce(F.col("analysis.size_category"), F.lit("unknown"))
-
-
-def classify_names(df: DataFrame, name: str = "filename") -> DataFrame:
-    """detected type, server-side allow flag for that type, page allow flag."""
-    t = file_type_of(name)
-    return (df.withColumn("detected_type", t)
-              .withColumn("allowed", is_allowed(name, t))
-              .withColumn("client_allowed", is_client_allowed(name)))
-
-
 def reject_unknown(df: DataFrame, name: str = "filename") -> DataFrame:
     return df.filter(file_type_of(name) != "unknown")

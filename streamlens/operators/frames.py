@@ -23,7 +23,7 @@ def analyze(df: DataFrame, now: Column | None = None) -> DataFrame:
     analysis = F.struct(
         F.round(ratio, 2).alias("aspect_ratio"),
         (w * h).alias("total_pixels"),
-        F.round(decoded_len.cast("double") / (w * h * 3).cast("double"), 3).alias("compression_ratio"),
+        F.round(decoded_len.cast("double") / ((w * h).cast("double") * 3), 3).alias("compression_ratio"),
         (now if now is not None else F.current_timestamp()).alias("processing_timestamp"),
         orientation(ratio).alias("orientation"),
         resolution_class(w, h).alias("resolution_category"),
@@ -40,13 +40,9 @@ def source_enrich(df: DataFrame, now: Column | None = None) -> DataFrame:
               .withColumn("enriched_at", now if now is not None else F.current_timestamp()))
 
 
-def resolution_key(df: DataFrame) -> Column:
-    return F.coalesce(F.col("analysis.resolution_category"), F.lit("unknown"))
-
-
 def stride_sample(df: DataFrame, every: int, key: str = "source",
                   order: tuple[str, ...] = ("event_time", "frame_id"),
-                  chunk: str = "1 hour") -> DataFrame:
+                  chunk: str = "hour") -> DataFrame:
     """Keep every ``every``-th frame per ``key`` in (time, id) order, counting
     from the first (position 0, n, 2n, ...).  The position is a scalable
     running count (see :mod:`streamlens.operators.running`)."""

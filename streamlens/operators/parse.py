@@ -38,13 +38,19 @@ def _extract(v: Column, field: T.StructField) -> Column:
 
 
 def parse_messages(messages: DataFrame, kind: str, value_col: str = "value",
-                   keep: list[str] | None = None) -> DataFrame:
+                   keep: list[str] | None = None, fields: list[str] | None = None,
+                   require_time: bool = False) -> DataFrame:
     """Parse ``value_col`` into the record columns of ``kind``.
 
     Output: ``keep`` columns (default: the envelope columns present), the
     record columns, ``event_time`` (TIMESTAMP_NTZ from the record's time text,
     NULL when it is not a time), ``reject_reason`` and ``raw_value``.  The
     envelope ``timestamp`` is renamed ``msg_timestamp``.
+
+    ``fields`` extracts only these record columns (and ``event_time`` if
+    listed); the presence, type and range checks cover all members all the
+    same.  ``require_time`` also rejects records without a readable time, as
+    every event-time path must.
     """
     schema = schemas.RECORD[kind]
     required = schemas.REQUIRED[kind]
@@ -65,11 +71,21 @@ def parse_messages(messages: DataFrame, kind: str, value_col: str = "value",
             default = (F.create_map().cast(f.dataType) if isinstance(f.dataType, T.MapType)
                        else F.lit(None).cast(f.dataType))
             col = F.coalesce(col, default)
-        record_cols.append(col.alias(f.name))
+        if fields is None or f.name in fields:
+            record_cols.append(col.alias(f.name))
         if f.name in required:
             checks.append((~_present(v, f.name), f"missing:{f.name}"))
             if isinstance(f.dataType, _NUMERIC):
                 checks.append((col.isNull(), f"bad_type:{f.name}"))
+            if f.name in schemas.LIMITS:  # NaN and infinities are out of range, too
+                limit = F.lit(schemas.LIMITS[f.name])
+                checks.append((~col.between(-limit, limit), f"out_of_range:{f.name}"))
+    time_field = schemas.TIME_FIELD[kind]
+    event_time = parse_time(_extract(v, schema[time_field]))
+    if require_time:
+        checks.append((event_time.isNull(), f"bad_time:{time_field}"))
+    if fields is None or "event_time" in fields:
+        record_cols.append(event_time.alias("event_time"))
 
     reason = F.when(v.isNull(), F.lit("malformed_json")).when(
         F.try_variant_get(v, "$", "map<string,variant>").isNull(), F.lit("not_object"))
@@ -79,8 +95,7 @@ def parse_messages(messages: DataFrame, kind: str, value_col: str = "value",
     # a later filter on ``reject_reason`` cannot be pushed below a Generate, so
     # Catalyst does not copy the JSON parse into every predicate; it runs once.
     row = F.struct(*record_cols, reason.otherwise(F.lit(None).cast("string")).alias(REJECT))
-    parsed = staged.select(*keep, "raw_value", F.inline(F.array(row)))
-    return parsed.withColumn("event_time", parse_time(F.col(schemas.TIME_FIELD[kind])))
+    return staged.select(*keep, "raw_value", F.inline(F.array(row)))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -8,13 +8,15 @@ scan is therefore split in two levels:
 1. rows are cut into time chunks (``date_trunc(chunk, time)``); the scan inside
    a chunk is a window partitioned by ``(key, chunk)``, so a hot key spreads
    over as many tasks as it has chunks;
-2. per-chunk totals (one row per key and chunk, from a partial aggregation)
-   are scanned per key to get what every earlier chunk contributes, and joined
-   back on ``(key, chunk)``.  The big side is already partitioned by that pair
-   after step 1, so only the small totals side moves.
+2. per-chunk totals (one row per key and chunk) are scanned per key to get what
+   every earlier chunk contributes, and joined back on ``(key, chunk)``.
+
+Both levels read the same exchange of the rows on ``(key, chunk)``, so the
+input is scanned and parsed once and its rows move once.
 
 Sums, counts, minima and maxima compose this way; means are sum / count.
-Rows without a time go to a last chunk and are ordered by the other columns.
+Rows without a time come last, in the order of a hash of the order columns;
+that hash also spreads them over chunks.
 """
 
 from __future__ import annotations
@@ -23,12 +25,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _CH = "_chunk"
-_FAR = "9999-12-31 00:00:00"
+_FAR, _EARLY = "9999-12-31 00:00:00", "0001-01-01 00:00:00"
+_NO_TIME_CHUNKS = 256
+CHUNKS = ("microsecond", "millisecond", "second", "minute", "hour", "day", "week", "month", "quarter", "year")
 
 
-def _combine(kind: str, prev: Column, cur: Column) -> Column:
+def combine(kind: str, prev: Column, cur: Column) -> Column:
+    """The statistic of two parts; a part that is NULL does not count."""
     if kind in ("sum", "count"):
-        return F.coalesce(prev, F.lit(0)) + cur
+        return F.coalesce(F.try_add(prev, cur), F.when(prev.isNull(), cur).when(cur.isNull(), prev))
     if kind == "min":
         return F.least(prev, cur)
     if kind == "max":
@@ -39,7 +44,7 @@ def _combine(kind: str, prev: Column, cur: Column) -> Column:
 def _agg(kind: str, col: Column | None) -> Column:
     if kind == "count":
         return F.count(F.lit(1))
-    return {"sum": F.sum, "min": F.min, "max": F.max}[kind](col)
+    return {"sum": F.try_sum, "min": F.min, "max": F.max}[kind](col)
 
 
 def running_stats(df: DataFrame, key: str | list[str], order: list[str],
@@ -52,16 +57,16 @@ def running_stats(df: DataFrame, key: str | list[str], order: list[str],
     rows of the same key up to and including the current row in ``order``
     (reversed when ``descending``).  ``chunk`` is a ``date_trunc`` unit.
 
-    Plan: one hash exchange of the rows on (key, chunk) feeds the in-chunk
-    window; the per-chunk totals come from a partial aggregation of the input
-    (a small exchange), are scanned per key, and are joined back on plain
-    equality of (key value, key-is-null, chunk), so the big side keeps its
-    partitioning and is shuffled once.
+    Narrow ``df`` to the columns the result needs first: all its columns go
+    through the one exchange that both levels share.
     """
+    if chunk not in CHUNKS:
+        raise ValueError(f"chunk must be one of {', '.join(CHUNKS)}, not {chunk!r}")
     keys = [key] if isinstance(key, str) else list(key)
     specs = {n: (k, (F.col(c) if isinstance(c, str) else c)) for n, (k, c) in aggs.items()}
-    chunk_col = F.coalesce(F.date_trunc(chunk, F.col(time_col)).cast("timestamp_ntz"),
-                           F.lit(_FAR).cast("timestamp_ntz"))
+    last = F.lit(_EARLY if descending else _FAR).cast("timestamp_ntz")
+    spread = F.make_dt_interval(secs=F.pmod(F.xxhash64(*order), F.lit(_NO_TIME_CHUNKS)))
+    chunk_col = F.coalesce(F.date_trunc(chunk, F.col(time_col)).cast("timestamp_ntz"), last + spread)
     # Null-safe keys as plain columns: value (NULL -> typed default) + null flag.
     kcols = []
     d = df.withColumn(_CH, chunk_col)
@@ -70,6 +75,8 @@ def running_stats(df: DataFrame, key: str | list[str], order: list[str],
         d = (d.withColumn(f"_kv{i}", F.coalesce(F.col(k), F.lit(_DEFAULTS.get(dtype, "")).cast(dtype)))
               .withColumn(f"_kn{i}", F.col(k).isNull()))
         kcols += [f"_kv{i}", f"_kn{i}"]
+    columns = d.columns
+    d = d.repartition(*kcols, _CH)
 
     def _o(c: str) -> Column:
         return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()
@@ -80,20 +87,21 @@ def running_stats(df: DataFrame, key: str | list[str], order: list[str],
     for n, (k, c) in specs.items():
         cur = cur.withColumn(f"_cur_{n}", _agg(k, c).over(inner))
 
-    # Chunk totals straight from the input: a partial (map-side) aggregation,
-    # so this branch shuffles one row per key and chunk, not the rows.
-    totals = d.groupBy(*kcols, _CH).agg(*[_agg(k, c).alias(f"_tot_{n}")
-                                          for n, (k, c) in specs.items()])
+    # The totals read every column (through a hash that is never NULL), so that
+    # column pruning leaves both branches the same exchange and Spark reuses it.
+    totals = d.groupBy(*kcols, _CH).agg(
+        F.bit_xor(F.xxhash64(*columns)).alias("_all"),
+        *[_agg(k, c).alias(f"_tot_{n}") for n, (k, c) in specs.items()]).where("_all is not null")
     ch_order = F.col(_CH).desc() if descending else F.col(_CH).asc()
     before = (Window.partitionBy(*kcols).orderBy(ch_order)
               .rowsBetween(Window.unboundedPreceding, -1))
     prev = totals.select(*kcols, _CH,
-                         *[{"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[k](
+                         *[{"sum": F.try_sum, "count": F.sum, "min": F.min, "max": F.max}[k](
                              F.col(f"_tot_{n}")).over(before).alias(f"_prev_{n}")
                            for n, (k, _) in specs.items()])
     out = cur.join(prev, kcols + [_CH], "left")
     for n, (k, _) in specs.items():
-        out = out.withColumn(n, _combine(k, F.col(f"_prev_{n}"), F.col(f"_cur_{n}")))
+        out = out.withColumn(n, combine(k, F.col(f"_prev_{n}"), F.col(f"_cur_{n}")))
     drop = ([_CH] + kcols + [f"_cur_{n}" for n in specs]
             + [f"_prev_{n}" for n in specs])
     return out.drop(*drop)
@@ -104,36 +112,59 @@ _DEFAULTS = {"string": "", "bigint": "0", "int": "0", "double": "0",
              "timestamp_ntz": "1970-01-01 00:00:00", "timestamp": "1970-01-01 00:00:00",
              "boolean": "false", "date": "1970-01-01"}
 
-
-def running_user_totals(enriched: DataFrame, chunk: str = "hour") -> DataFrame:
-    """Per transaction, the user's running total and count so far."""
+# Running aggregates of the record kinds: output name -> (kind, input column).
+# ``order`` fixes the row order, ``carry`` the record columns of the output.
+SPECS = {
+    "transactions": {
+        "key": "user_id", "order": ["event_time", "transaction_id"],
+        "aggs": {"transaction_count": ("count", None), "total_spent": ("sum", "spent"),
+                 "last_updated": ("max", "event_time")},
+        "carry": ["transaction_id", "user_id", "event_time", "final_amount"],
+    },
+    "video_frames": {
+        "key": "source", "order": ["event_time", "frame_id"],
+        "aggs": {"total_frames": ("count", None), "total_size_bytes": ("sum", "frame_size_bytes"),
+                 "sum_width": ("sum", "frame_width"), "sum_height": ("sum", "frame_height"),
+                 "last_updated": ("max", "event_time")},
+        "carry": ["frame_id", "source", "event_time"],
+    },
+    "uploaded_files": {
+        "key": "file_type", "order": ["event_time", "file_id"],
+        "aggs": {"total_files": ("count", None), "total_size_bytes": ("sum", "file_size"),
+                 "largest_file_size": ("max", "file_size"), "smallest_file_size": ("min", "file_size"),
+                 "last_updated": ("max", "event_time")},
+        "carry": ["file_id", "file_type", "event_time"],
+    },
+}
+
+
+def narrowed(records: DataFrame, kind: str) -> DataFrame:
+    """The columns that the running statistics of ``kind`` need; measures as
+    exact numbers (money as a decimal, sizes as longs)."""
     from streamlens.functions.columns import money
-    out = running_stats(enriched, "user_id", ["event_time", "transaction_id"],
-                        {"total_spent": ("sum", money("final_amount")),
-                         "transaction_count": ("count", None),
-                         "last_updated": ("max", "event_time")}, chunk=chunk)
-    return out.withColumn("total_spent", F.col("total_spent").cast("double"))
-
-
-def running_source_stats(frames: DataFrame, chunk: str = "hour") -> DataFrame:
-    """R2: per frame, its source's running count, bytes and mean size."""
-    out = running_stats(frames, "source", ["event_time", "frame_id"],
-                        {"total_frames": ("count", None),
-                         "total_size_bytes": ("sum", F.col("frame_size_bytes").cast("long")),
-                         "_sum_w": ("sum", F.col("frame_width").cast("long")),
-                         "_sum_h": ("sum", F.col("frame_height").cast("long")),
-                         "last_updated": ("max", "event_time")}, chunk=chunk)
-    return (out.withColumn("avg_width", F.col("_sum_w") / F.col("total_frames"))
-               .withColumn("avg_height", F.col("_sum_h") / F.col("total_frames"))
-               .drop("_sum_w", "_sum_h"))
-
-
-def running_file_type_stats(files: DataFrame, chunk: str = "hour") -> DataFrame:
-    """Per file, its type's running count, bytes, mean, largest, smallest."""
-    out = running_stats(files, "file_type", ["event_time", "file_id"],
-                        {"total_files": ("count", None),
-                         "total_size_bytes": ("sum", F.col("file_size").cast("long")),
-                         "largest_file_size": ("max", F.col("file_size").cast("long")),
-                         "smallest_file_size": ("min", F.col("file_size").cast("long")),
-                         "last_updated": ("max", "event_time")}, chunk=chunk)
-    return out.withColumn("avg_size_bytes", F.col("total_size_bytes") / F.col("total_files"))
+    spec = SPECS[kind]
+    inputs = dict.fromkeys(c for _, c in spec["aggs"].values() if c and c != "event_time")
+    typed = [money("final_amount").alias(c) if c == "spent" else F.col(c).cast("long").alias(c) for c in inputs]
+    return records.select(*spec["carry"], *typed)
+
+
+def finished(stats: DataFrame, kind: str) -> DataFrame:
+    """Derived columns of the running output (money as double, means)."""
+    if kind == "transactions":
+        return stats.withColumn("total_spent", F.col("total_spent").cast("double")).drop("spent")
+    if kind == "video_frames":
+        return (stats.withColumn("avg_width", F.col("sum_width") / F.col("total_frames"))
+                .withColumn("avg_height", F.col("sum_height") / F.col("total_frames"))
+                .drop("sum_width", "sum_height", "frame_size_bytes", "frame_width", "frame_height"))
+    return stats.withColumn("avg_size_bytes", F.col("total_size_bytes") / F.col("total_files")).drop("file_size")
+
+
+def in_order(records: DataFrame, kind: str, chunk: str = "hour") -> DataFrame:
+    """The running statistics of narrowed records, before ``finished``."""
+    spec = SPECS[kind]
+    return running_stats(records, spec["key"], spec["order"], spec["aggs"], chunk=chunk)
+
+
+def running_records(records: DataFrame, kind: str, chunk: str = "hour") -> DataFrame:
+    """Per record, its user's, source's or file type's statistics so far."""
+    return finished(in_order(narrowed(records, kind), kind, chunk), kind)

@@ -44,7 +44,3 @@ def metadata_preview(files: DataFrame, limit: int = PREVIEW_LIMIT) -> DataFrame:
     return out.withColumn("value", F.when(F.char_length(v) > limit,
                                           F.concat(F.substring(v, 1, limit), F.lit("...")))
                           .otherwise(v))
-
-
-def counts_per_topic(messages: DataFrame) -> DataFrame:
-    return messages.groupBy("topic").agg(F.count(F.lit(1)).alias("message_count"))

@@ -23,11 +23,16 @@ from streamlens.operators.parse import (accepted, parse_files, parse_frames,
                                         parse_transactions, quarantined)
 from streamlens.plans import jobs
 from streamlens.plans import oracle as O
-from streamlens.session import ensure_utc
+from streamlens.plans import streams as S
+from streamlens.session import ensure_utc, scratch_path
 from streamlens.sources import adapters as A
+from streamlens.sources import io
+from streamlens.streaming import runner as R
+from streamlens.streaming import running_batches as RB
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+S_TOTAL = S.TOTAL_FIELDS
 
 
 def query(name: str, sql: str | None = None):
@@ -53,8 +58,9 @@ def _txn_msgs(spark, sf_dir):
     return A.transaction_messages(spark, sf_dir)
 
 
-def _proc_txn(spark, sf_dir):
-    return jobs.processed_transactions(_txn_msgs(spark, sf_dir))
+def _proc_txn(spark, sf_dir, *fields):
+    """Processed transactions; ``fields``: the members to extract (all if none)."""
+    return jobs.processed_transactions(_txn_msgs(spark, sf_dir), fields=list(fields) or None)
 
 
 # --------------------------------------------------------------------------
@@ -120,7 +126,7 @@ SELECT user_id, CAST(sum(CAST(final_amount AS DECIMAL(12,2))) AS DOUBLE) AS tota
 FROM proc_txn GROUP BY user_id""")
 def txn_user_totals(spark, sf_dir):
     """A1: final per-user state of the running totals."""
-    return agg.user_totals(_proc_txn(spark, sf_dir))
+    return agg.user_totals(_proc_txn(spark, sf_dir, "user_id", "category", "amount", "event_time"))
 
 
 @query("txn_user_running", O.with_(O.TXN, O.PROC_TXN) + """
@@ -132,9 +138,37 @@ WINDOW w AS (PARTITION BY user_id ORDER BY event_time, transaction_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def txn_user_running(spark, sf_dir):
     """One row per transaction with the user's totals so far."""
-    return run.running_user_totals(_proc_txn(spark, sf_dir)).select(
-        "transaction_id", "user_id", "event_time", "final_amount", "total_spent",
-        "transaction_count", "last_updated")
+    return run.running_records(
+        _proc_txn(spark, sf_dir, "transaction_id", "user_id", "category", "amount", "event_time"),
+        "transactions").select(*_RUN_COLS["transactions"])
+
+
+_RUN_COLS = {
+    "transactions": ["transaction_id", "user_id", "event_time", "final_amount", "total_spent",
+                     "transaction_count", "last_updated"],
+    "video_frames": ["frame_id", "source", "event_time", "total_frames", "total_size_bytes",
+                     "avg_width", "avg_height", "last_updated"],
+    "uploaded_files": ["file_id", "file_type", "event_time", "total_files", "total_size_bytes",
+                       "avg_size_bytes", "largest_file_size", "smallest_file_size",
+                       "last_updated"],
+}
+
+
+@query("running_null_measure", """
+SELECT event_id, user_id, ts AS event_time, CASE WHEN event_id % 3 <> 0 THEN value END AS x,
+       CAST(sum(CASE WHEN event_id % 3 <> 0 THEN CAST(round(value * 100) AS BIGINT) END) OVER w AS BIGINT) AS cents,
+       max(CASE WHEN event_id % 3 <> 0 THEN value END) OVER w AS largest, count(*) OVER w AS n
+FROM (SELECT event_id, user_id % 7 AS user_id, ts, value FROM events)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def running_null_measure(spark, sf_dir):
+    """R1-R3 with a measure that is NULL in a third of the rows (whole chunks
+    may start with NULLs): NULLs do not count."""
+    x = F.when(F.col("event_id") % 3 != 0, F.col("value"))
+    df = A.table(spark, sf_dir, "events").select(
+        "event_id", (F.col("user_id") % 7).alias("user_id"), F.col("ts").cast("timestamp_ntz").alias("event_time"),
+        x.alias("x"), F.round(x * 100).cast("long").alias("_cents"))
+    return run.running_stats(df, "user_id", ["event_time", "event_id"],
+                             {"cents": ("sum", "_cents"), "largest": ("max", "x"), "n": ("count", None)}).drop("_cents")
 
 
 _CAT_WIN_SQL = O.with_(O.TXN, O.PROC_TXN) + f"""
@@ -147,13 +181,13 @@ FROM proc_txn GROUP BY ALL"""
 @query("txn_category_window", _CAT_WIN_SQL)
 def txn_category_window(spark, sf_dir):
     """Sales per category in 30-second tumbling windows (event time)."""
-    return agg.category_window(_proc_txn(spark, sf_dir), "30 seconds")
+    return agg.category_window(_proc_txn(spark, sf_dir, "category", "amount", "event_time"), "30 seconds")
 
 
 @query("txn_category_window_day", _CAT_WIN_SQL.replace("30 seconds", "1 day"))
 def txn_category_window_day(spark, sf_dir):
     """W1 with a one-day window (groups of many rows)."""
-    return agg.category_window(_proc_txn(spark, sf_dir), "1 day")
+    return agg.category_window(_proc_txn(spark, sf_dir, "category", "amount", "event_time"), "1 day")
 
 
 @query("txn_to_json", O.with_(O.TXN, O.PROC_TXN) + """
@@ -184,12 +218,12 @@ def _frame_msgs(spark, sf_dir):
     return A.frame_messages(spark, sf_dir)
 
 
-def _frames(spark, sf_dir):
-    return accepted(parse_frames(_frame_msgs(spark, sf_dir)))
+def _frames(spark, sf_dir, *fields):
+    return accepted(parse_frames(_frame_msgs(spark, sf_dir), fields=list(fields) or None))
 
 
-def _proc_frames(spark, sf_dir):
-    return jobs.processed_frames(_frame_msgs(spark, sf_dir))
+def _proc_frames(spark, sf_dir, *fields):
+    return jobs.processed_frames(_frame_msgs(spark, sf_dir), fields=list(fields) or None)
 
 
 def _flat_analysis(df):
@@ -207,7 +241,7 @@ def frame_parse(spark, sf_dir):
        f"SELECT {FRAME_SQL_COLS} FROM frames WHERE frame_width >= 640 AND frame_height >= 480")
 def frame_high_res(spark, sf_dir):
     """width >= 640 and height >= 480."""
-    return vo.high_resolution(_frames(spark, sf_dir)).select(*FRAME_COLS)
+    return vo.high_resolution(_frames(spark, sf_dir, *FRAME_COLS)).select(*FRAME_COLS)
 
 
 @query("frame_analysis", O.with_(O.FRAMES, O.PROC_FRAMES) +
@@ -215,7 +249,7 @@ def frame_high_res(spark, sf_dir):
        " FROM proc_frames")
 def frame_analysis(spark, sf_dir):
     """Aspect ratio, pixels, compression ratio, orientation, class."""
-    df = _proc_frames(spark, sf_dir)
+    df = _proc_frames(spark, sf_dir, "frame_id", "source", "frame_data", "frame_width", "frame_height")
     return df.select("frame_id", "source", "frame_width", "frame_height", *_flat_analysis(df))
 
 
@@ -223,8 +257,8 @@ def frame_analysis(spark, sf_dir):
        "SELECT frame_id, source, processing_notes, expected_fps FROM proc_frames")
 def frame_source_enrich(spark, sf_dir):
     """Processing notes and expected fps per source (none for others)."""
-    return _proc_frames(spark, sf_dir).select("frame_id", "source", "processing_notes",
-                                              "expected_fps")
+    return _proc_frames(spark, sf_dir, "frame_id", "source", "frame_data", "frame_width", "frame_height").select(
+        "frame_id", "source", "processing_notes", "expected_fps")
 
 
 @query("resolution_class", O.with_(O.FRAMES) + """
@@ -235,7 +269,7 @@ SELECT frame_id, frame_width, frame_height,
             ELSE 'Low' END AS resolution_category FROM frames""")
 def resolution_class_q(spark, sf_dir):
     """X15 on every frame (the high-resolution filter would hide 'Low')."""
-    return _frames(spark, sf_dir).select(
+    return _frames(spark, sf_dir, "frame_id", "frame_width", "frame_height").select(
         "frame_id", "frame_width", "frame_height",
         X.resolution_class("frame_width", "frame_height").alias("resolution_category"))
 
@@ -247,7 +281,7 @@ SELECT source, count(*) AS total_frames, sum(frame_size_bytes) AS total_size_byt
 FROM proc_frames GROUP BY source""")
 def frame_source_totals(spark, sf_dir):
     """A2: per-source totals."""
-    return agg.source_totals(_proc_frames(spark, sf_dir))
+    return agg.source_totals(_proc_frames(spark, sf_dir, *S_TOTAL["video_frames"]))
 
 
 @query("frame_source_running", O.with_(O.FRAMES, O.PROC_FRAMES) + """
@@ -261,9 +295,8 @@ WINDOW w AS (PARTITION BY source ORDER BY event_time, frame_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def frame_source_running(spark, sf_dir):
     """R2: one row per frame with the source's running stats."""
-    return run.running_source_stats(_proc_frames(spark, sf_dir)).select(
-        "frame_id", "source", "event_time", "total_frames", "total_size_bytes",
-        "avg_width", "avg_height", "last_updated")
+    return run.running_records(_proc_frames(spark, sf_dir, "frame_id", *S_TOTAL["video_frames"]),
+                               "video_frames").select(*_RUN_COLS["video_frames"])
 
 
 _RES_WIN_SQL = O.with_(O.FRAMES, O.PROC_FRAMES) + f"""
@@ -276,26 +309,25 @@ FROM proc_frames GROUP BY ALL"""
 @query("frame_resolution_window", _RES_WIN_SQL)
 def frame_resolution_window(spark, sf_dir):
     """Frames per resolution class in 30-second windows."""
-    return agg.resolution_window(_proc_frames(spark, sf_dir))
+    return agg.resolution_window(_proc_frames(spark, sf_dir, *S_TOTAL["video_frames"]))
+
+
+def _fold_sql(values: str) -> str:
+    """The sequential fold itself: acc = x1, then acc = (acc + x) / 2."""
+    return (f"list_reduce(list(CAST({values} AS DOUBLE) ORDER BY event_time, _rid), "
+            "lambda acc, x: (acc + x) / 2)")
 
 
 _PAIR_SQL = O.with_(O.FRAMES, O.PROC_FRAMES) + f"""
-, ranked AS (
-  SELECT {O.window_cols()}, resolution_category, event_time, frame_id,
-         CAST(frame_width AS DOUBLE) AS w, CAST(frame_height AS DOUBLE) AS h,
-         row_number() OVER (PARTITION BY time_bucket(INTERVAL '30 seconds', event_time),
-                            resolution_category ORDER BY event_time DESC, frame_id DESC) AS j
-  FROM proc_frames)
-SELECT window_start, window_end, resolution_category,
-       sum(w * pow(2.0, -j)) + arg_min(w, (event_time, frame_id)) * pow(2.0, -count(*)) AS pairwise_avg_width,
-       sum(h * pow(2.0, -j)) + arg_min(h, (event_time, frame_id)) * pow(2.0, -count(*)) AS pairwise_avg_height
-FROM ranked GROUP BY ALL"""
-
-
-@query("pairwise_avg_window", _PAIR_SQL.replace("\n, ranked", ", ranked", 1))
+SELECT {O.window_cols()}, resolution_category, {_fold_sql('frame_width')} AS pairwise_avg_width,
+       {_fold_sql('frame_height')} AS pairwise_avg_height
+FROM (SELECT *, frame_id AS _rid FROM proc_frames) GROUP BY ALL"""
+
+
+@query("pairwise_avg_window", _PAIR_SQL)
 def pairwise_avg_window(spark, sf_dir):
     """The order-dependent (acc + x) / 2 fold of frame sizes per class and window."""
-    df = _proc_frames(spark, sf_dir)
+    df = _proc_frames(spark, sf_dir, "frame_id", *S_TOTAL["video_frames"])
     return agg.pairwise_avg_window(
         df, F.coalesce(F.col("analysis.resolution_category"), F.lit("unknown")),
         "resolution_category",
@@ -307,7 +339,7 @@ def pairwise_avg_window(spark, sf_dir):
        "SELECT DISTINCT frame_width, frame_height FROM frames")
 def frame_sizes(spark, sf_dir):
     """Distinct frame sizes."""
-    return agg.frame_sizes(_frames(spark, sf_dir))
+    return agg.frame_sizes(_frames(spark, sf_dir, "frame_width", "frame_height"))
 
 
 @query("frame_stride", O.with_(O.FRAMES) + f"""
@@ -317,7 +349,8 @@ SELECT frame_id, source, event_time, position FROM (
   FROM frames) WHERE position % {vo.stride_for(25, 0.1)} = 0""")
 def frame_stride(spark, sf_dir):
     """Every n-th frame per source (n = max(1, int(fps * interval)))."""
-    return vo.stride_sample(_frames(spark, sf_dir), vo.stride_for(25, 0.1)).select(
+    frames = _frames(spark, sf_dir, "frame_id", "source", "event_time").select("frame_id", "source", "event_time")
+    return vo.stride_sample(frames, vo.stride_for(25, 0.1)).select(
         "frame_id", "source", "event_time", "position")
 
 
@@ -332,21 +365,25 @@ META_COLS = ["mime_type", "fps", "frame_count", "duration", "width", "height",
              "channels", "total_pixels"]
 
 
-def _file_msgs(spark, sf_dir):
-    return A.file_messages(spark, sf_dir)
+def _file_msgs(spark, sf_dir, kind=None):
+    """Messages of the upload topics, or of the one topic of a file type: the
+    filter on the topic keeps the other tables from being read."""
+    msgs = A.file_messages(spark, sf_dir)
+    return msgs if kind is None else msgs.filter(F.col("topic") == io.UPLOAD_TOPICS[kind])
 
 
-def _files(spark, sf_dir):
-    return accepted(parse_files(_file_msgs(spark, sf_dir)))
+def _files(spark, sf_dir, *fields, kind=None):
+    recs = accepted(parse_files(_file_msgs(spark, sf_dir, kind), fields=list(fields) or None))
+    return recs if kind is None else recs.filter(F.col("file_type") == kind)
 
 
-def _proc_files(spark, sf_dir):
-    return jobs.processed_files(_file_msgs(spark, sf_dir))
+def _proc_files(spark, sf_dir, *fields, kind=None):
+    recs = jobs.processed_files(_file_msgs(spark, sf_dir, kind), fields=list(fields) or None)
+    return recs if kind is None else recs.filter(F.col("file_type") == kind)
 
 
-def _file_records(spark, sf_dir):
-    """All file records (no size filter), analysed."""
-    return fo.analyze(_files(spark, sf_dir))
+_ANALYSED = ["file_id", "file_type", "file_size", "file_content", "metadata"]
+_SIZED = ["file_type", "file_size", "event_time"]
 
 
 @query("file_union", O.with_(O.FILES) + "SELECT topic, file_id, file_type, file_size FROM files")
@@ -371,7 +408,7 @@ def file_parse(spark, sf_dir):
 @query("file_large", O.with_(O.FILES) + f"SELECT {FILE_SQL_COLS} FROM files WHERE file_size > 1048576")
 def file_large(spark, sf_dir):
     """files larger than 1 MiB."""
-    return fo.large_files(_files(spark, sf_dir)).select(*FILE_COLS)
+    return fo.large_files(_files(spark, sf_dir, *FILE_COLS)).select(*FILE_COLS)
 
 
 _COMMON = ["file_size_mb", "size_category", "content_hash"]
@@ -381,7 +418,7 @@ _COMMON = ["file_size_mb", "size_category", "content_hash"]
        "SELECT file_id, file_type, " + ", ".join(_COMMON) + " FROM proc_files")
 def file_analysis(spark, sf_dir):
     """Size in MB, size tier and content hash of large files."""
-    return _proc_files(spark, sf_dir).select(
+    return _proc_files(spark, sf_dir, *_ANALYSED).select(
         "file_id", "file_type", *[F.col(f"analysis.{c}").alias(c) for c in _COMMON])
 
 
@@ -389,7 +426,7 @@ def file_analysis(spark, sf_dir):
        "SELECT file_id, text_length, word_count, has_text FROM proc_files WHERE file_type = 'document'")
 def file_doc_analysis(spark, sf_dir):
     """E5: text length, word count and blank test of documents."""
-    return _proc_files(spark, sf_dir).filter(F.col("file_type") == "document").select(
+    return _proc_files(spark, sf_dir, *_ANALYSED, kind="document").select(
         "file_id", *[F.col(f"analysis.{c}").alias(c) for c in ("text_length", "word_count", "has_text")])
 
 
@@ -400,7 +437,7 @@ _VID = ["video_quality", "aspect_ratio", "total_frames", "bitrate_estimate"]
        "SELECT file_id, " + ", ".join(_VID) + " FROM proc_files WHERE file_type = 'video'")
 def file_video_analysis(spark, sf_dir):
     """Quality, aspect ratio, frames and bitrate of videos."""
-    return _proc_files(spark, sf_dir).filter(F.col("file_type") == "video").select(
+    return _proc_files(spark, sf_dir, *_ANALYSED, kind="video").select(
         "file_id", *[F.col(f"analysis.{c}").alias(c) for c in _VID])
 
 
@@ -409,7 +446,7 @@ def file_video_analysis(spark, sf_dir):
        "FROM proc_files WHERE file_type = 'image'")
 def file_image_analysis(spark, sf_dir):
     """Quality, aspect ratio, pixels and colour depth of images."""
-    return _proc_files(spark, sf_dir).filter(F.col("file_type") == "image").select(
+    return _proc_files(spark, sf_dir, *_ANALYSED, kind="image").select(
         "file_id", *[F.col(f"analysis.{c}").alias(c)
                      for c in ("image_quality", "aspect_ratio", "total_pixels", "color_depth")])
 
@@ -418,8 +455,8 @@ def file_image_analysis(spark, sf_dir):
        "SELECT file_id, file_type, processing_notes, processing_priority FROM proc_files")
 def file_type_enrich(spark, sf_dir):
     """Processing notes and priority per file type."""
-    return _proc_files(spark, sf_dir).select("file_id", "file_type", "processing_notes",
-                                             "processing_priority")
+    return _proc_files(spark, sf_dir, *_ANALYSED).select("file_id", "file_type", "processing_notes",
+                                                         "processing_priority")
 
 
 @query("file_type_totals", O.with_(O.FILES, O.PROC_FILES) + """
@@ -429,7 +466,7 @@ SELECT file_type, count(*) AS total_files, sum(file_size) AS total_size_bytes,
 FROM proc_files GROUP BY file_type""")
 def file_type_totals(spark, sf_dir):
     """A3: per-type totals of large files."""
-    return agg.file_type_totals(_proc_files(spark, sf_dir))
+    return agg.file_type_totals(_sized(spark, sf_dir))
 
 
 @query("file_type_running", O.with_(O.FILES, O.PROC_FILES) + """
@@ -443,9 +480,12 @@ WINDOW w AS (PARTITION BY file_type ORDER BY event_time, file_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def file_type_running(spark, sf_dir):
     """One row per file with the type's running stats."""
-    return run.running_file_type_stats(_proc_files(spark, sf_dir)).select(
-        "file_id", "file_type", "event_time", "total_files", "total_size_bytes",
-        "avg_size_bytes", "largest_file_size", "smallest_file_size", "last_updated")
+    return run.running_records(_sized(spark, sf_dir, "file_id"), "uploaded_files").select(*_RUN_COLS["uploaded_files"])
+
+
+def _sized(spark, sf_dir, *more):
+    """Large files with their size and time only."""
+    return fo.large_files(_files(spark, sf_dir, *_SIZED, *more))
 
 
 _SIZE_WIN_SQL = O.with_(O.FILES, O.PROC_FILES) + f"""
@@ -457,24 +497,19 @@ FROM proc_files GROUP BY ALL"""
 @query("file_size_window", _SIZE_WIN_SQL)
 def file_size_window(spark, sf_dir):
     """Files per size tier in 30-second windows."""
-    return agg.size_window(_proc_files(spark, sf_dir))
+    return agg.size_window(_proc_files(spark, sf_dir, *_ANALYSED, "event_time"))
 
 
-_FILE_PAIR_SQL = O.with_(O.FILES, O.PROC_FILES) + f""", ranked AS (
-  SELECT {O.window_cols()}, size_category, event_time, file_id, CAST(file_size AS DOUBLE) AS s,
-         row_number() OVER (PARTITION BY time_bucket(INTERVAL '30 seconds', event_time),
-                            size_category ORDER BY event_time DESC, file_id DESC) AS j
-  FROM proc_files)
-SELECT window_start, window_end, size_category,
-       sum(s * pow(2.0, -j)) + arg_min(s, (event_time, file_id)) * pow(2.0, -count(*)) AS pairwise_avg_size_bytes
-FROM ranked GROUP BY ALL"""
+_FILE_PAIR_SQL = O.with_(O.FILES, O.PROC_FILES) + f"""
+SELECT {O.window_cols()}, size_category, {_fold_sql('file_size')} AS pairwise_avg_size_bytes
+FROM (SELECT *, file_id AS _rid FROM proc_files) GROUP BY ALL"""
 
 
 @query("file_pairwise_avg_window", _FILE_PAIR_SQL)
 def file_pairwise_avg_window(spark, sf_dir):
     """W4 for files: the (acc + x) / 2 fold of sizes per tier and window."""
     return agg.pairwise_avg_window(
-        _proc_files(spark, sf_dir), F.coalesce(F.col("analysis.size_category"), F.lit("unknown")),
+        _proc_files(spark, sf_dir, *_ANALYSED, "event_time"), F.coalesce(F.col("analysis.size_category"), F.lit("unknown")),
         "size_category", {"pairwise_avg_size_bytes": "file_size"}, id_col="file_id")
 
 
@@ -484,7 +519,7 @@ SELECT file_id, file_size, CASE WHEN file_size < 1048576 THEN 'small'
        ELSE 'very_large' END AS size_category FROM files""")
 def size_tier_q(spark, sf_dir):
     """X13 on every file (the 1 MiB filter would hide 'small')."""
-    return _files(spark, sf_dir).select("file_id", "file_size",
+    return _files(spark, sf_dir, "file_id", "file_size").select("file_id", "file_size",
                                         X.size_tier("file_size").alias("size_category"))
 
 
@@ -492,7 +527,7 @@ def size_tier_q(spark, sf_dir):
        "SELECT file_id, frame_count, fps, duration FROM files WHERE file_type = 'video'")
 def video_duration_q(spark, sf_dir):
     """duration = frames / fps, 0 when fps is 0."""
-    return _files(spark, sf_dir).filter(F.col("file_type") == "video").select(
+    return _files(spark, sf_dir, "file_id", "file_type", "metadata", kind="video").select(
         "file_id", F.col("metadata.frame_count").alias("frame_count"),
         F.col("metadata.fps").alias("fps"),
         X.video_duration("metadata.frame_count", "metadata.fps").alias("duration"))
@@ -502,7 +537,7 @@ def video_duration_q(spark, sf_dir):
 SELECT file_id, file_hash, md5(from_base64(file_content)) = file_hash AS hash_ok FROM files""")
 def file_md5(spark, sf_dir):
     """MD5 of the payload bytes equals the message hash."""
-    return _files(spark, sf_dir).select(
+    return _files(spark, sf_dir, "file_id", "file_hash", "file_content").select(
         "file_id", "file_hash",
         (F.md5(X.b64decode("file_content")) == F.col("file_hash")).alias("hash_ok"))
 
@@ -534,21 +569,43 @@ def file_type_of(spark, sf_dir):
 
 
 def _names(spark, sf_dir):
-    files = _files(spark, sf_dir).select(F.col("filename").alias("name"))
+    files = _files(spark, sf_dir, "filename").select(F.col("filename").alias("name"))
     pages = A.table(spark, sf_dir, "pages").select(F.col("url").alias("name"))
     return files.unionByName(pages)
 
 
-@query("file_allowed", _NAMES_SQL +
-       f"SELECT name, {O.allowed_sql('name', O.file_type_sql('name'))} AS allowed, "
-       f"{O.client_allowed_sql('name')} AS client_allowed FROM names")
+_SUFFIXES = [e for exts in X.EXTENSIONS.values() for e in exts] + ["exe", "TXT", ""]
+_CLAIMS = [*X.EXTENSIONS, "unknown"]
+_CLAIMS_SQL = _NAMES_SQL + f""", claims AS (
+  SELECT name || suffix AS name, claim FROM (
+    SELECT regexp_replace(name, '\\.[^./]*$', '') AS name,
+           {['.' + x for x in _SUFFIXES]!r}[1 + length(name) % {len(_SUFFIXES)}] AS suffix,
+           {_CLAIMS!r}[1 + length(name) // 2 % {len(_CLAIMS)}] AS claim FROM names))
+"""
+
+
+@query("file_allowed", _CLAIMS_SQL + f"""
+SELECT name, claim, {O.allowed_sql('name', 'claim')} AS allowed, {O.client_allowed_sql('name')} AS client_allowed
+FROM claims""")
 def file_allowed(spark, sf_dir):
-    """Server and upload-page extension checks."""
-    df = _names(spark, sf_dir)
-    return df.select("name", X.is_allowed("name", X.file_type_of("name")).alias("allowed"),
+    """Server and upload-page extension checks of claimed types: names
+    get every allowed suffix (and some that are not) and a claim that may not
+    fit it."""
+    n = F.length("name")
+    suffix = F.element_at(F.array(*[F.lit("." + x) for x in _SUFFIXES]), 1 + n % len(_SUFFIXES))
+    claim = F.element_at(F.array(*[F.lit(x) for x in _CLAIMS]), 1 + F.floor(n / 2).cast("int") % len(_CLAIMS))
+    df = _names(spark, sf_dir).select(
+        F.concat(F.regexp_replace("name", r"\.[^./]*$", ""), suffix).alias("name"), claim.alias("claim"))
+    return df.select("name", "claim", X.is_allowed("name", F.col("claim")).alias("allowed"),
                      X.is_client_allowed("name").alias("client_allowed"))
 
 
+@query("file_client_allowed", _NAMES_SQL + f"SELECT name, {O.client_allowed_sql('name')} AS client_allowed FROM names")
+def file_client_allowed(spark, sf_dir):
+    """the upload page's suffix rule on its own."""
+    return _names(spark, sf_dir).select("name", X.is_client_allowed("name").alias("client_allowed"))
+
+
 @query("file_unknown_rejected", _NAMES_SQL +
        f"SELECT name FROM names WHERE {O.file_type_sql('name')} <> 'unknown'")
 def file_unknown_rejected(spark, sf_dir):
@@ -560,7 +617,7 @@ def file_unknown_rejected(spark, sf_dir):
        "SELECT name, " + O._map(O.ext_sql("name"), O.MIME_TYPES) + " AS mime_type FROM names")
 def file_mime(spark, sf_dir):
     """MIME type from the file name."""
-    return _files(spark, sf_dir).select(F.col("filename").alias("name"),
+    return _files(spark, sf_dir, "filename").select(F.col("filename").alias("name"),
                                         X.mime_type("filename").alias("mime_type"))
 
 
@@ -571,7 +628,7 @@ SELECT 'raw_' || file_id, CAST(file_size / {A.FILE_SIZE_FACTOR} AS BIGINT),
        {O.human_size_sql(f'CAST(file_size / {A.FILE_SIZE_FACTOR} AS BIGINT)')} FROM files""")
 def human_size_q(spark, sf_dir):
     """Human-readable sizes (k = 1024, two decimals at most)."""
-    f = _files(spark, sf_dir)
+    f = _files(spark, sf_dir, "file_id", "file_size")
     raw = (F.col("file_size") / A.FILE_SIZE_FACTOR).cast("long")
     return f.select(F.col("file_id"), F.col("file_size").alias("bytes"),
                     X.human_size("file_size").alias("human_size")).unionByName(
@@ -601,13 +658,14 @@ WHERE v IS NOT NULL""")
 def file_meta_preview(spark, sf_dir):
     """Metadata members for display: text content skipped, long text cut."""
     from streamlens.operators.topics import metadata_preview
-    return metadata_preview(_files(spark, sf_dir))
+    return metadata_preview(_files(spark, sf_dir, "file_id", "metadata"))
 
 
 @query("file_monitor", O.with_(O.FILES) + "SELECT file_id, filename, file_type, file_size FROM files")
 def file_monitor(spark, sf_dir):
     """The upload stream view."""
-    return _files(spark, sf_dir).select("file_id", "filename", "file_type", "file_size")
+    cols = ["file_id", "filename", "file_type", "file_size"]
+    return _files(spark, sf_dir, *cols).select(*cols)
 
 
 # --------------------------------------------------------------------------
@@ -615,70 +673,72 @@ def file_monitor(spark, sf_dir):
 # Streaming from file topics (several micro-batches, availableNow).
 # --------------------------------------------------------------------------
 
-from streamlens.plans import streams as S  # noqa: E402
-from streamlens.session import scratch_path  # noqa: E402
-from streamlens.sources import io  # noqa: E402
-from streamlens.streaming import runner as R  # noqa: E402
-from streamlens.streaming import stateful as ST  # noqa: E402
-
-STREAM_FILES = 4
+STREAM_SLICES = 2
 
 
-def _land(spark, sf_dir, kind, files=STREAM_FILES):
-    """Land the kind's messages as a file topic; return (root, topics)."""
-    root = scratch_path(spark, f"topics-{kind}")
+def _topic_messages(spark, sf_dir, kind):
+    """topic -> messages of a kind."""
     if kind == "transactions":
-        io.land_messages(A.transaction_messages(spark, sf_dir), root, "transactions", files)
-        return root, ["transactions"]
+        return {"transactions": A.transaction_messages(spark, sf_dir)}
     if kind == "video_frames":
-        io.land_messages(A.frame_messages(spark, sf_dir), root, "video_frames", files)
-        return root, ["video_frames"]
+        return {"video_frames": A.frame_messages(spark, sf_dir)}
     msgs = A.file_messages(spark, sf_dir)
-    topics = list(io.UPLOAD_TOPICS.values())
-    for t in topics:
-        io.land_messages(msgs.filter(F.col("topic") == t), root, t, files)
-    return root, topics
+    return {t: msgs.filter(F.col("topic") == t) for t in io.UPLOAD_TOPICS.values()}
 
 
-def _stream(spark, sf_dir, kind, files=STREAM_FILES):
-    root, topics = _land(spark, sf_dir, kind, files)
-    return io.read_topic(spark, topics, root=root, max_per_trigger=1)
+def _replay(spark, sf_dir, kind, once, slices=STREAM_SLICES, max_per_trigger=None):
+    """Replay a kind's messages in time order: land a slice of every topic (all
+    executors write), run the stream on what is there, land the next.
+    ``once(streams)`` starts the query on its own checkpoint and waits for it,
+    so every slice after the first is also a restart (T6)."""
+    root = scratch_path(spark, f"topics-{kind}")
+    parts = {t: io.time_slices(m, slices) for t, m in _topic_messages(spark, sf_dir, kind).items()}
+    for i in range(slices):
+        for t, p in parts.items():
+            io.land_messages(p[i], root, t)
+        once([io.read_topic(spark, t, root=root, max_per_trigger=max_per_trigger) for t in parts])
+
+
+def _replayed(spark, sf_dir, kind, name, build, mode="append", keys=None, max_per_trigger=None):
+    """The result of ``build(streams)`` after the replay (one stream per topic,
+    so each gets its own watermark)."""
+    ckpt, out = scratch_path(spark, f"{name}-ckpt"), scratch_path(spark, f"{name}-out")
+    res = []
+
+    def once(streams):
+        res[:] = [R.run_to_end(spark, build(streams), name, mode, keys, ckpt, out)]
+    _replay(spark, sf_dir, kind, once, max_per_trigger=max_per_trigger)
+    return res[0]
 
 
 @query("src_txn", ORACLE["txn_parse"])
 def src_txn(spark, sf_dir):
-    """Transactions read from the start of a topic as a stream."""
-    recs = accepted(parse_transactions(_stream(spark, sf_dir, "transactions")))
-    return R.run_to_end(spark, recs.select(*TXN_COLS), "src_txn")
+    """Transactions read from the start of a topic as a stream, a
+    bounded number of files per micro-batch."""
+    return _replayed(spark, sf_dir, "transactions", "src_txn",
+                     lambda s: accepted(parse_transactions(s[0])).select(*TXN_COLS), max_per_trigger=4)
 
 
 @query("src_frames", ORACLE["frame_parse"])
 def src_frames(spark, sf_dir):
     """Frames read from the start of a topic as a stream."""
-    recs = accepted(parse_frames(_stream(spark, sf_dir, "video_frames")))
-    return R.run_to_end(spark, recs.select(*FRAME_COLS, F.md5("frame_data").alias("payload_md5")),
-                        "src_frames")
+    return _replayed(spark, sf_dir, "video_frames", "src_frames",
+                     lambda s: accepted(parse_frames(s[0])).select(*FRAME_COLS, F.md5("frame_data").alias("payload_md5")),
+                     max_per_trigger=4)
 
 
 @query("src_files", ORACLE["file_union"])
 def src_files(spark, sf_dir):
     """The three upload topics subscribed as one stream."""
-    recs = accepted(parse_files(_stream(spark, sf_dir, "uploaded_files")))
-    return R.run_to_end(spark, recs.select("topic", "file_id", "file_type", "file_size"),
-                        "src_files")
-
-
-def _streams(spark, sf_dir, kind, files=STREAM_FILES):
-    """One stream per topic (each gets its own watermark)."""
-    root, topics = _land(spark, sf_dir, kind, files)
-    return [io.read_topic(spark, t, root=root, max_per_trigger=1) for t in topics]
+    cols = ["topic", "file_id", "file_type", "file_size"]
+    return _replayed(spark, sf_dir, "uploaded_files", "src_files",
+                     lambda s: accepted(parse_files(fo.union_all(*s), fields=cols[1:])).select(*cols), max_per_trigger=4)
 
 
 def _window_stream(kind, name):
     def fn(spark, sf_dir):
-        out = S.windowed(_streams(spark, sf_dir, kind), kind)
-        res = R.run_to_end(spark, out, name, "update", S.window_keys(kind))
-        return S._ntz_windows(res)
+        return S._ntz_windows(_replayed(spark, sf_dir, kind, name, lambda s: S.windowed(s, kind),
+                                        "update", S.window_keys(kind)))
     return fn
 
 
@@ -690,10 +750,34 @@ query("file_size_window_stream", ORACLE["file_size_window"])(
     _window_stream("uploaded_files", "file_size_window_stream"))
 
 
+def _window_append(kind, name):
+    """T2 in ``append`` mode: a window is emitted once, when the watermark (a
+    minute behind the slowest topic's latest time) has passed its end."""
+    def fn(spark, sf_dir):
+        return S._ntz_windows(_replayed(spark, sf_dir, kind, name, lambda s: S.windowed(s, kind, delay="1 minute")))
+    return fn
+
+
+def _closed(sql: str, cte: str, per: str = "1") -> str:
+    return (f"SELECT * FROM ({sql}) WHERE window_end <= (SELECT min(m) FROM ("
+            f"SELECT max(event_time) AS m FROM {cte} GROUP BY {per})) - INTERVAL '1 minute'")
+
+
+query("txn_category_window_append", _closed(_CAT_WIN_SQL, "proc_txn", "ALL")
+      .replace("SELECT * FROM (" + O.with_(O.TXN, O.PROC_TXN), O.with_(O.TXN, O.PROC_TXN) + "SELECT * FROM ("))(
+    _window_append("transactions", "txn_category_window_append"))
+query("frame_resolution_window_append", _closed(_RES_WIN_SQL, "proc_frames", "ALL")
+      .replace("SELECT * FROM (" + O.with_(O.FRAMES, O.PROC_FRAMES), O.with_(O.FRAMES, O.PROC_FRAMES) + "SELECT * FROM ("))(
+    _window_append("video_frames", "frame_resolution_window_append"))
+query("file_size_window_append", _closed(_SIZE_WIN_SQL, "proc_files", "topic")
+      .replace("SELECT * FROM (" + O.with_(O.FILES, O.PROC_FILES), O.with_(O.FILES, O.PROC_FILES) + "SELECT * FROM ("))(
+    _window_append("uploaded_files", "file_size_window_append"))
+
+
 def _totals_stream(kind, name):
     def fn(spark, sf_dir):
-        out = S.totals(_stream(spark, sf_dir, kind), kind)
-        return R.run_to_end(spark, out, name, "update", [S.TOTALS[kind][2]])
+        return _replayed(spark, sf_dir, kind, name, lambda s: S.totals(fo.union_all(*s), kind),
+                         "update", [S.TOTALS[kind][2]])
     return fn
 
 
@@ -705,26 +789,16 @@ query("file_type_totals_stream", ORACLE["file_type_totals"])(
     _totals_stream("uploaded_files", "file_type_totals_stream"))
 
 
-_RUN_COLS = {
-    "transactions": ["transaction_id", "user_id", "event_time", "final_amount", "total_spent",
-                     "transaction_count", "last_updated"],
-    "video_frames": ["frame_id", "source", "event_time", "total_frames", "total_size_bytes",
-                     "avg_width", "avg_height", "last_updated"],
-    "uploaded_files": ["file_id", "file_type", "event_time", "total_files", "total_size_bytes",
-                       "avg_size_bytes", "largest_file_size", "smallest_file_size",
-                       "last_updated"],
-}
-
-
 def _running_stream(kind, name):
     def fn(spark, sf_dir):
-        S.use_rocksdb(spark)
-        out = S.running(_stream(spark, sf_dir, kind), kind)
-        res = R.run_to_end(spark, out, name, "append")
-        return ST.finish(kind, res).select(*_RUN_COLS[kind])
+        paths = {k: scratch_path(spark, f"{name}-{k}") for k in ("out", "state", "checkpoint")}
+        _replay(spark, sf_dir, kind, lambda s: S.run_running(fo.union_all(*s), kind, **paths))
+        return RB.rows(spark, kind, paths["out"]).select(*_RUN_COLS[kind])
     return fn
 
 
+# In time order across slices per topic only: the three upload topics differ in
+# their time ranges, but a file type lives in one topic.
 query("txn_user_running_stream", ORACLE["txn_user_running"])(
     _running_stream("transactions", "txn_user_running_stream"))
 query("frame_source_running_stream", ORACLE["frame_source_running"])(
@@ -735,30 +809,68 @@ query("file_type_running_stream", ORACLE["file_type_running"])(
 
 @query("late_data", ORACLE["txn_category_window"])
 def late_data(spark, sf_dir):
-    """The first day's messages are sent again after the rest; the
-    watermark (1 hour) drops them.  The second run restarts from the first
-    run's checkpoint and sees only the late file."""
+    """After all messages, the first day's are sent again with ten times
+    the amount.  The watermark (1 hour) drops them; a late row that was counted,
+    in an old window state or a new one, would change the totals.  The second
+    run restarts from the first run's checkpoint."""
     root = scratch_path(spark, "topics-late")
     msgs = A.transaction_messages(spark, sf_dir)
-    io.land_messages(msgs, root, "transactions", files=1, sequential=False)
-    ckpt = scratch_path(spark, "late-ckpt")
-    out = scratch_path(spark, "late-out")
+    paths = {k: scratch_path(spark, f"late-{k}") for k in ("out", "checkpoint")}
 
     def once():
-        stream = io.read_topic(spark, "transactions", root=root)
-        agg_ = S.windowed(stream, "transactions", delay="1 hour")
-        q = R.start(agg_, "update", out=out, checkpoint=ckpt)
-        q.awaitTermination()
-        return agg_
+        agg_ = S.windowed(io.read_topic(spark, "transactions", root=root), "transactions", delay="1 hour")
+        return R.run_to_end(spark, agg_, "late", "update", S.window_keys("transactions"), **paths)
 
+    io.land_messages(msgs, root, "transactions")
     once()
-    first_day = msgs.filter(F.col("timestamp") <
-                            F.lit(A.EPOCH).cast("timestamp") + F.expr("INTERVAL 1 DAY"))
-    io.land_messages(first_day.withColumn("offset", F.col("offset") + F.lit(1 << 40)),
-                     root, "transactions", files=1, sequential=False)
-    agg_ = once()
-    res = R.result(spark, agg_, "update", out, S.window_keys("transactions"))
-    return S._ntz_windows(res)
+    from streamlens.schemas import TRANSACTION
+    first_day = A.load_transactions(spark, sf_dir).where(
+        F.col("event_time") < F.lit(A.EPOCH).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
+    changed = first_day.withColumn("amount", F.col("amount") * 10).withColumn("_id", F.col("_id") + F.lit(1 << 40))
+    io.land_messages(A.to_messages(changed, "transactions", "user_id", TRANSACTION.fieldNames()), root, "transactions")
+    return S._ntz_windows(once())
+
+
+@query("poison_quarantine", """
+SELECT 'txn_' || event_id AS key,
+       CASE event_id % 8 WHEN 0 THEN 'out_of_range:amount' WHEN 1 THEN 'out_of_range:amount'
+            WHEN 2 THEN 'out_of_range:amount' WHEN 3 THEN 'bad_time:timestamp' WHEN 4 THEN 'missing:amount'
+            WHEN 5 THEN 'bad_type:amount' WHEN 6 THEN 'bad_type:quantity' ELSE 'accepted' END AS outcome,
+       CASE WHEN event_id % 8 = 7 THEN CAST(value AS DECIMAL(12,2)) END AS amount
+FROM events""")
+def poison_quarantine(spark, sf_dir):
+    """Messages that parse as JSON but would stop a job in a later step
+    (overflowing or non-finite amounts, unreadable times) are quarantined with
+    a reason; the rest go through the money arithmetic."""
+    return _poison_outcome(_poison(spark, sf_dir))
+
+
+def _poison(spark, sf_dir):
+    i = F.col("event_id") % 8
+    amount = (F.when(i == 0, "1e300").when(i == 1, '"Infinity"').when(i == 2, '"NaN"').when(i == 5, '"abc"')
+              .otherwise(F.col("value").cast("string")))
+    pairs = [F.lit('"transaction_id":"t","user_id":"u","product":"p","category":"c","payment_method":"x","location":"l"'),
+             F.concat(F.lit('"timestamp":"'), F.when(i == 3, "yesterday").otherwise("2024-01-01T00:00:00"), F.lit('"')),
+             F.when(i != 4, F.concat(F.lit('"amount":'), amount)),
+             F.concat(F.lit('"quantity":'), F.when(i == 6, "99999999999").otherwise("1"))]
+    return A.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("txn_"), F.col("event_id").cast("string")).alias("key"),
+        F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}")).alias("value"))
+
+
+def _poison_outcome(messages):
+    parsed = parse_transactions(messages, require_time=True)
+    ok = F.col("reject_reason").isNull()
+    return parsed.select("key", F.coalesce("reject_reason", F.lit("accepted")).alias("outcome"),
+                         F.when(ok, X.money("amount")).cast("decimal(12,2)").alias("amount"))
+
+
+@query("poison_stream", ORACLE["poison_quarantine"])
+def poison_stream(spark, sf_dir):
+    """P4 on a stream: no such message stops the query."""
+    root = scratch_path(spark, "topics-poison")
+    io.write_topic(_poison(spark, sf_dir), "transactions", root=root)
+    return R.run_to_end(spark, _poison_outcome(io.read_topic(spark, "transactions", root=root)), "poison")
 
 
 @query("fanout", O.with_(O.TXN, O.PROC_TXN) + """
@@ -767,12 +879,9 @@ UNION ALL
 SELECT 'high_value_transactions', user_id, transaction_id FROM proc_txn WHERE amount > 500.0""")
 def fanout(spark, sf_dir):
     """One processed stream feeds two topics from each micro-batch."""
-    root = scratch_path(spark, "topics-fanout")
-    proc = jobs.processed_transactions(_stream(spark, sf_dir, "transactions"))
-    q = (proc.writeStream.foreachBatch(S.fanout_sink(root))
-         .option("checkpointLocation", scratch_path(spark, "fanout-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    root, ckpt = scratch_path(spark, "topics-fanout"), scratch_path(spark, "fanout-ckpt")
+    _replay(spark, sf_dir, "transactions", lambda s: R.finish(R.start_batches(
+        jobs.processed_transactions(s[0]), S.fanout_sink(root), checkpoint=ckpt)))
     back = io.read_topic(spark, ["processed_transactions", "high_value_transactions"],
                          root=root, stream=False)
     return back.select("topic", "key", F.get_json_object("value", "$.transaction_id")
@@ -783,12 +892,10 @@ def fanout(spark, sf_dir):
        "SELECT frame_id, source, resolution_category, compression_ratio, expected_fps FROM proc_frames")
 def sink_roundtrip(spark, sf_dir):
     """Processed frames written as JSON to a topic and read back."""
-    root = scratch_path(spark, "topics-processed")
-    proc = jobs.processed_frames(_stream(spark, sf_dir, "video_frames"))
+    root, ckpt = scratch_path(spark, "topics-processed"), scratch_path(spark, "roundtrip-ckpt")
     cols = [c for c in jobs.PROCESSED_COLUMNS["video_frames"] if c != "enriched_at"]
-    q = S.json_topic_sink(to.to_json_value(proc, cols), root, "processed_video_frames",
-                          scratch_path(spark, "roundtrip-ckpt"))
-    q.awaitTermination()
+    _replay(spark, sf_dir, "video_frames", lambda s: R.finish(S.json_topic_sink(
+        to.to_json_value(jobs.processed_frames(s[0]), cols), root, "processed_video_frames", ckpt)))
     back = io.read_topic(spark, "processed_video_frames", root=root, stream=False)
     v = F.col("value")
     return back.select(
@@ -807,11 +914,11 @@ SELECT user_id AS key, to_json({'user_id': user_id,
 FROM proc_txn GROUP BY user_id""")
 def sink_agg_latest(spark, sf_dir):
     """User totals as keyed JSON in update mode; latest per key."""
-    tot = S.totals(_stream(spark, sf_dir, "transactions"), "transactions")
-    msgs = tot.select(F.col("user_id").alias("key"), F.to_json(F.struct(
-        "user_id", "total_spent", "transaction_count",
-        X.iso_text("last_updated").alias("last_updated"))).alias("value"))
-    return R.run_to_end(spark, msgs, "sink_agg_latest", "update", ["key"])
+    def messages(streams):
+        return S.totals(streams[0], "transactions").select(F.col("user_id").alias("key"), F.to_json(F.struct(
+            "user_id", "total_spent", "transaction_count",
+            X.iso_text("last_updated").alias("last_updated"))).alias("value"))
+    return _replayed(spark, sf_dir, "transactions", "sink_agg_latest", messages, "update", ["key"])
 
 
 # --------------------------------------------------------------------------
@@ -857,31 +964,49 @@ _MONITOR_SQL = O.with_(O.TXN, O.PROC_TXN) + """, lines AS (
   SELECT 'transactions' AS topic, transaction_id, amount FROM txn
   UNION ALL SELECT 'processed_transactions', transaction_id, amount FROM proc_txn
   UNION ALL SELECT 'high_value_transactions', transaction_id, amount FROM proc_txn WHERE amount > 500.0
-  UNION ALL SELECT 'user_aggregations', 'N/A', 0.0 FROM proc_txn GROUP BY user_id)
+  UNION ALL SELECT 'user_aggregations', 'N/A', 0.0 FROM proc_txn)
 SELECT topic, transaction_id, amount, printf('%s: %s - $%.2f', topic, transaction_id, amount) AS line
 FROM lines"""
 
 
+def _monitor_topics(spark, sf_dir):
+    """The four monitored topics: source, processed, high-value, and one
+    aggregation message per update."""
+    txn = _txn_msgs(spark, sf_dir)
+    proc = jobs.processed_transactions(txn)
+    cols = to.RECORD_COLS + ["original_amount", "discount_applied", "final_amount"]
+    updates = run.running_records(
+        _proc_txn(spark, sf_dir, "transaction_id", "user_id", "category", "amount", "event_time"), "transactions")
+    written = {"processed_transactions": to.to_json_value(proc, cols, key="user_id"),
+               "high_value_transactions": to.to_json_value(to.very_high_value(proc), cols, key="user_id"),
+               "user_aggregations": to.to_json_value(updates, ["user_id", "total_spent", "transaction_count"], key="user_id")}
+    return {"transactions": txn} | {t: io.to_envelope(df, t) for t, df in written.items()}
+
+
+def _monitor(msgs):
+    v = F.try_parse_json("value")
+    return tv.monitor_lines(msgs.select(
+        "topic", F.try_variant_get(v, "$.transaction_id", "string").alias("transaction_id"),
+        F.try_variant_get(v, "$.amount", "double").alias("amount"),
+        F.try_variant_get(v, "$.final_amount", "double").alias("final_amount")))
+
+
 @query("topic_monitor", _MONITOR_SQL)
 def topic_monitor(spark, sf_dir):
     """One display line per message over four topics; the amount is
     amount, else final_amount, else 0; the id defaults to N/A."""
-    txn = _txn_msgs(spark, sf_dir)
-    proc = _proc_txn(spark, sf_dir)
-    cols = to.RECORD_COLS + ["original_amount", "discount_applied", "final_amount"]
-    processed = io.to_envelope(to.to_json_value(proc, cols, key="user_id"), "processed_transactions")
-    high = io.to_envelope(to.to_json_value(to.very_high_value(proc), cols, key="user_id"),
-                          "high_value_transactions")
-    totals = agg.user_totals(proc)
-    aggs = io.to_envelope(to.to_json_value(totals, ["user_id", "total_spent", "transaction_count"],
-                                           key="user_id"), "user_aggregations")
-    msgs = txn.unionByName(processed).unionByName(high).unionByName(aggs)
-    v = F.try_parse_json("value")
-    view = msgs.select("topic",
-                       F.try_variant_get(v, "$.transaction_id", "string").alias("transaction_id"),
-                       F.try_variant_get(v, "$.amount", "double").alias("amount"),
-                       F.try_variant_get(v, "$.final_amount", "double").alias("final_amount"))
-    return tv.monitor_lines(view)
+    return _monitor(fo.union_all(*_monitor_topics(spark, sf_dir).values()))
+
+
+@query("topic_monitor_stream", _MONITOR_SQL)
+def topic_monitor_stream(spark, sf_dir):
+    """The four topics subscribed as one stream."""
+    root = scratch_path(spark, "topics-monitor")
+    topics = _monitor_topics(spark, sf_dir)
+    for topic, msgs in topics.items():
+        io.land_messages(msgs, root, topic)
+    stream = io.read_topic(spark, list(topics), root=root)
+    return R.run_to_end(spark, _monitor(stream), "topic_monitor")
 
 
 @query("topic_format", O.with_(O.TXN, O.PROC_TXN, O.FILES) + """
@@ -893,11 +1018,11 @@ SELECT file_id, printf('%s: %s bytes, uploaded %s', filename, format('{:,}', fil
        strftime(event_time, '%Y-%m-%d %H:%M:%S')) FROM files""")
 def topic_format(spark, sf_dir):
     """Money with two decimals, sizes with thousands separators, times."""
-    proc = _proc_txn(spark, sf_dir).select(
+    proc = _proc_txn(spark, sf_dir, "transaction_id", "category", "amount").select(
         F.col("transaction_id").alias("id"),
         F.format_string("%s - $%.2f (was $%.2f)", "transaction_id", "final_amount",
                         "original_amount").alias("line"))
-    files = _files(spark, sf_dir).select(
+    files = _files(spark, sf_dir, "file_id", "filename", "file_size", "event_time").select(
         F.col("file_id").alias("id"),
         F.format_string("%s: %s bytes, uploaded %s", F.col("filename"),
                         F.format_number(F.col("file_size"), 0),
@@ -922,8 +1047,9 @@ SELECT category, CAST(sum(CAST(final_amount AS DECIMAL(12,2))) AS DOUBLE) AS tot
 def txn_category_proctime(spark, sf_dir):
     """30-second processing-time windows on a stream, summed over all
     windows per category (window bounds depend on the clock; sums do not)."""
-    out = S.windowed(_stream(spark, sf_dir, "transactions"), "transactions", by_arrival=True)
-    res = R.run_to_end(spark, out, "txn_category_proctime", "update", S.window_keys("transactions"))
+    res = _replayed(spark, sf_dir, "transactions", "txn_category_proctime",
+                    lambda streams: S.windowed(streams, "transactions", by_arrival=True),
+                    "update", S.window_keys("transactions"))
     return res.groupBy("category").agg(
         F.sum(X.money("total_amount")).cast("double").alias("total_amount"),
         F.sum("transaction_count").alias("transaction_count"))
@@ -935,117 +1061,216 @@ def txn_category_proctime(spark, sf_dir):
 
 from streamlens.sources import media as M  # noqa: E402
 
-_EXPORT_NAME_SQL = "strftime(event_time, '%Y%m%d_%H%M%S') || '_' || filename"
+_UPLOAD_NAME_SQL = "strftime(event_time, '%Y%m%d_%H%M%S') || '_' || filename"
+
+
+def _stored_sql(ident: str, digest: str, name: str) -> str:
+    return f"left(sha256({ident} || '|' || {digest}), 16) || '_' || {name}"
+
+
+_EXPORT_NAME_SQL = _stored_sql("file_id", "file_hash", _UPLOAD_NAME_SQL)
 
 
-def _export_files(spark, sf_dir, files=None):
+def _export_files(spark, sf_dir):
     root = scratch_path(spark, "payloads")
-    recs = files if files is not None else _files(spark, sf_dir)
-    written = M.export_payloads(recs, root, "file_id",
-                                M.export_name("event_time", "filename"), "file_content")
-    return root, written
+    files = _files(spark, sf_dir, "file_id", "filename", "file_content", "event_time")
+    return root, M.export_payloads(files, root, "file_id", M.export_name("event_time", "filename"), "file_content")
 
 
 @query("export_payload", O.with_(O.FILES) +
        f"SELECT file_id AS record_id, {_EXPORT_NAME_SQL} AS name, "
        f"file_size // {A.FILE_SIZE_FACTOR} AS bytes_written FROM files")
 def export_payload(spark, sf_dir):
-    """Every upload's decoded payload written as its own file."""
+    """Every upload's decoded payload written as its own file."""
     _, written = _export_files(spark, sf_dir)
     return written.select("record_id", F.element_at(F.split("path", "/"), -1).alias("name"),
                           "bytes_written")
 
 
-@query("file_ingest", O.with_(O.FILES) + f"""
+_FRAME_NAME_SQL = _stored_sql("frame_id", "md5(from_base64(frame_data))",
+                              "strftime(event_time, '%Y%m%d_%H%M%S') || '_' || source || '.jpg'")
+
+
+@query("export_frames", O.with_(O.FRAMES) +
+       f"SELECT frame_id AS record_id, {_FRAME_NAME_SQL} AS name, octet_length(from_base64(frame_data)) AS bytes_written "
+       "FROM frames")
+def export_frames(spark, sf_dir):
+    """Every frame's payload written as its own picture file, named by its
+    time and source."""
+    frames = _frames(spark, sf_dir, "frame_id", "source", "frame_data", "event_time")
+    name = F.concat(F.date_format("event_time", "yyyyMMdd_HHmmss"), F.lit("_"), F.col("source"), F.lit(".jpg"))
+    written = M.export_payloads(frames, scratch_path(spark, "frames"), "frame_id", name, "frame_data")
+    return written.select("record_id", F.element_at(F.split("path", "/"), -1).alias("name"), "bytes_written")
+
+
+_INGEST_SQL = O.with_(O.FILES) + f"""
 SELECT {_EXPORT_NAME_SQL} AS filename, file_type, file_size // {A.FILE_SIZE_FACTOR} AS file_size,
-       file_hash, file_type || '_' || file_hash AS file_id, mime_type FROM files""")
+       file_hash, file_type || '_' || file_hash AS file_id, mime_type, topic,
+       md5(text_content) AS text_md5 FROM files"""
+_INGEST_COLS = ["filename", "file_type", "file_size", "file_hash", "file_id", "mime_type", "topic"]
+
+
+def _ingested(files):
+    return files.select(*_INGEST_COLS, F.md5("metadata.text_content").alias("text_md5"))
+
+
+@query("file_ingest", _INGEST_SQL)
 def file_ingest(spark, sf_dir):
     """Files landed in a folder become upload messages (binaryFile)."""
-    root, written = _export_files(spark, sf_dir)
-    written.write.format("noop").mode("overwrite").save()
-    return M.ingest_files(spark, root).select("filename", "file_type", "file_size",
-                                              "file_hash", "file_id", "mime_type")
+    root, _ = _export_files(spark, sf_dir)
+    return _ingested(M.ingest_files(spark, root))
+
+
+@query("file_ingest_stream", ORACLE["file_ingest"])
+def file_ingest_stream(spark, sf_dir):
+    """S10 as a stream: a landing folder watched with the binaryFile source."""
+    root, _ = _export_files(spark, sf_dir)
+    return R.run_to_end(spark, _ingested(M.ingest_files(spark, root, stream=True, max_per_trigger=5000)),
+                        "file_ingest_stream")
+
+
+def _land_uploads(spark, sf_dir):
+    """A landing folder: texts, pictures, and programs that nobody may upload."""
+    root = scratch_path(spark, "landing")
+    docs = A.table(spark, sf_dir, "documents")
+    data = F.encode("text", "UTF-8")
+    ident = F.col("doc_id").cast("string")
+    for ext, payload, rows in (("txt", data, docs), ("png", A.picture(data), docs),
+                               ("exe", data, docs.where("doc_id % 10 = 0"))):
+        M.export_payloads(rows.withColumn("_payload", payload), root, "doc_id",
+                          F.concat(F.lit("up_"), ident, F.lit("." + ext)), F.col("_payload"))
+    return root
+
+
+def _picture_height(x: str = "text") -> str:
+    return f"greatest(1, CAST(ceil(CAST(octet_length(encode({x})) AS DOUBLE) / {3 * A.PNG_WIDTH}) AS INTEGER))"
+
+
+_PNG_H = _picture_height()
+_UPLOADED_SQL = f"""
+SELECT 'uploaded_documents' AS topic, 'document' AS file_type, 'up_' || doc_id || '.txt' AS name,
+       CAST(length(text) AS BIGINT) AS text_length, md5(text) AS text_md5,
+       CAST(NULL AS DOUBLE) AS aspect_ratio, CAST(NULL AS BIGINT) AS total_pixels, CAST(NULL AS BIGINT) AS color_depth
+FROM documents
+UNION ALL
+SELECT 'uploaded_images', 'image', 'up_' || doc_id || '.png', NULL, NULL,
+       round(CAST({A.PNG_WIDTH} AS DOUBLE) / {_PNG_H}, 2), CAST({A.PNG_WIDTH} AS BIGINT) * {_PNG_H}, 24 FROM documents"""
+
+
+def _analysed_uploads(messages):
+    """The same parse and analysis as every upload message gets."""
+    recs = fo.analyze(accepted(parse_files(messages)))
+    name = F.regexp_extract("filename", r"^[0-9a-f]{16}_(.*)$", 1)
+    return recs.select("topic", "file_type", name.alias("name"), F.col("analysis.text_length").alias("text_length"),
+                       F.md5("metadata.text_content").alias("text_md5"),
+                       *[F.col(f"analysis.{c}").alias(c) for c in ("aspect_ratio", "total_pixels", "color_depth")])
+
+
+@query("ingest_to_analysis", _UPLOADED_SQL)
+def ingest_to_analysis(spark, sf_dir):
+    """S10 -> S11 -> P3 -> E4-E7: a folder of uploads becomes messages with
+    metadata, routed to their topics (unknown types rejected), parsed and
+    analysed."""
+    root = scratch_path(spark, "topics-uploads")
+    io.write_topic(M.upload_messages(M.ingest_files(spark, _land_uploads(spark, sf_dir))), root=root)
+    return _analysed_uploads(io.read_topic(spark, ["uploaded_documents", "uploaded_images"], root=root, stream=False))
+
+
+@query("ingest_to_analysis_stream", _UPLOADED_SQL)
+def ingest_to_analysis_stream(spark, sf_dir):
+    """The same with a watched folder."""
+    files = M.ingest_files(spark, _land_uploads(spark, sf_dir), stream=True, max_per_trigger=5000)
+    return R.run_to_end(spark, _analysed_uploads(M.upload_messages(files)), "ingest_to_analysis")
+
+
+@query("ingest_rejected", "SELECT 'up_' || doc_id || '.exe' AS name FROM documents WHERE doc_id % 10 = 0")
+def ingest_rejected(spark, sf_dir):
+    """F7 in S10: the uploads of unknown type."""
+    raw = M.read_files(spark, _land_uploads(spark, sf_dir))
+    return M.ingest_rows(raw, accept=False).select(
+        F.regexp_extract("filename", r"^[0-9a-f]{16}_(.*)$", 1).alias("name"))
 
 
 def _frame_pngs(spark, sf_dir):
+    """Frames as pictures (their payload bytes as colours) in a folder."""
     root = scratch_path(spark, "frames-png")
-    frames = _frames(spark, sf_dir)
-    written = M.export_payloads(frames, root, "frame_id",
-                                F.concat(F.col("frame_id"), F.lit(".png")),
-                                M.png_from_bytes(X.b64decode("frame_data")))
-    written.write.format("noop").mode("overwrite").save()
+    frames = _frames(spark, sf_dir, "frame_id", "frame_data").withColumn("_png", A.picture(X.b64decode("frame_data")))
+    M.export_payloads(frames, root, "frame_id", F.concat(F.col("frame_id"), F.lit(".png")), F.col("_png"))
     return M.read_images(spark, root)
 
 
-_PNG_H = f"greatest(1, CAST(ceil(CAST(octet_length(encode(text)) AS DOUBLE) / {M.PNG_WIDTH}) AS INTEGER))"
+def _picture_name(df):
+    return df.withColumn("filename", F.regexp_extract("filename", r"^[0-9a-f]{16}_(.*)$", 1))
 
 
 @query("image_meta", f"""
-SELECT 'frame_' || doc_id || '.png' AS filename, {M.PNG_WIDTH} AS width, {_PNG_H} AS height,
-       1 AS channels, CAST({M.PNG_WIDTH} AS BIGINT) * {_PNG_H} AS total_pixels FROM documents""")
+SELECT 'frame_' || doc_id || '.png' AS filename, {A.PNG_WIDTH} AS width, {_PNG_H} AS height,
+       3 AS channels, CAST({A.PNG_WIDTH} AS BIGINT) * {_PNG_H} AS total_pixels FROM documents""")
 def image_meta(spark, sf_dir):
-    """Width, height and channels of frame images decoded by the JVM
-    (frames rendered as grey PNGs of their payload bytes)."""
-    return M.image_metadata(_frame_pngs(spark, sf_dir))
+    """Width, height and channels of frame pictures decoded by the JVM."""
+    return _picture_name(M.image_metadata(_frame_pngs(spark, sf_dir)))
 
 
-_BYTE_SUM = ("list_sum(list_transform(range(0, octet_length(encode(text))), "
-             "lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::INTEGER))")
+_HEX = f"rpad(hex(encode(text)), {6 * A.PNG_WIDTH} * {_PNG_H}, '0')"
+_LEVEL = "('0x' || substr(h, 6 * i + {k}, 2))::INTEGER"
+_GRAY = (f"round_even({_LEVEL.format(k=1)} * 0.299::DOUBLE + {_LEVEL.format(k=3)} * 0.587::DOUBLE "
+         f"+ {_LEVEL.format(k=5)} * 0.114::DOUBLE, 0)")
+_BRIGHT = f"""SELECT doc_id, n AS height, list_sum(list_transform(range(0, {A.PNG_WIDTH} * n), lambda i: {_GRAY}))
+       / ({A.PNG_WIDTH} * n) AS brightness
+FROM (SELECT doc_id, {_PNG_H} AS n, {_HEX} AS h FROM documents)"""
 
 
 @query("image_brightness", f"""
-SELECT 'frame_' || doc_id || '.png' AS filename, {M.PNG_WIDTH} AS width, {_PNG_H} AS height,
-       CAST(coalesce({_BYTE_SUM}, 0) AS DOUBLE) / ({M.PNG_WIDTH} * {_PNG_H}) AS brightness
-FROM documents""")
+SELECT 'frame_' || doc_id || '.png' AS filename, {A.PNG_WIDTH} AS width, height, brightness FROM ({_BRIGHT})""")
 def image_brightness(spark, sf_dir):
-    """Mean grey level of every frame image."""
-    return M.brightness(_frame_pngs(spark, sf_dir))
+    """Mean grey level of every frame picture (three channels)."""
+    return _picture_name(M.brightness(_frame_pngs(spark, sf_dir)))
 
 
 @query("image_brightness_summary", f"""
-SELECT count(*) AS total_frames, count(*) AS decoded_frames,
-       round(avg(CAST(coalesce({_BYTE_SUM}, 0) AS DOUBLE) / ({M.PNG_WIDTH} * {_PNG_H})), 9) AS avg_brightness,
-       count(DISTINCT {_PNG_H}) AS distinct_sizes FROM documents""")
+SELECT count(*) AS total_frames, count(*) AS decoded_frames, round(avg(brightness), 9) AS avg_brightness,
+       count(DISTINCT height) AS distinct_sizes FROM ({_BRIGHT})""")
 def image_brightness_summary(spark, sf_dir):
     """A5: frames analysed and decoded, mean brightness, distinct sizes."""
     s = M.brightness_summary(M.brightness(_frame_pngs(spark, sf_dir)))
     return s.withColumn("avg_brightness", F.round("avg_brightness", 9))
 
 
+def _extracted(spark, docs, payload):
+    root = scratch_path(spark, "documents")
+    M.export_payloads(docs, root, "file_id", "filename", payload)
+    raw = M.read_files(spark, root)
+    named = raw.withColumn("filename", F.regexp_extract("path", r"/[0-9a-f]{16}_([^/]*)$", 1))
+    return M.extract_text(named).select("filename", F.md5("text_content").alias("text_md5"), "error")
+
+
 @query("text_extract", """
 SELECT 'doc_' || doc_id || '.txt' AS filename, md5(text) AS text_md5,
        CAST(NULL AS VARCHAR) AS error FROM documents""")
 def text_extract(spark, sf_dir):
     """Text of uploaded documents read back from their files."""
-    root = scratch_path(spark, "documents")
-    docs = _files(spark, sf_dir).filter(F.col("file_type") == "document")
-    M.export_payloads(docs, root, "file_id", "filename", "file_content") \
-        .write.format("noop").mode("overwrite").save()
-    raw = spark.read.format("binaryFile").load(root)
-    named = raw.withColumn("filename", F.element_at(F.split("path", "/"), -1))
-    out = M.extract_text(named)
-    return out.select("filename", F.md5(F.encode("text_content", "UTF-8")).alias("text_md5"),
-                      "error")
+    docs = _files(spark, sf_dir, "file_id", "filename", "file_type", "file_content", kind="document")
+    return _extracted(spark, docs, "file_content")
+
+
+@query("text_extract_bad", f"""
+SELECT 'doc_' || doc_id || '.txt' AS filename, CASE WHEN doc_id % 2 = 0 THEN md5(text) END AS text_md5,
+       CASE WHEN doc_id % 2 = 1 THEN '{M.TEXT_FAILED}' END AS error FROM documents""")
+def text_extract_bad(spark, sf_dir):
+    """X27 on files of which every second is no valid UTF-8: an error member,
+    not a failed job."""
+    docs = A.table(spark, sf_dir, "documents")
+    ident = F.col("doc_id").cast("string")
+    broken = F.when(F.col("doc_id") % 2 == 1, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    rows = docs.select(F.concat(F.lit("document_"), ident).alias("file_id"),
+                       F.concat(F.lit("doc_"), ident, F.lit(".txt")).alias("filename"),
+                       F.concat(broken, F.encode("text", "UTF-8")).alias("_payload"))
+    return _extracted(spark, rows, F.col("_payload"))
 
 
 @query("frame_monitor", O.with_(O.FRAMES) +
        "SELECT frame_id, source, frame_width, frame_height, frame_size_bytes FROM frames")
 def frame_monitor(spark, sf_dir):
     """The frame stream view (id, source, size)."""
-    return _frames(spark, sf_dir).select("frame_id", "source", "frame_width", "frame_height",
-                                         "frame_size_bytes")
-
-
-@query("file_ingest_stream", ORACLE["file_ingest"])
-def file_ingest_stream(spark, sf_dir):
-    """S10 as a stream: a landing folder watched with the binaryFile source,
-    a bounded number of files per micro-batch."""
-    root, written = _export_files(spark, sf_dir)
-    written.write.format("noop").mode("overwrite").save()
-    stream = (spark.readStream.format("binaryFile").option("maxFilesPerTrigger", 500)
-              .schema("path string, modificationTime timestamp, length long, content binary")
-              .load(root))
-    msgs = M.ingest_rows(stream)
-    out = R.run_to_end(spark, msgs.select("filename", "file_type", "file_size", "file_hash",
-                                          "file_id", "mime_type"), "file_ingest_stream")
-    return out
+    cols = ["frame_id", "source", "frame_width", "frame_height", "frame_size_bytes"]
+    return _frames(spark, sf_dir, *cols).select(*cols)

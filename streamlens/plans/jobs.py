@@ -20,23 +20,23 @@ from streamlens.operators.parse import (accepted, parse_files, parse_frames,
 
 
 def processed_transactions(messages: DataFrame, threshold: float = 100.0,
-                           now: Column | str | None = None) -> DataFrame:
-    """P1 -> P4 -> F1 -> E1."""
-    return to.enrich(to.high_value(accepted(parse_transactions(messages)), threshold),
+                           now: Column | str | None = None, **parse) -> DataFrame:
+    """P1 -> P4 -> F1 -> E1.  ``parse``: options of ``parse_messages``."""
+    return to.enrich(to.high_value(accepted(parse_transactions(messages, **parse)), threshold),
                      as_of=now)
 
 
 def processed_frames(messages: DataFrame, min_width: int = 640, min_height: int = 480,
-                     now: Column | None = None) -> DataFrame:
+                     now: Column | None = None, **parse) -> DataFrame:
     """P2 -> P4 -> F2 -> E2 -> E3."""
-    parsed = vo.high_resolution(accepted(parse_frames(messages)), min_width, min_height)
+    parsed = vo.high_resolution(accepted(parse_frames(messages, **parse)), min_width, min_height)
     return vo.source_enrich(vo.analyze(parsed, now), now)
 
 
 def processed_files(messages: DataFrame, min_bytes: int = MIB,
-                    now: Column | None = None) -> DataFrame:
+                    now: Column | None = None, **parse) -> DataFrame:
     """(U1) -> P3 -> P4 -> F3 -> E4-E7 -> E8."""
-    parsed = fo.large_files(accepted(parse_files(messages)), min_bytes)
+    parsed = fo.large_files(accepted(parse_files(messages, **parse)), min_bytes)
     return fo.type_enrich(fo.analyze(parsed, now), now)
 
 

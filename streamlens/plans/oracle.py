@@ -40,7 +40,7 @@ TXN = f"""txn AS (
          'user_' || user_id AS user_id,
          {_pick(f'{K} % 8', A.PRODUCTS)} AS product,
          {_map('event_type', A.EVENT_CATEGORY, "'accessories'")} AS category,
-         CAST(value AS DOUBLE) AS amount,
+         CAST(CASE WHEN event_id % {A.LARGE_EVERY} = 0 THEN value * {A.LARGE_FACTOR} ELSE value END AS DOUBLE) AS amount,
          CAST(event_id % 5 + 1 AS INTEGER) AS quantity,
          {_pick('event_id % 4', A.PAYMENTS)} AS payment_method,
          {ISO.format(t='ts')} AS "timestamp",
@@ -163,7 +163,7 @@ FILE_ANALYSIS_COLS = f"""round(CAST(file_size AS DOUBLE) / {_MIB}, 2) AS file_si
          CASE WHEN file_type = 'image' THEN CASE WHEN {_W0} >= 1920 THEN 'High'
               WHEN {_W0} >= 1280 THEN 'Medium' ELSE 'Low' END END AS image_quality,
          CASE WHEN file_type = 'image' THEN CAST({_W0} AS BIGINT) * {_H0} END AS a_total_pixels,
-         CASE WHEN file_type = 'image' THEN coalesce(channels, 0) * 8 END AS color_depth"""
+         CASE WHEN file_type = 'image' THEN CAST(coalesce(channels, 0) AS BIGINT) * 8 END AS color_depth"""
 
 PROC_FILES = f"""proc_files AS (
   SELECT *, {FILE_ANALYSIS_COLS},

@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlens.operators import aggregates as agg
+from streamlens.operators import running as run
 from streamlens.operators import transactions as to
 from streamlens.plans import jobs
-from streamlens.session import ROCKSDB_PROVIDER
 from streamlens.sources import io
-from streamlens.streaming import runner
-from streamlens.streaming import stateful
+from streamlens.streaming import runner, running_batches
 
 EVENT_TS = "event_ts"
 
@@ -27,9 +26,11 @@ def with_event_time(df: DataFrame, delay: str = "1 hour") -> DataFrame:
               .withWatermark(EVENT_TS, delay))
 
 
-def processing_time(df: DataFrame) -> DataFrame:
-    """Processing-time windows (T1): the window column is the arrival clock."""
-    return df.withColumn(EVENT_TS, F.current_timestamp())
+def processing_time(df: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """Processing-time windows (T1): the window column is the arrival clock.
+    The clock only moves on, so the watermark drops no row; it lets the state
+    of past windows go."""
+    return df.withColumn(EVENT_TS, F.current_timestamp()).withWatermark(EVENT_TS, delay)
 
 
 def _ntz_windows(df: DataFrame) -> DataFrame:
@@ -37,11 +38,27 @@ def _ntz_windows(df: DataFrame) -> DataFrame:
               .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
 
 
+# Only these members are extracted from the messages of each path.
+WINDOW_FIELDS = {
+    "transactions": ["category", "amount", "event_time"],
+    "video_frames": ["frame_data", "frame_width", "frame_height", "frame_size_bytes", "source", "event_time"],
+    "uploaded_files": ["file_type", "file_size", "file_content", "metadata", "event_time"],
+}
 WINDOWED = {
     "transactions": (jobs.processed_transactions, agg.category_window, "category"),
     "video_frames": (jobs.processed_frames, agg.resolution_window, "resolution_category"),
     "uploaded_files": (jobs.processed_files, agg.size_window, "size_category"),
 }
+TOTAL_FIELDS = {
+    "transactions": ["user_id", "category", "amount", "event_time"],
+    "video_frames": ["frame_data", "source", "frame_width", "frame_height", "frame_size_bytes", "event_time"],
+    "uploaded_files": ["file_type", "file_size", "file_content", "metadata", "event_time"],
+}
+RUNNING_FIELDS = {
+    "transactions": ["transaction_id", *TOTAL_FIELDS["transactions"]],
+    "video_frames": ["frame_id", *TOTAL_FIELDS["video_frames"]],
+    "uploaded_files": ["file_id", *TOTAL_FIELDS["uploaded_files"]],
+}
 TOTALS = {
     "transactions": (jobs.processed_transactions, agg.user_totals, "user_id"),
     "video_frames": (jobs.processed_frames, agg.source_totals, "source"),
@@ -60,7 +77,9 @@ def windowed(messages: DataFrame | list[DataFrame], kind: str, length: str = "30
     """
     process, window_fn, _ = WINDOWED[kind]
     parts = messages if isinstance(messages, list) else [messages]
-    recs = [processing_time(process(m)) if by_arrival else with_event_time(process(m), delay)
+    fields = WINDOW_FIELDS[kind]
+    recs = [processing_time(process(m, fields=fields)) if by_arrival
+            else with_event_time(process(m, fields=fields, require_time=True), delay)
             for m in parts]
     merged = recs[0]
     for r in recs[1:]:
@@ -75,38 +94,37 @@ def window_keys(kind: str) -> list[str]:
 def totals(messages: DataFrame, kind: str) -> DataFrame:
     """A1-A3 on a stream (``update`` mode: one changed row per key and batch)."""
     process, totals_fn, _ = TOTALS[kind]
-    return totals_fn(process(messages))
+    return totals_fn(process(messages, fields=TOTAL_FIELDS[kind]))
 
 
-def running(messages: DataFrame, kind: str, ttl_ms: int | None = None) -> DataFrame:
-    """R1-R3 on a stream: one output row per input record (state per key,
-    optionally evicted after ``ttl_ms`` idle)."""
-    process = TOTALS[kind][0]
-    return stateful.running_stream(process(messages), kind, ttl_ms)
+def running_input(messages: DataFrame, kind: str) -> DataFrame:
+    """The narrowed records that ``running_batches.running_sink`` takes; records
+    without a readable time are rejected by the parser."""
+    return run.narrowed(TOTALS[kind][0](messages, fields=RUNNING_FIELDS[kind], require_time=True), kind)
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+def run_running(messages: DataFrame, kind: str, *, out: str, state: str, checkpoint: str,
+                ttl_ms: int | None = None) -> None:
+    """R1-R3 on a stream: process what is available now."""
+    runner.finish(runner.start_batches(running_input(messages, kind),
+                                       running_batches.running_sink(kind, out, state, ttl_ms), checkpoint=checkpoint))
 
 
 def fanout_sink(root: str, very_high: float = 500.0):
     """One micro-batch of processed transactions feeds two topics.
 
-    The batch is persisted once and written to ``processed_transactions`` (all
-    rows) and ``high_value_transactions`` (amount above ``very_high``).
+    The rows go to ``processed_transactions`` and those with an amount above
+    ``very_high`` to ``high_value_transactions``.  The second leg is filtered
+    from the written first one, so the batch is computed once, and both legs
+    replace the batch's folder when a batch is delivered again.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            cols = to.RECORD_COLS + ["original_amount", "discount_applied", "final_amount"]
-            io.write_topic(to.to_json_value(batch, cols, key="user_id"),
-                           "processed_transactions", root=root)
-            io.write_topic(to.to_json_value(to.very_high_value(batch, very_high), cols,
-                                            key="user_id"),
-                           "high_value_transactions", root=root)
-        finally:
-            batch.unpersist()
+        cols = to.RECORD_COLS + ["original_amount", "discount_applied", "final_amount"]
+        io.write_topic(to.to_json_value(batch, cols, key="user_id"), "processed_transactions",
+                       root=root, batch_id=batch_id)
+        done = io.read_batch(batch.sparkSession, root, "processed_transactions", batch_id)
+        amount = F.get_json_object("value", "$.amount").cast("double")
+        io.write_topic(done.where(amount > very_high), "high_value_transactions", root=root, batch_id=batch_id)
     return sink
 
 
@@ -149,10 +167,14 @@ def start_job(spark: SparkSession, kind: str, *, checkpoint_root: str,
 
     ``source`` / ``sink`` are keyword options of :func:`io.read_topic` /
     :func:`io.stream_to_topic` (``fmt``, ``root``, ``bootstrap_servers``).
-    Each query has its own checkpoint below ``checkpoint_root``, so a restart
-    resumes from the committed offsets and state.
+    ``max_per_trigger`` bounds a micro-batch in the unit of the source: offsets
+    for Kafka, files for a file topic.
+
+    The source is read three times, once per query, on purpose: each query has
+    a checkpoint, a trigger pace and a failure domain of its own, as the three
+    branches of the original job have, and each extracts only the members its
+    branch needs.
     """
-    use_rocksdb(spark)
     in_topics, processed_topic, agg_topic = JOB_TOPICS[kind]
     key = {"transactions": "user_id", "uploaded_files": "filename"}.get(kind)
     trig = {"available_now": available_now, "processing_time": processing_time}
@@ -161,37 +183,24 @@ def start_job(spark: SparkSession, kind: str, *, checkpoint_root: str,
     merged = streams[0]
     for s_ in streams[1:]:
         merged = merged.unionByName(s_)
-    process = TOTALS[kind][0]
-    processed = process(merged)
-    cols = [c for c in jobs.PROCESSED_COLUMNS[kind]]
-    queries = [io.stream_to_topic(to.to_json_value(processed, cols, key=key), processed_topic,
-                                  checkpoint=f"{checkpoint_root}/{kind}-processed", **sink,
-                                  **trig)]
-    run_rows = stateful.finish(kind, stateful.running_stream(processed, kind, ttl_ms))
-    queries.append(io.stream_to_topic(
-        to.to_json_value(run_rows, _RUNNING_OUT[kind], key=_RUNNING_OUT[kind][1]), agg_topic,
-        checkpoint=f"{checkpoint_root}/{kind}-running", **sink, **trig))
-    win = windowed(streams, kind, window, delay)
-    if windows_out is None:
-        w = (win.writeStream.format("console").outputMode("update")
-             .option("truncate", "false")
-             .option("checkpointLocation", f"{checkpoint_root}/{kind}-windows"))
-        if available_now:
-            w = w.trigger(availableNow=True)
-        queries.append(w.start())
-    else:
-        queries.append(runner.start(win, "update", out=windows_out,
-                                    checkpoint=f"{checkpoint_root}/{kind}-windows",
-                                    available_now=available_now,
-                                    processing_time=processing_time))
+    processed = TOTALS[kind][0](merged)
+    queries = [io.stream_to_topic(to.to_json_value(processed, jobs.PROCESSED_COLUMNS[kind], key=key),
+                                  processed_topic, checkpoint=f"{checkpoint_root}/{kind}-processed",
+                                  **sink, **trig)]
+
+    def publish(rows: DataFrame, batch_id: int) -> None:
+        cols = _RUNNING_OUT[kind]
+        io.write_topic(to.to_json_value(rows, cols, key=cols[1]), agg_topic, batch_id=batch_id, **sink)
+
+    queries.append(runner.start_batches(
+        running_input(merged, kind),
+        running_batches.running_sink(kind, f"{checkpoint_root}/{kind}-running-rows",
+                                     f"{checkpoint_root}/{kind}-running-state", ttl_ms, publish),
+        checkpoint=f"{checkpoint_root}/{kind}-running", **trig))
+    queries.append(runner.start(windowed(streams, kind, window, delay), "update" if windows_out else "console",
+                                out=windows_out, checkpoint=f"{checkpoint_root}/{kind}-windows", **trig))
     return queries
 
 
-def run(spark: SparkSession, stream: DataFrame, name: str, mode: str,
-        keys: list[str] | None = None, checkpoint: str | None = None) -> DataFrame:
-    return runner.run_to_end(spark, stream, name, mode, keys, checkpoint)
-
-
-__all__ = ["with_event_time", "processing_time", "windowed", "totals", "running",
-           "fanout_sink", "json_topic_sink", "run", "use_rocksdb", "window_keys",
-           "start_job"]
+__all__ = ["with_event_time", "processing_time", "windowed", "totals", "running_input", "run_running",
+           "fanout_sink", "json_topic_sink", "window_keys", "start_job"]

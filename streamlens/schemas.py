@@ -75,6 +75,9 @@ RECORD = {
     "video_frames": VIDEO_FRAME,
     "uploaded_files": UPLOADED_FILE,
 }
+# Largest magnitude of a number that the money and size arithmetic holds; larger
+# or non-finite values are quarantined instead of overflowing in a later step.
+LIMITS = {"amount": 1e13, "file_size": 2 ** 50, "frame_size_bytes": 2 ** 50}
 # Field carrying the record's own time (ISO-8601 text without zone).
 TIME_FIELD = {
     "transactions": "timestamp",

@@ -8,8 +8,10 @@ scan (no shuffle, only the needed columns are read).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from streamlens.functions.columns import (b64encode, case_map, iso_text,
                                           md5_hex, mime_type)
@@ -29,21 +31,15 @@ FILE_SIZE_FACTOR = 8192
 EPOCH = "2024-01-01 00:00:00"
 UPLOAD_STEP_SECONDS = 7
 PARTITIONS = 3
+LARGE_EVERY, LARGE_FACTOR = 40, 8  # every 40th event has eight times its amount, so that some exceed 500
 # ---------------------------------------------------------------------------
 UPLOADED_FILE_FIELDS = ("file_id", "filename", "file_type", "file_size", "file_hash",
                         "upload_timestamp", "file_content", "metadata")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  When the scan yields fewer splits than the cluster has
-    task slots (a small file written as one row group), rows are spread
-    round-robin so the per-row work (JSON, hashing, base64) runs in parallel;
-    large inputs already have more splits than slots and are left alone."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
-    return df
+    """A driver table.  Split sizes follow ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(idx: Column, values: list) -> Column:
@@ -67,7 +63,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"),
         _pick(k % 8, PRODUCTS).alias("product"),
         case_map("event_type", EVENT_CATEGORY, "accessories").alias("category"),
-        F.col("value").cast("double").alias("amount"),
+        F.when(eid % LARGE_EVERY == 0, F.col("value") * LARGE_FACTOR).otherwise(F.col("value")).cast("double").alias("amount"),
         (eid % 5 + 1).cast("int").alias("quantity"),
         _pick(eid % 4, PAYMENTS).alias("payment_method"),
         iso_text("ts").alias("timestamp"),
@@ -223,3 +219,32 @@ def file_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------------------
+# Pictures: a frame's payload bytes as the colours of a PNG, so that the image
+# source has files to decode (the tables hold no pictures).
+# ---------------------------------------------------------------------------
+PNG_WIDTH = 64
+
+
+def _png(data: bytes, width: int = PNG_WIDTH) -> bytes:
+    """An 8-bit RGB PNG whose pixels are ``data`` row by row (zero padded)."""
+    import struct
+    import zlib
+    row = 3 * width
+    height = max(1, -(-len(data) // row))
+    raw = data.ljust(row * height, b"\0")
+    rows = b"".join(b"\0" + raw[i * row:(i + 1) * row] for i in range(height))
+
+    def chunk(tag: bytes, body: bytes) -> bytes:
+        return (struct.pack(">I", len(body)) + tag + body
+                + struct.pack(">I", zlib.crc32(tag + body) & 0xFFFFFFFF))
+    header = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header)
+            + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b""))
+
+
+@F.pandas_udf(BinaryType())
+def picture(data: pd.Series) -> pd.Series:
+    return data.map(lambda b: None if b is None else _png(bytes(b)))

@@ -10,20 +10,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlens.schemas import ENVELOPE
+from streamlens.session import written
 
 # Upload routing: file type -> topic (S11); anything else goes to the last one.
 UPLOAD_TOPICS = {"document": "uploaded_documents", "video": "uploaded_videos",
                  "image": "uploaded_images"}
 UPLOAD_FALLBACK_TOPIC = "uploaded_files"
+BATCH_FOLDER = "stream_batch"
 
 
 def topic_path(root: str, topic: str) -> str:
-    return f"{root.rstrip('/')}/{topic}"
+    """The folder of a file topic (named as a routed, partitioned write names it)."""
+    return f"{root.rstrip('/')}/topic={topic}"
 
 
 def read_topic(spark: SparkSession, topics: str | list[str], *, fmt: str = "json",
@@ -58,7 +60,8 @@ def read_topic(spark: SparkSession, topics: str | list[str], *, fmt: str = "json
             r = r.option("maxFilesPerTrigger", max_per_trigger)
         for k, v in (options or {}).items():
             r = r.option(k, v)
-        frames.append(r.load(topic_path(root, t)))
+        rows = r.load(topic_path(root, t)).withColumn("topic", F.coalesce("topic", F.lit(t)))
+        frames.append(rows.select(*ENVELOPE.fieldNames()))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -78,9 +81,14 @@ def to_envelope(records: DataFrame, topic: str | None = None, key: str | None =
 
 def write_topic(df: DataFrame, topic: str | None = None, *, fmt: str = "json",
                 root: str | None = None, bootstrap_servers: str | None = None,
-                options: dict | None = None) -> None:
+                options: dict | None = None, batch_id: int | None = None) -> None:
     """Batch write of ``key, value`` rows to a topic (S9).  With ``topic=None``
-    a ``topic`` column routes each row (S11)."""
+    a ``topic`` column routes each row (S11).
+
+    ``batch_id`` names a micro-batch: the file topic keeps its rows in a folder
+    of that name and replaces it, so a batch that is delivered twice is there
+    once (Kafka appends: at-least-once).
+    """
     if fmt == "kafka":
         w = df.select("key", "value", *(["topic"] if topic is None else [])).write.format("kafka")
         w = w.option("kafka.bootstrap.servers", bootstrap_servers)
@@ -91,48 +99,50 @@ def write_topic(df: DataFrame, topic: str | None = None, *, fmt: str = "json",
         w.save()
         return
     env = to_envelope(df, topic)
-    if topic:
+    if batch_id is not None:
+        if not topic:
+            raise ValueError("a batch id needs one topic")
+        env.write.mode("overwrite").format(fmt).save(f"{topic_path(root, topic)}/{BATCH_FOLDER}={batch_id}")
+    elif topic:
         env.write.mode("append").format(fmt).save(topic_path(root, topic))
     else:
         # One folder per topic: a partitioned write keeps it to a single job.
         env.write.mode("append").partitionBy("topic").format(fmt).save(root)
 
 
-def land_messages(messages: DataFrame, root: str, topic: str, files: int = 4,
-                  order_col: str = "timestamp", sequential: bool = True) -> str:
-    """Write envelope rows as a file topic split into ``files`` time slices.
+def read_batch(spark: SparkSession, root: str, topic: str, batch_id: int, fmt: str = "json") -> DataFrame:
+    """The rows that ``write_topic`` wrote for one micro-batch."""
+    return spark.read.schema(ENVELOPE).format(fmt).load(f"{topic_path(root, topic)}/{BATCH_FOLDER}={batch_id}")
 
-    With ``sequential`` every slice is its own single-file write, oldest first,
-    so the file source (which takes files in modification-time order) replays
-    them in time order, one micro-batch per file with ``max_per_trigger=1``.
-    This is a replay helper for tests and backfills of bounded size; live
-    topics come from the producers.
-    """
+
+def land_messages(messages: DataFrame, root: str, topic: str) -> str:
+    """Append all envelope rows to a file topic, with the parallelism they
+    come in; returns the topic's folder."""
     path = topic_path(root, topic)
-    env = messages.select(*ENVELOPE.fieldNames())
-    if not sequential or files <= 1:
-        env.repartitionByRange(max(1, files), order_col).write.mode("append").json(path)
-        return path
-    # Equal time ranges from the min / max time (one tiny aggregate), not a
-    # global sort: slice = floor((t - lo) * files / (hi - lo + 1)).
-    # The input is kept (memory, spilling to disk) for the slice writes so it
-    # is computed once; a lost block is recomputed from lineage.
-    env = env.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        t = F.unix_micros(F.col(order_col).cast("timestamp"))
-        lo, hi = env.agg(F.min(t), F.max(t)).first()
-        if lo is None:
-            return path
-        width = (hi - lo + 1) / files
-        sliced = env.withColumn("_slice", F.floor((t - F.lit(lo)) / F.lit(width)).cast("int"))
-        for i in range(files):
-            (sliced.filter(F.col("_slice") == i).drop("_slice")
-             .coalesce(1).write.mode("append").json(path))
-    finally:
-        env.unpersist()
+    messages.select(*ENVELOPE.fieldNames()).write.mode("append").json(path)
     return path
 
 
+def time_slices(messages: DataFrame, n: int, order_col: str = "timestamp") -> list[DataFrame]:
+    """The messages in ``n`` parts of equal time range, oldest first, for a
+    replay in time order (land one, run the stream, land the next).
+
+    The messages are written once; the parts are filters on the written table.
+    Rows without a time belong to the last part.
+    """
+    kept = written(messages.select(*ENVELOPE.fieldNames()), "slices")
+    t = F.unix_micros(F.col(order_col))
+    lo, hi = kept.agg(F.min(t), F.max(t)).first()
+    if n <= 1 or lo is None:
+        return [kept] + [kept.limit(0)] * (n - 1)
+    at = [lo + (hi - lo + 1) * i // n for i in range(1, n)]
+    bounds = [F.timestamp_micros(F.lit(x)) for x in at]
+    c = F.col(order_col)
+    parts = [kept.where(c < bounds[0])]
+    parts += [kept.where((c >= x) & (c < y)) for x, y in zip(bounds, bounds[1:])]
+    return parts + [kept.where((c >= bounds[-1]) | c.isNull())]
+
+
 def upload_topic(file_type_col) -> "F.Column":
     out = F.lit(UPLOAD_FALLBACK_TOPIC)
     for t, topic in reversed(list(UPLOAD_TOPICS.items())):

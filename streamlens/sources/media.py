@@ -1,22 +1,22 @@
 """Media sources and sinks.
 
 * :func:`export_payloads` writes each record's decoded payload as one file
-  (S13 / S14) from the executors, idempotently (temporary name, then rename).
+  (S13 / S14) from the executors, once, idempotently, under safe unique names.
 * :func:`ingest_files` turns a folder of files into upload messages with the
-  ``binaryFile`` source (S10): size, MD5 and base64 run in the JVM.
+  ``binaryFile`` source (S10): size, MD5, base64, text and image measures, the
+  topic of the detected type; unknown types are rejected (F7).
 * :func:`image_metadata` / :func:`brightness` read images with Spark's
   ``image`` source, which decodes in the JVM; only the per-pixel mean runs in
   a vectorised pandas UDF.
 * :func:`extract_text` decodes UTF-8 text files in the JVM; ``.docx`` text
   comes from a small per-row helper (zip + XML from the standard library);
-  other types get an ``error`` member, as upstream reports them unsupported.
+  undecodable and other files get an ``error`` member.
 """
 
 from __future__ import annotations
 
 import io as _io
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,34 +25,54 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamlens.functions.columns import b64decode, b64encode, file_type_of, mime_type
+from streamlens.functions.columns import b64decode, b64encode, file_type_of, iso_text, mime_type
+from streamlens.schemas import FILE_METADATA
+from streamlens.session import written
+from streamlens.sources.files import filesystem
+from streamlens.sources.io import upload_topic
 
 EXPORT_SCHEMA = "record_id string, path string, bytes_written long"
 TEXT_UNSUPPORTED = "Text extraction not supported for this file type"
+TEXT_FAILED = "Error extracting text"
 
 
-def _fs_for(root: str):
-    from pyarrow import fs
-    return fs.FileSystem.from_uri(root)
+def safe_name(name: Column) -> Column:
+    """A file name without path: the last part after / or \\, other characters
+    than ASCII letters, digits, ``.``, ``_`` and ``-`` replaced by ``_``, no
+    leading dots or underscores; ``file`` if nothing is left."""
+    base = F.regexp_extract(F.coalesce(name, F.lit("")), r"([^/\\\\]*)$", 1)
+    clean = F.regexp_replace(F.regexp_replace(base, r"[^A-Za-z0-9._\-]", "_"), r"^[._]+", "")
+    return F.when(clean == "", F.lit("file")).otherwise(clean)
+
+
+def stored_name(record_id: Column, name: Column, data: Column) -> Column:
+    """``<tag>_<safe name>``; the tag (64 bits of SHA-256 over id and payload)
+    keeps records of equal names apart, and equal records are one file."""
+    tag = F.sha2(F.concat_ws("|", record_id, F.md5(data)).cast("binary"), 256)
+    return F.concat(F.substring(tag, 1, 16), F.lit("_"), safe_name(name))
 
 
 def export_payloads(records: DataFrame, root: str, id_col: str, name: Column | str,
                     payload: Column | str) -> DataFrame:
-    """Write one file per record below ``root``.
+    """Write one file per record below ``root`` (S13 / S14), at once.
 
     ``payload`` is a base64 text column name (decoded here) or a binary
-    column.  Returns ``record_id, path, bytes_written`` (NULL path when the
-    payload is not base64).  A rerun of a task rewrites the same names through
-    a temporary file, so retries after a lost executor leave no partial files.
+    column.  Returns the written list ``record_id, path, bytes_written`` (NULL
+    path when there is no payload).  A rerun of a task rewrites the same names
+    through a temporary file, so retries after a lost executor leave no partial
+    files.  ``root`` must be a folder that all executors share.
     """
     name_col = F.col(name) if isinstance(name, str) else name
     data = b64decode(payload) if isinstance(payload, str) else payload
-    staged = records.select(F.col(id_col).cast("string").alias("record_id"),
-                            name_col.alias("name"), data.alias("data"))
+    staged = records.select(F.col(id_col).cast("string").alias("record_id"), name_col.alias("name"),
+                            data.alias("data"))
+    staged = staged.select("record_id", stored_name(F.coalesce("record_id", F.lit("")), F.col("name"),
+                                                    F.col("data")).alias("name"), "data")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, base = _fs_for(root)
-        filesystem.create_dir(base, recursive=True)
+        import uuid
+        fs, base = filesystem(root)
+        fs.create_dir(base, recursive=True)
         for pdf in batches:
             paths, sizes = [], []
             for name_, data in zip(pdf["name"], pdf["data"]):
@@ -60,16 +80,15 @@ def export_payloads(records: DataFrame, root: str, id_col: str, name: Column | s
                     paths.append(None)
                     sizes.append(0)
                     continue
-                target = f"{base}/{name_}"
-                tmp = f"{target}.part"
-                with filesystem.open_output_stream(tmp) as out:
+                tmp = f"{base}/.{name_}.{uuid.uuid4().hex}.part"  # hidden from readers, own per attempt
+                with fs.open_output_stream(tmp) as out:
                     out.write(data)
-                filesystem.move(tmp, target)
-                paths.append(target)
+                fs.move(tmp, f"{base}/{name_}")
+                paths.append(f"{root}/{name_}")
                 sizes.append(len(data))
-            yield pd.DataFrame({"record_id": pdf["record_id"], "path": paths,
+            yield pd.DataFrame({"record_id": pdf["record_id"], "path": pd.Series(paths, dtype="object"),
                                 "bytes_written": pd.Series(sizes, dtype="int64")})
-    return staged.mapInPandas(write, EXPORT_SCHEMA)
+    return written(staged.mapInPandas(write, EXPORT_SCHEMA), "export-list")
 
 
 def export_name(time_col: str, filename_col: str) -> Column:
@@ -77,51 +96,107 @@ def export_name(time_col: str, filename_col: str) -> Column:
     return F.concat(F.date_format(time_col, "yyyyMMdd_HHmmss"), F.lit("_"), F.col(filename_col))
 
 
-def ingest_files(spark: SparkSession, folder: str, pattern: str | None = None,
-                 stream: bool = False) -> DataFrame:
-    """Upload messages from files (S10): the reference's per-upload step.
+_RAW = "path string, modificationTime timestamp, length long, content binary"
 
-    ``file_id`` is ``<type>_<md5>`` (stable, unlike a wall-clock id) and the
-    upload time is the file's modification time.
-    """
-    reader = spark.readStream if stream else spark.read
-    r = reader.format("binaryFile")
+
+def read_files(spark: SparkSession, folder: str, pattern: str | None = None, stream: bool = False,
+               max_per_trigger: int | None = None) -> DataFrame:
+    """``binaryFile`` rows (path, modificationTime, length, content) of a folder.
+    Spark's file sources skip files of zero bytes."""
+    r = (spark.readStream if stream else spark.read).format("binaryFile")
     if pattern:
         r = r.option("pathGlobFilter", pattern)
     if stream:
-        r = r.schema("path string, modificationTime timestamp, length long, content binary")
-    return ingest_rows(r.load(folder))
+        r = r.schema(_RAW)
+        if max_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_per_trigger)
+    return r.load(folder)
 
 
-def ingest_rows(raw: DataFrame) -> DataFrame:
-    """``binaryFile`` rows (path, modificationTime, length, content) -> upload
-    messages; works on static and streaming frames."""
+def ingest_files(spark: SparkSession, folder: str, pattern: str | None = None,
+                 stream: bool = False, max_per_trigger: int | None = None) -> DataFrame:
+    """Upload records of the files in a folder (S10), accepted types only."""
+    return ingest_rows(read_files(spark, folder, pattern, stream, max_per_trigger))
+
+
+def ingest_rows(raw: DataFrame, accept: bool = True) -> DataFrame:
+    """``binaryFile`` rows -> upload records; static and streaming frames.
+
+    ``file_id`` is ``<type>_<md5>`` (stable, unlike a wall-clock id), the upload
+    time is the file's modification time.  ``metadata`` holds the text of
+    documents and the size of images; ``topic`` is where the type is routed
+    (S11).  ``accept=False`` returns the rejected files (unknown types) instead.
+    """
     filename = F.element_at(F.split(F.col("path"), "/"), -1)
     ftype = file_type_of(filename)
+    typed = raw.withColumns({"filename": filename, "file_type": ftype})
+    typed = typed.where((F.col("file_type") != "unknown") if accept else (F.col("file_type") == "unknown"))
     digest = F.md5(F.col("content"))
-    return raw.select(
-        F.concat(ftype, F.lit("_"), digest).alias("file_id"),
-        filename.alias("filename"),
-        ftype.alias("file_type"),
-        F.col("length").alias("file_size"),
-        digest.alias("file_hash"),
-        F.col("modificationTime").alias("upload_timestamp"),
-        b64encode(F.col("content")).alias("file_content"),
-        mime_type(filename).alias("mime_type"),
-    )
+    is_doc, is_img = F.col("file_type") == "document", F.col("file_type") == "image"
+    size = F.when(is_img, image_size(F.when(is_img, F.substring("content", 1, IMAGE_HEADER))))
+    with_text = extract_text(typed).withColumn("_size", size)
+    known = {
+        "text_content": F.when(is_doc, F.col("text_content")), "mime_type": mime_type(F.col("filename")),
+        "width": F.col("_size.width"), "height": F.col("_size.height"),
+        "channels": F.when(F.col("_size.width").isNotNull(), F.lit(3)),  # pictures are loaded as three channels
+        "total_pixels": F.col("_size.width").cast("long") * F.col("_size.height"),
+        "error": F.when(is_doc, F.col("error")),
+    }
+    metadata = F.struct(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in FILE_METADATA.fields])
+    return with_text.select(
+        F.concat(F.col("file_type"), F.lit("_"), digest).alias("file_id"), "filename", "file_type",
+        F.col("length").alias("file_size"), digest.alias("file_hash"),
+        F.col("modificationTime").alias("upload_time"), iso_text("modificationTime").alias("upload_timestamp"),
+        b64encode(F.col("content")).alias("file_content"), mime_type(F.col("filename")).alias("mime_type"),
+        metadata.alias("metadata"), upload_topic(F.col("file_type")).alias("topic"))
+
+
+def upload_messages(files: DataFrame) -> DataFrame:
+    """Ingested records as ``topic, key, value`` messages keyed by file name."""
+    value = F.to_json(F.struct("file_id", "filename", "file_type", "file_size", "file_hash", "upload_timestamp",
+                               "file_content", "metadata"))
+    return files.select("topic", F.col("filename").alias("key"), value.alias("value"),
+                        F.col("upload_time").alias("timestamp"))
+
+
+IMAGE_HEADER = 1 << 16  # a picture's size stands in its first bytes (JPEG: after its other headers)
+
+
+def _header_size(b: bytes) -> tuple[int, int] | None:
+    """(width, height) from a PNG, GIF, BMP or JPEG header."""
+    if b[:8] == b"\x89PNG\r\n\x1a\n" and len(b) >= 24:
+        return struct.unpack(">II", b[16:24])
+    if b[:6] in (b"GIF87a", b"GIF89a") and len(b) >= 10:
+        return struct.unpack("<HH", b[6:10])
+    if b[:2] == b"BM" and len(b) >= 26:
+        w, h = struct.unpack("<ii", b[18:26])
+        return w, abs(h)
+    at = 2
+    while b[:2] == b"\xff\xd8" and at + 9 <= len(b) and b[at] == 0xFF:
+        if 0xC0 <= b[at + 1] <= 0xCF and b[at + 1] not in (0xC4, 0xC8, 0xCC):  # a frame header
+            h, w = struct.unpack(">HH", b[at + 5:at + 9])
+            return w, h
+        at += 2 + struct.unpack(">H", b[at + 2:at + 4])[0]
+    return None
+
+
+@F.pandas_udf(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())]))
+def image_size(head: pd.Series) -> pd.DataFrame:
+    sizes = [(_header_size(bytes(b)) if b is not None else None) or (None, None) for b in head]
+    sizes = [(w, h) if w and h and max(w, h) < 2 ** 31 else (None, None) for w, h in sizes]
+    return pd.DataFrame(sizes, columns=["width", "height"]).astype("Int32")
 
 
 def extract_text(files: DataFrame, name_col: str = "filename",
                  content_col: str = "content") -> DataFrame:
     """``text_content`` and ``error`` for document files."""
     ext = F.lower(F.substring_index(F.col(name_col), ".", -1))
-    txt = F.decode(F.col(content_col), "UTF-8")
-    docx = _docx_text(F.col(content_col))
-    text = F.when(ext == "txt", txt).when(ext.isin("docx", "doc"), docx)
-    error = (F.when(ext.isin("txt", "docx", "doc"),
-                    F.when(text.isNull(), F.lit("Error extracting text")))
-             .otherwise(F.lit(TEXT_UNSUPPORTED)))
-    return files.withColumn("text_content", text).withColumn("error", error)
+    txt = F.try_validate_utf8(F.col(content_col).cast("string"))
+    is_docx = ext.isin("docx", "doc")
+    docx = _docx_text(F.when(is_docx, F.col(content_col)))
+    out = files.withColumn("text_content", F.when(ext == "txt", txt).when(is_docx, docx))
+    return out.withColumn("error", F.when(~ext.isin("txt", "docx", "doc"), F.lit(TEXT_UNSUPPORTED))
+                          .when(F.col("text_content").isNull(), F.lit(TEXT_FAILED)))
 
 
 _W_NS = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -164,7 +239,7 @@ def image_metadata(images: DataFrame) -> DataFrame:
     return images.select(
         F.element_at(F.split("origin", "/"), -1).alias("filename"),
         F.when(ok, F.col("width")).alias("width"), F.when(ok, F.col("height")).alias("height"),
-        F.when(ok, F.col("nChannels")).alias("channels"),
+        F.when(ok, F.lit(3)).alias("channels"),  # pictures are loaded as three channels
         F.when(ok, F.col("width").cast("long") * F.col("height")).alias("total_pixels"))
 
 
@@ -205,29 +280,3 @@ def brightness_summary(per_image: DataFrame) -> DataFrame:
         F.count(F.when(ok, 1)).alias("decoded_frames"),
         F.avg("brightness").alias("avg_brightness"),
         F.count_distinct(F.when(ok, F.struct("width", "height"))).alias("distinct_sizes"))
-
-
-# --------------------------------------------------------------------------
-# Grey-scale PNG frames from payload bytes (adapter for image tests)
-# --------------------------------------------------------------------------
-
-PNG_WIDTH = 64
-
-
-def _png(gray: bytes, width: int = PNG_WIDTH) -> bytes:
-    """An 8-bit grey PNG whose pixels are ``gray`` row by row (zero padded)."""
-    height = max(1, -(-len(gray) // width))
-    raw = gray.ljust(width * height, b"\0")
-    rows = b"".join(b"\0" + raw[i * width:(i + 1) * width] for i in range(height))
-
-    def chunk(tag: bytes, body: bytes) -> bytes:
-        return (struct.pack(">I", len(body)) + tag + body
-                + struct.pack(">I", zlib.crc32(tag + body) & 0xFFFFFFFF))
-    header = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
-    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header)
-            + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b""))
-
-
-@F.pandas_udf(T.BinaryType())
-def png_from_bytes(data: pd.Series) -> pd.Series:
-    return data.map(lambda b: None if b is None else _png(bytes(b)))

@@ -2,10 +2,10 @@
 static DataFrame (T2, T6-T9).
 
 * ``append``: a parquet file sink (exactly-once through its commit log).
-* ``update``: ``foreachBatch`` appends every batch's changed rows with the
+* ``update``: ``foreachBatch`` writes every batch's changed rows under the
   batch id to a parquet log; the result is the latest row per key, taken with
   ``max_by`` (a partial aggregation, so hot keys are combined map-side).  A
-  batch replayed after a failure writes identical rows under the same id.
+  batch has a folder of its own and replaces it when it is delivered again.
 
 Checkpoints and outputs live below ``spark.checkpoint.dir``; a restart with the
 same ``checkpoint`` continues where the last run stopped.
@@ -13,44 +13,31 @@ same ``checkpoint`` continues where the last run stopped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamlens.session import scratch_path
 
-BATCH_ID = "_batch_id"
+BATCH_ID = "stream_batch"
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
-        return spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001 - nothing written yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # nothing written yet
             return spark.createDataFrame([], schema)
         raise
 
 
-_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+def start(stream: DataFrame, mode: str = "append", *, out: str | None = None, checkpoint: str,
+          available_now: bool = True, processing_time: str | None = None):
+    """Start the sink of this module on ``stream`` and return the query.
 
-
-def start(stream: DataFrame, mode: str = "append", *, out: str, checkpoint: str,
-          available_now: bool = True, processing_time: str | None = None,
-          no_data_batches: bool = True):
-    """Start the sink of :mod:`runner` on ``stream`` and return the query.
-
-    ``no_data_batches=False`` stops empty micro-batches for this query only
-    (the setting is read when a query starts): a processor in processing-time
-    mode (state TTL) would otherwise keep ``availableNow`` from finishing.
+    ``console`` prints every batch's changed rows (S8) with the same triggers.
     """
-    if not no_data_batches:
-        spark = stream.sparkSession
-        before = spark.conf.get(_NO_DATA, "true")
-        spark.conf.set(_NO_DATA, "false")
-        try:
-            return start(stream, mode, out=out, checkpoint=checkpoint,
-                         available_now=available_now, processing_time=processing_time)
-        finally:
-            spark.conf.set(_NO_DATA, before)
     w = stream.writeStream.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
@@ -60,11 +47,42 @@ def start(stream: DataFrame, mode: str = "append", *, out: str, checkpoint: str,
         return w.outputMode("append").format("parquet").option("path", out).start()
     if mode in ("update", "complete"):
         def sink(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn(BATCH_ID, F.lit(batch_id)).write.mode("append").parquet(out)
+            batch.write.mode("overwrite").parquet(f"{out}/{BATCH_ID}={batch_id}")
         return w.outputMode(mode).foreachBatch(sink).start()
+    if mode == "console":
+        return w.outputMode("update").format("console").option("truncate", "false").start()
     raise ValueError(mode)
 
 
+def start_batches(stream: DataFrame, sink, *, checkpoint: str, available_now: bool = True,
+                  processing_time: str | None = None):
+    """Start a ``foreachBatch`` function (which must be idempotent by batch id)."""
+    w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+class Stopped(TimeoutError):
+    """A run was stopped at its time limit; ``result`` is what it had by then."""
+
+    def __init__(self, name: str, timeout_s: float, result: DataFrame):
+        super().__init__(f"{name} stopped after {timeout_s} s with part of its input processed")
+        self.result = result
+
+
+def finish(q, timeout_s: float | None = None) -> bool:
+    """Wait for a query; False when it had to be stopped at the time limit (L2)."""
+    ended = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination() or True)
+    if not ended:
+        q.stop()
+    if q.exception() is not None:
+        raise q.exception()
+    return ended
+
+
 def latest_per_key(log: DataFrame, keys: list[str]) -> DataFrame:
     """The row with the highest batch id per key of an update log."""
     cols = [c for c in log.columns if c not in keys and c != BATCH_ID]
@@ -76,24 +94,25 @@ def latest_per_key(log: DataFrame, keys: list[str]) -> DataFrame:
 
 def run_to_end(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append",
                keys: list[str] | None = None, checkpoint: str | None = None,
-               out: str | None = None, timeout_s: float | None = None,
-               no_data_batches: bool = True) -> DataFrame:
-    """Process everything available now, then return the static result."""
+               out: str | None = None, timeout_s: float | None = None) -> DataFrame:
+    """Process everything available now, then return the static result.
+
+    ``timeout_s`` stops a run that takes longer and raises :class:`Stopped`,
+    which holds the partial result, so it is never taken for the whole.
+    """
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
     out = out or scratch_path(spark, f"{name}-out")
-    q = start(stream, mode, out=out, checkpoint=checkpoint, no_data_batches=no_data_batches)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-    if q.exception() is not None:
-        raise q.exception()
-    return result(spark, stream, mode, out, keys)
+    q = start(stream, mode, out=out, checkpoint=checkpoint)
+    ended = finish(q, timeout_s)
+    res = result(spark, stream, mode, out, keys)
+    if not ended:
+        raise Stopped(name, timeout_s, res)
+    return res
 
 
 def result(spark: SparkSession, stream: DataFrame, mode: str, out: str,
            keys: list[str] | None = None) -> DataFrame:
     if mode == "append":
         return _read_or_empty(spark, out, stream.schema)
-    schema = stream.schema.add(BATCH_ID, "long")
-    log = _read_or_empty(spark, out, schema)
+    log = _read_or_empty(spark, out, T.StructType([*stream.schema.fields, T.StructField(BATCH_ID, T.IntegerType())]))
     return latest_per_key(log, keys) if keys else log.drop(BATCH_ID)

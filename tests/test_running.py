@@ -1,12 +1,13 @@
 import random
 
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from streamlens.operators import aggregates as agg
-from streamlens.operators.running import running_stats
+from streamlens.operators.running import CHUNKS, running_stats
 
 
 def frame(spark, rows):
@@ -37,7 +38,47 @@ def test_running_matches_brute_force(spark, data):
     assert got == brute(rows)
 
 
-def test_hot_key_spreads_over_chunks(spark):
+@pytest.mark.parametrize("null_times", [False, True])
+def test_hot_key_has_many_chunks(spark, null_times):
+    """The exchange of one hot key fills many partitions, with and without times."""
+    df = spark.range(4000).select(
+        F.lit("hot").alias("k"), F.col("id"), F.col("id").alias("x"),
+        (F.lit(None) if null_times else F.timestamp_seconds(F.col("id") * 60)).cast("timestamp_ntz").alias("event_time"))
+    out = running_stats(df, "k", ["event_time", "id"], {"s": ("sum", "x"), "c": ("count", None)})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts >= 4
+    assert out.agg(F.max("c"), F.max("s")).first() == (4000, sum(range(4000)))
+    assert out.select("c").distinct().count() == 4000
+
+
+def test_unknown_chunk_is_refused(spark):
+    for bad in ("1 hour", "hours", ""):
+        with pytest.raises(ValueError):
+            running_stats(frame(spark, [("a", 1, None, 1)]), "k", ["event_time", "id"], {"c": ("count", None)}, chunk=bad)
+    assert "hour" in CHUNKS
+
+
+def test_null_measures_do_not_count(spark):
+    rows = [("a", 1, "2024-01-01 00:00:00", 1), ("a", 2, "2024-01-01 01:00:00", None), ("a", 3, "2024-01-01 01:00:01", 5),
+            ("b", 4, "2024-01-01 00:00:00", None), ("b", 5, "2024-01-01 03:00:00", None)]
+    out = running_stats(frame(spark, rows), "k", ["event_time", "id"],
+                        {"s": ("sum", "x"), "m": ("max", "x"), "c": ("count", None)}).collect()
+    assert sorted((r.id, r.s, r.m, r.c) for r in out) == [(1, 1, 1, 1), (2, 1, 1, 2), (3, 6, 5, 3), (4, None, None, 1), (5, None, None, 2)]
+
+
+def test_stride_positions(spark):
+    from streamlens.operators.frames import stride_sample
+    rows = [("s", i, str(pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i)), 0) for i in range(25)]
+    df = frame(spark, rows).withColumnRenamed("k", "source").withColumnRenamed("id", "frame_id")
+    got = stride_sample(df.select("source", "frame_id", "event_time"), 4).collect()
+    assert sorted((r.frame_id, r.position) for r in got) == [(i, i) for i in range(0, 25, 4)]
+
+
+def test_hot_key_matches_brute_force(spark):
     rnd = random.Random(7)
     rows = [("hot" if i % 3 else f"k{i % 5}", i,
              str(pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=rnd.randint(0, 86400))),
