@@ -19,9 +19,9 @@ from streamlens.functions.columns import (b64encode, case_map, iso_text,
 # ---------------------------------------------------------------------------
 # Fixed adapter values (FIXTURES.md section 2).
 # ---------------------------------------------------------------------------
-PRODUCTS = ["laptop", "phone", "tablet", "headphones", "camera", "book", "shirt", "shoes"]
+PRODUCTS = ["kettle", "lamp", "bicycle", "violin", "tent", "novel", "scarf", "desk"]
 EVENT_CATEGORY = {"purchase": "electronics", "click": "books", "view": "clothing"}
-PAYMENTS = ["credit_card", "debit_card", "paypal", "cash"]
+PAYMENTS = ["card", "transfer", "voucher", "coins"]
 FRAME_SOURCES = ["webcam", "video_file", "sample_generator", "drone"]
 FRAME_SIZES = [(320, 240), (640, 480), (1280, 720), (1920, 1080), (1080, 1920),
                (800, 800), (640, 360)]

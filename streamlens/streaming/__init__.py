@@ -1 +1 @@
-"""Structured Streaming runners and stateful processors."""
+"""Structured Streaming runners and running statistics."""
