@@ -38,6 +38,7 @@ from streamlens.sources.files import filesystem
 
 PACKAGE_BYTES = 64 << 20
 BLOCK_BYTES = 4 << 20
+PACKAGES_PER_TASK, BLOCKS_PER_TASK = 16, 4
 MIN_BYTES = 1000
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -248,5 +249,9 @@ def read_packages(spark: SparkSession, packages: DataFrame, block_bytes: int = B
                     ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()),
                     ("payload", pa.binary())]))
 
-    blocks = packages.select("path").mapInArrow(plan, "path string, ranges array<struct<at:long,n:long>>")
-    return blocks.repartition(F.col("path"), F.element_at("ranges", 1)["at"]).mapInArrow(read, _RECORD)
+    packages = packages.select("path")
+    planned = packages.repartition(max(1, -(-packages.count() // PACKAGES_PER_TASK)), "path")
+    blocks = materialize(planned.mapInArrow(plan, "path string, ranges array<struct<at:long,n:long>>"), "warc-blocks")
+    # a block's row is small but stands for block_bytes to read: count rows, not their bytes
+    tasks = max(1, -(-blocks.count() // BLOCKS_PER_TASK))
+    return blocks.repartition(tasks, F.col("path"), F.element_at("ranges", 1)["at"]).mapInArrow(read, _RECORD)
