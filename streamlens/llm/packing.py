@@ -14,13 +14,20 @@ Columns other than the id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CHUNK = 20_000  # distinct units per tokenizer call: bounds its result objects
+from streamlens.llm.words import byte_slices, giving_back
+
+_CHUNK = 5_000  # distinct units per tokenizer call: bounds its result objects
+_PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+MAX_KNOWN = 400_000  # distinct units a task keeps
+SLICE_BYTES = 2 << 20
 _BLANKS = b" \t\n\x0b\x0c\r"
 _KIND = np.full(256, 4, np.uint8)  # 0 white space, 1 ASCII letter or digit, 2 punctuation, 4 any other
 _KIND[list(_BLANKS)] = 0
@@ -35,15 +42,58 @@ def _load(path: str):
     return Tokenizer.from_file(path)
 
 
-def word_ids(tok, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of each distinct word: (flat ids, offsets)."""
-    flat, counts = [], [np.zeros(1, np.int64)]
-    for s in range(0, len(words), _CHUNK):
-        enc = tok.encode_batch_fast(words.slice(s, _CHUNK).to_pylist(), add_special_tokens=False)
-        ids = [e.ids for e in enc]
-        counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-        flat.append(np.fromiter((i for x in ids for i in x), np.uint32))
-    return (np.concatenate(flat) if flat else np.zeros(0, np.uint32)), np.cumsum(np.concatenate(counts))
+class Units:
+    """Token ids of the units met so far, kept between the batches of a task.
+
+    At most ``MAX_KNOWN`` units are kept (then it starts afresh), so memory is
+    bounded whatever the corpus; the ids never depend on what is kept.
+    """
+
+    def __init__(self, tok):
+        self.tok = tok
+        self.is_word_end = np.zeros(tok.get_vocab_size(), bool)
+        self.is_word_end[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = pa.array([], pa.large_utf8())
+        self.flat, self.off = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _any(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())), counts
+
+    def _plain(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units of letters only are one pre-token each, so many go in one call
+        and the word-end tokens tell them apart."""
+        ids = np.array(self.tok.encode(" ".join(units), add_special_tokens=False).ids, np.uint32)
+        ends = np.flatnonzero(self.is_word_end[ids])
+        if len(ends) != len(units):
+            return self._any(units)
+        return ids, np.diff(ends, prepend=-1)
+
+    def ids(self, units: pa.Array) -> np.ndarray:
+        """Numbers of distinct units in ``flat`` / ``off``."""
+        at = pc.index_in(units, value_set=self.known)
+        if at.null_count and len(self.known) + at.null_count > MAX_KNOWN:
+            self.forget()
+            at = pc.index_in(units, value_set=self.known)
+        if at.null_count:
+            new = units.filter(pc.is_null(at))
+            plain = pc.match_substring_regex(new, _PLAIN)
+            new = pa.concat_arrays([new.filter(plain), new.filter(pc.invert(plain))])
+            n_plain = pc.sum(plain).as_py() or 0
+            flat, counts = [self.flat], [np.diff(self.off)]
+            for lo, hi, encode in ((0, n_plain, self._plain), (n_plain, len(new), self._any)):
+                for s in range(lo, hi, _CHUNK):
+                    ids, n = encode(new.slice(s, min(_CHUNK, hi - s)).to_pylist())
+                    flat.append(ids)
+                    counts.append(n)
+            self.flat, self.off = np.concatenate(flat), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+            self.known = pa.concat_arrays([self.known, new])
+            at = pc.index_in(units, value_set=self.known)
+        return at.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -78,25 +128,24 @@ def _units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat, np.diff(cut)
 
 
-def encode_texts(tok, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(known: Units, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, document offsets), each document closed by ``end_id``.
 
     The tokenizer drops white space and never merges across its pre-tokens, so
-    a text's ids are those of its units in order.  Each distinct unit of the
-    batch is tokenized once.
+    a text's ids are those of its units in order.  Each distinct unit is
+    tokenized once.
     """
     units, n_units = _units(texts)
     coded = units.dictionary_encode()
-    flat, off = word_ids(tok, coded.dictionary)
-    code = coded.indices.to_numpy(zero_copy_only=False)
-    per_unit = np.diff(off)[code]
+    code = known.ids(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+    per_unit = np.diff(known.off)[code]
     ends = np.concatenate([[0], np.cumsum(per_unit)])[np.cumsum(n_units)]
     doc_off = np.concatenate([[0], ends + np.arange(1, len(texts) + 1)])
     ids = np.empty(doc_off[-1], np.uint32)
     is_end = np.zeros(len(ids), bool)
     is_end[doc_off[1:] - 1] = True
     ids[is_end] = end_id
-    ids[~is_end] = flat[expand(off[code], per_unit)]
+    ids[~is_end] = known.flat[expand(known.off[code], per_unit)]
     return ids, doc_off
 
 
@@ -134,27 +183,26 @@ def pack(docs: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id: int
     id_type = narrow.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            tok = tok or _load(tokenizer_path)
-            ids, off = encode_texts(tok, b.column(1), end_id)
-            lengths = np.diff(off)
-            d, s, ln = decompose(lengths, max_len)
-            # pieces cover the ids in order, so their byte offsets are the running lengths
-            buf = pa.py_buffer(ids.astype("<u4").tobytes())
-            cuts = np.concatenate([[0], np.cumsum(ln)]) * 4
-            data = pa.Array.from_buffers(pa.large_binary(), len(ln), [None, pa.py_buffer(cuts.astype(np.int64)), buf])
-            out = pa.table({"id": b.column(0).take(pa.array(d)), "start": s, "length": ln, "token_ids": data,
-                            "doc_tokens": lengths[d], "bucket": np.log2(ln).astype(np.int32)})
-            for part in out.to_batches(max_chunksize=50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [c.cast(pa.binary()) if n == "token_ids" else c for n, c in zip(out.column_names, part.columns)],
-                    names=out.column_names)
+        known = None
+        for batch in batches:
+            for b in byte_slices(batch, 1, SLICE_BYTES):
+                known = known or Units(_load(tokenizer_path))
+                ids, off = encode_texts(known, b.column(1), end_id)
+                lengths = np.diff(off)
+                d, s, ln = decompose(lengths, max_len)
+                # pieces cover the ids in order, so their byte offsets are the running lengths
+                cuts = np.concatenate([[0], np.cumsum(ln)]) * 4
+                data = pa.Array.from_buffers(pa.large_binary(), len(ln), [None, pa.py_buffer(cuts), pa.py_buffer(
+                    ids.astype("<u4", copy=False))])
+                out = pa.table({"id": b.column(0).take(pa.array(d)), "start": s, "length": ln, "token_ids": data,
+                                "doc_tokens": lengths[d], "bucket": np.log2(ln).astype(np.int32)})
+                for part in out.to_batches(max_chunksize=50_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [c.cast(pa.binary()) if n == "token_ids" else c for n, c in zip(out.column_names, part.columns)],
+                        names=out.column_names)
 
     pieces = narrow.mapInArrow(
-        run, f"id {id_type}, start long, length long, token_ids binary, doc_tokens long, bucket int")
+        giving_back(run), f"id {id_type}, start long, length long, token_ids binary, doc_tokens long, bucket int")
     return (pieces.withColumn("sequence_id", F.monotonically_increasing_id())
             .withColumn("offset", F.lit(0).cast("long"))
             .withColumnRenamed("id", id_col))

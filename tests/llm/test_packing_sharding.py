@@ -11,20 +11,30 @@ from streamlens.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TOK = packing._load(PATH)
+KNOWN = packing.Units(TOK)
 
 
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text("aB'sÉ<|>\u0301  \t1!", max_size=30),
                           st.text("aJT.,3'?ñ\u030c\u0308…\xa0 ", max_size=30)), max_size=6))
 def test_encoding_equals_the_tokenizer(texts):
-    ids, off = packing.encode_texts(TOK, pa.array(texts, pa.string()), 1)
+    ids, off = packing.encode_texts(KNOWN, pa.array(texts, pa.string()), 1)
     for k, t in enumerate(texts):
         assert list(ids[off[k]:off[k + 1]]) == TOK.encode(t or "", add_special_tokens=False).ids + [1]
 
 
+def test_units_are_forgotten_beyond_the_bound(monkeypatch):
+    monkeypatch.setattr(packing, "MAX_KNOWN", 5)
+    known = packing.Units(TOK)
+    for texts in (["a b c"], ["d e a", "f g h i j k l m"], ["a b", "z"]):
+        ids, off = packing.encode_texts(known, pa.array(texts), 1)
+        for k, t in enumerate(texts):
+            assert list(ids[off[k]:off[k + 1]]) == TOK.encode(t, add_special_tokens=False).ids + [1]
+
+
 def test_special_strings():
     t = "a<|endoftext|>b <|startoftext|> it's"
-    ids, _ = packing.encode_texts(TOK, pa.array([t]), 1)
+    ids, _ = packing.encode_texts(KNOWN, pa.array([t]), 1)
     assert list(ids[:-1]) == TOK.encode(t, add_special_tokens=False).ids
 
 
