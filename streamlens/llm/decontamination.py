@@ -31,9 +31,9 @@ from pyspark.sql.types import StructType
 from streamlens.llm.common import without
 from streamlens.llm.fm_index import FMIndex
 from streamlens.llm.packing import expand
-from streamlens.llm.words import Words, byte_slices
+from streamlens.llm.words import Words, byte_slices, giving_back
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 3 << 20  # an index takes about 30 times as much memory while it is built
 BLOCK_BYTES = 32 << 20
 _OUT = "n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
 
@@ -157,4 +157,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_
                         pa.array(items, pa.list_(pa.string())), pa.array(spans, out_type)],
                     names=[f.name for f in schema])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(giving_back(run), schema)

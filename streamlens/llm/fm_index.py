@@ -75,26 +75,25 @@ def suffix_array(text: np.ndarray, n_codes: int) -> np.ndarray:
     n = len(text)
     bits = max(1, (n_codes - 1).bit_length())
     depth = max(1, min(8, 62 // bits))
-    key = np.zeros(n + depth, np.int64)
-    key[:n] = text
-    first = key[:n].copy()
+    first = text.astype(np.int64)
     for j in range(1, depth):
         first <<= bits
-        first |= key[j:n + j]
+        if j < n:
+            first[:n - j] |= text[j:]
     sa = np.argsort(first)
     first = first[sa]
     new = np.empty(n, bool)
     new[0] = True
     np.not_equal(first[1:], first[:-1], out=new[1:])
     heads = np.flatnonzero(new)
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[sa] = heads[np.cumsum(new) - 1]
-    del first, key
+    del first
     tied = np.flatnonzero(~(new & np.append(new[1:], True)))
     h = depth
     while len(tied):
         p = sa[tied]
-        k = (rank[p] << 32) | rank[p + h]
+        k = (rank[p].astype(np.int64) << 32) | rank[p + h]
         o = np.argsort(k)
         p, k = p[o], k[o]
         sa[tied] = p
@@ -117,7 +116,7 @@ class FMIndex:
         self.starts = np.concatenate([[0], ends[:-1] + 1])
         is_sep = np.zeros(n, bool)
         is_sep[ends] = True
-        text = np.empty(n, np.int64)
+        text = np.empty(n, np.int32)
         text[ends] = np.arange(n_docs)
         text[~is_sep] = codes + n_docs
         sa = suffix_array(text, sigma + n_docs)

@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from streamlens.llm.common import without
-from streamlens.llm.words import Words, byte_slices
+from streamlens.llm.words import Words, byte_slices, giving_back
 
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 20_000
 MIN_DOCS = 5
 MIN_Z = 5.0
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 _OUT = "expected_grade double, p_top double, keep boolean"
 _LEVELS = np.array([0.002, 0.005, 0.01, 0.02, 0.035, 0.05, 0.075, 0.1, 0.15, 0.2, 0.3, 0.5, 0.75])
 _STYLE = ("repeat", "capital", "mark", "bar")
@@ -194,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
                 yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), b.column(1), found],
                                                  names=["id", "grade", "ids"])
 
-    got = rows.mapInArrow(run, "id string, grade int, ids array<int>").toArrow().sort_by("id").combine_chunks()
+    got = rows.mapInArrow(giving_back(run), "id string, grade int, ids array<int>").toArrow().sort_by("id").combine_chunks()
     if not got.num_rows or len(set(got["grade"].to_pylist())) < 2:
         return None
     ids = got["ids"].combine_chunks()
@@ -226,4 +226,4 @@ def score(docs: DataFrame, model: Model | None, least: float = 0.5, text_col: st
                     [b.column(i) for i in kept] + [pa.array(expected), pa.array(top), pa.array(top >= least)],
                     names=[f.name for f in schema])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(giving_back(run), schema)

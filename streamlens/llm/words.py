@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,20 @@ class Words:
         self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A ``mapInArrow`` function that returns its free memory to the system when
+    its task ends: Python workers live on and would hold it beside the next
+    stage's."""
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # not glibc
+            pass
+    return wrapped
+
+
 def byte_slices(batch: pa.RecordBatch, place: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text in column ``place``
     (a longer text is a slice of its own); all rows, in order."""
