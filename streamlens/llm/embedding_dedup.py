@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from streamlens.llm.common import materialize
 from streamlens.llm.components import connected_components, local_roots
+from streamlens.llm.words import giving_back
 
 MAX_LISTS = 16_384
 SAMPLE_ROWS = 20_000
@@ -125,10 +126,6 @@ def _find(stored: dict, q: dict, which: int, quantiser: Quantiser, least: float)
     return np.concatenate(left), np.concatenate(right)
 
 
-_ROW = ("list int, sb int, qb int, query boolean, uid long, weight long, own int, x binary, codes binary, "
-        "error double, probes array<int>")
-
-
 def _links_of(vectors: DataFrame, dim: int, least: float, lists: int | None, probes: int, sample_rows: int) -> DataFrame:
     """(uid, n, peer): parts of the link counts, and links that span the
     components, of distinct vectors (uid, weight, x) of one dimension."""
@@ -162,7 +159,7 @@ def _links_of(vectors: DataFrame, dim: int, least: float, lists: int | None, pro
                     names=["uid", "weight", "own", "x", "codes", "error", "probes"])
 
     indexed = materialize(vectors.select("uid", "weight", "x").mapInArrow(
-        assign, "uid long, weight long, own int, x binary, codes binary, error double, probes array<int>"), "pq-index")
+        giving_back(assign), "uid long, weight long, own int, x binary, codes binary, error double, probes array<int>"), "pq-index")
     asked = indexed.select("uid", F.explode("probes").alias("list"))
     blocks = (asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("qn"))
               .join(indexed.groupBy(F.col("own").alias("list")).agg(
@@ -227,7 +224,7 @@ def _links_of(vectors: DataFrame, dim: int, least: float, lists: int | None, pro
                         yield results(stored, load([b.slice(p, min(QUERY_ROWS, e - p))], True), int(group[0]))
 
     return (stored.union(queries).repartition("list", "sb", "qb").sortWithinPartitions("list", "sb", "qb", "query")
-            .mapInArrow(search, "uid long, n long, peer long"))
+            .mapInArrow(giving_back(search), "uid long, n long, peer long"))
 
 
 def near_duplicates(embeddings: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding",

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamlens.llm.words import giving_back
+
 BITS = 1 << 14
 MAX_N = 3
 LANDMARKS = 256
@@ -146,7 +148,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                  pa.array(bit, pa.binary())], names=["lang", "h", "bits"])
 
     got: dict[str, list] = {}
-    for r in sorted(picked.mapInArrow(features, "lang string, h long, bits binary").collect(), key=lambda r: r.h):
+    for r in sorted(picked.mapInArrow(giving_back(features), "lang string, h long, bits binary").collect(), key=lambda r: r.h):
         got.setdefault(r.lang, []).append(bytes(r.bits))
     labels, packed = [], []
     for lang in sorted(got):
@@ -180,4 +182,4 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(lang), pa.array(score)], names=["id", "lang_pred", "score"])
 
-    return narrow.mapInArrow(run, f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return narrow.mapInArrow(giving_back(run), f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)

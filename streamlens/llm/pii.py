@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from streamlens.llm.common import materialize
 
 MAX_ROUNDS = 64
+DRAWS_PER_TASK = 5000
 
 # Titles that introduce a person, by gender (fixed values)
 TITLES = {
@@ -217,8 +218,10 @@ def assign(found: DataFrame, key: str, max_rounds: int = MAX_ROUNDS) -> DataFram
     surrogates of a kind different from each other and from every normal form."""
     taken: list[DataFrame] = []
     pending = found.select("kind", "normal")
+    # drawing is much work for few bytes: spread it by the number of rows
+    tasks = max(1, -(-found.count() // DRAWS_PER_TASK))
     for attempt in range(max_rounds):
-        drawn = pending.withColumn("surrogate", candidate(F.col("kind"), F.col("normal"), F.lit(attempt), key))
+        drawn = pending.repartition(tasks, "kind", "normal").withColumn("surrogate", candidate(F.col("kind"), F.col("normal"), F.lit(attempt), key))
         real = found.select("kind", F.col("normal").alias("surrogate"))
         free = drawn.join(real, ["kind", "surrogate"], "left_anti")
         for t in taken:
@@ -267,7 +270,9 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     found = materialize(cut.where("kind is not null").select("kind", "normal").distinct(), "pii-found")
     surrogates = assign(found, key)
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sub", "text"))), lambda s: s["text"]), "")
-    shaped = (cut.join(surrogates, ["kind", "normal"], "left")
+    # text between parts (every "@" of the corpus) needs no surrogate and stays out of the join
+    kept = cut.where("kind is null").withColumn("surrogate", F.lit(None).cast("string"))
+    shaped = (cut.where("kind is not null").join(surrogates, ["kind", "normal"]).unionByName(kept)
               .withColumn("text", _shaped(F.col("kind"), F.col("text"), F.col("surrogate")))
               .groupBy("__list", "at").agg(whole.alias("text"))
               .groupBy("__list").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))),

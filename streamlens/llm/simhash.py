@@ -36,26 +36,32 @@ from pyspark.sql import functions as F
 
 from streamlens.llm.common import materialize
 from streamlens.llm.components import connected_components, local_roots
-from streamlens.llm.packing import expand
+from streamlens.llm.words import byte_slices, giving_back
 
 BLOCKS = 6          # 15 tables with keys of 20-22 bits; 7 gives 35 of 27-28 bits, 8 gives 70 of 32 bits
 BUCKET_ROWS = 2048
+SLICE_BYTES = 1 << 20
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _VOTE_ROWS = 1 << 16
 _PAIR_WORDS = 1 << 16
 
 
-def text_hashes(text: bytes, shingle: int, seed: int) -> list[int]:
+def text_hashes(text: bytes, shingle: int, seed: int) -> np.ndarray:
     """Unsigned XXH64 of every shingle of the lower-cased words."""
     from xxhash import xxh64_intdigest as h
     words = text.lower().split()  # bytes: folds A-Z and splits at ASCII white space only
     if len(words) <= shingle:
-        return [h(b" ".join(words), seed)] if words else []
+        return np.array([h(b" ".join(words), seed)] if words else [], np.uint64)
     joined = b" ".join(words)
+    del words
     blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    begin = [0, *(blanks + 1).tolist()]
-    end = [*blanks.tolist(), len(joined)][shingle - 1:]
-    return [h(joined[s:e], seed) for s, e in zip(begin, end)]
+    begin = np.append(0, blanks + 1)
+    end = np.append(blanks, len(joined))[shingle - 1:]
+    out = np.empty(len(end), np.uint64)
+    for k in range(0, len(end), _VOTE_ROWS):  # long texts: bounds the numbers held as Python objects
+        part = slice(k, min(k + _VOTE_ROWS, len(end)))
+        out[part] = [h(joined[s:e], seed) for s, e in zip(begin[part].tolist(), end[part].tolist())]
+    return out
 
 
 def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -79,16 +85,14 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in range(0, batch.num_rows, 500):  # bounds the hashes held at once
-                b = batch.slice(s, 500)
+            for b in byte_slices(batch, 1, SLICE_BYTES):
                 hashes = [text_hashes(t or b"", shingle, seed) for t in b.column(1).cast(pa.binary()).to_pylist()]
                 counts = np.fromiter(map(len, hashes), np.int64, len(hashes))
-                flat = np.fromiter((h for x in hashes for h in x), np.uint64, int(counts.sum()))
-                fp = majority(flat, counts).view(np.int64)
+                fp = majority(np.concatenate(hashes), counts).view(np.int64)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp)],
                                                  names=["id", "text_hash", "fp"])
 
-    return narrow.mapInArrow(run, f"id {id_type}, text_hash long, fp long")
+    return narrow.mapInArrow(giving_back(run), f"id {id_type}, text_hash long, fp long")
 
 
 def _planes(fp: np.ndarray) -> np.ndarray:
@@ -198,7 +202,7 @@ def links(fps: DataFrame, max_distance: int = 4, blocks: int = BLOCKS,
             yield compare(fp, bucket)
 
     return (groups.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(giving_back(run), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, seed: int = 42,
