@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import materialize
+from streamlens.llm.common import materialize, own_exchange
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -49,10 +49,10 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while state[0]:
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(low, "u")
+        large = (both.where("v > u").join(own_exchange(low, "u"), "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(own_exchange(low, "u"), "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).distinct())
         cur = materialize(small, "edges")
         new = _state(cur)

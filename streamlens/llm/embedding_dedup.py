@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import materialize
+from streamlens.llm.common import materialize, own_exchange
 from streamlens.llm.components import connected_components, local_roots
 from streamlens.llm.words import giving_back
 
@@ -252,7 +252,7 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.9, id_col: str = "ve
               .withColumn("root", F.coalesce("root", "uid"))
               .withColumn("n", F.coalesce("n", F.lit(0)) + F.col("weight") - 1))
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(first, "root").select("x", F.col("n").alias("n_links"), "component_id")
+    classes = rooted.join(own_exchange(first, "root"), "root").select("x", F.col("n").alias("n_links"), "component_id")
     linked = rows.where("x is not null").join(classes, "x").select("id", "n_links", "component_id")
     alone = rows.where("x is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.union(alone).select(

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import materialize
+from streamlens.llm.common import materialize, own_exchange
 
 MAX_ROUNDS = 64
 DRAWS_PER_TASK = 5000
@@ -279,7 +279,7 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
                                                  lambda s: s["text"]).alias("__new")))
     between = F.split(text, PATTERN, -1)
     replaced = F.array_join(F.transform(between, lambda s, i: F.concat(s, F.coalesce(F.get("__new", i), F.lit("")))), "")
-    done = with_any.join(shaped, "__list").withColumn(text_col, replaced)
+    done = with_any.join(own_exchange(shaped, "__list"), "__list").withColumn(text_col, replaced)
     rest = marked.where(F.size("__found") == 0)
     cols = [F.col(f"`{c}`") for c in docs.columns if c != count_col]
     if count_col:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import materialize
+from streamlens.llm.common import materialize, own_exchange
 from streamlens.llm.components import connected_components, local_roots
 from streamlens.llm.words import byte_slices, giving_back
 
@@ -177,7 +177,7 @@ def links(fps: DataFrame, max_distance: int = 4, blocks: int = BLOCKS,
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     chunks = F.ceil(2 * F.col("n") / bucket_rows)
     # chunk c meets every chunk j in the group (min, max); small buckets are one group
-    groups = keyed.join(counts, "key").withColumn("k", F.when(F.col("n") > bucket_rows, chunks).otherwise(1)) \
+    groups = keyed.join(own_exchange(counts, "key"), "key").withColumn("k", F.when(F.col("n") > bucket_rows, chunks).otherwise(1)) \
         .withColumn("c", F.pmod(F.xxhash64("fp"), F.col("k"))) \
         .withColumn("j", F.explode(F.when(F.col("k") == 1, F.array(F.lit(0).cast("long"))).otherwise(
             F.filter(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda j: j != F.col("c"))))) \
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, se
     rooted = distinct.join(comps, distinct.fp == comps.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(first, "root").select("fp", "root", "component_id")
+    classes = rooted.join(own_exchange(first, "root"), "root").select("fp", "root", "component_id")
     return rows.join(classes, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id", "text_hash", "root")

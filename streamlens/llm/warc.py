@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import materialize
+from streamlens.llm.common import materialize, own_exchange
 from streamlens.session import scratch_path
 from streamlens.sources.files import filesystem
 
@@ -125,7 +125,7 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
     shared = (rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest")
               .agg(F.max("id").alias("winner"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     refers = F.when(F.col("winner").isNotNull() & ~F.col("id").eqNullSafe(F.col("winner")), F.col("winner"))
-    records = rows.join(shared, "digest", "left").select(
+    records = rows.join(own_exchange(shared, "digest"), "digest", "left").select(
         F.col("id").cast("string"), "url", "payload", refers.cast("string").alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
