@@ -26,7 +26,7 @@ from streamlens.llm.words import byte_slices, giving_back
 
 _CHUNK = 5_000  # distinct units per tokenizer call: bounds its result objects
 _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
-MAX_KNOWN = 400_000  # distinct units a task keeps
+MAX_KNOWN = 500_000  # distinct units a worker keeps
 SLICE_BYTES = 2 << 20
 _BLANKS = b" \t\n\x0b\x0c\r"
 _KIND = np.full(256, 4, np.uint8)  # 0 white space, 1 ASCII letter or digit, 2 punctuation, 4 any other
@@ -43,7 +43,7 @@ def _load(path: str):
 
 
 class Units:
-    """Token ids of the units met so far, kept between the batches of a task.
+    """Token ids of the units met so far, kept between batches and tasks.
 
     At most ``MAX_KNOWN`` units are kept (then it starts afresh), so memory is
     bounded whatever the corpus; the ids never depend on what is kept.
@@ -96,6 +96,15 @@ class Units:
         return at.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+_units_of: dict[str, Units] = {}  # by tokenizer, for the life of a worker process: about 25 MB
+
+
+def _known_units(path: str) -> Units:
+    if path not in _units_of:
+        _units_of[path] = Units(_load(path))
+    return _units_of[path]
+
+
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated ranges starts[i] .. starts[i]+lengths[i]-1."""
     ends = np.cumsum(lengths)
@@ -183,11 +192,9 @@ def pack(docs: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id: int
     id_type = narrow.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None
         for batch in batches:
             for b in byte_slices(batch, 1, SLICE_BYTES):
-                known = known or Units(_load(tokenizer_path))
-                ids, off = encode_texts(known, b.column(1), end_id)
+                ids, off = encode_texts(_known_units(tokenizer_path), b.column(1), end_id)
                 lengths = np.diff(off)
                 d, s, ln = decompose(lengths, max_len)
                 # pieces cover the ids in order, so their byte offsets are the running lengths
