@@ -35,7 +35,7 @@ MAX_N = 3
 LANDMARKS = 256
 SAMPLE_ROWS = 4000
 MAX_LANGUAGES = 1000
-RIDGE = 1e-2
+RIDGE = 1e-4
 _BATCH = 256
 _SPAN = 1 << 22  # characters of a text worked on at once
 
@@ -96,9 +96,10 @@ def fit(packed: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge
     """Nystroem features and ridge regression on packed presence rows."""
     languages = sorted(set(labels))
     y = np.array([languages.index(v) for v in labels])
-    seen = {}
-    order = sorted(range(len(y)), key=lambda i: (seen.setdefault((y[i], "n"), []).append(i) or len(seen[y[i], "n"]), i))
-    marks = packed[sorted(order[:landmarks])]  # evenly over the languages
+    place = np.zeros(len(y), np.int64)  # of a row among those of its language
+    for v in range(len(languages)):
+        place[y == v] = np.arange((y == v).sum())
+    marks = packed[np.sort(np.argsort(place, kind="stable")[:landmarks])]  # evenly over the languages
     lm = _unpack(marks)
     k = np.concatenate([_kernel(_unpack(packed[s:s + _BATCH]), lm) for s in range(0, len(y), _BATCH)]).astype(np.float64)
     value, vector = np.linalg.eigh(_kernel(lm, lm).astype(np.float64))
@@ -107,7 +108,7 @@ def fit(packed: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge
     phi = k @ root
     mean = phi.mean(0)
     target = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
-    gram = (phi - mean).T @ (phi - mean) + ridge * len(y) * np.eye(phi.shape[1]) * 1e-2
+    gram = (phi - mean).T @ (phi - mean) + ridge * len(y) * np.eye(phi.shape[1])
     beta = np.linalg.solve(gram, (phi - mean).T @ (target - target.mean(0)))
     return Model(languages, marks, (root @ beta).astype(np.float32), target.mean(0) - mean @ beta)
 
