@@ -27,7 +27,7 @@ from streamlens.llm.words import byte_slices, giving_back
 _CHUNK = 5_000  # distinct units per tokenizer call: bounds its result objects
 _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 MAX_KNOWN = 500_000  # distinct units a worker keeps
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 _BLANKS = b" \t\n\x0b\x0c\r"
 _KIND = np.full(256, 4, np.uint8)  # 0 white space, 1 ASCII letter or digit, 2 punctuation, 4 any other
 _KIND[list(_BLANKS)] = 0
@@ -79,11 +79,13 @@ class Units:
         if at.null_count and len(self.known) + at.null_count > MAX_KNOWN:
             self.forget()
             at = pc.index_in(units, value_set=self.known)
+        out = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         if at.null_count:
-            new = units.filter(pc.is_null(at))
-            plain = pc.match_substring_regex(new, _PLAIN)
-            new = pa.concat_arrays([new.filter(plain), new.filter(pc.invert(plain))])
-            n_plain = pc.sum(plain).as_py() or 0
+            missing = np.flatnonzero(pc.is_null(at).to_numpy(zero_copy_only=False))
+            plain = pc.match_substring_regex(units.take(pa.array(missing)), _PLAIN).to_numpy(zero_copy_only=False)
+            missing = np.concatenate([missing[plain], missing[~plain]])
+            new, n_plain = units.take(pa.array(missing)), int(plain.sum())
+            out[missing] = len(self.known) + np.arange(len(missing))
             flat, counts = [self.flat], [np.diff(self.off)]
             for lo, hi, encode in ((0, n_plain, self._plain), (n_plain, len(new), self._any)):
                 for s in range(lo, hi, _CHUNK):
@@ -92,8 +94,7 @@ class Units:
                     counts.append(n)
             self.flat, self.off = np.concatenate(flat), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
             self.known = pa.concat_arrays([self.known, new])
-            at = pc.index_in(units, value_set=self.known)
-        return at.to_numpy(zero_copy_only=False).astype(np.int64)
+        return out
 
 
 _units_of: dict[str, Units] = {}  # by tokenizer, for the life of a worker process: about 25 MB
