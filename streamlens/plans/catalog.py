@@ -1125,7 +1125,7 @@ def file_ingest(spark, sf_dir):
 def file_ingest_stream(spark, sf_dir):
     """S10 as a stream: a landing folder watched with the binaryFile source."""
     root, _ = _export_files(spark, sf_dir)
-    return R.run_to_end(spark, _ingested(M.ingest_files(spark, root, stream=True, max_per_trigger=5000)),
+    return R.run_to_end(spark, _ingested(M.ingest_files(spark, root, stream=True)),
                         "file_ingest_stream")
 
 
@@ -1179,7 +1179,7 @@ def ingest_to_analysis(spark, sf_dir):
 @query("ingest_to_analysis_stream", _UPLOADED_SQL)
 def ingest_to_analysis_stream(spark, sf_dir):
     """The same with a watched folder."""
-    files = M.ingest_files(spark, _land_uploads(spark, sf_dir), stream=True, max_per_trigger=5000)
+    files = M.ingest_files(spark, _land_uploads(spark, sf_dir), stream=True)
     return R.run_to_end(spark, _analysed_uploads(M.upload_messages(files)), "ingest_to_analysis")
 
 
