@@ -14,7 +14,13 @@ person are replaced alike wherever they recur.
 Distinctness: the distinct parts of the corpus are assigned in rounds.  A part
 keeps its candidate if no other part has it or had it before and it is not
 itself a part that occurs; the others draw again.  So different parts never
-share a surrogate, and no surrogate is a detected value of the corpus.
+share a surrogate, and no surrogate is a detected value of the corpus.  Rounds
+go on until every part has one.  After ``SAME_LENGTH`` rounds a format is taken
+as used up and candidates get one character longer each round (IP addresses turn
+into keyed IPv6 addresses of 2001:db8::/32, secrets into keyed letters and
+digits), so a corpus that holds most values of a short format ends as well.  A
+secret without a letter or digit is drawn that way from the first round, since
+there is nothing in it to be masked.
 
 Only texts with entities are shuffled.  A part or a list of entities that holds
 a third of all mentions is one row of the assignment; the joins back have one
@@ -28,13 +34,14 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlens.llm.common import materialize, own_exchange
 
-MAX_ROUNDS = 64
+SAME_LENGTH = 4  # rounds
 DRAWS_PER_TASK = 5000
 
 # Titles that introduce a person, by gender (fixed values)
@@ -74,6 +81,7 @@ KINDS = {
 _START = r"(?<![\p{L}\p{N}_])"
 PATTERN = _START + "(?:" + "|".join(KINDS.values()) + ")"
 _DIGITS, _SMALL, _LARGE, _HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
+_KEYED = _SMALL + _DIGITS
 
 
 def entities(text: Column) -> Column:
@@ -187,9 +195,10 @@ def _name(kind: Column, rnd: Column, attempt: Column) -> Column:
 
 def candidate(kind: Column, normal: Column, attempt: Column, key: str) -> Column:
     """The surrogate that a part draws in a round, in normal form."""
-    rnd = _bytes(F.concat_ws("|", F.lit(key), kind, normal, attempt.cast("string")), F.length(normal) + 31)
-    longer = F.repeat(F.lit("x"), F.greatest(attempt - 3, F.lit(0)))  # short free texts that run out
-    masked = _masked(normal, rnd)
+    more = F.greatest(attempt - (SAME_LENGTH - 1), F.lit(0))  # for formats that run out
+    rnd = _bytes(F.concat_ws("|", F.lit(key), kind, normal, attempt.cast("string")), F.length(normal) + more + 31)
+    longer = F.repeat(F.lit("x"), more)
+    masked = _masked(F.concat(normal, F.repeat(F.lit("0"), more)), rnd)
     mailbox = F.regexp_extract(normal, "^([^@]*)@", 1)
     host = F.concat(_masked(F.concat(F.regexp_replace(normal, r"\.[^.]*$", ""), longer), rnd), F.lit(".example"))
     card = F.concat(F.substr(normal, F.lit(1), F.lit(1)), F.substr(masked, F.lit(2)))
@@ -200,27 +209,34 @@ def candidate(kind: Column, normal: Column, attempt: Column, key: str) -> Column
     country = F.length(F.regexp_extract(normal, r"^(\+[17]|\+\d\d|0?)", 1))
     ip = F.concat_ws(".", (F.get(rnd, F.lit(0)) % 223 + 1).cast("string"),
                      *[F.get(rnd, F.lit(i)).cast("string") for i in (1, 2, 3)])
-    hexed = F.array_join(F.transform(F.slice(rnd, F.lit(1), F.length(normal)), lambda v: _pick(_HEX, v)), "")
+    ipv6 = F.concat_ws(":", F.lit("2001:db8"), *[F.lower(F.lpad(F.hex(F.get(rnd, F.lit(i)) * 256 + F.get(rnd, F.lit(i + 1))), 4, "0"))
+                                                 for i in range(0, 12, 2)])
+    drawn = F.slice(rnd, F.lit(1), F.length(normal) + more)
+    hexed = F.array_join(F.transform(drawn, lambda v: _pick(_HEX, v)), "")
+    keyed = F.array_join(F.transform(drawn, lambda v: _pick(_KEYED, v)), "")
     return (F.when(kind == "mailbox", _masked(F.concat(mailbox, longer), rnd))
             .when(kind == "host", host)
             .when(kind == "card", F.when(_luhn(normal) == 0, valid).otherwise(card))
             .when(kind == "ssn", F.concat(F.lit("9"), F.substr(masked, F.lit(2))))
             .when(kind == "phone", F.concat(F.substr(normal, F.lit(1), country), F.substr(masked, country + 1)))
-            .when(kind == "ip", ip)
+            .when(kind == "ip", F.when(more > 0, ipv6).otherwise(ip))
             .when(kind == "iban", F.concat(F.substr(iban, F.lit(1), F.lit(2)), check, F.substr(iban, F.lit(5))))
             .when(kind == "secret_hex", hexed)
-            .when(kind == "secret", masked)
+            .when(kind == "secret", F.when((more == 0) & normal.rlike(r"[0-9]|\p{L}"), masked).otherwise(keyed))
             .otherwise(_name(kind, rnd, attempt)))
 
 
-def assign(found: DataFrame, key: str, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def assign(found: DataFrame, key: str) -> DataFrame:
     """(kind, normal, surrogate) for the distinct (kind, normal) rows, all
-    surrogates of a kind different from each other and from every normal form."""
+    surrogates of a kind different from each other and from every normal form.
+
+    It ends for every corpus: candidates outgrow the normal forms and the
+    surrogates taken before, and each surrogate that is free has one winner."""
     taken: list[DataFrame] = []
     pending = found.select("kind", "normal")
     # drawing is much work for few bytes: spread it by the number of rows
     tasks = max(1, -(-found.count() // DRAWS_PER_TASK))
-    for attempt in range(max_rounds):
+    for attempt in count():
         drawn = pending.repartition(tasks, "kind", "normal").withColumn("surrogate", candidate(F.col("kind"), F.col("normal"), F.lit(attempt), key))
         real = found.select("kind", F.col("normal").alias("surrogate"))
         free = drawn.join(real, ["kind", "surrogate"], "left_anti")
@@ -232,19 +248,20 @@ def assign(found: DataFrame, key: str, max_rounds: int = MAX_ROUNDS) -> DataFram
         if pending.isEmpty():
             return reduce(DataFrame.union, taken)
         pending = materialize(pending, "surrogates-pending")
-    raise RuntimeError(f"parts without a free surrogate after {max_rounds} rounds: the format is too short for them")
 
 
 # ---- replacement -----------------------------------------------------------
 
 def _shaped(kind: Column, text: Column, surrogate: Column) -> Column:
-    """A surrogate in the spelling of the mention."""
+    """A surrogate in the spelling of the mention; what it is longer follows."""
     digits = F.regexp_replace(surrogate, r"[^0-9]", "")
     spelled = F.array_join(F.transform(_chars(text), lambda c, i: F.when(
         c.rlike("[0-9]"), F.substr(digits, F.length(F.regexp_replace(
             F.substr(text, F.lit(1), i + 1), r"[^0-9]", "")), F.lit(1))).otherwise(c)), "")
+    spelled = F.concat(spelled, F.substr(digits, F.length(F.regexp_replace(text, r"[^0-9]", "")) + 1))
     groups = F.array_join(F.transform(_chars(text), lambda c, i: F.when(c == " ", c).otherwise(F.substr(
         surrogate, F.length(F.regexp_replace(F.substr(text, F.lit(1), i + 1), " ", "")), F.lit(1)))), "")
+    groups = F.concat(groups, F.substr(surrogate, F.length(F.regexp_replace(text, " ", "")) + 1))
     name = F.when((F.length(text) > 1) & (text == F.upper(text)), F.upper(surrogate)).otherwise(F.initcap(surrogate))
     return (F.when(kind.isNull(), text).when(kind.isin("card", "ssn", "phone"), spelled)
             .when(kind == "iban", groups).when(kind.rlike("^(given|surname)_"), name)

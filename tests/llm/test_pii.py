@@ -75,6 +75,42 @@ def test_distinct_under_collisions(spark):
     assert len(set(out[1].split())) == 300 and not set(out[1].split()) & set(cards)
 
 
+def test_formats_that_run_out(spark):
+    """Texts of which a like one has no or too few other values."""
+    stars = ["********", "......", "------", "$#@!%^&*", "٣٤٥٦٧٨"] + [f"*****{i}" for i in range(10)]
+    phones = [f"+25{i:03d}" for i in range(600)]
+    out = replace(spark, [" | ".join(f"Password: {s}" for s in stars), " ".join(phones), "token=******** and +25007"])
+    new = [t.removeprefix("Password: ") for t in out[0].split(" | ")]
+    assert len(set(new)) == len(stars) and not set(new) & set(stars)
+    assert [len(t) for t in new[:5]] == [len(t) for t in stars[:5]] and all(re.fullmatch("[a-z0-9]+", t) for t in new[:5])
+    numbers = out[1].split()
+    assert len(set(numbers)) == 600 and not set(numbers) & set(phones)
+    assert all(re.fullmatch(r"\+25\d{3,}", t) for t in numbers)
+    assert out[2] == f"token={new[0]} and {numbers[7]}"
+
+
+def test_late_rounds_have_more_values(spark):
+    """Candidates of every kind after formats have run out, in the spelling of a mention."""
+    rows = [("ip", "10.0.0.1", "10.0.0.1"), ("ssn", "123456789", "123-45-6789"), ("card", "4111111111111111", "4111 1111 1111 1111"),
+            ("phone", "+25123", "+25 123"), ("iban", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"),
+            ("secret", "a-b-c!", "a-b-c!"), ("secret_hex", "abcdef", "abcdef"), ("mailbox", "_@a.com", "_"), ("host", "-.com", "-.com")]
+    df = spark.createDataFrame(rows, "kind string, normal string, text string")
+    for attempt in (4, 40, 100):
+        drawn = pii.candidate(F.col("kind"), F.col("normal"), F.lit(attempt), "k")
+        out = {r.kind: (r.s, r.t) for r in df.withColumn("s", drawn).select(
+            "kind", "s", pii._shaped(F.col("kind"), F.col("text"), F.col("s")).alias("t")).collect()}
+        more = attempt - 3
+        assert re.fullmatch(r"2001:db8(:[0-9a-f]{4}){6}", out["ip"][1])
+        assert re.fullmatch(rf"9\d\d-\d\d-\d{{{4 + more}}}", out["ssn"][1])
+        assert re.fullmatch(rf"4\d{{3}} \d{{4}} \d{{4}} \d{{{4 + more}}}", out["card"][1]) and luhn(out["card"][0])
+        assert re.fullmatch(rf"\+25 \d{{{3 + more}}}", out["phone"][1])
+        iban = out["iban"][0]
+        assert out["iban"][1].replace(" ", "") == iban and len(iban) == 22 + more
+        assert int("".join(str(int(ch, 36)) for ch in iban[4:] + iban[:4])) % 97 == 1
+        assert re.fullmatch(rf"[a-z0-9]{{{6 + more}}}", out["secret"][1]) and re.fullmatch(rf"[0-9a-f]{{{6 + more}}}", out["secret_hex"][1])
+        assert re.fullmatch(rf"_[a-z]{{{more}}}", out["mailbox"][1]) and re.fullmatch(rf"-[a-z]{{{more}}}\.example", out["host"][1])
+
+
 def test_key_and_edges(spark):
     t = ["write to ab.cd@mail.org", "write to ab.cd@mail.org"]
     one, two = replace(spark, t), replace(spark, t, key="other")
