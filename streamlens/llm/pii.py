@@ -64,11 +64,13 @@ ENDINGS = {"latin": {"m": "n", "f": "na", "u": "l"}, "cyrillic": {"m": "н", "f"
 
 _NAME = r"\p{Lu}[\p{L}'’\-]+"
 _TITLE = "|".join(t for g in TITLES.values() for t in g)
+# what comes before the value of a secret: the end of a name, perhaps quoted, and an assignment
+_SECRET = (r"(?i:password|passwd|pwd|passphrase|token|secret|(?:api|access|secret|private)[_\-]?key)"
+           r"[\"']?[ \t]{0,3}(?::=|=>|[:=])[ \t]{0,3}[\"']?")
 # kind -> pattern of a whole entity, tried in this order
 KINDS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"(?i:password|passwd|pwd|passphrase|token|secret|api[_\-]?key|access[_\-]?key)"
-              r"[ \t]{0,3}[:=][ \t]{0,3}[\"']?[^\s\"']{6,}",
+    "email": r"[\p{L}\p{N}_][\p{L}\p{M}\p{N}._%+\-]{0,63}@(?:[\p{L}\p{M}\p{N}\-]{1,63}\.){1,8}(?:[A-Za-z]{2,24}|\p{L}{2,24})",
+    "secret": _SECRET + r"[^\s\"']{6,}",
     "keyid": r"(?:AKIA|ASIA)[0-9A-Z]{12,20}(?![0-9A-Za-z])|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9\-]{20,}",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![0-9A-Za-z]|\.\d)",
@@ -79,7 +81,8 @@ KINDS = {
     "person": rf"(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,3}}",
 }
 _START = r"(?<![\p{L}\p{N}_])"
-PATTERN = _START + "(?:" + "|".join(KINDS.values()) + ")"
+# a secret's name may have anything before it: DB_PASSWORD, client_secret, accessToken
+PATTERN = "(?:" + _START + "(?:" + "|".join(p for k, p in KINDS.items() if k != "secret") + ")|" + KINDS["secret"] + ")"
 _DIGITS, _SMALL, _LARGE, _HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 _KEYED = _SMALL + _DIGITS
 
@@ -118,7 +121,7 @@ def parts(mention: Column) -> Column:
     """The parts of a mention, in order; their texts join to the mention."""
     digits = F.regexp_replace(mention, r"[^0-9]", "")
     host = F.regexp_extract(mention, "@(.*)$", 1)
-    head = F.regexp_extract(mention, r"^([A-Za-z_\-]+[ \t]*[:=][ \t]*[\"']?)", 1)
+    head = F.regexp_extract(mention, f"^({_SECRET})", 1)
     value = F.substr(mention, F.length(head) + 1)
     prefix = F.regexp_extract(mention, r"^(AKIA|ASIA|gh[pousr]_|sk-)", 1)
     is_ = {k: mention.rlike(f"^(?:{p})$") for k, p in KINDS.items()}
@@ -156,11 +159,11 @@ def _pick(alphabet: str, v: Column) -> Column:
 
 
 def _masked(s: Column, rnd: Column) -> Column:
-    """Every ASCII digit and letter replaced by its like; all else kept, and
-    letters of other alphabets by small or capital ASCII letters."""
+    """Every digit and letter replaced by its like, those of other scripts by
+    ASCII digits and small or capital ASCII letters; all else kept."""
     def one(c: Column, i: Column) -> Column:
         v = F.get(rnd, i)
-        return (F.when(c.rlike("[0-9]"), _pick(_DIGITS, v)).when(c.rlike(r"\p{Lu}"), _pick(_LARGE, v))
+        return (F.when(c.rlike(r"\p{N}"), _pick(_DIGITS, v)).when(c.rlike(r"\p{Lu}"), _pick(_LARGE, v))
                 .when(c.rlike(r"\p{L}"), _pick(_SMALL, v)).otherwise(c))
     return F.array_join(F.transform(_chars(s), one), "")
 
@@ -222,7 +225,7 @@ def candidate(kind: Column, normal: Column, attempt: Column, key: str) -> Column
             .when(kind == "ip", F.when(more > 0, ipv6).otherwise(ip))
             .when(kind == "iban", F.concat(F.substr(iban, F.lit(1), F.lit(2)), check, F.substr(iban, F.lit(5))))
             .when(kind == "secret_hex", hexed)
-            .when(kind == "secret", F.when((more == 0) & normal.rlike(r"[0-9]|\p{L}"), masked).otherwise(keyed))
+            .when(kind == "secret", F.when((more == 0) & normal.rlike(r"[\p{N}\p{L}]"), masked).otherwise(keyed))
             .otherwise(_name(kind, rnd, attempt)))
 
 

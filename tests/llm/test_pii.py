@@ -111,6 +111,29 @@ def test_late_rounds_have_more_values(spark):
         assert re.fullmatch(rf"_[a-z]{{{more}}}", out["mailbox"][1]) and re.fullmatch(rf"-[a-z]{{{more}}}\.example", out["host"][1])
 
 
+def test_usual_spellings(spark):
+    """Written independently of the operator's patterns: (text, what must be gone, what must stay)."""
+    cases = [
+        ("DB_PASSWORD=hunter2222", "hunter2222", "DB_PASSWORD="), ("client_secret=abcdef123 x", "abcdef123", "client_secret="),
+        ("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG", "wJalr", "aws_secret_access_key = "),
+        ("access_token: eyJhbGciOiJIUzI1NiJ9", "eyJhb", "access_token: "), ('{"password": "hunter2222"}', "hunter2222", '{"password": "'),
+        ("{'api_key' : 'k3y-k3y-k3y'}", "k3y", "{'api_key' : '"), ("X-Api-Key: 0a1b2c3d4e", "0a1b2c3d4e", "X-Api-Key: "),
+        ("export PGPASSWORD='s3cr3t!x'", "s3cr3t", "export PGPASSWORD='"), ("dbPassword: hunter2222", "hunter2222", "dbPassword: "),
+        ('"accessToken":"abc.def.ghi"', "abc.def", '"accessToken":"'), ("SECRET_KEY = 'django-insecure-1'", "insecure", "SECRET_KEY = '"),
+        ("'password' => 'hunter2222',", "hunter2222", "'password' => '"), ("pwd := \"hunter2222\"", "hunter2222", 'pwd := "'),
+        ("an müller@firma.de, heute", "müller", "an "), ("to _bob@x.com.", "bob", "to "), ("to info@müller.de", "müller", "to "),
+        ("to mu\u0308ller@firma.de", "ller@", "to "), ("пишите иван@почта.рф сейчас", "иван", "пишите ")]
+    out = replace(spark, [c[0] for c in cases], count_col="n")
+    for (text, gone, stays), new in zip(cases, out, strict=True):
+        assert gone not in new and new.startswith(stays), (text, new)
+    plain = ["the password is long", "token: abc", "a secret = x", "user_name=hunter2222", "@home and me@work", "x_y: 1234567"]
+    assert replace(spark, plain) == plain
+    # one secret in all spellings
+    same = replace(spark, ["password=hunter2222 DB_PASSWORD=hunter2222 {\"password\": \"hunter2222\"}"])[0]
+    one = re.fullmatch(r'password=(\w+) DB_PASSWORD=(\w+) {"password": "(\w+)"}', same)
+    assert one and len(set(one.groups())) == 1 and one[1] != "hunter2222"
+
+
 def test_key_and_edges(spark):
     t = ["write to ab.cd@mail.org", "write to ab.cd@mail.org"]
     one, two = replace(spark, t), replace(spark, t, key="other")
