@@ -25,17 +25,17 @@ from streamlens.operators import running as run
 COMPACT = 16
 BATCH = "stream_batch"
 _SEEN = "seen_ms"
+_AT = "_at"  # the batch that a state row is from
 
 
 def _state_columns(kind: str) -> list[str]:
     return [run.SPECS[kind]["key"], *run.SPECS[kind]["aggs"], _SEEN]
 
 
-def _latest(states: DataFrame, kind: str) -> DataFrame:
-    """The newest row per key: the counter only grows."""
+def _latest(states: DataFrame, kind: str, by: str) -> DataFrame:
+    """The row per key that is the last by a column."""
     key, *values = _state_columns(kind)
-    counter = next(iter(run.SPECS[kind]["aggs"]))
-    best = states.groupBy(key).agg(F.max_by(F.struct(*values), F.col(counter)).alias("s"))
+    best = states.groupBy(key).agg(F.max_by(F.struct(*values), F.col(by)).alias("s"))
     return best.select(key, *[F.col(f"s.{v}").alias(v) for v in values])
 
 
@@ -48,7 +48,9 @@ def state_before(spark: SparkSession, state: str, kind: str, batch_id: int,
         paths.append(f"{state}/snapshot-{first - 1}")
     if not paths:
         return None
-    rows = _latest(spark.read.parquet(*paths), kind)
+    # not by the counter: it starts again for a key that was forgotten
+    at = F.regexp_extract("_metadata.file_path", r"/(?:delta|snapshot)-(\d+)/[^/]*$", 1).cast("long")
+    rows = _latest(spark.read.parquet(*paths).withColumn(_AT, at), kind, _AT)
     if ttl_ms is not None:
         rows = rows.where(F.col(_SEEN) >= F.lit(now_ms - ttl_ms))
     return rows
@@ -80,12 +82,14 @@ def running_sink(kind: str, out: str, state: str, ttl_ms: int | None = None,
         path = f"{out}/{BATCH}={batch_id}"
         cur.write.mode("overwrite").parquet(path)
         done = spark.read.schema(cur.schema).parquet(path)
-        new = _latest(done.withColumn(_SEEN, F.lit(now_ms)), kind)
+        counter = next(iter(aggs))  # grows within a batch
+        new = _latest(done.withColumn(_SEEN, F.lit(now_ms)), kind, counter)
         new.write.mode("overwrite").parquet(f"{state}/delta-{batch_id}")
         if (batch_id + 1) % COMPACT == 0:
             state_all = state_before(spark, state, kind, batch_id, ttl_ms, now_ms)
             last = spark.read.parquet(f"{state}/delta-{batch_id}")
-            every = last if state_all is None else _latest(state_all.unionByName(last), kind)
+            every = last if state_all is None else _latest(
+                state_all.withColumn(_AT, F.lit(0)).unionByName(last.withColumn(_AT, F.lit(1))), kind, _AT)
             every.write.mode("overwrite").parquet(f"{state}/snapshot-{batch_id}")
         if publish:
             publish(run.finished(done, kind), batch_id)

@@ -59,6 +59,27 @@ def test_same_key_across_batches_counts_up(spark):
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
 
 
+def test_key_that_comes_back_after_ttl_counts_on(spark, monkeypatch):
+    """Old deltas with larger counters don't hide what came after the expiry,
+    neither between snapshots nor in one."""
+    monkeypatch.setattr(RB, "COMPACT", 6)
+    now = [1_000_000.0]
+    monkeypatch.setattr(time, "time", lambda: now[0])
+
+    def batch(n, rows):
+        return spark.range(rows).selectExpr(
+            f"concat('t{n}-', id) as transaction_id", "'a' as user_id", "timestamp_ntz'2024-01-01 00:00:00' as event_time",
+            "1.0D as final_amount", "cast(2 as decimal(18,2)) as spent")
+    out, state = scratch_path(spark, "t-o"), scratch_path(spark, "t-s")
+    sink = RB.running_sink("transactions", out, state, ttl_ms=60_000)
+    sink(batch(0, 5), 0)
+    for n in range(1, 8):  # a snapshot after batch 5
+        now[0] += 3600 if n == 1 else 1
+        sink(batch(n, 1), n)
+    rows = RB.rows(spark, "transactions", out).where("transaction_id not like 't0%'").orderBy("transaction_id").collect()
+    assert [(r.transaction_count, r.total_spent) for r in rows] == [(n, 2.0 * n) for n in range(1, 8)]
+
+
 def test_running_state_snapshots_replay_and_ttl(spark, monkeypatch):
     monkeypatch.setattr(RB, "COMPACT", 3)
     schema = "transaction_id string, user_id string, event_time timestamp_ntz, final_amount double, spent decimal(18,2)"
