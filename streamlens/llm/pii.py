@@ -26,6 +26,9 @@ Only texts with entities are shuffled.  A part or a list of entities that holds
 a third of all mentions is one row of the assignment; the joins back have one
 unique side and are split by AQE.
 
+Limit: a person is found directly after one of TITLES only.  Untitled mentions
+of the same name stay as they are.
+
 Edge cases: NULL and empty texts and texts without entities are unchanged.
 NULLs in other columns, extra columns and repeated rows are kept as they are.
 An empty table gives an empty result.
