@@ -129,3 +129,34 @@ def test_language_edges(spark, documents):
     assert language.train(none) is None
     assert {r.lang_pred for r in language.predict(none, None).collect()} == {"und"}
     assert language.predict(df.limit(0), model).count() == 0
+
+
+def test_every_language_value_is_learnt(spark):
+    """More values than 1,000: the rare ones are learnt and predicted, too."""
+    rng = random.Random(6)
+    rows, i = [], 0
+    for k in range(1205):
+        for _ in range(1 if k < 200 else 2):  # the first 200 are the rare ones
+            i += 1
+            while zlib.crc32(str(i).encode()) % 4 == 2:
+                i += 1
+            rows.append((i, " ".join("".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(12)), f"{'ab'[k >= 200]}{k:04d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, bits=1 << 12)
+    assert len(model.languages) == 1205
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs.where("lang < 'b'"), model).collect()}
+    assert np.mean([got[d] == lang for d, _, lang in rows[:200]]) > 0.9
+
+
+def test_fit_equals_the_dense_solution():
+    rng = np.random.default_rng(1)
+    packed = np.packbits(rng.integers(0, 2, (60, 64), dtype=np.uint8), axis=1)
+    labels = [["c", "a", "b", "a"][i % 4] for i in range(60)]
+    m = language.fit(packed, labels, landmarks=12)
+    k = language._kernel(language._unpack(packed), language._unpack(m.landmarks)).astype(np.float64)
+    value, vector = np.linalg.eigh(language._kernel(*[language._unpack(m.landmarks)] * 2).astype(np.float64))
+    root = vector[:, value > 1e-6 * value[-1]] / np.sqrt(value[value > 1e-6 * value[-1]])
+    phi, y = k @ root, np.where(np.array(labels)[:, None] == np.array(m.languages), 1.0, -1.0)
+    c = phi - phi.mean(0)
+    beta = np.linalg.solve(c.T @ c + language.RIDGE * 60 * np.eye(c.shape[1]), c.T @ (y - y.mean(0)))
+    assert np.allclose(k @ m.weights + m.bias, c @ beta + y.mean(0), atol=1e-3)
