@@ -3,8 +3,9 @@
 Every task cuts its documents into shards of bounded text, indexes each shard
 (fm_index.py) and backward-searches the benchmark's word windows in it.  Hits
 are located by sampled suffix positions and merged into removal spans.  The
-index does not depend on the benchmark, which is brought to the tasks in blocks
-of bounded size; documents are neither shuffled nor compared with each other.
+index does not depend on the benchmark: its windows are built by Spark tasks as
+files of bounded size in the shared folder, and a worker holds one of them at a
+time.  Documents are neither shuffled nor compared with each other.
 
 Words: A-Z lower-cased, then runs of ASCII letters, digits and all non-ASCII
 characters.  A window is ``window`` consecutive words of an item; an item of
@@ -18,12 +19,13 @@ named like an output column are replaced.
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -32,9 +34,11 @@ from streamlens.llm.common import without
 from streamlens.llm.fm_index import FMIndex
 from streamlens.llm.packing import expand
 from streamlens.llm.words import Words, byte_slices, giving_back
+from streamlens.session import scratch_path
+from streamlens.sources.files import filesystem
 
 SHARD_BYTES = 3 << 20  # an index takes about 30 times as much memory while it is built
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20  # of text; its windows take about 15 times as much
 _OUT = "n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
 
 
@@ -59,7 +63,21 @@ def windows(items: list[tuple[str, bytes]], size: int) -> dict:
             "names": names}
 
 
-def search_shard(texts: list[bytes], blocks: list[dict]) -> tuple[np.ndarray, np.ndarray, list, list]:
+_last: tuple[str, dict] | None = None
+
+
+def _loaded(path: str) -> dict:
+    """A block of windows; a worker keeps the last one only."""
+    global _last
+    if _last is None or _last[0] != path:
+        _last = None
+        fs, at = filesystem(path)
+        with fs.open_input_stream(at) as f:
+            _last = (path, pickle.loads(f.read()))
+    return _last[1]
+
+
+def search_shard(texts: list[bytes], blocks: list[dict | str]) -> tuple[np.ndarray, np.ndarray, list, list]:
     """Per text: words, hit words, names of the items found, spans to remove."""
     n = len(texts)
     words = Words(texts)
@@ -68,7 +86,8 @@ def search_shard(texts: list[bytes], blocks: list[dict]) -> tuple[np.ndarray, np
     if len(words.codes) and blocks:
         index = FMIndex(words.codes, words.n_words, len(words.vocabulary))
         for b in blocks:
-            block = b.value if isinstance(b, Broadcast) else b
+            block = None  # not two at once
+            block = _loaded(b) if isinstance(b, str) else b
             code = pc.index_in(block["vocabulary"], value_set=words.vocabulary)
             code = np.append(code.fill_null(-1).to_numpy(zero_copy_only=False), 0)  # -1 (padding) -> 0
             grid = code[block["grid"]]
@@ -102,21 +121,35 @@ def search_shard(texts: list[bytes], blocks: list[dict]) -> tuple[np.ndarray, np
     return words.n_words, n_hit, [sorted(f) for f in found], spans
 
 
-def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_bytes: int) -> list[Broadcast]:
-    """The benchmark's windows in broadcast blocks.  The number of blocks
-    follows the measured size, so one block never exceeds about
-    ``block_bytes`` of text on the driver or in a task."""
+def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_bytes: int) -> list[str]:
+    """The files of the benchmark's windows.  The number of blocks follows the
+    measured size, so a block is made of about ``block_bytes`` of text (more
+    only if one item is longer)."""
     items = benchmark.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"),
                              F.col(f"`{text_col}`").alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // block_bytes)
-    out = []
-    for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).distinct().collect()
-        block = windows([(r[0], r[1].encode()) for r in rows], window)
-        if len(block["length"]) and block["length"].max() > 0:
-            out.append(benchmark.sparkSession.sparkContext.broadcast(block))
-    return out
+    if not n:
+        return []
+    root = scratch_path(benchmark.sparkSession, "benchmark-blocks")
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        items = sorted(set(zip(rows["id"].to_pylist(), rows["text"].to_pylist())))
+        block = windows([(i, t.encode()) for i, t in items], window)
+        path = f"{root}/block-{key[0].as_py()}"
+        some = len(block["length"]) and block["length"].max() > 0
+        if some:
+            fs, at = filesystem(root)
+            fs.create_dir(at, recursive=True)
+            tmp = f"{at}/.{uuid.uuid4().hex}.part"  # a retry writes the same name
+            with fs.open_output_stream(tmp) as out:
+                out.write(pickle.dumps(block, pickle.HIGHEST_PROTOCOL))
+            fs.move(tmp, f"{at}/block-{key[0].as_py()}")
+        return pa.table({"path": pa.array([path] if some else [], pa.string())})
+
+    k = F.pmod(F.xxhash64("id", "text"), F.lit(n)).alias("block")
+    built = items.select(k, "id", "text").groupBy("block").applyInArrow(build, "path string")
+    return sorted(r.path for r in built.collect())
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text",

@@ -1,6 +1,9 @@
 import hashlib
+import pickle
 import random
 import re
+import weakref
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -96,6 +99,27 @@ def test_operator(spark):
     assert decontaminate(df.limit(0), b).count() == 0
 
 
+def test_worker_holds_one_block(spark, monkeypatch):
+    """Blocks are files built by tasks; a search keeps the last one only."""
+    from streamlens.llm import decontamination as dec
+    docs, bench = _corpus(11)
+    paths = dec._blocks(spark.createDataFrame(bench, "item_id string, text string"), 3, "item_id", "text", 300)
+    assert len(paths) > 2 and all(isinstance(p, str) for p in paths)
+    load, alive, most = dec._loaded, weakref.WeakSet(), []
+
+    class Block(dict):
+        __hash__ = object.__hash__
+
+    def counted(data):
+        alive.add(block := Block(pickle.loads(data)))
+        most.append(len(alive))
+        return block
+    monkeypatch.setattr(dec, "pickle", SimpleNamespace(loads=counted))
+    n_words, n_hit, found, _ = search_shard([(d or "").encode() for d in docs], paths)
+    assert list(zip(n_words, n_hit, found)) == brute(docs, bench, 3)
+    assert len(most) == len(paths) and max(most) == 1 and load(paths[-1]) is load(paths[-1])
+
+
 def test_query_digest(spark):
     from streamlens.llm.queries import QUERIES
     sf = "/root/testdata/sf0.001"
