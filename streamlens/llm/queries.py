@@ -11,10 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import decontamination, embedding_dedup, language, packing, pii, quality, sharding, simhash, url_filter, warc
+from streamlens.llm import (
+    collocations, conversation_repair, decontamination, embedding_dedup, language, packing, pii, quality, sentencepiece_bpe,
+    sharding, simhash, url_filter, warc)
 from streamlens.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 PII_KEY = "registered-query"  # callers of the operator pass their own secret
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -106,4 +109,28 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(url_filter.page_captures(pages), url_filter.page_entries(pages))
 
 
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = sentencepiece_bpe.encode(docs, public_tokenizers.path(PIECES), decoded_col="decoded")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, dropped = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    found = conversation_repair.report(conversation_repair.repair(rows, absent=dropped))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
 ORACLE["op9_url_filter"] = url_filter.ORACLE
+ORACLE["op13_collocations"] = collocations.ORACLE
+ORACLE["op12_conversations"] = conversation_repair.ORACLE
