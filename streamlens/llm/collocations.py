@@ -8,8 +8,8 @@ distinct chunks with their frequencies in the parse.  Phrases are counted inside
 distinct chunks only, weighted by the frequency; one that starts in a chunk's
 own words is counted there, so what stands in an overlap is counted once.
 
-Phrases of n words are counted when all their parts of n - 1 words are frequent
-(a phrase is never more frequent than its parts).  The frequent parts reach the
+Phrases of n > 2 words are counted when their two parts of n - 1 words are
+frequent (a phrase is never more frequent than its parts).  The frequent parts reach the
 tasks as a Bloom filter of at most ``FILTER_BITS`` bits, whatever their number:
 beyond that it lets more phrases through, which the exact count then drops.
 Where no word triggers for ``LONGEST`` words a cut is made all the same; it only
@@ -42,7 +42,7 @@ PERIOD = 12
 LONGEST = 96
 FILTER_BITS = 1 << 27
 _BLOCK_BITS = 1 << 20  # a task builds the filter in blocks of 128 KB
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 10 if c in _BREAKS else 32 if c == 9 else c for c in range(256))
 
@@ -119,18 +119,17 @@ def parse(docs: DataFrame, max_words: int = 3, text_col: str = "text", lang_col:
                 # equal chunks of the slice are counted here
                 code = chunks.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 place = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[w.text[start]]
-                key = (code * len(lang.dictionary) + place) * (LONGEST + 1) + own
-                key, freq = np.unique(key, return_counts=True)
-                key, own = np.divmod(key, LONGEST + 1)
-                code, place = np.divmod(key, len(lang.dictionary))
-                yield from _text_batches([lang.dictionary.take(pa.array(place)), chunks.dictionary.take(pa.array(code)),
-                                          pa.array(own, pa.int32()), pa.array(freq)], ["lang", "chunk", "own", "freq"])
+                at, freq = _added_up(place, len(lang.dictionary), [own, code], max(LONGEST + 1, len(chunks.dictionary)),
+                                     np.ones(len(code), np.int64))
+                yield from _text_batches(
+                    [lang.dictionary.take(pa.array(place[at])), chunks.dictionary.take(pa.array(code[at])),
+                     pa.array(own[at], pa.int32()), pa.array(freq)], ["lang", "chunk", "own", "freq"])
 
     parts = rows.mapInArrow(giving_back(run), "lang string, chunk string, own int, freq long")
     return parts.groupBy("lang", "chunk", "own").agg(F.sum("freq").alias("freq"))
 
 
-def _text_batches(columns: list[pa.Array], names: list[str], rows: int = 200_000) -> Iterator[pa.RecordBatch]:
+def _text_batches(columns: list[pa.Array], names: list[str], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     for s in range(0, len(columns[0]), rows):
         yield pa.RecordBatch.from_arrays(
             [c.slice(s, rows).cast(pa.binary()).cast(pa.string()) if pa.types.is_large_binary(c.type) else c.slice(s, rows)
@@ -205,8 +204,22 @@ def bloom(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-def _counted(chunks: DataFrame, n: int, min_count: int, parts: DataFrame | None) -> DataFrame:
-    """(lang, phrase, f) of phrases of n words with f >= min_count."""
+def _added_up(place: np.ndarray, n_places: int, words: list[np.ndarray], n_words: int, freq: np.ndarray):
+    """(one index of each distinct phrase, the sum of its frequencies)."""
+    key, values = place, n_places
+    for w in words:
+        if values * n_words >= 1 << 62:  # number the phrases so far, to stay within 64 bits
+            key = np.unique(key, return_inverse=True)[1]
+            values = len(key)
+        key, values = key * n_words + w, values * n_words
+    order = np.argsort(key)
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    return order[first], np.add.reduceat(freq[order], first)
+
+
+def _counted(chunks: DataFrame, sizes: list[int], min_count: int, parts: DataFrame | None) -> DataFrame:
+    """(lang, phrase, f) of phrases of so many words with f >= min_count;
+    ``parts`` are the frequent phrases of one word less."""
     spark = chunks.sparkSession
     held = spark.sparkContext.broadcast(bloom(parts)) if parts is not None else None  # at most FILTER_BITS / 8 bytes
 
@@ -218,34 +231,29 @@ def _counted(chunks: DataFrame, n: int, min_count: int, parts: DataFrame | None)
         for batch in batches:
             for b in byte_slices(batch, 1, SLICE_BYTES):
                 w = _Words(b.column(1).cast(pa.binary()).to_pylist())
-                own = b.column(2).to_numpy().astype(np.int64)
+                own, freq = b.column(2).to_numpy().astype(np.int64), b.column(3).to_numpy()
                 first = np.searchsorted(w.text, np.arange(b.num_rows))
                 count = np.diff(first, append=len(w.codes))
-                here = np.maximum(np.minimum(own, count - n + 1), 0)
-                start = expand(first, here)
-                row = np.repeat(np.arange(b.num_rows), here)
                 lang = b.column(0).dictionary_encode()
-                place = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
-                if held is not None and len(start):
+                lang_of = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                if held is not None:
                     hashed, of_lang = _word_hash(w.distinct), _lang_hash(lang.dictionary)
-                    for k in range(2):  # the parts without the last and without the first word
-                        h = _phrase_hash(of_lang[place], [hashed[w.codes[start + k + j]] for j in range(n - 1)])
-                        good = passes(h, held.value)
-                        start, place, row = start[good], place[good], row[good]
-                if not len(start):
-                    continue
-                # equal phrases of the slice are added up here: numbers of phrases word by word
-                key = place
-                for k in range(n):
-                    key = np.unique(key * len(w.distinct) + w.codes[start + k], return_inverse=True)[1] if k < n - 1 \
-                        else key * len(w.distinct) + w.codes[start + k]
-                _, at, number = np.unique(key, return_index=True, return_inverse=True)
-                f = np.zeros(len(at), np.int64)
-                np.add.at(f, number, b.column(3).to_numpy()[row])
-                yield from _text_batches(
-                    [lang.dictionary.take(pa.array(place[at])),
-                     joined_words(w.distinct, w.codes, start[at], np.full(len(at), n)), pa.array(f)],
-                    ["lang", "phrase", "f"])
+                for n in sizes:
+                    here = np.maximum(np.minimum(own, count - n + 1), 0)
+                    start, row = expand(first, here), np.repeat(np.arange(b.num_rows), here)
+                    if held is not None:
+                        for k in range(2):  # the parts without the last and without the first word
+                            h = _phrase_hash(of_lang[lang_of[row]], [hashed[w.codes[start + k + j]] for j in range(n - 1)])
+                            good = passes(h, held.value)
+                            start, row = start[good], row[good]
+                    if not len(start):
+                        continue
+                    at, f = _added_up(lang_of[row], len(lang.dictionary), [w.codes[start + k] for k in range(n)],
+                                      len(w.distinct), freq[row])
+                    yield from _text_batches(
+                        [lang.dictionary.take(pa.array(lang_of[row[at]])),
+                         joined_words(w.distinct, w.codes, start[at], np.full(len(at), n)), pa.array(f)],
+                        ["lang", "phrase", "f"])
 
     rows = chunks.select("lang", "chunk", "own", "freq").mapInArrow(giving_back(run), "lang string, phrase string, f long")
     return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
@@ -253,11 +261,13 @@ def _counted(chunks: DataFrame, n: int, min_count: int, parts: DataFrame | None)
 
 def phrase_counts(chunks: DataFrame, max_words: int = 3, min_count: int = 10) -> DataFrame:
     """(lang, phrase, n_words, f) of all phrases of up to max_words words with f >= min_count."""
-    out, parts = None, None
-    for n in range(1, max_words + 1):
-        level = materialize(_counted(chunks, n, min_count, parts), f"phrases-{n}")
-        parts, numbered = level, level.withColumn("n_words", F.lit(n))
-        out = numbered if out is None else out.unionByName(numbered)
+    size = (F.size(F.split("phrase", " "))).alias("n_words")
+    # single words need no filter, and pairs gain little from one: both in one pass
+    out = materialize(_counted(chunks, [1, 2][:max_words], min_count, None).select("*", size), "phrases-2")
+    parts = out.where("n_words = 2")
+    for n in range(3, max_words + 1):
+        parts = materialize(_counted(chunks, [n], min_count, parts).select("*", size), f"phrases-{n}")
+        out = out.unionByName(parts)
     return out
 
 
