@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,28 +66,24 @@ class _Words:
         flat = pa.Array.from_buffers(pa.large_binary(), len(begin), [
             None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)])), pa.py_buffer(raw[inside].tobytes())])
         coded = flat.dictionary_encode()
+        self._raw, self._inside, self._end, self._size = raw, inside, end, size
         self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.distinct = coded.dictionary
 
+    def runs(self, start: np.ndarray, count: np.ndarray) -> pa.Array:
+        """Runs of neighbouring words (count >= 1), joined by blanks."""
+        kept = self._inside.copy()
+        kept[self._end] = True  # one byte after every word: a run is a slice
+        line = self._raw[kept]
+        at = np.concatenate([[0], np.cumsum(self._size + 1)])
+        line[at[1:] - 1] = 32
+        line = line.tobytes()
+        return pa.array([line[a:b] for a, b in zip(at[start].tolist(), (at[start + count] - 1).tolist())], pa.large_binary())
 
-def joined_words(distinct: pa.Array, codes: np.ndarray, start: np.ndarray, count: np.ndarray) -> pa.Array:
-    """Words codes[start[i]] .. codes[start[i] + count[i] - 1] of every i,
-    joined by blanks (count >= 1)."""
-    off = distinct.buffers()[1]
-    off = np.frombuffer(off, np.int64)[distinct.offset:distinct.offset + len(distinct) + 1]
-    data = np.frombuffer(distinct.buffers()[2] or b"", np.uint8)
-    words = codes[expand(start, count)]
-    size = off[words + 1] - off[words]
-    # one blank after each word; the last of a phrase loses it again by the offsets' arithmetic
-    ends = np.cumsum(size + 1)
-    out = np.full(int(ends[-1]) if len(ends) else 0, 32, np.uint8)
-    out[expand(ends - size - 1, size)] = data[expand(off[words], size)]
-    last = np.cumsum(count) - 1
-    keep = np.ones(len(out), bool)
-    keep[ends[last] - 1] = False
-    lengths = np.diff(np.concatenate([[0], ends[last]])) - 1
-    return pa.Array.from_buffers(pa.large_binary(), len(count), [
-        None, pa.py_buffer(np.concatenate([[0], np.cumsum(lengths)])), pa.py_buffer(out[keep].tobytes())])
+    def phrases(self, start: np.ndarray, n: int) -> pa.Array:
+        """Phrases of n words."""
+        words = [self.distinct.take(pa.array(self.codes[start + k])) for k in range(n)]
+        return words[0] if n == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
 
 
 def _hashes(distinct: pa.Array) -> np.ndarray:
@@ -114,7 +111,7 @@ def parse(docs: DataFrame, max_words: int = 3, text_col: str = "text", lang_col:
                 piece_end = np.append(np.flatnonzero(w.new_piece)[1:], n)
                 end = piece_end[np.searchsorted(piece_end, start, side="right")]
                 count = np.minimum(own + max_words - 1, end - start)
-                chunks = joined_words(w.distinct, w.codes, start, count).dictionary_encode()
+                chunks = w.runs(start, count).dictionary_encode()
                 lang = b.column(0).dictionary_encode()
                 # equal chunks of the slice are counted here
                 code = chunks.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -252,7 +249,7 @@ def _counted(chunks: DataFrame, sizes: list[int], min_count: int, parts: DataFra
                                       len(w.distinct), freq[row])
                     yield from _text_batches(
                         [lang.dictionary.take(pa.array(lang_of[row[at]])),
-                         joined_words(w.distinct, w.codes, start[at], np.full(len(at), n)), pa.array(f)],
+                         w.phrases(start[at], n), pa.array(f)],
                         ["lang", "phrase", "f"])
 
     rows = chunks.select("lang", "chunk", "own", "freq").mapInArrow(giving_back(run), "lang string, phrase string, f long")
