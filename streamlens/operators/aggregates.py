@@ -126,3 +126,43 @@ def pairwise_avg_window(df: DataFrame, key: Column, key_name: str,
     return out.select("window_start", "window_end", key_name,
                       *[(F.col(f"_s_{n}") + F.col(f"_f_{n}") * F.pow(F.lit(2.0), -F.col("_n")))
                         .alias(n) for n in values])
+
+
+def pairwise_avg_closed(df: DataFrame, key: Column, key_name: str, values: dict[str, str], id_col: str,
+                        length: str = "30 seconds", time_col: str = "event_time",
+                        chunk: str = "1 second") -> DataFrame:
+    """W4 on a stream in ``append`` mode (a batch frame works too): the fold per
+    key and window, in (time, id) order whatever order the rows arrive in.
+
+    Two chained window aggregations.  The first keeps the rows of a key and time
+    chunk until the watermark has passed the chunk, then folds them into a
+    segment: their number n and s = the fold from 0.  The second keeps the
+    segments of a key and window until the window closes, and puts them together
+    in time order: after a value ``acc``, a segment gives ``acc * 2^-n + s``.
+    So the state of a window is its open chunks' rows and one small row per
+    closed chunk.  A key's rows of one chunk meet in one task; ``chunk`` must
+    divide ``length``, and a finer one suits a higher rate.
+    """
+    names = list(values)
+    row = F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("id"),
+                   *[F.col(c).cast("double").alias(n) for n, c in values.items()])
+    rows = df.groupBy(F.window(F.col(time_col), chunk).alias("_chunk"), key.alias(key_name)).agg(
+        F.sort_array(F.collect_list(row)).alias("_rows"))
+
+    def folded(n: str) -> Column:
+        return F.aggregate("_rows", F.lit(0.0), lambda acc, r: (acc + r[n]) / 2)
+
+    def joined(n: str) -> Column:
+        return F.aggregate("_segments", F.col("_segments")[0][f"first_{n}"],
+                           lambda acc, g: acc * F.pow(F.lit(2.0), -g["n"]) + g[f"s_{n}"])
+
+    segments = rows.select(
+        "_chunk", key_name, F.struct(
+            F.col("_chunk.start").alias("at"), F.size("_rows").alias("n"),
+            *[F.col("_rows")[0][n].alias(f"first_{n}") for n in names],
+            *[folded(n).alias(f"s_{n}") for n in names]).alias("_segment"))
+    closed = segments.groupBy(F.window(F.col("_chunk"), length).alias("_w"), F.col(key_name)).agg(
+        F.sort_array(F.collect_list("_segment")).alias("_segments"))
+    return closed.select(
+        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), key_name,
+        *[joined(n).alias(n) for n in names])

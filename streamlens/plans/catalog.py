@@ -699,7 +699,7 @@ def _replay(spark, sf_dir, kind, once, slices=STREAM_SLICES, max_per_trigger=Non
         once([io.read_topic(spark, t, root=root, max_per_trigger=max_per_trigger) for t in parts])
 
 
-def _replayed(spark, sf_dir, kind, name, build, mode="append", keys=None, max_per_trigger=None):
+def _replayed(spark, sf_dir, kind, name, build, mode="append", keys=None, max_per_trigger=None, slices=STREAM_SLICES):
     """The result of ``build(streams)`` after the replay (one stream per topic,
     so each gets its own watermark)."""
     ckpt, out = scratch_path(spark, f"{name}-ckpt"), scratch_path(spark, f"{name}-out")
@@ -707,7 +707,7 @@ def _replayed(spark, sf_dir, kind, name, build, mode="append", keys=None, max_pe
 
     def once(streams):
         res[:] = [R.run_to_end(spark, build(streams), name, mode, keys, ckpt, out)]
-    _replay(spark, sf_dir, kind, once, max_per_trigger=max_per_trigger)
+    _replay(spark, sf_dir, kind, once, slices, max_per_trigger)
     return res[0]
 
 
@@ -774,6 +774,55 @@ query("file_size_window_append", _closed(_SIZE_WIN_SQL, "proc_files", "topic")
     _window_append("uploaded_files", "file_size_window_append"))
 
 
+def _pairwise_stream(kind, name):
+    """W4 on a stream: three slices; a window is emitted when it is closed."""
+    def fn(spark, sf_dir):
+        return S._ntz_windows(_replayed(spark, sf_dir, kind, name,
+                                        lambda s: S.pairwise_windowed(s, kind, delay="1 minute"), slices=3))
+    return fn
+
+
+query("pairwise_avg_window_stream", _closed(_PAIR_SQL, "proc_frames", "ALL")
+      .replace("SELECT * FROM (" + O.with_(O.FRAMES, O.PROC_FRAMES), O.with_(O.FRAMES, O.PROC_FRAMES) + "SELECT * FROM ("))(
+    _pairwise_stream("video_frames", "pairwise_avg_window_stream"))
+query("file_pairwise_avg_window_stream", _closed(_FILE_PAIR_SQL, "proc_files", "topic")
+      .replace("SELECT * FROM (" + O.with_(O.FILES, O.PROC_FILES), O.with_(O.FILES, O.PROC_FILES) + "SELECT * FROM ("))(
+    _pairwise_stream("uploaded_files", "file_pairwise_avg_window_stream"))
+
+
+def _with_redelivery(spark, sf_dir):
+    """Transaction messages, a tenth of them sent a second time under new offsets."""
+    msgs = A.transaction_messages(spark, sf_dir)
+    again = msgs.where(F.pmod(F.xxhash64("value"), F.lit(10)) == 0).withColumn("offset", F.col("offset") + (1 << 40))
+    return msgs.unionByName(again)
+
+
+def _replayed_once(spark, sf_dir, name, build):
+    """The appended rows of a stream whose producer repeats messages, in three slices."""
+    root, ckpt, out = (scratch_path(spark, f"{name}-{k}") for k in ("topics", "ckpt", "out"))
+    res = None
+    for part in io.time_slices(_with_redelivery(spark, sf_dir), 3):
+        io.land_messages(part, root, "transactions")
+        stream = build(io.read_topic(spark, "transactions", root=root, max_per_trigger=4))
+        res = R.run_to_end(spark, stream, name, "append", checkpoint=ckpt, out=out)
+    return res
+
+
+@query("txn_redelivery_totals", ORACLE["txn_user_totals"])
+def txn_redelivery_totals(spark, sf_dir):
+    """A tenth of the messages is delivered twice; the totals are those
+    of the distinct records."""
+    return agg.user_totals(_replayed_once(spark, sf_dir, "txn_redelivery_totals", lambda m: S.delivered_once(
+        m, "transactions", S.TOTAL_FIELDS["transactions"])))
+
+
+@query("txn_redelivery_window", ORACLE["txn_category_window_append"])
+def txn_redelivery_window(spark, sf_dir):
+    """The closed windows of a stream with messages delivered twice."""
+    return S._ntz_windows(_replayed_once(spark, sf_dir, "txn_redelivery_window", lambda m: S.windowed_once(
+        m, "transactions", delay="1 minute")))
+
+
 def _totals_stream(kind, name):
     def fn(spark, sf_dir):
         return _replayed(spark, sf_dir, kind, name, lambda s: S.totals(fo.union_all(*s), kind),
@@ -913,12 +962,12 @@ SELECT user_id AS key, to_json({'user_id': user_id,
   'last_updated': strftime(max(event_time), '%Y-%m-%dT%H:%M:%S.%f')})::VARCHAR AS value
 FROM proc_txn GROUP BY user_id""")
 def sink_agg_latest(spark, sf_dir):
-    """User totals as keyed JSON in update mode; latest per key."""
+    """User totals as keyed JSON, upserted into a table of one row per key."""
     def messages(streams):
         return S.totals(streams[0], "transactions").select(F.col("user_id").alias("key"), F.to_json(F.struct(
             "user_id", "total_spent", "transaction_count",
             X.iso_text("last_updated").alias("last_updated"))).alias("value"))
-    return _replayed(spark, sf_dir, "transactions", "sink_agg_latest", messages, "update", ["key"])
+    return _replayed(spark, sf_dir, "transactions", "sink_agg_latest", messages, "upsert", ["key"])
 
 
 # --------------------------------------------------------------------------
@@ -954,6 +1003,40 @@ def topic_read(spark, sf_dir):
                         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
 
+def _landed_by_offset(spark, sf_dir):
+    root = scratch_path(spark, "topics-offsets")
+    for topic, rows in (("transactions", A.transaction_messages(spark, sf_dir)), ("video_frames", A.frame_messages(spark, sf_dir))):
+        io.land_offsets(rows, root, topic, block=1_000)
+    return root
+
+
+@query("topic_read_first", _ENVELOPE_SQL + """
+SELECT topic, "partition", "offset", key, "timestamp" FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY "partition", "offset") AS rn FROM env
+  WHERE topic IN ('transactions', 'video_frames'))
+WHERE rn <= 10""")
+def topic_read_first(spark, sf_dir):
+    """The first 10 messages of a topic in offset blocks; the scan opens
+    the files of the first offsets only."""
+    root = _landed_by_offset(spark, sf_dir)
+    first = tv.first_messages(io.read_first(spark, ["transactions", "video_frames"], 10, root), 10)
+    return first.select("topic", "partition", "offset", "key",
+                        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
+@query("topic_read_range", _ENVELOPE_SQL + """
+SELECT topic, "partition", "offset", key, "timestamp" FROM env
+WHERE topic IN ('transactions', 'video_frames')
+  AND ("partition" = 0 AND "offset" >= 40 AND "offset" < 140 OR "partition" = 2 AND "offset" >= 1100 AND "offset" < 1300)""")
+def topic_read_range(spark, sf_dir):
+    """A range of offsets from the middle of two partitions."""
+    root = _landed_by_offset(spark, sf_dir)
+    parts = [io.read_offsets(spark, t, {0: 40, 2: 1100}, {0: 140, 2: 1300}, root=root)
+             for t in ("transactions", "video_frames")]
+    return fo.union_all(*parts).select("topic", "partition", "offset", "key",
+                                       F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
 @query("topic_counts", _ENVELOPE_SQL + "SELECT topic, count(*) AS message_count FROM env GROUP BY topic")
 def topic_counts(spark, sf_dir):
     """A4: messages per topic."""
@@ -1087,6 +1170,23 @@ def export_payload(spark, sf_dir):
                           "bytes_written")
 
 
+def _export_stream(spark, sf_dir, kind, name, build):
+    """Replay a kind and write its payloads as a stream of committed batches."""
+    root, ckpt = scratch_path(spark, f"{name}-files"), scratch_path(spark, f"{name}-ckpt")
+    _replay(spark, sf_dir, kind, lambda s: R.finish(build(s, root, ckpt)))
+    return M.exported(spark, root)
+
+
+@query("export_payload_stream", f"SELECT name, bytes_written FROM ({ORACLE['export_payload']})")
+def export_payload_stream(spark, sf_dir):
+    """S13 on a stream: payload files become visible with their micro-batch."""
+    def build(streams, root, ckpt):
+        recs = accepted(parse_files(fo.union_all(*streams), fields=["file_id", "filename", "file_content", "event_time"]))
+        return M.export_stream(recs, root, "file_id", M.export_name("event_time", "filename"), "file_content",
+                               checkpoint=ckpt, available_now=True)
+    return _export_stream(spark, sf_dir, "uploaded_files", "export_payload_stream", build)
+
+
 _FRAME_NAME_SQL = _stored_sql("frame_id", "md5(from_base64(frame_data))",
                               "strftime(event_time, '%Y%m%d_%H%M%S') || '_' || source || '.jpg'")
 
@@ -1103,6 +1203,16 @@ def export_frames(spark, sf_dir):
     return written.select("record_id", F.element_at(F.split("path", "/"), -1).alias("name"), "bytes_written")
 
 
+@query("export_frames_stream", f"SELECT name, bytes_written FROM ({ORACLE['export_frames']})")
+def export_frames_stream(spark, sf_dir):
+    """S14 on a stream."""
+    def build(streams, root, ckpt):
+        recs = accepted(parse_frames(streams[0], fields=["frame_id", "source", "frame_data", "event_time"]))
+        name = F.concat(F.date_format("event_time", "yyyyMMdd_HHmmss"), F.lit("_"), F.col("source"), F.lit(".jpg"))
+        return M.export_stream(recs, root, "frame_id", name, "frame_data", checkpoint=ckpt, available_now=True)
+    return _export_stream(spark, sf_dir, "video_frames", "export_frames_stream", build)
+
+
 _INGEST_SQL = O.with_(O.FILES) + f"""
 SELECT {_EXPORT_NAME_SQL} AS filename, file_type, file_size // {A.FILE_SIZE_FACTOR} AS file_size,
        file_hash, file_type || '_' || file_hash AS file_id, mime_type, topic,

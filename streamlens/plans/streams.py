@@ -87,6 +87,50 @@ def windowed(messages: DataFrame | list[DataFrame], kind: str, length: str = "30
     return window_fn(merged, length, time_col=EVENT_TS)
 
 
+# What the fold W4 averages, per kind: the outputs' names and measures, and the record id.
+PAIRWISE = {
+    "video_frames": ({"pairwise_avg_width": "frame_width", "pairwise_avg_height": "frame_height"}, "frame_id",
+                     "analysis.resolution_category"),
+    "uploaded_files": ({"pairwise_avg_size_bytes": "file_size"}, "file_id", "analysis.size_category"),
+}
+
+
+def pairwise_windowed(messages: DataFrame | list[DataFrame], kind: str, length: str = "30 seconds",
+                      delay: str = "1 hour", chunk: str = "1 second") -> DataFrame:
+    """W4 on a stream (``append`` mode): the order-dependent fold per class and
+    event-time window; rows may arrive in any order inside the watermark."""
+    process, _, key_name = WINDOWED[kind]
+    values, id_col, key = PAIRWISE[kind]
+    parts = messages if isinstance(messages, list) else [messages]
+    recs = [with_event_time(process(m, fields=[id_col, *WINDOW_FIELDS[kind]], require_time=True), delay) for m in parts]
+    merged = recs[0]
+    for r in recs[1:]:
+        merged = merged.unionByName(r)
+    return agg.pairwise_avg_closed(merged, F.coalesce(F.col(key), F.lit("unknown")), key_name, values, id_col, length,
+                                   EVENT_TS, chunk)
+
+
+RECORD_ID = {"transactions": "transaction_id", "video_frames": "frame_id", "uploaded_files": "file_id"}
+
+
+def delivered_once(messages: DataFrame, kind: str, fields: list[str], delay: str = "1 hour") -> DataFrame:
+    """Processed records of a stream whose producer may send a message again
+    (S9 / S6: a retry after a lost acknowledgement), each record id once.
+
+    An id is remembered until the watermark is ``delay`` behind its event time,
+    so the state is bounded by the rate, not by the stream's age; a copy that
+    comes later than that is late itself and dropped by the watermark.
+    """
+    id_col = RECORD_ID[kind]
+    recs = WINDOWED[kind][0](messages, fields=list(dict.fromkeys([id_col, *fields])), require_time=True)
+    return with_event_time(recs, delay).dropDuplicatesWithinWatermark([id_col])
+
+
+def windowed_once(messages: DataFrame, kind: str, length: str = "30 seconds", delay: str = "1 hour") -> DataFrame:
+    """W1-W3 (``append`` mode) over :func:`delivered_once`."""
+    return WINDOWED[kind][1](delivered_once(messages, kind, WINDOW_FIELDS[kind], delay), length, time_col=EVENT_TS)
+
+
 def window_keys(kind: str) -> list[str]:
     return ["window_start", "window_end", WINDOWED[kind][2]]
 

@@ -123,6 +123,96 @@ def land_messages(messages: DataFrame, root: str, topic: str) -> str:
     return path
 
 
+OFFSET_BLOCK = 10_000
+_OFFSETS = "topic string, landing string, partition int, block long, first_offset long, last_offset long, n long"
+
+
+def land_offsets(messages: DataFrame, root: str, topic: str, block: int = OFFSET_BLOCK) -> str:
+    """Append envelope rows to a topic that can be read by offsets.
+
+    Files lie in ``landing=/partition=/block=`` folders (``block`` offsets each,
+    sorted by offset), so a range of offsets is a range of folders.  What each
+    folder holds goes to the small table ``_offsets`` last; a landing that fails
+    before is not seen.  Rows without partition or offset are refused.
+    """
+    import uuid
+    spark, landing = messages.sparkSession, uuid.uuid4().hex
+    path = f"{root.rstrip('/')}/offsets-topic={topic}/landing={landing}"
+    cols = [F.col(c) for c in ENVELOPE.fieldNames() if c not in ("topic", "partition", "offset")]
+    checked = [F.coalesce(c, F.raise_error(F.lit(f"{topic}: a message without {c}")).cast(t)).alias(c)
+               for c, t in (("partition", "int"), ("offset", "long"))]
+    rows = messages.select(*cols, *checked).withColumn("block", F.floor(F.col("offset") / block).cast("long"))
+    (rows.repartition("partition", "block").sortWithinPartitions("partition", "block", "offset")
+     .write.partitionBy("partition", "block").parquet(path))
+    landed = spark.read.schema("offset long, partition int, block long").parquet(path)  # one column of the new files
+    stats = landed.groupBy("partition", "block").agg(
+        F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.count(F.lit(1)).alias("n"))
+    (stats.select(F.lit(topic).alias("topic"), F.lit(landing).alias("landing"), "partition", "block", "first_offset",
+                  "last_offset", "n").write.mode("append").parquet(f"{root.rstrip('/')}/_offsets_{topic}"))
+    return path
+
+
+def offset_blocks(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """The folders of a topic that :func:`land_offsets` wrote, with their offsets."""
+    return spark.read.schema(_OFFSETS).parquet(f"{root.rstrip('/')}/_offsets_{topic}")
+
+
+def _read_blocks(spark: SparkSession, root: str, topic: str, blocks: list) -> DataFrame:
+    base = f"{root.rstrip('/')}/offsets-topic={topic}"
+    paths = [f"{base}/landing={b.landing}/partition={b.partition}/block={b.block}" for b in blocks]
+    if not paths:
+        return spark.createDataFrame([], ENVELOPE)
+    rows = spark.read.option("basePath", base).schema(
+        "key string, value string, timestamp timestamp, offset long, landing string, partition int, block long").parquet(*paths)
+    return rows.withColumn("topic", F.lit(topic)).select(*ENVELOPE.fieldNames())
+
+
+def read_offsets(spark: SparkSession, topic: str, start: dict[int, int], end: dict[int, int], *, fmt: str = "parquet",
+                 root: str | None = None, bootstrap_servers: str | None = None) -> DataFrame:
+    """Messages of a topic by partition from offset ``start`` up to, without,
+    ``end``.  Only the files of the blocks that hold such offsets are read (the
+    broker does the same for ``fmt="kafka"``); partitions not named are left out."""
+    if fmt == "kafka":
+        import json
+        ranges = [json.dumps({topic: {str(p): o for p, o in r.items()}}) for r in (start, end)]
+        raw = (spark.read.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+               .option("assign", json.dumps({topic: sorted(start)}))
+               .option("startingOffsets", ranges[0]).option("endingOffsets", ranges[1]).load())
+        return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                          "topic", "partition", "offset", "timestamp")
+    if start.keys() != end.keys():
+        raise ValueError("start and end must name the same partitions")
+    inside, blocks = F.lit(False), F.lit(False)
+    for p in start:
+        here = F.col("partition") == p
+        inside |= here & (F.col("offset") >= start[p]) & (F.col("offset") < end[p])
+        blocks |= here & (F.col("last_offset") >= start[p]) & (F.col("first_offset") < end[p])
+    # as many rows as folders that the range touches
+    found = offset_blocks(spark, root, topic).where(blocks).collect()
+    return _read_blocks(spark, root, topic, found).where(inside)
+
+
+def read_first(spark: SparkSession, topics: list[str], n: int, root: str) -> DataFrame:
+    """The files of each topic that hold its first ``n`` messages in (partition,
+    offset) order; L1 (``operators.topics.first_messages``) cuts them to n.
+
+    The statistics say how many messages precede a block, so as many blocks are
+    opened as n messages need, whatever the size of the topic.
+    """
+    from pyspark.sql import Window
+    frames = []
+    for topic in topics:
+        blocks = offset_blocks(spark, root, topic)
+        sizes = blocks.groupBy("partition", "block").agg(F.sum("n").alias("n"))
+        # one row per folder of a topic in this window; the limit keeps at most n + 1 of them
+        w = Window.orderBy("partition", "block").rowsBetween(Window.unboundedPreceding, -1)
+        first = sizes.orderBy("partition", "block").limit(n + 1)
+        needed = first.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))).where(F.col("before") < n)
+        found = blocks.join(needed.select("partition", "block"), ["partition", "block"]).collect()
+        frames.append(_read_blocks(spark, root, topic, found))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def time_slices(messages: DataFrame, n: int, order_col: str = "timestamp") -> list[DataFrame]:
     """The messages in ``n`` parts of equal time range, oldest first, for a
     replay in time order (land one, run the stream, land the next).

@@ -91,6 +91,32 @@ def export_payloads(records: DataFrame, root: str, id_col: str, name: Column | s
     return written(staged.mapInPandas(write, EXPORT_SCHEMA), "export-list")
 
 
+def export_stream(records: DataFrame, root: str, id_col: str, name: Column | str, payload: Column | str, *,
+                  checkpoint: str, available_now: bool = False, processing_time: str | None = None):
+    """S13 / S14 on a stream: start a query that writes one file per record
+    through the committing sink (``sources.payload_sink``): a micro-batch's files
+    become visible together, once."""
+    from streamlens.sources.payload_sink import PayloadFiles
+    records.sparkSession.dataSource.register(PayloadFiles)
+    name_col = F.col(name) if isinstance(name, str) else name
+    data = b64decode(payload) if isinstance(payload, str) else payload
+    rows = records.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), name_col.alias("name"),
+                          data.alias("data"))
+    w = (rows.select(stored_name(F.col("id"), F.col("name"), F.col("data")).alias("name"), "data").writeStream
+         .format("payload_files").option("path", root).option("checkpointLocation", checkpoint).outputMode("append"))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def exported(spark: SparkSession, root: str) -> DataFrame:
+    """(name, bytes_written) of the committed files below a sink's folder."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            .select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes_written")))
+
+
 def export_name(time_col: str, filename_col: str) -> Column:
     """``<yyyyMMdd_HHmmss>_<filename>`` from the record's own upload time."""
     return F.concat(F.date_format(time_col, "yyyyMMdd_HHmmss"), F.lit("_"), F.col(filename_col))
@@ -133,7 +159,7 @@ def ingest_rows(raw: DataFrame, accept: bool = True) -> DataFrame:
     typed = typed.where((F.col("file_type") != "unknown") if accept else (F.col("file_type") == "unknown"))
     digest = F.md5(F.col("content"))
     is_doc, is_img = F.col("file_type") == "document", F.col("file_type") == "image"
-    size = F.when(is_img, image_size(F.when(is_img, F.substring("content", 1, IMAGE_HEADER))))
+    size = F.when(is_img, image_size(F.when(is_img, F.col("content"))))
     with_text = extract_text(typed).withColumn("_size", size)
     known = {
         "text_content": F.when(is_doc, F.col("text_content")), "mime_type": mime_type(F.col("filename")),
@@ -159,11 +185,46 @@ def upload_messages(files: DataFrame) -> DataFrame:
                         F.col("upload_time").alias("timestamp"))
 
 
-IMAGE_HEADER = 1 << 16  # a picture's size stands in its first bytes (JPEG: after its other headers)
+def _jpeg_size(b: bytes) -> tuple[int, int] | None:
+    """From the first frame header, however many other segments precede it."""
+    at = 2
+    while at + 4 <= len(b) and b[at] == 0xFF:
+        kind = b[at + 1]
+        if kind == 0xFF:  # a fill byte before the marker
+            at += 1
+        elif kind == 0x01 or 0xD0 <= kind <= 0xD8:  # markers without a segment
+            at += 2
+        elif 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+            if at + 9 > len(b):
+                return None
+            h, w = struct.unpack(">HH", b[at + 5:at + 9])
+            return w, h
+        else:
+            at += 2 + struct.unpack(">H", b[at + 2:at + 4])[0]
+    return None
+
+
+def _tiff_size(b: bytes) -> tuple[int, int] | None:
+    """From the first directory, wherever in the file it lies."""
+    order = "<" if b[:2] == b"II" else ">"
+    if len(b) < 8:
+        return None
+    at = struct.unpack(order + "I", b[4:8])[0]
+    if at + 2 > len(b):
+        return None
+    found = {}
+    for k in range(struct.unpack(order + "H", b[at:at + 2])[0]):
+        entry = b[at + 2 + 12 * k:at + 14 + 12 * k]
+        if len(entry) < 12:
+            return None
+        tag, kind = struct.unpack(order + "HH", entry[:4])
+        if tag in (256, 257) and kind in (3, 4):  # width and height, as short or long
+            found[tag] = struct.unpack(order + ("H" if kind == 3 else "I"), entry[8:10 if kind == 3 else 12])[0]
+    return (found[256], found[257]) if len(found) == 2 else None
 
 
 def _header_size(b: bytes) -> tuple[int, int] | None:
-    """(width, height) from a PNG, GIF, BMP or JPEG header."""
+    """(width, height) of a whole PNG, GIF, BMP, JPEG or TIFF file."""
     if b[:8] == b"\x89PNG\r\n\x1a\n" and len(b) >= 24:
         return struct.unpack(">II", b[16:24])
     if b[:6] in (b"GIF87a", b"GIF89a") and len(b) >= 10:
@@ -171,18 +232,16 @@ def _header_size(b: bytes) -> tuple[int, int] | None:
     if b[:2] == b"BM" and len(b) >= 26:
         w, h = struct.unpack("<ii", b[18:26])
         return w, abs(h)
-    at = 2
-    while b[:2] == b"\xff\xd8" and at + 9 <= len(b) and b[at] == 0xFF:
-        if 0xC0 <= b[at + 1] <= 0xCF and b[at + 1] not in (0xC4, 0xC8, 0xCC):  # a frame header
-            h, w = struct.unpack(">HH", b[at + 5:at + 9])
-            return w, h
-        at += 2 + struct.unpack(">H", b[at + 2:at + 4])[0]
+    if b[:2] == b"\xff\xd8":
+        return _jpeg_size(b)
+    if b[:4] in (b"II*\0", b"MM\0*"):
+        return _tiff_size(b)
     return None
 
 
 @F.pandas_udf(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())]))
-def image_size(head: pd.Series) -> pd.DataFrame:
-    sizes = [(_header_size(bytes(b)) if b is not None else None) or (None, None) for b in head]
+def image_size(content: pd.Series) -> pd.DataFrame:
+    sizes = [(_header_size(b) if b is not None else None) or (None, None) for b in content]
     sizes = [(w, h) if w and h and max(w, h) < 2 ** 31 else (None, None) for w, h in sizes]
     return pd.DataFrame(sizes, columns=["width", "height"]).astype("Int32")
 

@@ -6,6 +6,8 @@ static DataFrame (T2, T6-T9).
   batch id to a parquet log; the result is the latest row per key, taken with
   ``max_by`` (a partial aggregation, so hot keys are combined map-side).  A
   batch has a folder of its own and replaces it when it is delivered again.
+* ``upsert``: ``foreachBatch`` keeps a bucketed table of one row per key
+  (``streaming.upsert``), which is read without a reduction.
 
 Checkpoints and outputs live below ``spark.checkpoint.dir``; a restart with the
 same ``checkpoint`` continues where the last run stopped.
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlens.session import scratch_path
+from streamlens.streaming import upsert
 
 BATCH_ID = "stream_batch"
 
@@ -33,7 +36,7 @@ def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def start(stream: DataFrame, mode: str = "append", *, out: str | None = None, checkpoint: str,
-          available_now: bool = True, processing_time: str | None = None):
+          available_now: bool = True, processing_time: str | None = None, keys: list[str] | None = None):
     """Start the sink of this module on ``stream`` and return the query.
 
     ``console`` prints every batch's changed rows (S8) with the same triggers.
@@ -49,6 +52,9 @@ def start(stream: DataFrame, mode: str = "append", *, out: str | None = None, ch
         def sink(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(f"{out}/{BATCH_ID}={batch_id}")
         return w.outputMode(mode).foreachBatch(sink).start()
+    if mode == "upsert":
+        table = upsert.Table(stream.sparkSession, out, stream.schema, keys)
+        return w.outputMode("update").foreachBatch(upsert.upsert_sink(table)).start()
     if mode == "console":
         return w.outputMode("update").format("console").option("truncate", "false").start()
     raise ValueError(mode)
@@ -102,7 +108,7 @@ def run_to_end(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
     """
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
     out = out or scratch_path(spark, f"{name}-out")
-    q = start(stream, mode, out=out, checkpoint=checkpoint)
+    q = start(stream, mode, out=out, checkpoint=checkpoint, keys=keys)
     ended = finish(q, timeout_s)
     res = result(spark, stream, mode, out, keys)
     if not ended:
@@ -114,5 +120,7 @@ def result(spark: SparkSession, stream: DataFrame, mode: str, out: str,
            keys: list[str] | None = None) -> DataFrame:
     if mode == "append":
         return _read_or_empty(spark, out, stream.schema)
+    if mode == "upsert":
+        return upsert.Table(spark, out, stream.schema, keys).read()
     log = _read_or_empty(spark, out, T.StructType([*stream.schema.fields, T.StructField(BATCH_ID, T.IntegerType())]))
     return latest_per_key(log, keys) if keys else log.drop(BATCH_ID)
