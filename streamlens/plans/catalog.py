@@ -922,6 +922,28 @@ def poison_stream(spark, sf_dir):
     return R.run_to_end(spark, _poison_outcome(io.read_topic(spark, "transactions", root=root)), "poison")
 
 
+@query("reject_counts_stream", f"SELECT outcome AS reason, count(*) AS n FROM ({ORACLE['poison_quarantine']}) GROUP BY outcome")
+def reject_counts_stream(spark, sf_dir):
+    """Rejected messages by reason, counted per micro-batch in passing while
+    the accepted ones go to their sink."""
+    from streamlens.streaming import rejects
+    root = scratch_path(spark, "topics-counted")
+    io.write_topic(_poison(spark, sf_dir).repartition(4), "transactions", root=root)
+    counts = rejects.RejectCounts("transactions")
+    spark.streams.addListener(counts)
+    try:
+        stream = io.read_topic(spark, "transactions", root=root, max_per_trigger=1)
+        parsed = rejects.observed(parse_transactions(stream, require_time=True), "transactions")
+        q = R.start(accepted(parsed), "append", out=scratch_path(spark, "counted-out"),
+                    checkpoint=scratch_path(spark, "counted-ckpt"))
+        R.finish(q)
+        if not counts.wait(q.runId):
+            raise RuntimeError("the last batch's counts did not arrive")
+    finally:
+        spark.streams.removeListener(counts)
+    return counts.frame(spark).groupBy("reason").agg(F.sum("n").alias("n"))
+
+
 @query("fanout", O.with_(O.TXN, O.PROC_TXN) + """
 SELECT 'processed_transactions' AS topic, user_id AS key, transaction_id FROM proc_txn
 UNION ALL
@@ -1231,12 +1253,19 @@ def file_ingest(spark, sf_dir):
     return _ingested(M.ingest_files(spark, root))
 
 
+def _watched(spark, root, name, build):
+    """Ingest a watched folder in bounded batches: a quarter of what has landed
+    at most each; files of finished batches go to an archive."""
+    landed = M.read_files(spark, root).agg(F.sum("length")).first()[0] or 1
+    files = M.ingest_files(spark, root, stream=True, max_bytes=max(landed // 4, 1), archive=scratch_path(spark, f"{name}-archive"))
+    return R.run_to_end(spark, build(files), name)
+
+
 @query("file_ingest_stream", ORACLE["file_ingest"])
 def file_ingest_stream(spark, sf_dir):
     """S10 as a stream: a landing folder watched with the binaryFile source."""
     root, _ = _export_files(spark, sf_dir)
-    return R.run_to_end(spark, _ingested(M.ingest_files(spark, root, stream=True)),
-                        "file_ingest_stream")
+    return _watched(spark, root, "file_ingest_stream", _ingested)
 
 
 def _land_uploads(spark, sf_dir):
@@ -1289,8 +1318,8 @@ def ingest_to_analysis(spark, sf_dir):
 @query("ingest_to_analysis_stream", _UPLOADED_SQL)
 def ingest_to_analysis_stream(spark, sf_dir):
     """The same with a watched folder."""
-    files = M.ingest_files(spark, _land_uploads(spark, sf_dir), stream=True)
-    return R.run_to_end(spark, _analysed_uploads(M.upload_messages(files)), "ingest_to_analysis")
+    return _watched(spark, _land_uploads(spark, sf_dir), "ingest_to_analysis",
+                    lambda files: _analysed_uploads(M.upload_messages(files)))
 
 
 @query("ingest_rejected", "SELECT 'up_' || doc_id || '.exe' AS name FROM documents WHERE doc_id % 10 = 0")

@@ -126,9 +126,16 @@ _RAW = "path string, modificationTime timestamp, length long, content binary"
 
 
 def read_files(spark: SparkSession, folder: str, pattern: str | None = None, stream: bool = False,
-               max_per_trigger: int | None = None) -> DataFrame:
+               max_per_trigger: int | None = None, max_bytes: int | None = None,
+               archive: str | None = None) -> DataFrame:
     """``binaryFile`` rows (path, modificationTime, length, content) of a folder.
-    Spark's file sources skip files of zero bytes."""
+    Spark's file sources skip files of zero bytes.
+
+    A stream's micro-batch takes at most ``max_per_trigger`` files, or files of
+    ``max_bytes`` together (T9; one larger file is a batch of its own).  Files of
+    finished batches are moved to the folder ``archive``, which must lie outside
+    the watched one, so they are not listed again.
+    """
     r = (spark.readStream if stream else spark.read).format("binaryFile")
     if pattern:
         r = r.option("pathGlobFilter", pattern)
@@ -136,13 +143,18 @@ def read_files(spark: SparkSession, folder: str, pattern: str | None = None, str
         r = r.schema(_RAW)
         if max_per_trigger:
             r = r.option("maxFilesPerTrigger", max_per_trigger)
+        if max_bytes:
+            r = r.option("maxBytesPerTrigger", max_bytes)
+        if archive:
+            r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return r.load(folder)
 
 
 def ingest_files(spark: SparkSession, folder: str, pattern: str | None = None,
-                 stream: bool = False, max_per_trigger: int | None = None) -> DataFrame:
+                 stream: bool = False, max_per_trigger: int | None = None, max_bytes: int | None = None,
+                 archive: str | None = None) -> DataFrame:
     """Upload records of the files in a folder (S10), accepted types only."""
-    return ingest_rows(read_files(spark, folder, pattern, stream, max_per_trigger))
+    return ingest_rows(read_files(spark, folder, pattern, stream, max_per_trigger, max_bytes, archive))
 
 
 def ingest_rows(raw: DataFrame, accept: bool = True) -> DataFrame:

@@ -193,3 +193,51 @@ def test_payload_stream_equals_the_batch_list(spark):
 def test_safe_names_are_used(spark):
     row = spark.createDataFrame([("1", "../../x", bytearray(b"d"))], "id string, name string, data binary")
     assert "/" not in row.select(M.stored_name(F.col("id"), F.col("name"), F.col("data"))).first()[0]
+
+
+def test_reject_counts_per_batch(spark):
+    from streamlens.operators.parse import accepted, parse_transactions
+    from streamlens.streaming import rejects
+    good = [r.value for r in A.transaction_messages(spark, SF_SMALL).limit(9).collect()]
+    bad = ["{", "[1]", "{}", good[0].replace('"amount":', '"amount":"x","was":')]
+    root, out, ckpt = (scratch_path(spark, f"t-counts-{x}") for x in ("topics", "out", "ckpt"))
+    counts = rejects.RejectCounts("transactions")
+    spark.streams.addListener(counts)
+    try:
+        for values in (good[:4] + bad, good[4:], bad[:1] * 3):
+            io.write_topic(spark.createDataFrame([(v, v) for v in values], "key string, value string").coalesce(1),
+                           "transactions", root=root)
+            parsed = rejects.observed(parse_transactions(io.read_topic(spark, "transactions", root=root), require_time=True),
+                                      "transactions")
+            q = R.start(accepted(parsed), "append", out=out, checkpoint=ckpt)
+            R.finish(q, 300)
+            assert counts.wait(q.runId)
+    finally:
+        spark.streams.removeListener(counts)
+    per_batch = {}
+    for r in counts.frame(spark).collect():
+        per_batch.setdefault(r.batch_id, {})[r.reason] = r.n
+    assert [per_batch[b] for b in sorted(per_batch)] == [
+        {"accepted": 4, "malformed_json": 1, "not_object": 1, "missing:transaction_id": 1, "bad_type:amount": 1},
+        {"accepted": 5}, {"malformed_json": 3}]
+    assert spark.read.parquet(out).count() == 9
+
+
+def test_watched_folder_in_byte_bounded_batches_with_archive(spark):
+    root, archive = scratch_path(spark, "t-watch"), scratch_path(spark, "t-archive")
+    out, ckpt = scratch_path(spark, "t-watch-out"), scratch_path(spark, "t-watch-ckpt")
+    rows = spark.range(12).selectExpr("cast(id as string) as id", "concat('f', id, '.txt') as name",
+                                      "cast(repeat('x', 1000) as binary) as data")
+
+    def run():
+        files = M.ingest_files(spark, root, stream=True, max_bytes=3000, archive=archive)
+        q = R.start(files.select("filename", "file_size"), "append", out=out, checkpoint=ckpt)
+        R.finish(q, 300)
+        return [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    M.export_payloads(rows, root, "id", "name", F.col("data"))
+    batches = run()
+    assert sum(batches) == 12 and len(batches) >= 4 and max(batches) <= 3
+    M.export_payloads(rows.withColumn("id", F.concat("id", F.lit("b"))), root, "id", "name", F.col("data"))
+    assert sum(run()) == 12
+    assert spark.read.parquet(out).count() == 24
+    assert len(_files(archive)) >= 12 and len(_files(root)) + len(_files(archive)) == 24
