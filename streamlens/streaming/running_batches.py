@@ -6,11 +6,12 @@ joined in from the keyed state: one row per key with its statistics so far.
 Within a micro-batch the rows of a key are put in (time, id) order; across
 batches arrival order holds, as in a keyed stream processor.
 
-The state is a table in the shared folder: each batch writes the new rows of
-the keys it touched, and every ``COMPACT`` batches a snapshot of all keys, so
-reading it costs one snapshot and a bounded number of small deltas.  Output and
-state of a batch go to folders named by the batch id and are overwritten when a
-batch is delivered again, so a replay changes nothing.
+The state is an upsert table in the shared folder (``streaming.upsert``): one
+row per key in hash buckets.  A batch reads and rewrites only the buckets that
+its keys fall in, and superseded files are removed, so keys that are idle cost a
+batch nothing but their bucket neighbours.  Output and state of a batch are
+named by the batch id and replaced when a batch is delivered again, so a replay
+changes nothing.
 """
 
 from __future__ import annotations
@@ -21,49 +22,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlens.operators import running as run
+from streamlens.streaming.upsert import Table
 
-COMPACT = 16
+BUCKETS = 32
 BATCH = "stream_batch"
 _SEEN = "seen_ms"
-_AT = "_at"  # the batch that a state row is from
 
 
-def _state_columns(kind: str) -> list[str]:
-    return [run.SPECS[kind]["key"], *run.SPECS[kind]["aggs"], _SEEN]
-
-
-def _latest(states: DataFrame, kind: str, by: str) -> DataFrame:
-    """The row per key that is the last by a column."""
-    key, *values = _state_columns(kind)
-    best = states.groupBy(key).agg(F.max_by(F.struct(*values), F.col(by)).alias("s"))
-    return best.select(key, *[F.col(f"s.{v}").alias(v) for v in values])
-
-
-def state_before(spark: SparkSession, state: str, kind: str, batch_id: int,
-                 ttl_ms: int | None = None, now_ms: int | None = None) -> DataFrame | None:
-    """One row per key as of the start of a batch; None for the first."""
-    first = batch_id // COMPACT * COMPACT  # deltas since the last snapshot
-    paths = [f"{state}/delta-{n}" for n in range(first, batch_id)]
-    if first:
-        paths.append(f"{state}/snapshot-{first - 1}")
-    if not paths:
-        return None
-    # not by the counter: it starts again for a key that was forgotten
-    at = F.regexp_extract("_metadata.file_path", r"/(?:delta|snapshot)-(\d+)/[^/]*$", 1).cast("long")
-    rows = _latest(spark.read.parquet(*paths).withColumn(_AT, at), kind, _AT)
-    if ttl_ms is not None:
-        rows = rows.where(F.col(_SEEN) >= F.lit(now_ms - ttl_ms))
-    return rows
+def _last_rows(rows: DataFrame, kind: str) -> DataFrame:
+    """The last row per key of a batch's running rows, as state rows."""
+    spec = run.SPECS[kind]
+    values = [*spec["aggs"], _SEEN]
+    counter = next(iter(spec["aggs"]))  # grows within a batch
+    best = rows.groupBy(spec["key"]).agg(F.max_by(F.struct(*values), F.col(counter)).alias("s"))
+    return best.select(spec["key"], *[F.col(f"s.{v}").alias(v) for v in values])
 
 
 def running_sink(kind: str, out: str, state: str, ttl_ms: int | None = None,
-                 publish: Callable[[DataFrame, int], None] | None = None):
+                 publish: Callable[[DataFrame, int], None] | None = None, buckets: int = BUCKETS):
     """A ``foreachBatch`` function over narrowed records (``run.narrowed``).
 
     Running rows go to ``out`` (read them with :func:`rows`), and through
     ``publish(finished_rows, batch_id)`` to wherever else they are wanted.
     ``ttl_ms`` forgets keys idle for that long, in processing time; their
-    statistics then start again.
+    statistics then start again, and their rows go when their bucket is next
+    rewritten.  ``buckets`` is fixed by the first batch: a batch that touches few
+    keys reads that share of the state.
     """
     spec = run.SPECS[kind]
     key, aggs = spec["key"], spec["aggs"]
@@ -71,26 +55,24 @@ def running_sink(kind: str, out: str, state: str, ttl_ms: int | None = None,
     def sink(batch: DataFrame, batch_id: int) -> None:
         import time
         spark, now_ms = batch.sparkSession, int(time.time() * 1000)
-        cur = run.in_order(batch, kind)
-        prev = state_before(spark, state, kind, batch_id, ttl_ms, now_ms)
-        if prev is not None:
-            before = prev.select(F.col(key).alias("_k"), *[F.col(n).alias(f"_p_{n}") for n in aggs])
-            cur = cur.join(before, F.col(key).eqNullSafe(F.col("_k")), "left")
-            for n, (how, _) in aggs.items():
-                cur = cur.withColumn(n, run.combine(how, F.col(f"_p_{n}"), F.col(n)))
-            cur = cur.drop("_k", *[f"_p_{n}" for n in aggs])
+        # the narrow rows are parsed once: their keys prune the state, then they are scanned
+        batch.write.mode("overwrite").parquet(f"{state}/batch")
+        narrow = spark.read.schema(batch.schema).parquet(f"{state}/batch")
+        cur = run.in_order(narrow, kind)
+        held = _last_rows(cur.withColumn(_SEEN, F.lit(now_ms)), kind).schema
+        table = Table(spark, f"{state}/table", held, [key], buckets)
+        fresh = F.lit(True) if ttl_ms is None else F.col(_SEEN) >= F.lit(now_ms - ttl_ms)
+        prev = table.read_touched(table.touched(narrow.select(key)), batch_id).where(fresh)
+        before = prev.select(F.col(key).alias("_k"), *[F.col(n).alias(f"_p_{n}") for n in aggs])
+        cur = cur.join(before, F.col(key).eqNullSafe(F.col("_k")), "left")
+        for n, (how, _) in aggs.items():
+            cur = cur.withColumn(n, run.combine(how, F.col(f"_p_{n}"), F.col(n)))
+        cur = cur.drop("_k", *[f"_p_{n}" for n in aggs])
         path = f"{out}/{BATCH}={batch_id}"
         cur.write.mode("overwrite").parquet(path)
         done = spark.read.schema(cur.schema).parquet(path)
-        counter = next(iter(aggs))  # grows within a batch
-        new = _latest(done.withColumn(_SEEN, F.lit(now_ms)), kind, counter)
-        new.write.mode("overwrite").parquet(f"{state}/delta-{batch_id}")
-        if (batch_id + 1) % COMPACT == 0:
-            state_all = state_before(spark, state, kind, batch_id, ttl_ms, now_ms)
-            last = spark.read.parquet(f"{state}/delta-{batch_id}")
-            every = last if state_all is None else _latest(
-                state_all.withColumn(_AT, F.lit(0)).unionByName(last.withColumn(_AT, F.lit(1))), kind, _AT)
-            every.write.mode("overwrite").parquet(f"{state}/snapshot-{batch_id}")
+        _last_rows(done.withColumn(_SEEN, F.lit(now_ms)), kind).write.mode("overwrite").parquet(f"{state}/changes")
+        table.upsert(spark.read.schema(held).parquet(f"{state}/changes"), batch_id, fresh)
         if publish:
             publish(run.finished(done, kind), batch_id)
     return sink

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +62,7 @@ class Table:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*self._folders(manifest))
 
-    def bucket(self) -> F.Column:
+    def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def read(self) -> DataFrame:
@@ -78,9 +78,10 @@ class Table:
         """The buckets of some rows' keys (at most ``buckets`` numbers)."""
         return [r[0] for r in rows.select(self.bucket()).distinct().collect()]
 
-    def upsert(self, changes: DataFrame, batch_id: int) -> None:
+    def upsert(self, changes: DataFrame, batch_id: int, keep: Column | None = None) -> None:
         """Replace the rows of the changes' keys (one change per key at most);
-        ``changes`` is read three times, so pass a written frame."""
+        ``changes`` is read three times, so pass a written frame.  Old rows of
+        the touched buckets that ``keep`` does not hold for are dropped."""
         state = self.manifest(batch_id)
         touched = self.touched(changes)
         old = self._read({b: state[b] for b in touched if b in state})
@@ -88,6 +89,7 @@ class Table:
         for k in self.keys:
             c = F.col(f"old.`{k}`").eqNullSafe(F.col(f"new.`{k}`"))
             same = c if same is None else same & c
+        old = old if keep is None else old.where(keep)
         kept = old.alias("old").join(changes.select(*self.keys).alias("new"), same, "left_anti")
         if touched:
             (kept.unionByName(changes.select(*self.schema.fieldNames())).withColumn(_BUCKET, self.bucket())

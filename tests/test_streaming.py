@@ -60,9 +60,7 @@ def test_same_key_across_batches_counts_up(spark):
 
 
 def test_key_that_comes_back_after_ttl_counts_on(spark, monkeypatch):
-    """Old deltas with larger counters don't hide what came after the expiry,
-    neither between snapshots nor in one."""
-    monkeypatch.setattr(RB, "COMPACT", 6)
+    """Old rows with larger counters don't hide what came after the expiry."""
     now = [1_000_000.0]
     monkeypatch.setattr(time, "time", lambda: now[0])
 
@@ -73,15 +71,14 @@ def test_key_that_comes_back_after_ttl_counts_on(spark, monkeypatch):
     out, state = scratch_path(spark, "t-o"), scratch_path(spark, "t-s")
     sink = RB.running_sink("transactions", out, state, ttl_ms=60_000)
     sink(batch(0, 5), 0)
-    for n in range(1, 8):  # a snapshot after batch 5
+    for n in range(1, 8):
         now[0] += 3600 if n == 1 else 1
         sink(batch(n, 1), n)
     rows = RB.rows(spark, "transactions", out).where("transaction_id not like 't0%'").orderBy("transaction_id").collect()
     assert [(r.transaction_count, r.total_spent) for r in rows] == [(n, 2.0 * n) for n in range(1, 8)]
 
 
-def test_running_state_snapshots_replay_and_ttl(spark, monkeypatch):
-    monkeypatch.setattr(RB, "COMPACT", 3)
+def test_running_state_replay_and_ttl(spark):
     schema = "transaction_id string, user_id string, event_time timestamp_ntz, final_amount double, spent decimal(18,2)"
 
     def batch(n, users="ab"):
@@ -104,6 +101,25 @@ def test_running_state_snapshots_replay_and_ttl(spark, monkeypatch):
     assert again.transaction_count == 1  # idle keys are forgotten
 
 
+def test_running_state_reads_and_rewrites_touched_buckets_only(spark):
+    def batch(users):
+        return users.selectExpr("concat('t', id, '-', u) as transaction_id", "u as user_id",
+                                "timestamp_ntz'2024-01-01 00:00:00' as event_time", "1.0D as final_amount",
+                                "cast(1 as decimal(18,2)) as spent")
+    out, state = scratch_path(spark, "t-o"), scratch_path(spark, "t-s")
+    sink = RB.running_sink("transactions", out, state)
+    sink(batch(spark.range(20_000).selectExpr("id", "concat('idle', id) as u")), 0)
+    size = lambda: {d: sum(os.path.getsize(f"{p}/{f}") for p, _, n in os.walk(f"{state}/table/{d}") for f in n)
+                    for d in os.listdir(f"{state}/table") if d.startswith("batch=")}
+    whole = sum(size().values())
+    for n in range(1, 6):
+        sink(batch(spark.range(2).selectExpr("id", "concat('idle', id) as u")), n)
+        assert size()[f"batch={n}"] < whole / 10  # two of 32 buckets
+    assert sum(size().values()) < whole * 1.3  # superseded buckets are removed
+    rows = RB.rows(spark, "transactions", out).where("user_id = 'idle1'").collect()
+    assert sorted(r.transaction_count for r in rows) == [1, 2, 3, 4, 5, 6]
+
+
 def test_late_rows_dropped_and_restart(spark):
     from streamlens.operators import aggregates as agg
     from streamlens.plans.catalog import QUERIES
