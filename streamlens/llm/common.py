@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +42,31 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     (compared case-insensitively, as Spark resolves names)."""
     clash = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in clash])
+
+
+def set_aside(df: DataFrame, *helpers: str) -> tuple[DataFrame, Callable[[str], str], Callable[[DataFrame], DataFrame]]:
+    """Input columns named like an operator's helper columns get unused names.
+
+    Returns the frame, the present name of an input column, and what gives a
+    result its names back.  Without a clash nothing changes.
+    """
+    taken = {c.lower() for c in df.columns} | {h.lower() for h in helpers}
+    names: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in {h.lower() for h in helpers}:
+            n = 0
+            while f"aside_{n}" in taken:
+                n += 1
+            names[c] = f"aside_{n}"
+            taken.add(names[c])
+    present = {c.lower(): n for c, n in names.items()}
+
+    def back(out: DataFrame) -> DataFrame:
+        if not names:
+            return out
+        old = {n: c for c, n in names.items()}
+        return out.select(*[F.col(f"`{c}`").alias(old.get(c, c)) for c in out.columns])
+
+    if names:
+        df = df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns])
+    return df, lambda c: present.get(c.lower(), c), back

@@ -42,7 +42,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import materialize, own_exchange
+from streamlens.llm.common import materialize, own_exchange, set_aside
 
 SAME_LENGTH = 4  # rounds
 DRAWS_PER_TASK = 5000
@@ -280,9 +280,11 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     ``count_col`` adds the number of entities replaced."""
     if not key:
         raise ValueError("a secret key is needed")
+    docs, now, back = set_aside(docs, "__found", "__list", "__new")
+    text_col = now(text_col)
     text = F.col(f"`{text_col}`")
     marked = docs.withColumn("__found", entities(text))
-    list_key = F.sha2(F.array_join("__found", "\0"), 256)
+    list_key = F.sha2(F.to_json("__found"), 256)  # a mention may hold any separator
     with_any = marked.where(F.size("__found") > 0).withColumn("__list", list_key)
     # one row per distinct list of mentions, cut into parts
     lists = with_any.select("__list", "__found").dropDuplicates(["__list"])
@@ -307,4 +309,4 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     cols = [F.col(f"`{c}`") for c in docs.columns if c != count_col]
     if count_col:
         cols.append(F.size("__found").alias(count_col))
-    return rest.select(*cols).union(done.select(*cols))
+    return back(rest.select(*cols).union(done.select(*cols)))

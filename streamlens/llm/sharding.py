@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from streamlens.llm.common import materialize, without
+from streamlens.llm.common import materialize, set_aside, without
 
 ROUNDS = 6
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition << 33 | row in partition
@@ -126,7 +126,8 @@ def feistel_shards(df: DataFrame, n_shards: int, seed: int = 0,
     ``order_by`` fixes the row numbering; by default a 64-bit hash of all
     columns, so equal tables give equal shards whatever their file layout.
     """
-    df = without(df, "row_number", "shard", "slot", "__tie", "__pos")
+    df, now, back = set_aside(without(df, "row_number", "shard", "slot"), "__tie", "__pos", "__p", "__start", "__at", "__order")
+    order_by = order_by and [now(c) for c in order_by]
     if order_by is None:
         df = df.withColumn("__order", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     numbered, total = number_rows(df, order_by or ["__order"])
@@ -136,7 +137,7 @@ def feistel_shards(df: DataFrame, n_shards: int, seed: int = 0,
         for s in parts:
             yield pd.Series(permute(s.to_numpy(), total, seed))
 
-    return (numbered.withColumn("__at", position("row_number"))
+    return back(numbered.withColumn("__at", position("row_number"))
             .withColumn("shard", F.pmod("__at", F.lit(n_shards)).cast("int"))
             .withColumn("slot", F.expr(f"__at div {n_shards}"))
             .drop("__at", "__order"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import materialize, own_exchange
+from streamlens.llm.common import materialize, own_exchange, set_aside
 from streamlens.llm.components import connected_components, local_roots
 from streamlens.llm.words import byte_slices, giving_back
 
@@ -228,10 +228,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """``docs`` with one row per near-duplicate component: the one with the
     smallest id (NULL last), then the smallest text hash.  Of rows that repeat
     both, one stays."""
+    docs, now, back = set_aside(docs, "__id", "__hash")
+    id_col, text_col = now(id_col), now(text_col)
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     best = F.min(F.struct(F.col(id_col).isNull().alias("null_id"), F.col(id_col).alias("id"), "text_hash"))
     chosen = found.groupBy("root").agg(best.alias("b")).select(
         F.xxhash64("b.id").alias("__id"), F.col("b.text_hash").alias("__hash")).distinct()
     # one exchange of the texts serves both the repeated rows (collapsed before it) and the join
     marked = docs.withColumns({"__id": F.xxhash64(f"`{id_col}`"), "__hash": F.xxhash64(f"`{text_col}`")})
-    return marked.dropDuplicates(["__id", "__hash"]).join(chosen, ["__id", "__hash"], "left_semi").drop("__id", "__hash")
+    return back(marked.dropDuplicates(["__id", "__hash"]).join(chosen, ["__id", "__hash"], "left_semi")
+                .drop("__id", "__hash"))

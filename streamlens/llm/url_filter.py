@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamlens.llm.common import own_exchange, without
+from streamlens.llm.common import own_exchange, set_aside, without
 
 _OUT = ("host", "verdict", "rule", "rule_from", "rule_to")
 
@@ -67,7 +67,8 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", date_col: str = "fetch_date") -> DataFrame:
     """``captures`` plus ``host``, ``verdict`` (the list of the deciding entry,
     or "none"), ``rule`` (its pattern), ``rule_from`` and ``rule_to``."""
-    captures = without(captures, *_OUT)
+    captures, now, back = set_aside(without(captures, *_OUT), "__day", "__path", "__h", "__p", "__d", "b")
+    url_col, date_col = now(url_col), now(date_col)
     day = F.col(f"`{date_col}`").cast("date")
     rows = captures.withColumns({"host": url_host(F.col(f"`{url_col}`")), "__day": day,
                                  "__path": F.array_join(url_path(F.col(f"`{url_col}`")), "/")})
@@ -88,7 +89,7 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", date_co
     ruled = (asked.join(active, ["pattern", "month"]).where("day >= valid_from and (valid_to is null or day < valid_to)")
              .groupBy("host", "path", "day").agg(best.alias("b"))
              .select(F.col("host").alias("__h"), F.col("path").alias("__p"), F.col("day").alias("__d"), "b"))
-    return (rows.join(own_exchange(ruled, "__h"), (F.col("host") == F.col("__h")) & (F.col("__path") == F.col("__p"))
+    return back(rows.join(own_exchange(ruled, "__h"), (F.col("host") == F.col("__h")) & (F.col("__path") == F.col("__p"))
                       & (F.col("__day") == F.col("__d")), "left")
             .select(*[F.col(f"`{c}`") for c in captures.columns], "host",
                     F.coalesce("b.list", F.lit("none")).alias("verdict"), F.col("b.pattern").alias("rule"),
