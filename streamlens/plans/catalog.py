@@ -959,6 +959,111 @@ def fanout(spark, sf_dir):
                        .alias("transaction_id"))
 
 
+@query("fanout_landed", O.with_(O.TXN, O.PROC_TXN) + f"""
+SELECT 'processed' AS branch, transaction_id AS key, 1 AS n, final_amount AS amount FROM proc_txn
+UNION ALL
+SELECT 'running', transaction_id, count(*) OVER w, CAST(sum(CAST(final_amount AS DECIMAL(12,2))) OVER w AS DOUBLE) FROM proc_txn
+WINDOW w AS (PARTITION BY user_id ORDER BY event_time, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+UNION ALL
+SELECT 'windows', strftime(window_start, '%Y-%m-%d %H:%M:%S') || ' ' || category, transaction_count, total_amount
+FROM (SELECT {O.window_cols()}, category, CAST(sum(CAST(final_amount AS DECIMAL(12,2))) AS DOUBLE) AS total_amount,
+             count(*) AS transaction_count FROM proc_txn GROUP BY ALL)""")
+def fanout_landed(spark, sf_dir):
+    """The whole transaction job from one parse: messages are landed once
+    as typed records, and the three branches (processed topic, aggregations
+    topic, windows) read their columns from the landed table."""
+    root, ckpt, landed, windows, topics = (scratch_path(spark, f"landed-{k}") for k in ("out", "ckpt", "rows", "windows", "in"))
+    for part in io.time_slices(A.transaction_messages(spark, sf_dir), STREAM_SLICES):
+        io.land_messages(part, topics, "transactions")
+        for q in S.start_job(spark, "transactions", checkpoint_root=ckpt, source={"root": topics}, sink={"root": root},
+                             windows_out=windows, available_now=True, landed=landed):
+            R.finish(q)
+    v = F.col("value")
+    money = lambda name: F.get_json_object(v, f"$.{name}").cast("double").alias("amount")
+    ident = F.get_json_object(v, "$.transaction_id").alias("key")
+    processed = io.read_topic(spark, "processed_transactions", root=root, stream=False).select(
+        F.lit("processed").alias("branch"), ident, F.lit(1).cast("long").alias("n"), money("final_amount"))
+    running = io.read_topic(spark, "user_aggregations", root=root, stream=False).select(
+        F.lit("running").alias("branch"), ident, F.get_json_object(v, "$.transaction_count").cast("long").alias("n"),
+        money("total_spent"))
+    summed = R.latest_per_key(spark.read.parquet(windows), S.window_keys("transactions")).select(
+        F.lit("windows").alias("branch"),
+        F.concat(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"), F.lit(" "), "category").alias("key"),
+        F.col("transaction_count").alias("n"), F.col("total_amount").alias("amount"))
+    return fo.union_all(processed, running, summed)
+
+
+# Profile tables of three versions: a row changes in the second, one is gone in the third.
+_SOURCE_VERSIONS = [dict(X.SOURCE_PROFILES), {**X.SOURCE_PROFILES, "webcam": ("Webcam at a higher rate", 60)}]
+_SOURCE_VERSIONS.append({k: v for k, v in _SOURCE_VERSIONS[1].items() if k != "sample_generator"})
+_TYPE_VERSIONS = [dict(X.FILE_TYPE_PROFILES), {**X.FILE_TYPE_PROFILES, "document": ("Document processing - moved up", "high")}]
+_TYPE_VERSIONS.append({k: v for k, v in _TYPE_VERSIONS[1].items() if k != "image"})
+
+
+def _versions_sql(versions, cols):
+    rows = ", ".join(f"({i}, {O._q(k)}, {O._q(a)}, {O._q(b) if isinstance(b, str) else b})"
+                     for i, v in enumerate(versions, 1) for k, (a, b) in v.items())
+    return f"prof(version, k, {cols}) AS (VALUES {rows})"
+
+
+def _in_slices(cte: str, raw: str, per: str) -> str:
+    """``cte`` with the number of the time slice (of three, per topic) a row came in."""
+    us = "epoch_us(event_time)"
+    return f"""span AS (SELECT {per} AS p, min({us}) AS lo, max({us}) AS hi FROM {raw} GROUP BY {per}),
+sliced AS (SELECT c.*, CASE WHEN {us} < lo + (hi - lo + 1) // 3 THEN 1 WHEN {us} < lo + (hi - lo + 1) * 2 // 3 THEN 2
+                           ELSE 3 END AS version FROM {cte} c JOIN span ON p = {per})"""
+
+
+def _profiled(spark, sf_dir, kind, name, build, versions, schema, record_key, defaults):
+    """``build(streams)`` with the profile table that holds when each of three
+    slices arrives; a version is published before each slice."""
+    from streamlens.streaming import lookup as L
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    table = L.Lookup(spark, scratch_path(spark, f"{name}-profiles"), schema, schema.split()[0])
+    left = iter(versions)
+
+    def once(streams):
+        table.publish(spark.createDataFrame([(k, *v) for k, v in next(left).items()], schema))
+        R.finish(R.start_batches(build(fo.union_all(*streams)), L.lookup_sink(table, out, record_key, defaults), checkpoint=ckpt))
+    _replay(spark, sf_dir, kind, once, slices=len(versions))
+    return spark.read.parquet(out)
+
+
+@query("frame_source_lookup_stream", O.with_(O.FRAMES, O.PROC_FRAMES, _in_slices("proc_frames", "frames", "1"),
+                                             _versions_sql(_SOURCE_VERSIONS, "notes, fps")) + """
+SELECT frame_id, source, resolution_category, CAST(s.version AS INTEGER) AS lookup_version, notes AS processing_notes,
+       CAST(fps AS INTEGER) AS expected_fps
+FROM sliced s LEFT JOIN prof ON prof.version = s.version AND k = source""")
+def frame_source_lookup_stream(spark, sf_dir):
+    """E3 with the source profiles in a table that changes while the stream
+    runs: a frame gets the profile that held when its batch arrived."""
+    def build(msgs):
+        fields = ["frame_id", "source", "frame_data", "frame_width", "frame_height"]
+        return jobs.analyzed_frames(accepted(parse_frames(msgs, fields=fields))).select(
+            "frame_id", "source", F.col("analysis.resolution_category").alias("resolution_category"))
+    return _profiled(spark, sf_dir, "video_frames", "frame_lookup", build, _SOURCE_VERSIONS,
+                     "name string, processing_notes string, expected_fps int", "source", {}).drop(R.BATCH_ID)
+
+
+@query("file_type_lookup_stream", O.with_(O.FILES, O.PROC_FILES, _in_slices("proc_files", "files", "topic"),
+                                          _versions_sql(_TYPE_VERSIONS, "notes, priority")) + f"""
+SELECT file_id, file_type, size_category, CAST(s.version AS INTEGER) AS lookup_version,
+       coalesce(notes, {O._q(X.FILE_TYPE_FALLBACK[0])}) AS processing_notes,
+       coalesce(priority, {O._q(X.FILE_TYPE_FALLBACK[1])}) AS processing_priority
+FROM sliced s LEFT JOIN prof ON prof.version = s.version AND k = file_type""")
+def file_type_lookup_stream(spark, sf_dir):
+    """E8 with the type profiles in a table that changes while the stream runs;
+    a type that is not in it gets the fallback."""
+    def build(msgs):
+        fields = ["file_id", "file_type", "file_size", "file_content", "metadata"]
+        return jobs.analyzed_files(accepted(parse_files(msgs, fields=fields))).select(
+            "file_id", "file_type", F.col("analysis.size_category").alias("size_category"))
+    return _profiled(spark, sf_dir, "uploaded_files", "file_lookup", build, _TYPE_VERSIONS,
+                     "name string, processing_notes string, processing_priority string", "file_type",
+                     {"processing_notes": X.FILE_TYPE_FALLBACK[0], "processing_priority": X.FILE_TYPE_FALLBACK[1]}
+                     ).drop(R.BATCH_ID)
+
+
 @query("sink_roundtrip", O.with_(O.FRAMES, O.PROC_FRAMES) +
        "SELECT frame_id, source, resolution_category, compression_ratio, expected_fps FROM proc_frames")
 def sink_roundtrip(spark, sf_dir):
@@ -1392,6 +1497,18 @@ def text_extract(spark, sf_dir):
     return _extracted(spark, docs, "file_content")
 
 
+@query("text_extract_docx", """
+SELECT 'doc_' || doc_id || '.docx' AS filename, md5(text || chr(10)) AS text_md5,
+       CAST(NULL AS VARCHAR) AS error FROM documents""")
+def text_extract_docx(spark, sf_dir):
+    """Text of .docx files, a line for every paragraph."""
+    ident = F.col("doc_id").cast("string")
+    rows = A.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("document_"), ident).alias("file_id"), F.concat(F.lit("doc_"), ident, F.lit(".docx")).alias("filename"),
+        A.docx_file("text").alias("_payload"))
+    return _extracted(spark, rows, F.col("_payload"))
+
+
 @query("text_extract_bad", f"""
 SELECT 'doc_' || doc_id || '.txt' AS filename, CASE WHEN doc_id % 2 = 0 THEN md5(text) END AS text_md5,
        CASE WHEN doc_id % 2 = 1 THEN '{M.TEXT_FAILED}' END AS error FROM documents""")

@@ -19,25 +19,48 @@ from streamlens.operators.parse import (accepted, parse_files, parse_frames,
                                         parse_transactions)
 
 
+def enriched_transactions(records: DataFrame, threshold: float = 100.0,
+                          now: Column | str | None = None) -> DataFrame:
+    """F1 -> E1 on accepted records."""
+    return to.enrich(to.high_value(records, threshold), as_of=now)
+
+
+def analyzed_frames(records: DataFrame, min_width: int = 640, min_height: int = 480,
+                    now: Column | None = None) -> DataFrame:
+    """F2 -> E2 on accepted records."""
+    return vo.analyze(vo.high_resolution(records, min_width, min_height), now)
+
+
+def analyzed_files(records: DataFrame, min_bytes: int = MIB, now: Column | None = None) -> DataFrame:
+    """F3 -> E4-E7 on accepted records."""
+    return fo.analyze(fo.large_files(records, min_bytes), now)
+
+
+# The main path of each kind after the parse.
+ENRICHED = {
+    "transactions": enriched_transactions,
+    "video_frames": lambda records: vo.source_enrich(analyzed_frames(records)),
+    "uploaded_files": lambda records: fo.type_enrich(analyzed_files(records)),
+}
+
+
 def processed_transactions(messages: DataFrame, threshold: float = 100.0,
                            now: Column | str | None = None, **parse) -> DataFrame:
     """P1 -> P4 -> F1 -> E1.  ``parse``: options of ``parse_messages``."""
-    return to.enrich(to.high_value(accepted(parse_transactions(messages, **parse)), threshold),
-                     as_of=now)
+    return enriched_transactions(accepted(parse_transactions(messages, **parse)), threshold, now)
 
 
 def processed_frames(messages: DataFrame, min_width: int = 640, min_height: int = 480,
                      now: Column | None = None, **parse) -> DataFrame:
     """P2 -> P4 -> F2 -> E2 -> E3."""
-    parsed = vo.high_resolution(accepted(parse_frames(messages, **parse)), min_width, min_height)
-    return vo.source_enrich(vo.analyze(parsed, now), now)
+    records = accepted(parse_frames(messages, **parse))
+    return vo.source_enrich(analyzed_frames(records, min_width, min_height, now), now)
 
 
 def processed_files(messages: DataFrame, min_bytes: int = MIB,
                     now: Column | None = None, **parse) -> DataFrame:
     """(U1) -> P3 -> P4 -> F3 -> E4-E7 -> E8."""
-    parsed = fo.large_files(accepted(parse_files(messages, **parse)), min_bytes)
-    return fo.type_enrich(fo.analyze(parsed, now), now)
+    return fo.type_enrich(analyzed_files(accepted(parse_files(messages, **parse)), min_bytes, now), now)
 
 
 # Columns written to the processed-record topics (wall-clock columns last).

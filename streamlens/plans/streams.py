@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlens.operators import aggregates as agg
+from streamlens.operators import files as fo
 from streamlens.operators import running as run
 from streamlens.operators import transactions as to
+from streamlens.operators.parse import REJECT, parse_messages
 from streamlens.plans import jobs
 from streamlens.sources import io
 from streamlens.streaming import runner, running_batches
@@ -81,10 +83,7 @@ def windowed(messages: DataFrame | list[DataFrame], kind: str, length: str = "30
     recs = [processing_time(process(m, fields=fields)) if by_arrival
             else with_event_time(process(m, fields=fields, require_time=True), delay)
             for m in parts]
-    merged = recs[0]
-    for r in recs[1:]:
-        merged = merged.unionByName(r)
-    return window_fn(merged, length, time_col=EVENT_TS)
+    return window_fn(fo.union_all(*recs), length, time_col=EVENT_TS)
 
 
 # What the fold W4 averages, per kind: the outputs' names and measures, and the record id.
@@ -178,6 +177,69 @@ def json_topic_sink(stream: DataFrame, root: str, topic: str, checkpoint: str):
                               available_now=True)
 
 
+# --------------------------------------------------------------------------
+# One parse for all branches
+# --------------------------------------------------------------------------
+
+def landed_rows(messages: list[DataFrame], kind: str) -> DataFrame:
+    """Parsed messages for the landed table: the record columns, ``topic``,
+    ``accepted``, and for rejected ones the reason and the raw value."""
+    parsed = fo.union_all(*[parse_messages(m, kind, keep=["topic"]) for m in messages])
+    ok = F.col(REJECT).isNull()
+    return parsed.withColumns({"raw_value": F.when(~ok, F.col("raw_value")), "accepted": ok})
+
+
+def start_landing(messages: list[DataFrame], kind: str, *, root: str, checkpoint: str,
+                  available_now: bool = True, processing_time: str | None = None):
+    """Parse the topics of a job once and append the rows to a table below
+    ``root``, partitioned by ``accepted`` and ``topic``.
+
+    The record columns are typed, so a branch that reads the table
+    (:func:`read_landed`) scans only its members and parses nothing, and the
+    rejected messages lie in folders of their own.  The file sink's commit log
+    makes a row visible once.
+    """
+    w = (landed_rows(messages, kind).writeStream.format("parquet").partitionBy("accepted", "topic")
+         .option("checkpointLocation", checkpoint).option("path", root).outputMode("append"))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def _landed_schema(spark: SparkSession, kind: str):
+    empty = spark.createDataFrame([], "value string, topic string")
+    return landed_rows([empty], kind).schema
+
+
+def read_landed(spark: SparkSession, root: str, kind: str, topic: str | None = None,
+                max_per_trigger: int | None = None) -> DataFrame:
+    """A stream of the accepted records of a landed table (of one topic)."""
+    r = spark.readStream.schema(_landed_schema(spark, kind))
+    if max_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_per_trigger)
+    rows = r.parquet(root).where("accepted").drop("accepted", "raw_value", REJECT)
+    return rows if topic is None else rows.where(F.col("topic") == topic)
+
+
+def landed_quarantine(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """The rejected messages of a landed table."""
+    return (spark.read.schema(_landed_schema(spark, kind)).parquet(root).where("not accepted")
+            .select("topic", "raw_value", REJECT))
+
+
+def landed_branches(records: list[DataFrame], kind: str, window: str = "30 seconds",
+                    delay: str = "1 hour") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three branches of a job over landed records (one stream per topic):
+    processed records, the narrowed input of the running statistics, and the
+    window summaries.  Records without a readable time are in the first only."""
+    enrich, (_, window_fn, _) = jobs.ENRICHED[kind], WINDOWED[kind]
+    timed = [enrich(r.where("event_time is not null")) for r in records]
+    windows = window_fn(fo.union_all(*[with_event_time(r, delay) for r in timed]), window, time_col=EVENT_TS)
+    return enrich(fo.union_all(*records)), run.narrowed(fo.union_all(*timed), kind), windows
+
+
 # Topic names of each job: source topics, processed records, running aggregations.
 JOB_TOPICS = {
     "transactions": (["transactions"], "processed_transactions", "user_aggregations"),
@@ -200,7 +262,7 @@ def start_job(spark: SparkSession, kind: str, *, checkpoint_root: str,
               source: dict, sink: dict, window: str = "30 seconds", delay: str = "1 hour",
               windows_out: str | None = None, available_now: bool = False,
               processing_time: str | None = None, max_per_trigger: int | None = None,
-              ttl_ms: int | None = None) -> list:
+              ttl_ms: int | None = None, landed: str | None = None) -> list:
     """Start one of the three jobs as three streaming queries and return them.
 
     * processed records -> ``processed_*`` topic (JSON value, keyed like the
@@ -214,37 +276,49 @@ def start_job(spark: SparkSession, kind: str, *, checkpoint_root: str,
     ``max_per_trigger`` bounds a micro-batch in the unit of the source: offsets
     for Kafka, files for a file topic.
 
-    The source is read three times, once per query, on purpose: each query has
-    a checkpoint, a trigger pace and a failure domain of its own, as the three
-    branches of the original job have, and each extracts only the members its
-    branch needs.
+    The source is read and parsed three times, once per query, unless ``landed``
+    names a folder: then a first query parses it once into a table there
+    (:func:`start_landing`) and the three read their columns from that, with
+    ``available_now`` after it has ended.  Either way each query has a
+    checkpoint, a trigger pace and a failure domain of its own, as the three
+    branches of the original job have.
     """
     in_topics, processed_topic, agg_topic = JOB_TOPICS[kind]
     key = {"transactions": "user_id", "uploaded_files": "filename"}.get(kind)
     trig = {"available_now": available_now, "processing_time": processing_time}
     streams = [io.read_topic(spark, t, max_per_trigger=max_per_trigger, **source)
                for t in in_topics]
-    merged = streams[0]
-    for s_ in streams[1:]:
-        merged = merged.unionByName(s_)
-    processed = TOTALS[kind][0](merged)
-    queries = [io.stream_to_topic(to.to_json_value(processed, jobs.PROCESSED_COLUMNS[kind], key=key),
-                                  processed_topic, checkpoint=f"{checkpoint_root}/{kind}-processed",
-                                  **sink, **trig)]
+    queries = []
+    if landed:
+        queries.append(start_landing(streams, kind, root=landed, checkpoint=f"{checkpoint_root}/{kind}-landing", **trig))
+        if available_now:
+            runner.finish(queries[0])
+        else:
+            io.make_folder(landed)  # a file source needs its folder
+        records = [read_landed(spark, landed, kind, t, max_per_trigger) for t in in_topics]
+        processed, running_rows, windows = landed_branches(records, kind, window, delay)
+    else:
+        merged = fo.union_all(*streams)
+        processed, running_rows = TOTALS[kind][0](merged), running_input(merged, kind)
+        windows = windowed(streams, kind, window, delay)
+    queries.append(io.stream_to_topic(to.to_json_value(processed, jobs.PROCESSED_COLUMNS[kind], key=key),
+                                      processed_topic, checkpoint=f"{checkpoint_root}/{kind}-processed",
+                                      **sink, **trig))
 
     def publish(rows: DataFrame, batch_id: int) -> None:
         cols = _RUNNING_OUT[kind]
         io.write_topic(to.to_json_value(rows, cols, key=cols[1]), agg_topic, batch_id=batch_id, **sink)
 
     queries.append(runner.start_batches(
-        running_input(merged, kind),
+        running_rows,
         running_batches.running_sink(kind, f"{checkpoint_root}/{kind}-running-rows",
                                      f"{checkpoint_root}/{kind}-running-state", ttl_ms, publish),
         checkpoint=f"{checkpoint_root}/{kind}-running", **trig))
-    queries.append(runner.start(windowed(streams, kind, window, delay), "update" if windows_out else "console",
+    queries.append(runner.start(windows, "update" if windows_out else "console",
                                 out=windows_out, checkpoint=f"{checkpoint_root}/{kind}-windows", **trig))
     return queries
 
 
 __all__ = ["with_event_time", "processing_time", "windowed", "totals", "running_input", "run_running",
-           "fanout_sink", "json_topic_sink", "window_keys", "start_job"]
+           "fanout_sink", "json_topic_sink", "window_keys", "start_landing", "read_landed", "landed_quarantine",
+           "landed_branches", "start_job"]

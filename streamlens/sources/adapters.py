@@ -248,3 +248,23 @@ def _png(data: bytes, width: int = PNG_WIDTH) -> bytes:
 @F.pandas_udf(BinaryType())
 def picture(data: pd.Series) -> pd.Series:
     return data.map(lambda b: None if b is None else _png(bytes(b)))
+
+
+def _docx(text: str) -> bytes:
+    """A minimal .docx with one paragraph per line of the text."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+    body = "".join(f'<w:p><w:r><w:t xml:space="preserve">{escape(line, {chr(13): "&#13;"})}</w:t></w:r></w:p>'
+                   for line in text.split("\n"))
+    xml = ('<?xml version="1.0" encoding="UTF-8"?><w:document xmlns:w='
+           f'"http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body>{body}</w:body></w:document>')
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/document.xml", xml)
+    return out.getvalue()
+
+
+@F.pandas_udf(BinaryType())
+def docx_file(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else _docx(t))

@@ -123,6 +123,13 @@ def land_messages(messages: DataFrame, root: str, topic: str) -> str:
     return path
 
 
+def make_folder(path: str) -> None:
+    """Create a folder if it is not there."""
+    from streamlens.sources.files import filesystem
+    fs, base = filesystem(path)
+    fs.create_dir(base, recursive=True)
+
+
 OFFSET_BLOCK = 10_000
 _OFFSETS = "topic string, landing string, partition int, block long, first_offset long, last_offset long, n long"
 
