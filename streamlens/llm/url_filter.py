@@ -6,7 +6,8 @@ active on its fetch date, not by today's list.
 
 A pattern is a host suffix of whole labels ("example.org" covers
 "a.example.org") or a host with a path prefix of whole segments
-("a.org/x" covers "a.org/x/y").  Of the active entries that cover a capture the
+("a.org/x" covers "a.org/x/y").  Addresses have no suffixes: a host of four
+decimal numbers or in brackets (IPv6) is covered as a whole only.  Of the active entries that cover a capture the
 longest pattern wins, then an allow list over a block list, then the latest
 start.  Everything is DataFrame functions.
 
@@ -33,7 +34,7 @@ _OUT = ("host", "verdict", "rule", "rule_from", "rule_to")
 
 def url_host(url: Column) -> Column:
     """Lower-case host without user info, port and closing dot; NULL if none."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1))
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#]*@)?+(\[[^\]/?#@]*\]|[^/?#:@\[\]]+)", 1))
     return F.nullif(F.rtrim(host, F.lit(".")), F.lit(""))
 
 
@@ -43,9 +44,14 @@ def url_path(url: Column) -> Column:
     return F.filter(F.split(path, "/"), lambda s: s != "")
 
 
+def is_address(host: Column) -> Column:
+    """Whether a host is an IPv4 address or a bracketed IPv6 one."""
+    return host.rlike(r"^(?:\[.*\]|(?:[0-9]{1,3}\.){3}[0-9]{1,3})$")
+
+
 def covering_patterns(host: Column, segments: Column) -> Column:
     """All patterns that cover a URL: its host's suffixes and path prefixes."""
-    labels = F.split(host, r"\.")
+    labels = F.when(is_address(host), F.array(host)).otherwise(F.split(host, r"\."))
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.transform(F.filter(F.sequence(F.lit(0), F.size(segments)), lambda i: i > 0),
@@ -112,7 +118,7 @@ def page_entries(pages: DataFrame) -> DataFrame:
     segments; dates and lists follow from digits of the pattern's MD5."""
     url = F.col("url")
     host, first = url_host(url), F.try_element_at(url_path(url), F.lit(1))
-    labels = F.split(host, r"\.")
+    labels = F.when(is_address(host), F.array(host)).otherwise(F.split(host, r"\."))
     parent = F.array_join(F.slice(labels, -2, 2), ".")
     patterns = pages.select(F.explode(F.array(host, F.when(F.size(labels) > 1, parent), F.concat(host, F.lit("/"), first)))
                             .alias("pattern")).where("pattern is not null").distinct()
@@ -131,14 +137,25 @@ def page_entries(pages: DataFrame) -> DataFrame:
 
 
 ORACLE = f"""
-WITH u AS (
+WITH s AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST(((page_id % 366) + 366) % 366 AS INTEGER) AS fetch_date,
-         nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1) AS authority,
          list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS segs
   FROM pages),
+h AS (
+  SELECT page_id, url, fetch_date, segs, nullif(rtrim(lower(
+           CASE WHEN starts_with(server, '[') AND contains(server, ']') THEN string_split(server, ']')[1] || ']'
+                WHEN contains(string_split(server, ':')[1], '[') OR contains(string_split(server, ':')[1], ']') THEN regexp_extract(server, '^[^\\[\\]:]*')
+                ELSE string_split(server, ':')[1] END), '.'), '') AS host
+  FROM (SELECT *, string_split(authority, '@')[-1] AS server FROM s)),
+u AS (
+  SELECT *, CASE WHEN starts_with(host, '[')
+                   OR (len(string_split(host, '.')) = 4 AND len(list_filter(string_split(host, '.'), lambda x:
+                       len(x) BETWEEN 1 AND 3 AND x = regexp_replace(x, '[^0-9]', '', 'g'))) = 4)
+                 THEN [host] ELSE string_split(host, '.') END AS labels FROM h),
 p AS (
-  SELECT DISTINCT unnest([host, CASE WHEN len(string_split(host, '.')) > 1
-                                     THEN array_to_string(string_split(host, '.')[-2:], '.') END,
+  SELECT DISTINCT unnest([host, CASE WHEN len(labels) > 1
+                                     THEN array_to_string(labels[-2:], '.') END,
                           host || '/' || segs[1]]) AS pattern FROM u WHERE host IS NOT NULL),
 d AS (
   SELECT pattern, list_transform(range(1, 9), lambda k: instr('{HEX}', substr(md5(pattern), CAST(k AS INTEGER), 1)) - 1) AS x
@@ -152,8 +169,8 @@ i AS (
   UNION ALL SELECT list, pattern, added + days + gap, NULL FROM a WHERE x[6] < 8),
 m AS (
   SELECT page_id, url, fetch_date, unnest(list_concat(
-           list_transform(range(1, len(string_split(host, '.')) + 1),
-                          lambda k: array_to_string(string_split(host, '.')[k:], '.')),
+           list_transform(range(1, len(labels) + 1),
+                          lambda k: array_to_string(labels[k:], '.')),
            list_transform(range(1, len(segs) + 1), lambda k: host || '/' || array_to_string(segs[1:k], '/')))) AS pattern
   FROM u WHERE host IS NOT NULL AND fetch_date IS NOT NULL),
 r AS (

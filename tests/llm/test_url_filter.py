@@ -54,6 +54,30 @@ def test_against_brute_force(spark):
     assert url_filter.judge(df.limit(0), e).count() == 0
 
 
+def test_addresses_are_covered_as_a_whole_only(spark):
+    urls = ["http://10.2.3.4/a/b", "http://9.9.3.4", "http://[2001:db8::1]:8080/x", "http://u@[2001:DB8::2]/x", "http://x.3.4/",
+            "http://1.2.3.4.org/", "http://1.10.2.3.4/", "http://[2001/x", "http://300.1.1.1000/"]
+    df = spark.createDataFrame([(i, u, D) for i, u in enumerate(urls)], "page_id long, url string, fetch_date date")
+    e = spark.createDataFrame([("block", p, D, "add") for p in ("3.4", "4", "10.2.3.4/a", "[2001:db8::1]", "1", "1.1000", "db8::2]")],
+                              "list string, pattern string, date date, action string")
+    got = {r.page_id: (r.host, r.rule) for r in url_filter.judge(df, e).collect()}
+    assert [got[i] for i in range(len(urls))] == [
+        ("10.2.3.4", "10.2.3.4/a"), ("9.9.3.4", None), ("[2001:db8::1]", "[2001:db8::1]"), ("[2001:db8::2]", None), ("x.3.4", "3.4"),
+        ("1.2.3.4.org", None), ("1.10.2.3.4", "3.4"), (None, None), ("300.1.1.1000", "1.1000")]
+
+
+def test_sql_and_query_agree_on_odd_hosts(spark, tmp_path):
+    urls = ["http://10.2.3.4/a/b", "http://[2001:db8::1]:80/x", "http://u:p@[::1]/x", "http://a[b].org/", "http://[x/", "http://a.b.c.d/",
+            "http://1.2.3/", "http://a@b@c/", "http://u:p@", "http://u@/x", "http://:80/", "http://1.2.3.04./q", None, "http://a.org./", "x"] * 40
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    rel = con.execute(ORACLE["op9_url_filter"])
+    names = [d[0] for d in rel.description]
+    rows = QUERIES["op9_url_filter"](spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, rel.fetchall()))
+
+
 def test_intervals(spark):
     e = spark.createDataFrame(ENTRIES, "list string, pattern string, date date, action string")
     rows = sorted((r.valid_from, r.valid_to) for r in url_filter.validity_intervals(e).where("pattern = 'a.org'").collect()
