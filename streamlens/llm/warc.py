@@ -15,10 +15,21 @@ Edge cases: a NULL payload is empty.  A NULL id wins only over no other id;
 if all ids of equal payloads are NULL, all are responses.  Rows that repeat the
 winning id and payload are responses too.  A NULL URL is left out of the
 record.  An empty table gives packages without records, or none.
+
+Packages of other tools: index members are CDXJ (offsets as numbers or text) or
+CDX with its legend line, plain or gzip; ``.idx`` files, which index the index,
+are not read.  A record that several indexes list is one record.  Records may be
+gzip members or plain.  Responses have the payload after the HTTP header,
+without its chunked transfer coding; a missing payload digest, or one of another
+algorithm, is computed, a base32 one given in hexadecimal.  All other records
+(warcinfo, request, metadata, ...) have NULL payload columns, and a revisit has
+the digest and length that its record states, if any.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import gzip
 import hashlib
 import json
@@ -63,29 +74,91 @@ def encode_record(page_id: str | None, url: str | None, payload: bytes, refers_t
     return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", 6, mtime=0)
 
 
+def _text(raw: bytes) -> str:
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
 def _fields(head: bytes) -> dict[str, str]:
     out = {}
-    for line in head.decode().split("\r\n")[1:]:
+    for line in _text(head).splitlines()[1:]:
         k, _, v = line.partition(":")
-        out[k.lower()] = v.strip()
+        out.setdefault(k.strip().lower(), v.strip())
     return out
 
 
+def _split_http(block: bytes) -> tuple[dict[str, str], bytes] | None:
+    """(header fields, body) of an HTTP message; None if it is none."""
+    if not block.startswith(b"HTTP/"):
+        return None
+    head, sep, body = block.partition(b"\r\n\r\n")
+    return _fields(head), body if sep else b""
+
+
+def _unchunked(body: bytes) -> bytes:
+    """The content of a chunked body; as it is when its framing is broken
+    (some tools store the decoded body under the original header)."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not size or size.strip(b"0123456789abcdefABCDEF"):
+            return body
+        n = int(size, 16)
+        if n == 0:
+            return b"".join(out)
+        piece = body[end + 2:end + 2 + n]
+        if len(piece) < n or body[end + 2 + n:end + 4 + n] != b"\r\n":
+            return body
+        out.append(piece)
+        at = end + 4 + n
+
+
+def _sha1_hex(field: str | None) -> str | None:
+    """The bare lower-case hexadecimal SHA-1 of a digest field; None if it is
+    missing or not a SHA-1."""
+    kind, _, value = (field or "").rpartition(":")
+    if kind.lower() not in ("", "sha1", "sha-1"):
+        return None
+    if len(value) == 32:
+        try:
+            return base64.b32decode(value.upper()).hex()
+        except binascii.Error:
+            return None
+    return value.lower() if len(value) == 40 and not value.lower().strip("0123456789abcdef") else None
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() else None
+
+
 def decode_record(member: bytes) -> dict:
-    """The fields of a record and its payload (None for a revisit)."""
-    raw = gzip.decompress(member)
-    cut = raw.index(b"\r\n\r\n")
-    warc = _fields(raw[:cut])
-    block = raw[cut + 4:cut + 4 + int(warc["content-length"])]
-    cut = block.index(b"\r\n\r\n")
-    http, payload = _fields(block[:cut]), block[cut + 4:]
-    kind = warc["warc-type"]
-    page, refers = (warc.get(k, "")[1:-1] for k in ("warc-record-id", "warc-refers-to"))
+    """The fields of a record and its payload (None unless it is a response)."""
+    raw = gzip.decompress(member) if member[:2] == b"\x1f\x8b" else member
+    head, sep, rest = raw.partition(b"\r\n\r\n")
+    if not sep or not head.startswith(b"WARC/"):
+        raise ValueError("no WARC record at an indexed range")
+    warc = _fields(head)
+    block = rest[:int(warc["content-length"])]
+    kind = warc["warc-type"].lower()
+    http = _split_http(block) if kind in ("response", "revisit") else None
+    payload = digest = size = None
+    if kind == "response":
+        fields, payload = http or ({}, block)
+        if "chunked" in fields.get("transfer-encoding", "").lower():
+            payload = _unchunked(payload)
+        size = len(payload)
+        digest = _sha1_hex(warc.get("warc-payload-digest")) or hashlib.sha1(payload).hexdigest()
+    elif kind == "revisit":
+        size = _number((http[0] if http else {}).get("content-length"))
+        digest = _sha1_hex(warc.get("warc-payload-digest"))
+    page, refers = (warc.get(k, "").strip("<>") for k in ("warc-record-id", "warc-refers-to"))
     return {"page_id": page.removeprefix("urn:page:") if page.startswith("urn:page:") else None,
             "url": warc.get("warc-target-uri"), "record_type": kind,
-            "refers_to": refers.removeprefix("urn:page:") or None,
-            "payload_digest": warc["warc-payload-digest"].removeprefix("sha1:"),
-            "payload_bytes": int(http["content-length"]), "payload": payload if kind == "response" else None}
+            "refers_to": refers.removeprefix("urn:page:") or None, "payload_digest": digest,
+            "payload_bytes": size, "payload": payload}
 
 
 # ---- writer ----------------------------------------------------------------
@@ -198,21 +271,54 @@ def zip_members(f, size: int) -> dict[str, tuple[int, int, int]]:
     return out
 
 
+def _trailing_object(line: str) -> dict:
+    """The JSON object that ends a CDXJ line; the key before it may hold " {"."""
+    at = line.find(" {")
+    while at >= 0:
+        try:
+            return json.loads(line[at + 1:])
+        except ValueError:
+            at = line.find(" {", at + 1)
+    raise ValueError("an index line without a JSON object")
+
+
+def index_entries(raw: bytes) -> Iterator[tuple[str | None, int, int]]:
+    """(archive file or None, offset, length) of an index's lines: CDXJ, or CDX
+    with a legend line; gzip if it begins so."""
+    if raw[:2] == b"\x1f\x8b":
+        raw = gzip.decompress(raw)
+    legend = None
+    for line in _text(raw).split("\n"):
+        line = line.rstrip("\r")
+        if line.startswith((" CDX ", "CDX ")):
+            legend = line.split()[1:]
+        elif line.endswith("}") and not line.startswith("!"):
+            entry = _trailing_object(line)
+            yield entry.get("filename"), int(entry["offset"]), int(entry["length"])
+        elif legend and line.strip():
+            entry = dict(zip(legend, line.split()))
+            yield entry.get("g"), int(entry["V"]), int(entry["S"])
+
+
 def record_ranges(f, size: int) -> list[tuple[int, int]]:
     """(offset, length) in the package of every record its indexes list."""
     members = zip_members(f, size)
-    archives = {n: m for n, m in members.items() if n.startswith("archive/")}
-    for name, (method, *_) in members.items():
-        if method and name.startswith(("archive/", "indexes/")):
+    archives = {n.removeprefix("archive/"): m for n, m in members.items() if n.startswith("archive/") and not n.endswith("/")}
+    indexes = {n: m for n, m in members.items() if n.startswith("indexes/") and not n.endswith(("/", ".idx"))}
+    for name, (method, *_) in [*archives.items(), *indexes.items()]:
+        if method:
             raise ValueError(f"{name} is compressed; only stored members can be range-read")
-    out = []
-    for name, (_, at, stored) in members.items():
-        if name.startswith("indexes/"):
-            f.seek(at)
-            for line in filter(None, f.read(stored).decode().split("\n")):
-                entry = json.loads(line[line.rindex(" {") + 1:])
-                base = archives[f"archive/{entry['filename']}" if "filename" in entry else WARC_MEMBER][1]
-                out.append((base + entry["offset"], entry["length"]))
+    only = next(iter(archives)) if len(archives) == 1 else WARC_MEMBER.removeprefix("archive/")
+    out = set()
+    for _, at, stored in indexes.values():
+        f.seek(at)
+        for name, offset, length in index_entries(f.read(stored)):
+            name = (name or only).removeprefix("archive/")
+            if name not in archives:
+                raise ValueError(f"an index names {name}, which is not in the package")
+            if offset < 0 or length <= 0 or offset + length > archives[name][2]:
+                raise ValueError(f"an index names bytes outside {name}")
+            out.add((archives[name][1] + offset, length))
     return sorted(out)
 
 
