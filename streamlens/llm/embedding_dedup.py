@@ -14,10 +14,15 @@ stored rows and blocks of queries, so no task holds an unbounded list.  Tasks
 return link counts per vector and the trees of the links they found, never the
 pairs.
 
-The quantisers are fitted on a bounded sample (``sample_rows``); every vector
-is indexed and queries.  ``lists`` defaults to the power of two at the root of
-the number of distinct vectors, at most ``MAX_LISTS`` and one per 16 sampled
-rows.
+The coarse quantiser has two levels.  At most ``CELLS`` cells are fitted on a
+bounded sample (``sample_rows``); where more lists than cells are wanted, every
+cell is split by k-means in a Spark task of its own, on at most ``CELL_ROWS``
+rows, into lists in proportion to its share of the rows.  A vector is compared
+with the lists of its nearest ``CELL_PROBES`` cells.  Every vector is indexed and
+queries.  ``lists`` defaults to the power of two at the root of the number of
+distinct vectors, so a vector meets about ``probes`` times that root of stored
+codes at any size; the table of lists (at most ``CELLS`` x ``CELL_LISTS`` rows,
+reached at 7 x 10^10 vectors) is what the workers hold.
 
 Edge cases: vectors that are NULL, empty, zero or hold NULL or non-finite
 components link with nothing, and vectors of different dimension do not link.
@@ -28,23 +33,24 @@ table gives an empty result.  Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlens.llm.common import materialize, own_exchange
 from streamlens.llm.components import connected_components, local_roots
 from streamlens.llm.words import giving_back
 
-MAX_LISTS = 16_384
 SAMPLE_ROWS = 20_000
+CELLS, CELL_LISTS, CELL_ROWS, CELL_PROBES = 1024, 256, 4096, 8
 PROBES = 8
 SUB_DIM = 8
-STORED_ROWS, QUERY_ROWS = 1024, 8192
+STORED_ROWS, QUERY_ROWS = 8192, 65536
+CHUNK_ROWS = 1024  # queries held against a block of stored rows at a time
 
 
 def unit_rows(flat: np.ndarray, dim: int) -> np.ndarray:
@@ -70,28 +76,51 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 3) -> np.ndarray
 
 @dataclass
 class Quantiser:
-    centers: np.ndarray       # coarse centroids
+    cells: np.ndarray         # centroids of the cells
+    starts: np.ndarray        # cell c has the lists starts[c] to starts[c + 1]
+    lists: np.ndarray         # centroids of the lists
     cuts: list[int]           # subspace borders
     books: list[np.ndarray]   # code words per subspace
 
-    def encode(self, x: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(nearest lists, codes, error of the reconstruction) of unit rows."""
-        score = x @ self.centers.T - 0.5 * (self.centers * self.centers).sum(1)
+    def nearest_lists(self, x: np.ndarray, probes: int) -> np.ndarray:
+        """The nearest lists of unit rows, nearest first; -1 where the nearest
+        cells have fewer than ``probes``."""
+        score = x @ self.cells.T - 0.5 * (self.cells * self.cells).sum(1)
+        if len(self.lists) == len(self.cells):  # every cell is one list
+            which = np.broadcast_to(np.arange(len(self.lists)), score.shape)
+        else:
+            slots, width = min(CELL_PROBES, score.shape[1]), int(np.diff(self.starts).max())
+            near = np.argpartition(-score, slots - 1, axis=1)[:, :slots]
+            score = np.full((len(x), slots, width), -np.inf)
+            which = np.full((len(x), slots, width), -1)
+            order = np.argsort(near, axis=None, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(near.reshape(-1)[order])) + 1):
+                row, slot = np.divmod(part, slots)
+                lo, hi = self.starts[near[row[0], slot[0]]:][:2]
+                centers = self.lists[lo:hi]
+                score[row, slot, :hi - lo] = x[row] @ centers.T - 0.5 * (centers * centers).sum(1)
+                which[row, slot, :hi - lo] = np.arange(lo, hi)
+            score, which = score.reshape(len(x), -1), which.reshape(len(x), -1)
         probes = min(probes, score.shape[1])
         top = np.argpartition(-score, probes - 1, axis=1)[:, :probes]
         top = np.take_along_axis(top, np.argsort(-np.take_along_axis(score, top, 1), axis=1, kind="stable"), 1)
-        residual = x - self.centers[top[:, 0]]
+        return np.take_along_axis(which, top, 1).astype(np.int32)
+
+    def encode(self, x: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(nearest lists, codes, error of the reconstruction) of unit rows."""
+        top = self.nearest_lists(x, probes)
+        residual = x - self.lists[top[:, 0]]
         codes = np.empty((len(x), len(self.books)), np.uint8)
         error = np.zeros(len(x))
         for m, book in enumerate(self.books):
             part = residual[:, self.cuts[m]:self.cuts[m + 1]]
             codes[:, m] = _nearest(part, book)
             error += ((part - book[codes[:, m]]) ** 2).sum(1)
-        return top.astype(np.int32), codes, np.sqrt(error)
+        return top, codes, np.sqrt(error)
 
     def distances(self, queries: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
         """Asymmetric distances of queries to the codes of one list."""
-        residual = queries - self.centers[which]
+        residual = queries - self.lists[which]
         total = np.zeros((len(queries), len(codes)), np.float32)
         for m, book in enumerate(self.books):
             part = residual[:, self.cuts[m]:self.cuts[m + 1]]
@@ -100,14 +129,61 @@ class Quantiser:
         return np.sqrt(np.maximum(total, 0))
 
 
-def fit(sample: np.ndarray, lists: int, sub_dim: int = SUB_DIM) -> Quantiser:
-    """Coarse centroids and residual code books from unit rows."""
-    centers = kmeans(sample, max(1, min(lists, len(sample) // 16 or 1)))
+def fit(sample: np.ndarray, lists: int, sub_dim: int = SUB_DIM,
+        split: Callable[[np.ndarray], list[np.ndarray]] | None = None) -> Quantiser:
+    """Cells and residual code books from unit rows.  ``split`` gives the list
+    centroids of every cell; without it a cell is one list."""
+    cells = kmeans(sample, max(1, min(lists, CELLS, len(sample) // 16 or 1)))
+    per_cell = split(cells) if split is not None else [c[None] for c in cells]
+    starts = np.concatenate([[0], np.cumsum([len(c) for c in per_cell])])
     dim = sample.shape[1]
-    residual = sample - centers[_nearest(sample, centers)]
     cuts = [dim * i // max(1, dim // sub_dim) for i in range(max(1, dim // sub_dim) + 1)]
-    books = [kmeans(residual[:, a:b], min(256, len(sample))) for a, b in zip(cuts, cuts[1:])]
-    return Quantiser(centers, cuts, books)
+    z = Quantiser(cells, starts, np.concatenate(per_cell), cuts, [])
+    own = np.concatenate([z.nearest_lists(sample[s:s + 1024], 1)[:, 0] for s in range(0, len(sample), 1024)])
+    residual = sample - z.lists[own]
+    z.books = [kmeans(residual[:, a:b], min(256, len(sample))) for a, b in zip(cuts, cuts[1:])]
+    return z
+
+
+def _hashed(salt: int, share) -> Column:
+    """A filter that keeps a share of the rows by their uid."""
+    return F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(1 << 30)) < F.floor(share * F.lit(1 << 30))
+
+
+def _split_cells(vectors: DataFrame, dim: int, kind, lists: int, total: int, cells: np.ndarray) -> list[np.ndarray]:
+    """List centroids per cell, fitted by one task per cell on 16 sampled rows
+    per list, at most ``CELL_ROWS``.  The driver gets counts and centroids."""
+    spark = vectors.sparkSession
+    shared = spark.sparkContext.broadcast(cells)
+
+    def to_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in range(0, b.num_rows, 1024):
+                part = b.slice(s, 1024)
+                raw = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(kind)
+                at = _nearest(unit_rows(raw, dim), shared.value)
+                each = [raw[i * dim:(i + 1) * dim].tobytes() for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(at.astype(np.int32)), pa.array(each, pa.binary())],
+                                                 names=["uid", "cell", "x"])
+
+    sampled = materialize(vectors.where(_hashed(13, F.lit(min(1.0, 16 * lists / total)))).select("uid", "x")
+                          .mapInArrow(giving_back(to_cell), "uid long, cell int, x binary"), "pq-cells")
+    counts = {r.cell: r["count"] for r in sampled.groupBy("cell").count().collect()}  # a row per cell
+    share = lists / max(1, sum(counts.values()))
+    n = sampled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    bounded = sampled.join(F.broadcast(n), "cell").where(_hashed(17, F.least(F.lit(1.0), F.lit(CELL_ROWS) / F.col("n"))))
+
+    def split(key: tuple, t: pa.Table) -> pa.Table:
+        x = unit_rows(np.frombuffer(b"".join(t.sort_by("uid")["x"].to_pylist()), kind), dim)
+        want = max(1, min(round(share * counts[key[0].as_py()]), CELL_LISTS, len(x) // 4))
+        return pa.table({"cell": pa.array([key[0].as_py()] * want, pa.int32()),
+                         "center": pa.array([c.tobytes() for c in kmeans(x, want)], pa.binary())})
+
+    found = bounded.select("cell", "uid", "x").groupBy("cell").applyInArrow(split, "cell int, center binary").toArrow()
+    out = [[] for _ in cells]
+    for cell, center in zip(found["cell"].to_pylist(), found["center"].to_pylist()):
+        out[cell].append(np.frombuffer(center, np.float64))
+    return [np.array(sorted(c, key=bytes)) if c else cells[i][None] for i, c in enumerate(out)]
 
 
 def _find(stored: dict, q: dict, which: int, quantiser: Quantiser, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -134,14 +210,18 @@ def _links_of(vectors: DataFrame, dim: int, least: float, lists: int | None, pro
     kind = np.float64 if wide else np.float32
     total = vectors.count()
     if lists is None:
-        lists = min(MAX_LISTS, 1 << max(0, round(np.log2(max(1, total)) / 2)))
+        lists = 1 << max(0, round(np.log2(max(1, total)) / 2))
+    lists = min(lists, CELLS * CELL_LISTS)
     sample_rows = max(256, min(sample_rows, (64 << 20) // (8 * dim)))
     picked = vectors.where(F.pmod(F.xxhash64("uid", F.lit(11)), F.lit(1 << 30)) <= int(min(1.0, sample_rows / total) * (1 << 30)))
     sample = picked.select("uid", "x").toArrow().combine_chunks().sort_by("uid")
     flat = np.asarray(sample["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
     if not len(flat):
         flat = np.asarray(vectors.first().x)  # a table so small that the hash picked none
-    shared = spark.sparkContext.broadcast(fit(unit_rows(flat, dim), lists))
+    split = None
+    if lists > min(CELLS, sample_rows // 16):  # more than the sample can fit
+        split = lambda cells: _split_cells(vectors, dim, kind, lists, total, cells)
+    shared = spark.sparkContext.broadcast(fit(unit_rows(flat, dim), lists, split=split))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = shared.value
@@ -155,7 +235,7 @@ def _links_of(vectors: DataFrame, dim: int, least: float, lists: int | None, pro
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(top[:, 0]), pa.array(each, pa.binary()),
                      pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
-                     pa.array(top.tolist(), pa.list_(pa.int32()))],
+                     pa.array([t[t >= 0].tolist() for t in top], pa.list_(pa.int32()))],
                     names=["uid", "weight", "own", "x", "codes", "error", "probes"])
 
     indexed = materialize(vectors.select("uid", "weight", "x").mapInArrow(
@@ -164,7 +244,7 @@ def _links_of(vectors: DataFrame, dim: int, least: float, lists: int | None, pro
     blocks = (asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("qn"))
               .join(indexed.groupBy(F.col("own").alias("list")).agg(
                   F.ceil(F.count(F.lit(1)) / STORED_ROWS).cast("int").alias("sn")), "list"))
-    blocks = F.broadcast(materialize(blocks, "pq-blocks"))  # a row per list: at most MAX_LISTS
+    blocks = F.broadcast(materialize(blocks, "pq-blocks"))  # a row per list: at most CELLS * CELL_LISTS
     none = F.lit(None)
     stored = (indexed.join(blocks, indexed.own == blocks.list)
               .select("list", F.pmod(F.xxhash64("uid"), "sn").cast("int").alias("sb"),
@@ -186,7 +266,8 @@ def _links_of(vectors: DataFrame, dim: int, least: float, lists: int | None, pro
             if not is_query:
                 out["codes"] = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
                 out["error"] = t["error"].to_numpy()
-                out["probes"] = np.array(t["probes"].to_pylist(), np.int32)
+                probed = t["probes"].to_pylist()  # padded: a vector may have fewer lists near it
+                out["probes"] = np.array([p + [-1] * (probes - len(p)) for p in probed], np.int32)
             return out
 
         def results(stored: dict, q: dict, which: int) -> pa.RecordBatch:
@@ -220,8 +301,8 @@ def _links_of(vectors: DataFrame, dim: int, least: float, lists: int | None, pro
                 elif rows or stored:
                     if stored is None:
                         stored, rows = load(rows, False), []
-                    for p in range(s, e, QUERY_ROWS):
-                        yield results(stored, load([b.slice(p, min(QUERY_ROWS, e - p))], True), int(group[0]))
+                    for p in range(s, e, CHUNK_ROWS):
+                        yield results(stored, load([b.slice(p, min(CHUNK_ROWS, e - p))], True), int(group[0]))
 
     return (stored.union(queries).repartition("list", "sb", "qb").sortWithinPartitions("list", "sb", "qb", "query")
             .mapInArrow(giving_back(search), "uid long, n long, peer long"))

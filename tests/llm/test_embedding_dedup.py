@@ -73,6 +73,34 @@ def test_counts_are_symmetric(spark, probes):
         assert sorted(map(tuple, rows)) == sorted(brute(list(range(len(v))), f32))
 
 
+def test_two_levels(spark, monkeypatch):
+    """More lists than cells: the cells are split in Spark; recall and precision hold."""
+    monkeypatch.setattr(embedding_dedup, "CELLS", 8)
+    v = _planted(1500, 16, 9, [0.903, 0.897])
+    hot = v[0] / np.linalg.norm(v[0]) + np.random.default_rng(3).normal(size=(1500, 16)) * 0.3  # a third of the rows
+    v = np.concatenate([v, hot])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, lists=64).collect()}
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = ((unit @ unit.T) >= 0.9).sum(1) - 1
+    assert all(got[i] <= n for i, n in enumerate(want))
+    assert 0.9 <= sum(got.values()) / want.sum() <= 1
+    assert sum(got[i] >= 1 for i in range(1, 1500)) / 1499 >= 0.85  # the planted pairs at 0.903
+
+
+def test_nearest_lists_of_split_cells():
+    rng = np.random.default_rng(1)
+    x = embedding_dedup.unit_rows(rng.normal(size=400 * 6), 6)
+    z = embedding_dedup.fit(x, 40, split=lambda cells: [c + rng.normal(size=(1 + i % 4, 6)) * 0.1 for i, c in enumerate(cells)])
+    assert len(z.lists) == z.starts[-1] > len(z.cells)
+    got = z.nearest_lists(x, 6)
+    owner = np.repeat(np.arange(len(z.cells)), np.diff(z.starts))
+    for row, q in zip(got, x):
+        cells = np.argsort(((z.cells - q) ** 2).sum(1))[:embedding_dedup.CELL_PROBES]
+        d = np.where(np.isin(owner, cells), ((z.lists - q) ** 2).sum(1), np.inf)
+        assert np.allclose(d[row[row >= 0]], np.sort(d)[:6])
+
+
 def test_edges_and_hot_groups(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "STORED_ROWS", 16)
     monkeypatch.setattr(embedding_dedup, "QUERY_ROWS", 32)
