@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -68,7 +69,8 @@ def test_rest_of_text_is_kept(spark):
 
 def test_distinct_under_collisions(spark):
     mails = [f"{chr(97 + i % 26)}@h{i // 26}.com" for i in range(78)]
-    cards = [f"4{i:012d}" for i in range(300)]
+    cards = [f"4{i:011d}" for i in range(300)]
+    cards = [c + next(d for d in "0123456789" if luhn(c + d)) for c in cards]
     out = replace(spark, [" ".join(mails), " ".join(cards), " ".join(mails[::-1])])
     new = out[0].split()
     assert len(set(new)) == len(mails) and not set(new) & set(mails) and out[2].split() == new[::-1]
@@ -134,6 +136,113 @@ def test_usual_spellings(spark):
     assert one and len(set(one.groups())) == 1 and one[1] != "hunter2222"
 
 
+def test_names_across_titles_and_without(spark):
+    out = replace(spark, [
+        "Mr John Smith met Dr John Smith. John Smith said no; Smith's car, SMITH, Johnson and smith stay apart.",
+        "Mrs Anna Lee and Prof Anna Lee", "Prof. Dr. Anna Lee", "Herr Dr. Ludwig van Beethoven, Beethoven",
+        "Mr J. R. Tolkien and Tolkien", "Dr Kim Park", "Smith without a title", "X-Api-Key: 0a1b2c3d4e by Ms X-Ray O'Neill, O'Neill's",
+        "Mr Aa Bb Cc Dd Ee Ff Gg Hh end"], count_col="n")
+    m = re.fullmatch(r"Mr (\w+) (\w+) met Dr (\w+) (\w+)\. (\w+) (\w+) said no; (\w+)'s car, ([A-Z]+), Johnson and smith stay apart\.", out[0])
+    assert m[1] == m[3] == m[5] != "John" and m[2] == m[4] == m[6] == m[7] == m[8].title() != "Smith" and m[1].endswith("n")
+    a = re.fullmatch(r"Mrs (\w+) (\w+) and Prof (\w+) (\w+)", out[1])
+    assert a.groups()[:2] == a.groups()[2:] and a[1].endswith("na") and out[2] == f"Prof. Dr. {a[1]} {a[2]}"
+    b = re.fullmatch(r"Herr Dr\. (\w+) van (\w+), (\w+)", out[3])
+    assert b[2] == b[3] != "Beethoven" and b[1].endswith("n") and b[1] != "Ludwig"
+    t = re.fullmatch(r"Mr J\. R\. (\w+) and (\w+)", out[4])
+    assert t[1] == t[2] != "Tolkien" and re.fullmatch(r"Dr \w+l \w+", out[5]) and out[6] == "Smith without a title"
+    assert "0a1b2c3d4e" not in out[7] and out[7].startswith("X-Api-Key: ") and "Neill" not in out[7] and out[7].endswith("'s")
+    assert not set(out[8].split()[1:-1]) & set("Aa Bb Cc Dd Ee Ff Gg Hh".split()) and out[8].startswith("Mr ") and out[8].endswith(" end")
+
+
+def test_look_alikes_are_kept(spark):
+    plain = ["order 1234567890123456", "ISBN 978-3-16-148410-0", "invoice 20240101123456", "GB00XXXX00000000000000", "4111111111111112",
+             "The secret: nobody knows", "Password: required", "token: well-known.", "9807915762804490", "7536784127813050"]
+    assert replace(spark, plain) == plain
+    out = replace(spark, ["4111 1111 1111 1111 123", "BE68 5390 0754 7034 THE end", "3782 822463 10005", "5555-5555-5555-4444",
+                          "The secret: no_body1", '"secret": "nobody"', "NO93 8601 1117 947"])
+    assert re.fullmatch(r"4\d{3} \d{4} \d{4} \d{4} 123", out[0]) and luhn(re.sub(r"\D", "", out[0])[:16]) and "1111 1111" not in out[0]
+    assert re.fullmatch(r"BE\d\d \d{4} \d{4} \d{4} THE end", out[1]) and "5390" not in out[1]
+    assert re.fullmatch(r"3\d{3} \d{6} \d{5}", out[2]) and re.fullmatch(r"5\d{3}-\d{4}-\d{4}-\d{4}", out[3])
+    assert "no_body1" not in out[4] and "nobody" not in out[5] and "8601" not in out[6]
+
+
+# ---- a scalar version, without Spark ---------------------------------------
+
+def scalar_surrogates(kind, normals, key):
+    """Rounds of draws for the kinds that mask digits, letters and addresses."""
+    def draw(n, attempt):
+        seed, more = f"{key}|{kind}|{n}|{attempt}", max(attempt - 3, 0)
+        size = len(n) + more + 31
+        r = [b for i in range(size // 32 + 1) for b in hashlib.sha256(f"{seed}|{i}".encode()).digest()]
+        like = lambda s: "".join(
+            str(r[i] % 10) if c.isdigit() else chr(65 + r[i] % 26) if c.isupper() else chr(97 + r[i] % 26) if c.isalpha() else c
+            for i, c in enumerate(s))
+        masked = like(n + "0" * more)
+        if kind == "mailbox":
+            return like(n.split("@")[0] + "x" * more)
+        if kind == "host":
+            return like(n.rpartition(".")[0] + "x" * more) + ".example"
+        if kind == "card":
+            stem = (n[0] + masked[1:])[:-1]
+            return stem + next(d for d in "0123456789" if luhn(stem + d))
+        if kind == "phone":
+            keep = len(re.match(r"\+[17]|\+\d\d|0?", n)[0])
+            return n[:keep] + masked[keep:]
+        if kind == "ip":
+            return ".".join(map(str, [r[0] % 223 + 1, *r[1:4]]))
+        assert kind == "secret_hex"
+        return "".join("0123456789abcdef"[v % 16] for v in r[:len(n) + more])
+    taken, pending, attempt = {}, set(normals), 0
+    while pending:
+        won = {}
+        for n in pending:
+            c = draw(n, attempt)
+            if c not in normals and c not in taken.values():
+                won[c] = min(n, won.get(c, n))
+        taken.update({n: c for c, n in won.items()})
+        pending -= set(won.values())
+        attempt += 1
+    return taken
+
+
+def scalar_replace(texts, key):
+    """Written from the docstring: entities of the given documents' forms only."""
+    form = re.compile(r"(?P<mail>[\w.]+@[\w.]+\.\w+)|token = \"(?P<hex>[0-9a-f]{40})|(?P<ip>\b\d{1,3}(?:\.\d{1,3}){3}\b)"
+                      r"|\b(?P<card>\d{16})\b|(?P<phone>\+1 \(\d{3}\) \d{3}-\d{4})")
+    found = {k: set() for k in ("mailbox", "host", "secret_hex", "ip", "card", "phone")}
+    real = lambda m: not m["card"] or (m["card"][0] in "4" or re.match("5[0-8]|2[2-7]|35|6", m["card"])) and luhn(m["card"])
+    digits = lambda s: re.sub(r"[^0-9]", "", s)
+    for t in texts:
+        for m in form.finditer(t or ""):
+            if m["mail"]:
+                found["mailbox"].add(m["mail"].lower())
+                found["host"].add(m["mail"].split("@")[1].lower())
+            elif real(m):
+                kind = next(k for k in ("hex", "ip", "card", "phone") if m[k])
+                found["secret_hex" if kind == "hex" else kind].add("+" + digits(m[0]) if kind == "phone" else m[kind])
+    new = {k: scalar_surrogates(k, v, key) for k, v in found.items()}
+
+    def one(m):
+        if m["mail"]:
+            return new["mailbox"][m["mail"].lower()] + "@" + new["host"][m["mail"].split("@")[1].lower()]
+        if m["hex"]:
+            return 'token = "' + new["secret_hex"][m["hex"]]
+        if m["phone"]:
+            with_digits = iter(digits(new["phone"]["+" + digits(m[0])]))
+            return "".join(next(with_digits) if c.isdigit() else c for c in m[0])
+        return new["ip"][m[0]] if m["ip"] else new["card"][m[0]] if real(m) else m[0]
+    return [t if t is None else form.sub(one, t) for t in texts]
+
+
+def test_query_equals_scalar_version(spark):
+    from streamlens.llm.queries import PII_KEY, QUERIES
+    sf = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    out = {r.doc_id: r.text for r in QUERIES["op5_pii"](spark, sf).collect()}
+    want = dict(zip(docs, scalar_replace(list(docs.values()), PII_KEY)))
+    assert out == want and sum(out[i] != t for i, t in docs.items()) > 50
+
+
 def test_key_and_edges(spark):
     t = ["write to ab.cd@mail.org", "write to ab.cd@mail.org"]
     one, two = replace(spark, t), replace(spark, t, key="other")
