@@ -4,8 +4,9 @@ Every task cuts its documents into shards of bounded text, indexes each shard
 (fm_index.py) and backward-searches the benchmark's word windows in it.  Hits
 are located by sampled suffix positions and merged into removal spans.  The
 index does not depend on the benchmark: its windows are built by Spark tasks as
-files of bounded size in the shared folder, and a worker holds one of them at a
-time.  Documents are neither shuffled nor compared with each other.
+files of bounded size in the shared folder.  A worker holds the indexes of several
+shards and one block at a time, and reads every block once for them all (with one
+block only, which stays loaded, it holds one shard).  Documents are neither shuffled nor compared with each other.
 
 Words: A-Z lower-cased, then runs of ASCII letters, digits and all non-ASCII
 characters.  A window is ``window`` consecutive words of an item; an item of
@@ -39,6 +40,7 @@ from streamlens.sources.files import filesystem
 
 SHARD_BYTES = 3 << 20  # an index takes about 30 times as much memory while it is built
 BLOCK_BYTES = 4 << 20  # of text; its windows take about 15 times as much
+HELD_BYTES = 48 << 20  # of text, whose indexes a worker holds while the blocks pass; they take 3 to 5 times as much
 _OUT = "n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
 
 
@@ -77,48 +79,67 @@ def _loaded(path: str) -> dict:
     return _last[1]
 
 
-def search_shard(texts: list[bytes], blocks: list[dict | str]) -> tuple[np.ndarray, np.ndarray, list, list]:
-    """Per text: words, hit words, names of the items found, spans to remove."""
-    n = len(texts)
-    words = Words(texts)
-    hit = np.zeros(len(words.codes), bool)
-    found: list[set] = [set() for _ in range(n)]
-    if len(words.codes) and blocks:
-        index = FMIndex(words.codes, words.n_words, len(words.vocabulary))
-        for b in blocks:
-            block = None  # not two at once
-            block = _loaded(b) if isinstance(b, str) else b
-            code = pc.index_in(block["vocabulary"], value_set=words.vocabulary)
-            code = np.append(code.fill_null(-1).to_numpy(zero_copy_only=False), 0)  # -1 (padding) -> 0
-            grid = code[block["grid"]]
-            known = np.flatnonzero((grid >= 0).all(1))
-            lo, hi = index.search(grid[known], block["length"][known])
-            some = hi > lo
-            lo, count, known = lo[some], (hi - lo)[some], known[some]
-            at = index.locate(expand(lo, count))
-            which = np.repeat(known, count)
-            doc = np.searchsorted(index.starts, at, side="right") - 1
-            at = at - doc  # separators before it
-            delta = np.zeros(len(hit) + 1, np.int64)
-            np.add.at(delta, at, 1)
-            np.add.at(delta, at + block["length"][which], -1)
-            hit |= np.cumsum(delta[:-1]) > 0
-            pair = np.unique(doc * np.int64(len(block["length"])) + which)
-            doc, which = np.divmod(pair, len(block["length"])) if len(pair) else (pair, pair)
-            begin = block["items_at"][which]
-            per = block["items_at"][which + 1] - begin
-            pair = np.unique(np.repeat(doc, per) * np.int64(len(block["names"])) + block["items"][expand(begin, per)])
-            for d, i in zip(*(np.divmod(pair, len(block["names"])) if len(pair) else (pair, pair))):
-                found[d].add(block["names"][i])
-    first = np.concatenate([[0], np.cumsum(words.n_words)])
-    total = np.concatenate([[0], np.cumsum(hit)])
-    n_hit = total[first[1:]] - total[first[:-1]]
-    spans: list = [[] for _ in range(n)]
-    for d in np.flatnonzero(n_hit):
-        edge = np.flatnonzero(np.diff(hit[first[d]:first[d + 1]].astype(np.int8), prepend=0, append=0))
-        spans[d] = [(int(words.begin[first[d] + s]), int(words.end[first[d] + e - 1]))
-                    for s, e in zip(edge[::2], edge[1::2])]
-    return words.n_words, n_hit, [sorted(f) for f in found], spans
+class Shard:
+    """The index of some texts and what has been found in it so far."""
+
+    def __init__(self, texts: list[bytes]):
+        words = Words(texts)
+        self.n_words, self.vocabulary = words.n_words, words.vocabulary
+        self.begin, self.end = words.begin.astype(np.int32), words.end.astype(np.int32)
+        self.hit = np.zeros(len(words.codes), bool)
+        self.found: list[set] = [set() for _ in texts]
+        self.index = FMIndex(words.codes, words.n_words, len(words.vocabulary)) if len(words.codes) else None
+
+    def search(self, block: dict) -> None:
+        """Add the occurrences of a block's windows."""
+        index = self.index
+        if index is None:
+            return
+        code = pc.index_in(block["vocabulary"], value_set=self.vocabulary)
+        code = np.append(code.fill_null(-1).to_numpy(zero_copy_only=False), 0)  # -1 (padding) -> 0
+        grid = code[block["grid"]]
+        known = np.flatnonzero((grid >= 0).all(1))
+        lo, hi = index.search(grid[known], block["length"][known])
+        some = hi > lo
+        lo, count, known = lo[some], (hi - lo)[some], known[some]
+        at = index.locate(expand(lo, count))
+        which = np.repeat(known, count)
+        doc = np.searchsorted(index.starts, at, side="right") - 1
+        at = at - doc  # separators before it
+        delta = np.zeros(len(self.hit) + 1, np.int64)
+        np.add.at(delta, at, 1)
+        np.add.at(delta, at + block["length"][which], -1)
+        self.hit |= np.cumsum(delta[:-1]) > 0
+        pair = np.unique(doc * np.int64(len(block["length"])) + which)
+        doc, which = np.divmod(pair, len(block["length"])) if len(pair) else (pair, pair)
+        begin = block["items_at"][which]
+        per = block["items_at"][which + 1] - begin
+        pair = np.unique(np.repeat(doc, per) * np.int64(len(block["names"])) + block["items"][expand(begin, per)])
+        for d, i in zip(*(np.divmod(pair, len(block["names"])) if len(pair) else (pair, pair))):
+            self.found[d].add(block["names"][i])
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, list, list]:
+        """Per text: words, hit words, names of the items found, spans to remove."""
+        first = np.concatenate([[0], np.cumsum(self.n_words)])
+        total = np.concatenate([[0], np.cumsum(self.hit)])
+        n_hit = total[first[1:]] - total[first[:-1]]
+        spans: list = [[] for _ in self.found]
+        for d in np.flatnonzero(n_hit):
+            edge = np.flatnonzero(np.diff(self.hit[first[d]:first[d + 1]].astype(np.int8), prepend=0, append=0))
+            spans[d] = [(int(self.begin[first[d] + s]), int(self.end[first[d] + e - 1]))
+                        for s, e in zip(edge[::2], edge[1::2])]
+        return self.n_words, n_hit, [sorted(f) for f in self.found], spans
+
+
+def search_shards(shards: list[Shard], blocks: list[dict | str]) -> None:
+    """Pass every block once over all the shards."""
+    if not any(s.index for s in shards):
+        return
+    for b in blocks:
+        block = None  # not two at once
+        block = _loaded(b) if isinstance(b, str) else b
+        for s in shards:
+            s.search(block)
 
 
 def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_bytes: int) -> list[str]:
@@ -155,7 +176,7 @@ def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, block
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", cut: bool = False,
                   keep_text: bool = True, shard_bytes: int = SHARD_BYTES,
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES, held_bytes: int = HELD_BYTES) -> DataFrame:
     """``docs`` plus ``n_words``, ``n_hit``, ``item_ids`` (sorted names of the
     items found) and ``spans`` (byte ranges of the UTF-8 text that hold the hit
     words).  ``cut`` removes the spans from the text; ``keep_text=False`` leaves
@@ -169,25 +190,40 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_
                         + StructType.fromDDL(_OUT).fields)
     out_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finished(b: pa.RecordBatch, texts: list[bytes], shard: Shard) -> pa.RecordBatch:
+        n_words, n_hit, items, spans = shard.result()
+        cols = [b.column(i) for i in range(b.num_columns)]
+        if cut and n_hit.any():
+            new = b.column(place).to_pylist()
+            for d in np.flatnonzero(n_hit):
+                ends = [0, *[e for _, e in spans[d]]]
+                begins = [*[s for s, _ in spans[d]], len(texts[d])]
+                new[d] = b"".join(texts[d][s:e] for s, e in zip(ends, begins)).decode()
+            cols[place] = pa.array(new, b.column(place).type)
+        return pa.RecordBatch.from_arrays(
+            [cols[i] for i in kept] + [
+                pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+                pa.array(items, pa.list_(pa.string())), pa.array(spans, out_type)],
+            names=[f.name for f in schema])
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        """Shards whose texts have about ``held_bytes`` together."""
+        group, held = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
             for b in byte_slices(batch, place, shard_bytes):
                 texts = [t or b"" for t in b.column(place).cast(pa.binary()).to_pylist()]
-                n_words, n_hit, items, spans = search_shard(texts, blocks)
-                cols = [b.column(i) for i in range(b.num_columns)]
-                if cut and n_hit.any():
-                    new = b.column(place).to_pylist()
-                    for d in np.flatnonzero(n_hit):
-                        ends = [0, *[e for _, e in spans[d]]]
-                        begins = [*[s for s, _ in spans[d]], len(texts[d])]
-                        new[d] = b"".join(texts[d][s:e] for s, e in zip(ends, begins)).decode()
-                    cols[place] = pa.array(new, b.column(place).type)
-                yield pa.RecordBatch.from_arrays(
-                    [cols[i] for i in kept] + [
-                        pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
-                        pa.array(items, pa.list_(pa.string())), pa.array(spans, out_type)],
-                    names=[f.name for f in schema])
+                group.append((b, texts, Shard(texts)))
+                held += sum(map(len, texts))
+                if len(blocks) < 2 or held >= held_bytes:
+                    yield group
+                    group, held = [], 0
+        if group:
+            yield group
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            search_shards([shard for *_, shard in group], blocks)
+            while group:
+                yield finished(*group.pop(0))
 
     return docs.mapInArrow(giving_back(run), schema)

@@ -7,7 +7,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pytest
-from streamlens.llm.decontamination import decontaminate, search_shard, windows
+from streamlens.llm.decontamination import Shard, decontaminate, search_shards, windows
 from streamlens.llm.fm_index import FMIndex, suffix_array
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -34,6 +34,11 @@ def brute(docs, bench, size):
     return out
 
 
+def search_shard(texts, blocks):
+    search_shards([shard := Shard(texts)], blocks)
+    return shard.result()
+
+
 def test_suffix_array_and_locate():
     rng = np.random.default_rng(0)
     for _ in range(20):
@@ -120,6 +125,27 @@ def test_worker_holds_one_block(spark, monkeypatch):
     assert len(most) == len(paths) and max(most) == 1 and load(paths[-1]) is load(paths[-1])
 
 
+def test_blocks_pass_once_over_several_shards(spark, monkeypatch):
+    from streamlens.llm import decontamination as dec
+    docs, bench = _corpus(12)
+    paths = dec._blocks(spark.createDataFrame(bench, "item_id string, text string"), 3, "item_id", "text", 60)
+    load, read = dec.pickle.loads, []
+    monkeypatch.setattr(dec, "pickle", SimpleNamespace(loads=lambda data: read.append(1) or load(data)))
+    shards = [Shard([(d or "").encode() for d in docs[i:i + 5]]) for i in range(0, len(docs), 5)]
+    search_shards(shards, paths)
+    got = [r for s in shards for r in zip(*s.result()[:3])]
+    assert got == brute(docs, bench, 3) and len(read) == len(paths) > 2 and len(shards) > 4
+
+
+@pytest.mark.parametrize("held", [1, 1000, 10**6])
+def test_held_shards_give_the_same(spark, held):
+    docs, bench = _corpus(13)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1)
+    b = spark.createDataFrame(bench, "item_id string, text string")
+    got = decontaminate(df, b, window=3, shard_bytes=200, block_bytes=60, held_bytes=held, cut=True).collect()
+    assert [(r.n_words, r.n_hit, r.item_ids) for r in sorted(got)] == brute(docs, bench, 3)
+
+
 def test_query_digest(spark):
     from streamlens.llm.queries import QUERIES
     sf = "/root/testdata/sf0.001"

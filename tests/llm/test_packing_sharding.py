@@ -116,3 +116,38 @@ def test_query_sizes(spark):
     for r in rows:
         t = docs[r.doc_id].encode()
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(t) + 1, zlib.crc32(t), "rows", None)
+
+
+def scalar_position(x, n, seed):
+    """The Feistel permutation of [0, n) on Python integers."""
+    mask, a = (1 << 64) - 1, 1
+    while a * a < n:
+        a += 1
+    b = -(-n // a)
+
+    def mix(v, key):
+        v = v + key & mask
+        v = (v ^ v >> 30) * 0xBF58476D1CE4E5B9 & mask
+        v = (v ^ v >> 27) * 0x94D049BB133111EB & mask
+        return v ^ v >> 31
+    keys = [mix(i * 0x9E3779B97F4A7C15 & mask, seed) for i in range(1, 7)]
+    while True:
+        left, right = divmod(x, b)
+        for i, k in enumerate(keys):
+            if i % 2 == 0:
+                left = (left + mix(right, k) % a) % a
+            else:
+                right = (right + mix(left, k) % b) % b
+        x = left * b + right
+        if x < n:
+            return x
+
+
+def test_query_shard_and_slot(spark):
+    """Against the scalar permutation of the row numbers in doc_id order."""
+    sf = "/root/testdata/sf0.01"
+    rows = QUERIES["op8_sharding"](spark, sf).collect()
+    ids = sorted(d.doc_id for d in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect())
+    assert len(set(ids)) == len(ids) == len(rows)
+    want = {i: divmod(scalar_position(k, len(ids), 42), 8)[::-1] for k, i in enumerate(ids)}
+    assert {r.doc_id: (r.shard, r.slot) for r in rows} == want
