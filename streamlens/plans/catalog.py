@@ -719,6 +719,25 @@ def src_txn(spark, sf_dir):
                      lambda s: accepted(parse_transactions(s[0])).select(*TXN_COLS), max_per_trigger=4)
 
 
+@query("txn_time_limit_stream", ORACLE["txn_parse"])
+def txn_time_limit_stream(spark, sf_dir):
+    """L2: a run in small batches is stopped after a second, wherever it is; the
+    next run on its checkpoint takes the rest.  No message is lost or doubled."""
+    root, ckpt, out = (scratch_path(spark, f"limit-{k}") for k in ("topic", "ckpt", "out"))
+    for part in io.time_slices(A.transaction_messages(spark, sf_dir), STREAM_SLICES):
+        io.land_messages(part, root, "transactions")
+
+    def run(limit=None, per_trigger=None):
+        topic = io.read_topic(spark, "transactions", root=root, max_per_trigger=per_trigger)
+        return R.run_to_end(spark, accepted(parse_transactions(topic)).select(*TXN_COLS), "limit",
+                            checkpoint=ckpt, out=out, timeout_s=limit)
+    try:
+        run(limit=1, per_trigger=1)
+    except R.Stopped:
+        pass  # the usual case; on little input the run may end in time
+    return run()
+
+
 @query("src_frames", ORACLE["frame_parse"])
 def src_frames(spark, sf_dir):
     """Frames read from the start of a topic as a stream."""
