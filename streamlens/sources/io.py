@@ -1,9 +1,11 @@
 """Topic sources and sinks.
 
 A topic is either a Kafka topic (``fmt="kafka"``, needs the Kafka connector on
-the classpath) or its file twin: a folder of JSON lines with the envelope
-columns ``key, value, topic, partition, offset, timestamp``.  Readers return
-the envelope in both cases, so every downstream operator is format-agnostic.
+the classpath) or its file twin: a folder of JSON lines, or of another format of
+Spark's (``COMPACT``: compressed parquet for messages that hold payloads), with
+the envelope columns ``key, value, topic, partition, offset, timestamp``.
+Readers return the envelope in all cases, so every downstream operator is
+format-agnostic.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ UPLOAD_TOPICS = {"document": "uploaded_documents", "video": "uploaded_videos",
                  "image": "uploaded_images"}
 UPLOAD_FALLBACK_TOPIC = "uploaded_files"
 BATCH_FOLDER = "stream_batch"
+COMPACT = {"fmt": "parquet", "options": {"compression": "zstd"}}  # a file topic that takes little disk
 
 
 def topic_path(root: str, topic: str) -> str:
@@ -87,7 +90,7 @@ def write_topic(df: DataFrame, topic: str | None = None, *, fmt: str = "json",
 
     ``batch_id`` names a micro-batch: the file topic keeps its rows in a folder
     of that name and replaces it, so a batch that is delivered twice is there
-    once (Kafka appends: at-least-once).
+    once (Kafka appends: at-least-once).  ``options`` are those of the writer.
     """
     if fmt == "kafka":
         w = df.select("key", "value", *(["topic"] if topic is None else [])).write.format("kafka")
@@ -102,12 +105,13 @@ def write_topic(df: DataFrame, topic: str | None = None, *, fmt: str = "json",
     if batch_id is not None:
         if not topic:
             raise ValueError("a batch id needs one topic")
-        env.write.mode("overwrite").format(fmt).save(f"{topic_path(root, topic)}/{BATCH_FOLDER}={batch_id}")
+        env.write.mode("overwrite").format(fmt).options(**(options or {})).save(
+            f"{topic_path(root, topic)}/{BATCH_FOLDER}={batch_id}")
     elif topic:
-        env.write.mode("append").format(fmt).save(topic_path(root, topic))
+        env.write.mode("append").format(fmt).options(**(options or {})).save(topic_path(root, topic))
     else:
         # One folder per topic: a partitioned write keeps it to a single job.
-        env.write.mode("append").partitionBy("topic").format(fmt).save(root)
+        env.write.mode("append").partitionBy("topic").format(fmt).options(**(options or {})).save(root)
 
 
 def read_batch(spark: SparkSession, root: str, topic: str, batch_id: int, fmt: str = "json") -> DataFrame:
