@@ -119,14 +119,24 @@ def read_batch(spark: SparkSession, root: str, topic: str, batch_id: int, fmt: s
     return spark.read.schema(ENVELOPE).format(fmt).load(f"{topic_path(root, topic)}/{BATCH_FOLDER}={batch_id}")
 
 
-def land_messages(messages: DataFrame, root: str, topic: str) -> str:
+def land_messages(messages: DataFrame, root: str, topic: str, *, fmt: str = "json",
+                  options: dict | None = None) -> str:
     """Append all envelope rows to a file topic, with the parallelism they
     come in; returns the topic's folder."""
     path = topic_path(root, topic)
-    messages.select(*ENVELOPE.fieldNames()).write.mode("append").json(path)
+    messages.select(*ENVELOPE.fieldNames()).write.mode("append").format(fmt).options(**(options or {})).save(path)
     return path
 
 
+def drop_messages(root: str, topic: str) -> None:
+    """Delete the files of a file topic (as a broker's retention does) once the
+    queries that read it have ended and committed what is there; they can go on
+    with later messages."""
+    from streamlens.sources.files import filesystem
+    fs, base = filesystem(topic_path(root, topic))
+    fs.delete_dir_contents(base, missing_dir_ok=True)
+
+
 def make_folder(path: str) -> None:
     """Create a folder if it is not there."""
     from streamlens.sources.files import filesystem
@@ -244,6 +254,24 @@ def time_slices(messages: DataFrame, n: int, order_col: str = "timestamp") -> li
     return parts + [kept.where((c >= bounds[-1]) | c.isNull())]
 
 
+def time_shares(messages: DataFrame, n: int, order_col: str = "timestamp") -> list[DataFrame]:
+    """The messages in ``n`` parts of about equal size, oldest first, as filters
+    on the messages themselves: :func:`time_slices` for those that are cheap to
+    compute again and too large to be written once more.
+
+    Messages of one time are in one part; those without a time in the last one.
+    """
+    t = F.unix_micros(F.col(order_col))
+    at = messages.agg(F.percentile_approx(t, [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
+    if at is None:
+        return [messages] + [messages.limit(0)] * (n - 1)
+    bounds = [F.timestamp_micros(F.lit(x)) for x in at]
+    c = F.col(order_col)
+    parts = [messages.where(c < bounds[0])]
+    parts += [messages.where((c >= x) & (c < y)) for x, y in zip(bounds, bounds[1:])]
+    return parts + [messages.where((c >= bounds[-1]) | c.isNull())]
+
+
 def upload_topic(file_type_col) -> "F.Column":
     out = F.lit(UPLOAD_FALLBACK_TOPIC)
     for t, topic in reversed(list(UPLOAD_TOPICS.items())):
